@@ -506,8 +506,8 @@ def eval_loss(spark, d):
 _LOGIT_SQL = """
 lg AS (SELECT ctx, token, ln(CAST(c.n AS DOUBLE) / t.n_ctx) AS logit FROM counts c JOIN totals t USING ("order", ctx) WHERE c."order" = 2),
 tk AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY logit DESC) AS rk FROM lg) WHERE rk <= 50),
-sm AS (SELECT ctx, token, exp(logit / 0.7 - max(logit / 0.7) OVER (PARTITION BY ctx))
-              / sum(exp(logit / 0.7 - max(logit / 0.7) OVER (PARTITION BY ctx))) OVER (PARTITION BY ctx) AS prob FROM tk)
+sx AS (SELECT ctx, token, exp(logit / 0.7 - max(logit / 0.7) OVER (PARTITION BY ctx)) AS e FROM tk),
+sm AS (SELECT ctx, token, e / sum(e) OVER (PARTITION BY ctx) AS prob FROM sx)
 """
 
 
