@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_text, wrap_sample
+from ..functions.text import WS_CLASS, clean_text, wrap_sample
 
 DEFAULT_SEED = 42
 BUCKET_DIGITS = 4  # 65,536 buckets: the offset table stays ~1 MB
@@ -79,6 +79,75 @@ def sample_n(df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "doc
     return seeded_shuffle(df, seed, id_col).filter(F.col("rank") <= n)
 
 
+def _kth_key(keyed: DataFrame, k: int, counts: list[tuple[str, int]], id_col: str, digits: int):
+    """The k-th smallest ``(_rk_key, id)`` (1-based) of a keyed table.
+
+    ``counts`` are the per-bucket sizes (bounded by ``16**digits``); only the
+    one bucket holding the k-th key is then ordered, through a distributed
+    top-j of that bucket."""
+    acc = 0
+    for bucket, n in counts:
+        if acc + n >= k:
+            j = k - acc
+            rows = (
+                keyed.filter(F.substring("_rk_key", 1, digits) == bucket)
+                .orderBy("_rk_key", id_col)
+                .select("_rk_key", id_col)
+                .limit(j)
+                .collect()
+            )
+            return rows[-1][0], rows[-1][1]
+        acc += n
+    return None
+
+
+def _key_le(threshold, id_col: str) -> Column:
+    if threshold is None:
+        return F.lit(False)
+    key, ident = threshold
+    return (F.col("_rk_key") < F.lit(key)) | ((F.col("_rk_key") == F.lit(key)) & (F.col(id_col) <= F.lit(ident)))
+
+
+def split_by_threshold(
+    df: DataFrame,
+    n_samples: int | None = None,
+    eval_ratio: float = 0.05,
+    seed: int = DEFAULT_SEED,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    digits: int = BUCKET_DIGITS,
+) -> DataFrame:
+    """Same membership as ``train_eval_split`` without ranking every row.
+
+    Eval is "the first floor(n * ratio) keys of the seeded order", i.e. every
+    key up to the k-th smallest one.  That threshold comes from bucket counts
+    of the narrow key column (at most ``16**digits`` rows) and one top-j inside
+    a single bucket, so the documents themselves are only filtered and
+    labelled row by row: no shuffle of the text.  Returns ``(id, text, split)``.
+    """
+    if not 0 <= eval_ratio < 1:
+        raise ValueError("eval_ratio must be >= 0 and < 1")
+    if n_samples is not None and n_samples < 1:
+        raise ValueError("n_samples must be >= 1")
+    items = clean_nonempty(df, text_col, id_col).withColumn("_rk_key", shuffle_key(seed, id_col))
+    # non-empty after cleaning <=> contains a character that is not whitespace
+    keys = df.filter(F.col(text_col).rlike("[^" + WS_CLASS[1:-1] + "]")).select(
+        id_col, shuffle_key(seed, id_col).alias("_rk_key")
+    )
+    counts = sorted(
+        (r[0], r[1])
+        for r in keys.groupBy(F.substring("_rk_key", 1, digits)).agg(F.count(F.lit(1))).collect()
+    )
+    total = sum(n for _, n in counts)
+    n = total if n_samples is None else min(total, n_samples)
+    n_eval = int(n * float(eval_ratio))
+    thr_eval = _kth_key(keys, n_eval, counts, id_col, digits) if n_eval > 0 else None
+    out = items
+    if n_samples is not None and n < total:
+        out = out.filter(_key_le(_kth_key(keys, n, counts, id_col, digits), id_col))
+    return out.withColumn("split", F.when(_key_le(thr_eval, id_col), "eval").otherwise("train")).drop("_rk_key")
+
+
 def train_eval_split(
     df: DataFrame,
     n_samples: int | None = None,

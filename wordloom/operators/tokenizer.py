@@ -12,6 +12,8 @@ in the shared checkpoint folder.
 
 from __future__ import annotations
 
+import logging
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +32,8 @@ PRETOKEN_PATTERN = r"(?U)'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}
 PRETOKEN_PATTERN_NO_LOOKAHEAD = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 # ---------------------------------------------------------------------------
 
+log = logging.getLogger(__name__)
+
 DEFAULT_VOCAB_SIZE = 4096
 MAX_VOCAB_SIZE = 1 << 16  # hard bound on anything kept on the driver / inlined
 
@@ -207,11 +211,15 @@ def learn_bpe(
             F.lit(" "),
         ).alias("state"),
     ).filter(F.instr(F.trim("state"), "  ") > 0)
-    state = state.checkpoint(eager=True)
+    # spread the distinct words over the cluster so every round's explode and
+    # partial pair count run in parallel (AQE may have coalesced the input)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    state = state.repartition(n_parts).checkpoint(eager=True)
 
     merges: list[tuple[int, int, int]] = []
     rounds = 0
     while len(tokens) < vocab_size and (max_merges is None or len(merges) < max_merges):
+        t_round = time.time()
         ids = _ids_of()
         k = F.size(ids)
         pairs = state.select(
@@ -242,6 +250,7 @@ def learn_bpe(
         rounds += 1
         if rounds % checkpoint_every == 0:
             state = state.checkpoint(eager=True)
+        log.info("bpe round %d: %d merges accepted, %d total, %.2fs", rounds, len(chosen), len(merges), time.time() - t_round)
     return Tokenizer(tokens=tokens, merges=merges)
 
 

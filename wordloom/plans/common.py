@@ -27,7 +27,9 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def split(spark: SparkSession, d: str) -> DataFrame:
-    return ranking.train_eval_split(documents(spark, d))
+    """``(doc_id, text, split)``; membership from the key threshold, so no
+    shuffle of the documents (queries that report ranks rank explicitly)."""
+    return ranking.split_by_threshold(documents(spark, d))
 
 
 def corpus(spark: SparkSession, d: str) -> DataFrame:

@@ -170,7 +170,7 @@ def sample_n(spark, d):
 
 @register("train_eval_split", f"WITH {SPLIT_CTE} SELECT doc_id, rank, split FROM split")
 def train_eval_split(spark, d):
-    return C.split(spark, d).select("doc_id", "rank", "split")
+    return ranking.train_eval_split(C.documents(spark, d)).select("doc_id", "rank", "split")
 
 
 @register(

@@ -19,7 +19,19 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", text_col:
         df = spark.read.format(fmt).load(path)
     if id_col not in df.columns:
         df = df.withColumn(id_col, F.monotonically_increasing_id())
-    return df.select(id_col, F.col(text_col).cast("string").alias("text"))
+    df = df.select(id_col, F.col(text_col).cast("string").alias("text"))
+    return spread_small_scan(df)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Text work (regexes, tokenising) is CPU-bound per row.  A scan with
+    fewer splits than the cluster has cores (one small file) would run it in
+    one task, so only then is the scan spread round-robin; a large input
+    already has many splits and is left alone (no shuffle)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 class StrictJsonlError(ValueError):
