@@ -59,8 +59,8 @@ def _word_ids(word: Column, tok: Tokenizer) -> Column:
     )
     for l, r, n in tok.merges:
         state = F.replace(state, F.lit(f" {l}  {r} "), F.lit(f" {n} "))
-    ids = F.split(F.trim(state), "  ").cast("array<int>")
-    return F.filter(ids, lambda x: x.isNotNull())
+    # a word made only of unseen bytes leaves no id at all
+    return F.filter(F.split(F.trim(state), "  "), lambda x: x != F.lit("")).cast("array<int>")
 
 
 def encode_column(col, tok: Tokenizer) -> Column:
