@@ -293,7 +293,12 @@ def encode_tokens(spark, d):
     return enc.select("doc_id", F.size("ids").alias("n_tokens"), sequences.ids_text("ids").alias("ids"))
 
 
-@register("decode_tokens")
+# every byte of the corpus is in the vocabulary learned on it, so decoding
+# the encoding gives back the sample with its markers removed
+@register(
+    "decode_tokens",
+    f"WITH {SPLIT_CTE} SELECT doc_id, replace(replace(sample, '<|im_start|>', ''), '<|im_end|>', '') AS text FROM corpus",
+)
 def decode_tokens(spark, d):
     tok = C.learned_tokenizer(spark, d)
     enc = codec.encode(C.corpus(spark, d), tok)
