@@ -42,6 +42,8 @@ def global_rank(
     """
     tiebreak = tiebreak or []
     keyed = df.withColumn("_rk_key", key).withColumn("_rk_bucket", F.substring("_rk_key", 1, digits))
+    # the input is read twice (bucket sizes, numbering): rank a table that is
+    # cheap to read (a scan or a materialised intermediate), not a long plan
     sizes = keyed.groupBy("_rk_bucket").agg(F.count(F.lit(1)).alias("_rk_n"))
     # bounded table (<= 16**digits rows): a global window here is cheap
     w_all = Window.orderBy("_rk_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -67,9 +69,17 @@ def seeded_shuffle(df: DataFrame, seed: int = DEFAULT_SEED, id_col: str = "doc_i
     return global_rank(df, shuffle_key(seed, id_col), [id_col], total_col=total_col)
 
 
+def has_text(col: str) -> Column:
+    """True when cleaning leaves something: the text holds a character that
+    is not whitespace.  One short-circuiting search instead of two
+    whole-text replacements, so it is cheap wherever the optimiser pushes it
+    (it may run below a repartition, inside the scan)."""
+    return F.coalesce(F.col(col).rlike("[^" + WS_CLASS[1:-1] + "]"), F.lit(False))
+
+
 def clean_nonempty(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """P1 + P2: cleaned text, empty rows dropped."""
-    return df.select(id_col, clean_text(text_col).alias(text_col)).filter(F.col(text_col) != "")
+    return df.filter(has_text(text_col)).select(id_col, clean_text(text_col).alias(text_col))
 
 
 def sample_n(df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "doc_id") -> DataFrame:
@@ -131,7 +141,7 @@ def split_by_threshold(
         raise ValueError("n_samples must be >= 1")
     items = clean_nonempty(df, text_col, id_col).withColumn("_rk_key", shuffle_key(seed, id_col))
     # non-empty after cleaning <=> contains a character that is not whitespace
-    keys = df.filter(F.col(text_col).rlike("[^" + WS_CLASS[1:-1] + "]")).select(
+    keys = df.filter(has_text(text_col)).select(
         id_col, shuffle_key(seed, id_col).alias("_rk_key")
     )
     counts = sorted(

@@ -16,6 +16,7 @@ import logging
 import time
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -188,7 +189,7 @@ def learn_bpe(
     min_frequency: int = 2,
     max_merges: int | None = None,
     fetch: int = 256,
-    checkpoint_every: int = 4,
+    checkpoint_every: int = 8,
 ) -> Tokenizer:
     """Learn merges from a word-count table ``(word, n)``.
 
@@ -218,6 +219,7 @@ def learn_bpe(
 
     merges: list[tuple[int, int, int]] = []
     rounds = 0
+    stale: list[DataFrame] = []
     while len(tokens) < vocab_size and (max_merges is None or len(merges) < max_merges):
         t_round = time.time()
         ids = _ids_of()
@@ -227,6 +229,11 @@ def learn_bpe(
         )
         counts = pairs.groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("n").alias("c"))
         top = [(r["l"], r["r"], r["c"]) for r in counts.orderBy(F.desc("c"), "l", "r").limit(fetch).collect()]
+        # the current state is materialised now; earlier cached states can go
+        for old in stale:
+            if old.is_cached:
+                old.unpersist()
+        stale = []
         if not top:
             break
         capacity = vocab_size - len(tokens)
@@ -246,11 +253,18 @@ def learn_bpe(
                 tok2id[new_tok] = new_id
             merges.append((l, r, new_id))
             expr = F.replace(expr, F.lit(f" {l}  {r} "), F.lit(f" {new_id} "))
+        previous = state
+        # kept for the next round's pair count (computed once, there); a
+        # reliable checkpoint every few rounds bounds lineage and recovery
         state = state.select("n", expr.alias("state")).filter(F.instr(F.trim("state"), "  ") > 0)
+        state = state.persist(StorageLevel.MEMORY_AND_DISK)
         rounds += 1
         if rounds % checkpoint_every == 0:
             state = state.checkpoint(eager=True)
+        stale.append(previous)
         log.info("bpe round %d: %d merges accepted, %d total, %.2fs", rounds, len(chosen), len(merges), time.time() - t_round)
+    if state.is_cached:
+        state.unpersist()
     return Tokenizer(tokens=tokens, merges=merges)
 
 

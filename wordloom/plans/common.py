@@ -46,10 +46,21 @@ def learned_tokenizer(spark: SparkSession, d: str, merges: int = BPE_MERGES) ->
     return _cache[key]
 
 
+def word_seq_table(spark: SparkSession, d: str) -> DataFrame:
+    """Full word-id sequences ``(doc_id, split, ids)`` of both splits,
+    materialised once per session and folder with a reliable checkpoint (the
+    prepared-data table a pipeline would write), so the shaping and model
+    queries read a table instead of re-running tokenisation and the word-id
+    join in every branch of their plans."""
+    key = ("wseq", id(spark), d)
+    if key not in _cache:
+        _cache[key] = sequences.word_sequences(split(spark, d)).checkpoint(eager=True)
+    return _cache[key]
+
+
 def word_seqs(spark: SparkSession, d: str, max_len: int = sequences.TRAIN_MAX_LEN) -> DataFrame:
     """Word-id sequences after truncate + drop-short, both splits."""
-    sp = split(spark, d)
-    return sequences.truncate_filter(sequences.word_sequences(sp), max_len)
+    return sequences.truncate_filter(word_seq_table(spark, d), max_len)
 
 
 def word_vocab_size(spark: SparkSession, d: str) -> int:
