@@ -118,3 +118,20 @@ def test_known_tokens_and_size(spark):
     assert {r.token for r in kept.collect()} == {3, 4}
     size = {r.order: r.n_rows for r in N.size_report(counts).collect()}
     assert size[0] == size[1] + size[2] + size[3]
+
+
+def test_row_local_sampler_equals_window_operators(spark):
+    model = N.build_model(seq_df(spark, SEQS), V)
+    prompts = spark.createDataFrame([(i, ids) for i, ids in enumerate([[1, 3], [1, 5], [4], [1, 3, 4], [6, 6]])], "prompt_id long, ids array<int>")
+    for step in range(4):
+        logits = N.next_token_logits(prompts, model, k=3)
+        want = {r.prompt_id: r.token for r in N.draw(N.softmax(N.apply_temperature(N.top_k(logits, 3), 0.7)), seed=9, step=step).collect()}
+        a = prompts
+        for k_ in (2, 3):
+            a = a.withColumn(f"h{k_}", F.when(F.size("ids") >= k_ - 1, F.array_join(F.slice("ids", -(k_ - 1), k_ - 1), " ")))
+            f = model.followers.filter(F.col("order") == k_).select(
+                F.col("ctx").alias(f"h{k_}"), F.col("n_ctx").alias(f"t{k_}"), F.col("toks").alias(f"toks{k_}"), F.col("cnts").alias(f"cnts{k_}")
+            )
+            a = a.join(f, f"h{k_}", "left")
+        got = {r.prompt_id: r._next for r in N._sample_next(a, model, 3, 0.7, 9, step).collect()}
+        assert got == want

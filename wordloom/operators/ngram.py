@@ -11,6 +11,8 @@ ties, softmax, inverse-CDF draw) is window work per prompt.
 
 from __future__ import annotations
 
+import logging
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import EOS_ID, PAD_ID
 
+log = logging.getLogger(__name__)
+
 DEFAULT_ORDER = 3
 DEFAULT_LAMBDA = 0.5
 TOP_K = 50
@@ -282,6 +286,44 @@ def next_token_logits(active: DataFrame, model: NgramModel, k: int = TOP_K) -> D
     return ex.select("prompt_id", "ids", "token", F.log(prob).alias("logit"))
 
 
+def _sample_next(a: DataFrame, model: NgramModel, k: int, temperature: float, seed: int, step: int) -> DataFrame:
+    """Row-local next token (``_next``) for rows holding their context lookups.
+
+    Same maths as ``top_k`` -> ``apply_temperature`` -> ``softmax`` ->
+    ``draw`` on the candidate table, but on the bounded candidate array of
+    one prompt, so a generation round needs no window shuffle.  Built as
+    successive named columns so no sub-expression is repeated."""
+    order, lam = model.order, model.lam
+    empty_i, empty_l = F.array().cast("array<int>"), F.array().cast("array<bigint>")
+    p1map = F.create_map(*[x for t, v in sorted(model.unigram.items()) for x in (F.lit(t), F.lit(v))])
+    cand = F.array(*[F.lit(t) for t in _unigram_topk(model.unigram, k)])
+    for k_ in range(2, order + 1):
+        cand = F.array_union(cand, F.coalesce(F.col(f"toks{k_}"), empty_i))
+        a = a.withColumn(f"_fm{k_}", F.map_from_arrays(F.coalesce(F.col(f"toks{k_}"), empty_i), F.coalesce(F.col(f"cnts{k_}"), empty_l)))
+    a = a.withColumn("_cand", F.array_sort(cand))  # token-id order, as the draw walks it
+
+    def prob(w):
+        p = F.element_at(p1map, w)
+        for k_ in range(2, order + 1):
+            c = F.coalesce(F.element_at(F.col(f"_fm{k_}"), w), F.lit(0))
+            p = F.when(F.col(f"t{k_}").isNotNull(), F.lit(lam) * c / F.col(f"t{k_}") + F.lit(1 - lam) * p).otherwise(p)
+        return p
+
+    a = a.withColumn("_sc", F.transform("_cand", lambda w: F.struct(w.alias("token"), (F.log(prob(w)) / F.lit(float(temperature))).alias("logit"))))
+    if k > 0:
+        a = a.withColumn("_desc", F.sort_array(F.transform("_sc", lambda x: x["logit"]), asc=False))
+        a = a.withColumn("_thr", F.element_at("_desc", F.least(F.lit(k), F.size("_desc"))))
+        a = a.withColumn("_sc", F.filter("_sc", lambda x: x["logit"] >= F.col("_thr")))
+    a = a.withColumn("_mx", F.array_max(F.transform("_sc", lambda x: x["logit"])))
+    a = a.withColumn("_ex", F.transform("_sc", lambda x: F.exp(x["logit"] - F.col("_mx"))))
+    a = a.withColumn("_z", F.aggregate("_ex", F.lit(0.0), lambda acc, v: acc + v))
+    a = a.withColumn("_p", F.transform("_ex", lambda v: v / F.col("_z")))
+    a = a.withColumn("_cum", F.transform("_p", lambda _, i: F.aggregate(F.slice(F.col("_p"), 1, i + 1), F.lit(0.0), lambda acc, v: acc + v)))
+    u = uniform(F.concat_ws(":", F.lit(str(seed)), F.col("prompt_id").cast("string"), F.lit(str(step))))
+    hits = F.filter(F.arrays_zip(F.transform("_sc", lambda x: x["token"]).alias("t"), F.col("_cum").alias("c")), lambda x: x["c"] >= u)
+    return a.withColumn("_next", F.coalesce(F.element_at(hits, 1)["t"], F.element_at("_sc", -1)["token"]))
+
+
 def generate(
     prompts: DataFrame,
     model: NgramModel,
@@ -291,33 +333,46 @@ def generate(
     seed: int = 42,
     eos_id: int = EOS_ID,
     max_context: int = MAX_CONTEXT,
-    checkpoint_every: int = 4,
 ) -> DataFrame:
     """M8: sample up to ``max_new_tokens`` for every prompt ``(prompt_id, ids)``.
 
-    One Spark round per token for the whole batch.  Finished rows (end id
-    drawn, included in the output, or limit reached) leave the active set but
-    stay in the result.  Returns ``(prompt_id, ids, n_prompt, new_ids)``.
+    One Spark round per token for the whole batch: two lookups of the
+    prompts' contexts in the follower table, then row-local sampling.
+    Finished rows (end id drawn, included in the output, or limit reached)
+    leave the active set but stay in the result.  Returns
+    ``(prompt_id, ids, n_prompt, new_ids)``.
     """
+    if not temperature > 0:
+        raise ValueError("temperature must be > 0")
     state = prompts.select("prompt_id", "ids", F.size("ids").alias("n_prompt"), F.lit(False).alias("done"))
     state = state.checkpoint(eager=True)
+    n_parts = max(1, state.rdd.getNumPartitions())
+    order = model.order
     for step in range(max_new_tokens):
-        active = state.filter(~F.col("done")).select("prompt_id", F.slice("ids", -max_context, max_context).alias("ids"))
-        logits = next_token_logits(active, model, k)
-        logits = apply_temperature(logits, temperature)
-        picked = draw(softmax(top_k(logits, k)), seed=seed, step=step)
-        nxt = picked.select("prompt_id", F.col("token").alias("_next"))
-        state = (
-            state.join(nxt, "prompt_id", "left")
-            .select(
-                "prompt_id",
-                F.when(F.col("_next").isNotNull(), F.concat("ids", F.array("_next"))).otherwise(F.col("ids")).alias("ids"),
-                "n_prompt",
-                (F.col("done") | F.col("_next").isNull() | (F.col("_next") == eos_id)).alias("done"),
+        t_round = time.time()
+        finished = state.filter(F.col("done"))
+        a = state.filter(~F.col("done"))
+        ctx = F.slice("ids", -max_context, max_context)
+        for k_ in range(2, order + 1):
+            a = a.withColumn(f"h{k_}", F.when(F.size("ids") >= k_ - 1, F.array_join(F.slice(ctx, -(k_ - 1), k_ - 1), " ")))
+        for k_ in range(2, order + 1):
+            f = model.followers.filter(F.col("order") == k_).select(
+                F.col("ctx").alias(f"h{k_}"), F.col("n_ctx").alias(f"t{k_}"), F.col("toks").alias(f"toks{k_}"), F.col("cnts").alias(f"cnts{k_}")
             )
+            a = a.join(f, f"h{k_}", "left")
+        a = _sample_next(a, model, k, temperature, seed, step)
+        stepped = a.select(
+            "prompt_id",
+            F.concat("ids", F.array("_next")).alias("ids"),
+            "n_prompt",
+            (F.col("_next") == eos_id).alias("done"),
         )
-        if (step + 1) % checkpoint_every == 0 or step == max_new_tokens - 1:
-            state = state.checkpoint(eager=True)
-            if state.filter(~F.col("done")).limit(1).count() == 0:
-                break
+        # the state (one row per prompt) feeds both branches of the next
+        # round, so it is written every round: the plan stays one round deep
+        # (a union adds up partition counts: coalesce, narrow, to keep the
+        # task count per round constant)
+        state = finished.unionByName(stepped).coalesce(n_parts).checkpoint(eager=True)
+        log.info("generation round %d: %.2fs", step, time.time() - t_round)
+        if state.filter(~F.col("done")).limit(1).count() == 0:
+            break
     return state.select("prompt_id", "ids", "n_prompt", F.slice("ids", F.col("n_prompt") + 1, F.size("ids")).alias("new_ids"))
