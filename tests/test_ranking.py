@@ -65,3 +65,12 @@ def test_summary_and_tokenizer_corpus(spark, docs):
     assert corp.count() == summ["total"]
     assert R.tokenizer_corpus(sp, train_only=True).count() == summ["train"]
     assert corp.filter(~F.col("sample").startswith("<|im_start|>assistant\n")).count() == 0
+
+
+def test_kth_key_refines_buckets(spark, monkeypatch):
+    monkeypatch.setattr(R, "FINAL_BUCKET_ROWS", 3)
+    keys = spark.range(0, 5000).withColumnRenamed("id", "doc_id").withColumn("_rk_key", R.shuffle_key(42, "doc_id"))
+    counts = sorted((r[0], r[1]) for r in keys.groupBy(F.substring("_rk_key", 1, 1)).agg(F.count(F.lit(1))).collect())
+    allk = sorted((r._rk_key, r.doc_id) for r in keys.collect())
+    for k in (1, 7, 2500, 5000):
+        assert R._kth_key(keys, k, counts, "doc_id", 1) == allk[k - 1]

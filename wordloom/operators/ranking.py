@@ -89,26 +89,49 @@ def sample_n(df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "doc
     return seeded_shuffle(df, seed, id_col).filter(F.col("rank") <= n)
 
 
+FINAL_BUCKET_ROWS = 10_000  # at most this many keys are ever ordered in one task
+
+
 def _kth_key(keyed: DataFrame, k: int, counts: list[tuple[str, int]], id_col: str, digits: int):
     """The k-th smallest ``(_rk_key, id)`` (1-based) of a keyed table.
 
-    ``counts`` are the per-bucket sizes (bounded by ``16**digits``); only the
-    one bucket holding the k-th key is then ordered, through a distributed
-    top-j of that bucket."""
-    acc = 0
-    for bucket, n in counts:
-        if acc + n >= k:
-            j = k - acc
+    ``counts`` are the sizes of the first-level buckets (at most
+    ``16**digits``).  The bucket holding the k-th key is refined by the next
+    ``digits`` hex digits, again and again, until it holds at most
+    ``FINAL_BUCKET_ROWS`` keys; only those are ordered (a distributed top-j),
+    so neither a task nor the driver ever sees more than that."""
+    level = counts
+    prefix_len = digits
+    while True:
+        acc = 0
+        chosen = None
+        for bucket, n in level:
+            if acc + n >= k:
+                chosen = (bucket, n)
+                break
+            acc += n
+        if chosen is None:
+            return None
+        bucket, n = chosen
+        k -= acc
+        if n <= FINAL_BUCKET_ROWS or prefix_len >= 32:
             rows = (
-                keyed.filter(F.substring("_rk_key", 1, digits) == bucket)
+                keyed.filter(F.substring("_rk_key", 1, prefix_len) == bucket)
                 .orderBy("_rk_key", id_col)
                 .select("_rk_key", id_col)
-                .limit(j)
+                .limit(k)
                 .collect()
             )
             return rows[-1][0], rows[-1][1]
-        acc += n
-    return None
+        next_len = min(32, prefix_len + digits)
+        level = sorted(
+            (r[0], r[1])
+            for r in keyed.filter(F.substring("_rk_key", 1, prefix_len) == bucket)
+            .groupBy(F.substring("_rk_key", 1, next_len))
+            .agg(F.count(F.lit(1)))
+            .collect()
+        )
+        prefix_len = next_len
 
 
 def _key_le(threshold, id_col: str) -> Column:
