@@ -650,6 +650,49 @@ def chat_complete(spark, d):
     return chat.explode_choices(res).select("prompt_id", "n_new", "reply")
 
 
+def _first_user_prompts(spark, d):
+    conv = C.table(spark, d, "conversations").filter(F.col("role") == "user")
+    first = conv.groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
+    usable = first.filter(TX.is_usable_prompt("text"))
+    return usable.select(F.col("conv_id").alias("prompt_id"), F.lit("conversation").alias("topic"), TX.assistant_prompt("text").alias("prompt"))
+
+
+@register("prompt_suite_report")
+def prompt_suite_report(spark, d):
+    tok = C.learned_tokenizer(spark, d)
+    prompts = _first_user_prompts(spark, d)
+    res = chat.complete(prompts, tok, bpe_model(spark, d), max_tokens=32)
+    return chat.prompt_suite_report(prompts, res).select("prompt_id", "topic", "prompt", "reply")
+
+
+@register("answer_stream")
+def answer_stream_q(spark, d):
+    """User turns arrive as a file stream and are answered per
+    micro-batch; the sink is read back."""
+    from ..streaming.answer_stream import answer_stream
+
+    tok = C.learned_tokenizer(spark, d)
+    out = scratch_path(spark, "answers")
+
+    def prepare(stream):
+        users = stream.filter(F.col("role") == "user")
+        return users.select((F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_id"), "text")
+
+    q = answer_stream(
+        spark,
+        f"{d}/conversation[s].parquet",
+        "conv_id long, turn long, role string, text string",
+        tok,
+        bpe_model(spark, d),
+        out,
+        out + "-checkpoint",
+        max_tokens=32,
+        prepare=prepare,
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out).select("prompt_id", "n_new", "reply")
+
+
 # ---- L: run-log analytics --------------------------------------------------------------
 
 _LOG_SQL = """
