@@ -15,8 +15,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.byte_symbols import byte_hex_array, byte_to_symbol
-from ..functions.text import IM_END, IM_START
+from ..functions.byte_symbols import byte_hex_array
+from ..functions.text import IM_START
 from .tokenizer import PRETOKEN_PATTERN, Tokenizer
 
 JVM_MERGE_LIMIT = 256  # above this, encode in Arrow batches instead
@@ -205,6 +205,4 @@ __all__ = [
     "decode_column",
     "roundtrip_audit",
     "token_stats",
-    "IM_END",
-    "byte_to_symbol",
 ]

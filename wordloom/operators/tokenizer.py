@@ -19,7 +19,6 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.byte_symbols import byte_symbols, byte_to_symbol, symbols_to_bytes_hex
 from ..functions.text import SPECIAL_TOKENS
@@ -268,17 +267,6 @@ def learn_bpe(
     return Tokenizer(tokens=tokens, merges=merges)
 
 
-def vocab_summary(tok: Tokenizer, spark: SparkSession) -> DataFrame:
-    """Sizes of the learned vocabulary (model size follows the actual
-    vocabulary, ``max(id) + 1``)."""
-    n_special = len(tok.specials)
-    n_alpha = len(tok.tokens) - n_special - len({n for _, _, n in tok.merges if n >= len(tok.tokens) - len(tok.merges)})
-    return spark.createDataFrame(
-        [(n_special, n_alpha, len(tok.merges), len(tok.tokens))],
-        "n_special int, n_alphabet int, n_merges int, vocab_size int",
-    )
-
-
 def learned_vocab_stats(vocab: DataFrame) -> DataFrame:
     """T7 over a vocab table: ``vocab_size = max(id) + 1`` and its parts."""
     return vocab.agg(
@@ -287,5 +275,3 @@ def learned_vocab_stats(vocab: DataFrame) -> DataFrame:
         (F.max("id") + 1).cast("long").alias("vocab_size"),
     )
 
-
-BYTE_SYMBOL_SCHEMA = T.StructType([T.StructField("word", T.StringType()), T.StructField("symbols", T.ArrayType(T.StringType()))])

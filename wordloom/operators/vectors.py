@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 def quant_params(df: DataFrame, col: str = "embedding") -> DataFrame:
     """One row ``(scale, zero_point)``; the range is widened to contain 0."""
-    vals = df.select(F.explode(col).alias("x")).select(F.col("x").cast("double").alias("x"))
-    mm = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    # per-row extremes, then a global partial aggregate: no explode of elements
+    mm = df.agg(
+        F.min(F.array_min(col).cast("double")).alias("lo"),
+        F.max(F.array_max(col).cast("double")).alias("hi"),
+    )
     lo = F.least(F.col("lo"), F.lit(0.0))
     hi = F.greatest(F.col("hi"), F.lit(0.0))
     scale = F.when(hi > lo, (hi - lo) / F.lit(255.0)).otherwise(F.lit(1.0))
