@@ -18,6 +18,12 @@ BPE_MERGES = 32  # merges learned by the registered tokenizer queries
 _cache: dict = {}
 
 
+def _app(spark: SparkSession) -> str:
+    """Memo key part: unique per running application (a stopped and
+    re-created session never sees another's cached tables)."""
+    return spark.sparkContext.applicationId
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
@@ -39,7 +45,7 @@ def corpus(spark: SparkSession, d: str) -> DataFrame:
 def learned_tokenizer(spark: SparkSession, d: str, merges: int = BPE_MERGES) -> tokenizer.Tokenizer:
     """The tokenizer learned on the prepared corpus (driver-side, bounded);
     memoised per session and folder because learning is iterative."""
-    key = ("tok", id(spark), d, merges)
+    key = ("tok", _app(spark), d, merges)
     if key not in _cache:
         wc = tokenizer.word_counts(corpus(spark, d))
         _cache[key] = tokenizer.learn_bpe(wc, max_merges=merges)
@@ -52,7 +58,7 @@ def word_seq_table(spark: SparkSession, d: str) -> DataFrame:
     prepared-data table a pipeline would write), so the shaping and model
     queries read a table instead of re-running tokenisation and the word-id
     join in every branch of their plans."""
-    key = ("wseq", id(spark), d)
+    key = ("wseq", _app(spark), d)
     if key not in _cache:
         _cache[key] = sequences.word_sequences(split(spark, d)).checkpoint(eager=True)
     return _cache[key]
@@ -64,7 +70,7 @@ def word_seqs(spark: SparkSession, d: str, max_len: int = sequences.TRAIN_MAX_LE
 
 
 def word_vocab_size(spark: SparkSession, d: str) -> int:
-    key = ("wv", id(spark), d)
+    key = ("wv", _app(spark), d)
     if key not in _cache:
         v = sequences.word_vocab(split(spark, d))
         _cache[key] = int(v.agg(F.max("token")).first()[0]) + 1

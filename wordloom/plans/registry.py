@@ -583,7 +583,7 @@ def model_size(spark, d):
 
 def bpe_model(spark, d) -> ngram.NgramModel:
     """n-gram model over the BPE ids of the train split (bounded vocabulary)."""
-    key = ("bpe_model", id(spark), d)
+    key = ("bpe_model", C._app(spark), d)
     if key not in C._cache:
         tok = C.learned_tokenizer(spark, d)
         tr = C.corpus(spark, d).filter(F.col("split") == "train")
