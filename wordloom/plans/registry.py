@@ -701,8 +701,16 @@ lg AS (SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER B
 """
 
 
-def _log(spark, d):
-    return runlog.run_log_from_events(C.table(spark, d, "events"))
+def _log(spark, d, run_col: str = "user_id"):
+    return runlog.run_log_from_events(C.table(spark, d, "events"), run_col)
+
+
+# long runs: one run per event type (few, large runs; the blocked windows
+# split them, and the interval / save steps are reached even at sf0.01)
+_LONG_LOG_SQL = """
+lg AS (SELECT event_type AS run_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS step,
+              CAST(value AS DOUBLE) AS loss, ts FROM events)
+"""
 
 
 @register(
@@ -716,23 +724,23 @@ def lr_schedule(spark, d):
 
 @register(
     "rolling_loss",
-    f"WITH {_LOG_SQL} SELECT run_id, step, round(r, 6) AS rolling_loss FROM "
+    f"WITH {_LONG_LOG_SQL} SELECT run_id, step, round(r, 6) AS rolling_loss FROM "
     "(SELECT *, avg(loss) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS r FROM lg) "
     "WHERE step % 100 = 0",
 )
 def rolling_loss(spark, d):
-    r = runlog.rolling_train_loss(_log(spark, d))
+    r = runlog.rolling_train_loss(_log(spark, d, "event_type"))
     return r.select("run_id", "step", F.round("rolling_loss", 6).alias("rolling_loss"))
 
 
 @register(
     "interval_loss",
-    f"WITH {_LOG_SQL} SELECT run_id, step, round(r, 6) AS interval_loss FROM "
+    f"WITH {_LONG_LOG_SQL} SELECT run_id, step, round(r, 6) AS interval_loss FROM "
     "(SELECT *, avg(loss) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS r FROM lg) "
     "WHERE step > 0 AND step % 200 = 0",
 )
 def interval_loss(spark, d):
-    r = runlog.interval_train_loss(_log(spark, d))
+    r = runlog.interval_train_loss(_log(spark, d, "event_type"))
     return r.select("run_id", "step", F.round("interval_loss", 6).alias("interval_loss"))
 
 
@@ -753,7 +761,7 @@ def best_so_far(spark, d):
 
 @register(
     "checkpoint_rows",
-    f"WITH {_LOG_SQL}, ev AS (SELECT * FROM lg WHERE step > 0 AND step % 200 = 0), "
+    f"WITH {_LONG_LOG_SQL}, ev AS (SELECT * FROM lg WHERE step > 0 AND step % 200 = 0), "
     "evb AS (SELECT run_id, step, CASE WHEN NOT isnan(loss) AND loss < coalesce(min(CASE WHEN NOT isnan(loss) THEN loss END) "
     "OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), CAST('inf' AS DOUBLE)) THEN 1 ELSE 0 END AS b FROM ev) "
     "SELECT run_id, step, 'step_' || CAST(step AS VARCHAR) || '.pt' AS label FROM lg WHERE step > 0 AND step % 500 = 0 "
@@ -761,7 +769,7 @@ def best_so_far(spark, d):
     "UNION ALL SELECT run_id, count(*), 'final_model.pt' FROM lg GROUP BY run_id",
 )
 def checkpoint_rows(spark, d):
-    return runlog.checkpoint_rows(_log(spark, d))
+    return runlog.checkpoint_rows(_log(spark, d, "event_type"))
 
 
 @register(
