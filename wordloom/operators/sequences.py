@@ -28,9 +28,14 @@ def _c(col) -> Column:
 def word_vocab(split_df: DataFrame, text_col: str = "text") -> DataFrame:
     """Distinct pre-tokens of the cleaned corpus with dense ids from 3 up,
     ordered by ``md5(word)``; 0, 1, 2 stay pad / start / end."""
-    words = split_df.select(F.explode(pretokenise_words(text_col)).alias("word")).distinct()
+    # the ranking reads its input twice (bucket sizes, numbering): write the
+    # distinct words once rather than pre-tokenising the corpus twice
+    words = split_df.select(F.explode(pretokenise_words(text_col)).alias("word")).distinct().checkpoint(eager=True)
     ranked = global_rank(words, F.md5("word"), ["word"], rank_col="_r")
-    return ranked.select("word", (F.col("_r") + F.lit(EOS_ID)).cast("int").alias("token"))
+    # materialised, the vocabulary carries real size statistics, so the
+    # planner picks the word -> id join up front: a size-checked broadcast
+    # while it is small, a shuffle join (with AQE skew splitting) beyond
+    return ranked.select("word", (F.col("_r") + F.lit(EOS_ID)).cast("int").alias("token")).checkpoint(eager=True)
 
 
 def word_sequences(split_df: DataFrame, vocab: DataFrame | None = None, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
