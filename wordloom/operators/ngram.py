@@ -56,6 +56,13 @@ def ngram_counts(seqs: DataFrame, order: int = DEFAULT_ORDER, ids_col: str = "id
     )
 
 
+def fit(seqs: DataFrame, order: int = DEFAULT_ORDER, ids_col: str = "ids") -> DataFrame:
+    """M1 as a model: the count table, written once (reliable checkpoint).
+    Probabilities and scoring read it several times (totals, each order,
+    the order below), so it is materialised rather than re-aggregated."""
+    return ngram_counts(seqs, order, ids_col).checkpoint(eager=True)
+
+
 def context_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("order", "ctx").agg(F.sum("n").alias("n_ctx"))
 

@@ -454,7 +454,7 @@ p3 AS (SELECT c.ctx, c.token, 0.5 * c.n / t.n_ctx + 0.5 * p2.p AS p FROM counts
 )
 def ngram_prob(spark, d):
     s = C.word_seqs(spark, d).filter(F.col("split") == "train")
-    pr = ngram.ngram_probabilities(ngram.ngram_counts(s), C.word_vocab_size(spark, d))
+    pr = ngram.ngram_probabilities(ngram.fit(s), C.word_vocab_size(spark, d))
     return pr.select("order", "ctx", "token", F.round("p", 9).alias("p"))
 
 
@@ -479,7 +479,7 @@ s3 AS (SELECT s2.doc_id, s2.p, s2.token,
 
 def _nll(spark, d):
     s = C.word_seqs(spark, d)
-    counts = ngram.ngram_counts(s.filter(F.col("split") == "train"))
+    counts = ngram.fit(s.filter(F.col("split") == "train"))
     return ngram.score_positions(s.filter(F.col("split") == "eval"), counts, C.word_vocab_size(spark, d))
 
 
@@ -518,7 +518,7 @@ sm AS (SELECT ctx, token, e / sum(e) OVER (PARTITION BY ctx) AS prob FROM sx)
 
 def _bigram_logits(spark, d):
     s = C.word_seqs(spark, d).filter(F.col("split") == "train")
-    c2 = ngram.ngram_counts(s).filter(F.col("order") == 2)
+    c2 = ngram.fit(s).filter(F.col("order") == 2)
     tot = ngram.context_totals(c2)
     return c2.join(tot, ["order", "ctx"]).select(
         F.col("ctx").alias("prompt_id"), "token", F.log(F.col("n") / F.col("n_ctx")).alias("logit")
