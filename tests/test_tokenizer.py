@@ -140,3 +140,15 @@ def test_initial_vocab_and_pairs(spark):
     assert [t for _, t in vocab[3:]] == sorted(t for _, t in vocab[3:])
     pairs = {(r.left, r.right): r.n for r in T.pair_counts(wc).collect()}
     assert pairs == {("a", "b"): 2, ("Ġ", "a"): 1, ("b", "a"): 1}
+
+
+def test_arrow_and_column_encoders_agree_on_raw_whitespace(spark):
+    train = ["a\x1cb  c　d e\n\nf", "x\x85y z", "it's 12 ok!!"] * 3
+    ours = learn(spark, train)
+    texts = ["a\x1cb  c　d e\n\nf", "x\x85y z  ", "\x1f\x1d it's"]
+    df = texts_df(spark, texts)
+    jvm = [list(r.ids) for r in codec.encode(df, ours, method="jvm").orderBy("doc_id").collect()]
+    arrow = [list(r.ids) for r in codec.encode(df, ours, method="arrow").orderBy("doc_id").collect()]
+    assert jvm == arrow
+    lib = hf_train(train, len(ours.tokens))
+    assert [lib.encode(t).ids for t in texts] == jvm

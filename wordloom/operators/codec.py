@@ -111,7 +111,7 @@ def _encode_arrow(df: DataFrame, tok: Tokenizer, text_col: str, out_col: str) ->
     hex2id = {int(h, 16): i for h, i in tok.byte_hex_to_id().items()}
     specials = dict(tok.specials)
     split_re = "(" + "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")"
-    pat = PRETOKEN_PATTERN.replace("(?U)", "")
+    pat = _python_pretoken_pattern()
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
 
     def bpe_word(word: str) -> list[int]:
@@ -158,6 +158,21 @@ def _encode_arrow(df: DataFrame, tok: Tokenizer, text_col: str, out_col: str) ->
     return df.mapInPandas(run, schema)
 
 
+# fixed values: the Unicode White_Space set, which Java's (?U)\s matches
+WHITE_SPACE = r"\t\n\x0b\x0c\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _python_pretoken_pattern() -> str:
+    r"""The pre-tokenising rule for Python's ``regex`` with ``\s`` spelled as
+    the White_Space set, so it splits exactly like the Java rule (Python's
+    own ``\s`` also takes U+001C-U+001F)."""
+    ws = WHITE_SPACE
+    return (
+        r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^" + ws + r"\p{L}\p{N}]+"
+        + "|[" + ws + "]+(?![^" + ws + "])|[" + ws + "]+"
+    )
+
+
 def decode_column(col, tok: Tokenizer) -> Column:
     """Ids -> text.  Special and unknown ids are skipped; bytes that do
     not form valid UTF-8 become U+FFFD."""
