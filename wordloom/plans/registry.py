@@ -266,6 +266,21 @@ def bpe_merges_32(spark, d):
     return C.learned_tokenizer(spark, d).merges_df(spark)
 
 
+@register("tokenizer_store")
+def tokenizer_store(spark, d):
+    """The learned vocabulary and merges written as two tables and read
+    back; the reloaded tokenizer must equal the learned one."""
+    from ..sources.tokenizer_store import load_tokenizer, save_tokenizer
+
+    tok = C.learned_tokenizer(spark, d)
+    path = scratch_path(spark, "tokenizer")
+    save_tokenizer(tok, spark, path)
+    back = load_tokenizer(spark, path)
+    if back.tokens != tok.tokens or back.merges != tok.merges:
+        raise AssertionError("tokenizer changed on its way through storage")
+    return spark.read.parquet(f"{path}/vocab").select("id", "token", "is_special")
+
+
 _SEP = "chr(57344) || chr(57345)"
 _MARKED = f"replace(replace(sample, '<|im_start|>', {_SEP} || '<|im_start|>' || {_SEP}), '<|im_end|>', {_SEP} || '<|im_end|>' || {_SEP})"
 _SEG_SRC = (
