@@ -199,18 +199,21 @@ def learn_bpe(
         raise ValueError(f"vocab_size above {MAX_VOCAB_SIZE} is not supported")
     spark = wc.sparkSession
     ensure_checkpoint_dir(spark)
-    alphabet = sorted(r["token"] for r in wc.select(F.explode(byte_symbols("word")).alias("token")).distinct().collect())
+    # one pass over the corpus: the words' symbol arrays are written once and
+    # both the alphabet and the initial state are read from that table
+    syms = wc.select(F.col("n").cast("long").alias("n"), byte_symbols("word").alias("s")).checkpoint(eager=True)
+    alphabet = sorted(r["token"] for r in syms.select(F.explode("s").alias("token")).distinct().collect())
     tokens = list(SPECIAL_TOKENS) + alphabet
     tok2id = {t: i for i, t in enumerate(tokens)}
     sym2id = F.create_map(*[x for t in alphabet for x in (F.lit(t), F.lit(str(tok2id[t])))])
-    state = wc.select(
-        F.col("n").cast("long").alias("n"),
+    state = syms.filter(F.size("s") >= 2).select(
+        "n",
         F.concat(
             F.lit(" "),
-            F.array_join(F.transform(byte_symbols("word"), lambda s: F.element_at(sym2id, s)), "  "),
+            F.array_join(F.transform("s", lambda s: F.element_at(sym2id, s)), "  "),
             F.lit(" "),
         ).alias("state"),
-    ).filter(F.instr(F.trim("state"), "  ") > 0)
+    )
     # spread the distinct words over the cluster so every round's explode and
     # partial pair count run in parallel (AQE may have coalesced the input)
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
