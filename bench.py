@@ -35,6 +35,7 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = build_session(f"local[{cpus}]", partitions=int(cpus) * 2)
     timings: dict[str, float] = {}
+    spark.range(1000).selectExpr("sum(id)").collect()  # JVM start-up, not any operator
 
     t0 = time.time()
     common.learned_tokenizer(spark, sf_dir)
