@@ -58,7 +58,12 @@ def corpus_scan(spark, d):
     f"WITH {SPLIT_CTE} SELECT split, count(*) AS n_rows, 'doc_id,text' AS columns FROM split GROUP BY split",
 )
 def dataset_manifest(spark, d):
-    return src.dataset_manifest(C.split(spark, d).select("doc_id", "text", "split"))
+    """Publish train and eval as one split-partitioned dataset in the
+    shared folder; the manifest is read back from storage."""
+    sp = C.split(spark, d)
+    train = sp.filter(F.col("split") == "train").select("doc_id", "text")
+    eval_ = sp.filter(F.col("split") == "eval").select("doc_id", "text")
+    return src.publish_dataset(train, eval_, scratch_path(spark, "dataset"))
 
 
 @register(
@@ -71,6 +76,17 @@ def jsonl_roundtrip(spark, d):
     return src.read_jsonl_strict(spark, path)
 
 
+@register(
+    "jsonl_ascii_roundtrip",
+    f"WITH {SPLIT_CTE} SELECT sample AS text FROM corpus",
+)
+def jsonl_ascii_roundtrip(spark, d):
+    """S5 + S3: non-ASCII written as escapes, read back by the tolerant reader."""
+    path = scratch_path(spark, "jsonl-ascii")
+    src.write_jsonl_ascii(C.corpus(spark, d), path, "sample")
+    return src.read_jsonl(spark, path)
+
+
 _CFG_SRC = f"(SELECT event_id, props AS config FROM events UNION ALL SELECT * FROM {sql_values(C.CONFIG_ROWS, ['event_id', 'config'])})"
 
 
