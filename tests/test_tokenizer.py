@@ -152,3 +152,15 @@ def test_arrow_and_column_encoders_agree_on_raw_whitespace(spark):
     assert jvm == arrow
     lib = hf_train(train, len(ours.tokens))
     assert [lib.encode(t).ids for t in texts] == jvm
+
+
+def test_json_import_with_string_merges(spark, tmp_path):
+    texts = ["sina pona li pona", "mi moku e kili"] * 4
+    ours = learn(spark, texts)
+    lib = hf_train(texts, len(ours.tokens))
+    j = json.loads(lib.to_str())
+    j["model"]["merges"] = [" ".join(m) if isinstance(m, list) else m for m in j["model"]["merges"]]
+    p = tmp_path / "string_merges.json"
+    p.write_text(json.dumps(j), encoding="utf-8")
+    imported = import_tokenizer_json(spark, str(p))
+    assert imported.tokens == ours.tokens and imported.merges == ours.merges
