@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_or_empty
+from .common import keep_rows, materialise, row_sha, text_or_empty
 
 MIN_CHUNK, MAX_CHUNK = 256, 4096
 # a chunk ends behind a blank whose neighbourhood falls into these classes
@@ -91,12 +91,13 @@ def recipe(text: Column, rank_of: dict[str, int], hash_fn: Callable[[Column], Co
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_fn: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """``(doc_id, row, recipe, text_sha256)`` per row, written once."""
+    """``(doc_id, row, row_sha, recipe, text_sha256)`` per row, written once."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     bad = chunk_collisions(src, "text", hash_fn)
-    norm = src.select("doc_id", normalise(F.col("text")).alias("norm"))
+    norm = src.select("doc_id", row_sha(F.col("text")).alias("row_sha"), normalise(F.col("text")).alias("norm"))
     made = norm.select(
         "doc_id",
+        "row_sha",
         F.monotonically_increasing_id().alias("row"),
         recipe(F.col("norm"), ranks(bad), hash_fn).alias("recipe"),
         F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
@@ -106,7 +107,7 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", has
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_fn: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """One row per document row: ``doc_id, keep_id, group_size, kept,
-    text_sha256``.  ``keep_id`` is the smallest id among rows of equal text;
+    text_sha256, row_sha``.  ``keep_id`` is the smallest id among rows of equal text;
     exactly one row of a group has ``kept``."""
     rec = recipes(docs, id_col, text_col, hash_fn)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
@@ -117,19 +118,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"),
         "text_sha256",
+        "row_sha",
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The document rows that stay, with all their columns: one row of each
-    group of equal texts.  Texts are shuffled once, to meet the decisions;
-    rows of a repeated id are judged each by its own text."""
-    made = materialise(exact_dedup(docs, id_col, text_col), "exact")
-    stay = made.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    sha = F.sha2(normalise(F.col(f"`{text_col}`")).cast("binary"), 256)
-    kept = docs.join(stay, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_semi")
-    repeated = made.where((~F.col("kept")) & F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    if repeated.isEmpty():
-        return kept
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return kept.groupBy(F.col(f"`{id_col}`").alias("__id"), sha.alias("__sha")).agg(F.first(row).alias("row")).select("row.*")
+    group of equal texts."""
+    decided = exact_dedup(docs, id_col, text_col).select("doc_id", "row_sha", "kept")
+    return keep_rows(docs, decided, id_col, text_col)

@@ -7,16 +7,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunk_recipes
+from . import chunk_recipes, simhash_mih
 from .common import table
 
 
 def op9_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all ``documents`` by content-defined chunk recipes."""
-    return chunk_recipes.exact_dedup(table(spark, sf_dir, "documents"))
+    return chunk_recipes.exact_dedup(table(spark, sf_dir, "documents")).drop("row_sha")
+
+
+def op5_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash groups of all ``documents``: 4-word shingles, 4 bits."""
+    docs = table(spark, sf_dir, "documents")
+    made = simhash_mih.near_duplicates(docs, shingle=4, max_bits=4)
+    return made.select("doc_id", simhash_mih.hex64(made["fingerprint"]).alias("fingerprint"), "component_id")
 
 
 Q = {
+    "op5_simhash_mih": op5_simhash_mih,
     "op9_chunk_recipes": op9_chunk_recipes,
 }
 
