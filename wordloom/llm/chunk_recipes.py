@@ -112,6 +112,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rec = recipes(docs, id_col, text_col, hash_fn)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     groups = rec.groupBy("recipe").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size"))
+    # written first: joined straight from the aggregate, Spark could not split
+    # the rows of a hot recipe over several tasks
+    groups = materialise(groups, "recipe_groups")
     return rec.join(groups, "recipe").select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),
