@@ -6,8 +6,9 @@ table and returns one row per document (page, piece)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chunk_recipes, simhash_mih
+from . import chunk_recipes, decontaminate, simhash_mih
 from .common import table
 
 
@@ -16,6 +17,19 @@ def op9_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.exact_dedup(table(spark, sf_dir, "documents")).drop("row_sha")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of the 13-word windows of ``benchmark`` in all ``documents``."""
+    made = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return made.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op5_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all ``documents``: 4-word shingles, 4 bits."""
     docs = table(spark, sf_dir, "documents")
@@ -24,13 +38,32 @@ def op5_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q = {
+    "op3_decontaminate": op3_decontaminate,
     "op5_simhash_mih": op5_simhash_mih,
     "op9_chunk_recipes": op9_chunk_recipes,
 }
 
 SQL_SPACE = r"[\x20\x09-\x0D]+"
 
+SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL_WORDS = rf"regexp_extract_all({SQL_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 SQL = {
+    "op3_decontaminate": f"""
+WITH d AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {SQL_WORDS} AS w FROM benchmark),
+bw AS (SELECT item, least(13, len(w)) AS l, w, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS i
+       FROM b WHERE len(w) > 0),
+pat AS (SELECT DISTINCT item, l, array_to_string(w[i:i + l - 1], ' ') AS s FROM bw),
+lens AS (SELECT DISTINCT l FROM pat),
+dw AS (SELECT doc_id, l, unnest(generate_series(1, len(w) - l + 1)) AS i, w FROM d, lens WHERE len(w) >= l),
+occ AS (SELECT dw.doc_id, dw.i, dw.l, pat.item FROM dw JOIN pat ON pat.l = dw.l AND pat.s = array_to_string(dw.w[dw.i:dw.i + dw.l - 1], ' ')),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + l - 1)) AS p FROM occ) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)""",
     "op9_chunk_recipes": f"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{SQL_SPACE}', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
