@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_recipes, decontaminate, simhash_mih
+from . import chunk_recipes, decontaminate, packing, simhash_mih
 from .common import table
 
 
@@ -37,9 +37,24 @@ def op5_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", simhash_mih.hex64(made["fingerprint"]).alias("fingerprint"), "component_id")
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` packed into sequences of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
 Q = {
     "op3_decontaminate": op3_decontaminate,
     "op5_simhash_mih": op5_simhash_mih,
+    "op8_packing": op8_packing,
     "op9_chunk_recipes": op9_chunk_recipes,
 }
 
