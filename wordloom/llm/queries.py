@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_recipes, decontaminate, packing, simhash_mih
+from . import chunk_recipes, decontaminate, packing, simhash_mih, toxicity
 from .common import table
 
 
@@ -37,6 +37,11 @@ def op5_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", simhash_mih.hex64(made["fingerprint"]).alias("fingerprint"), "component_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all ``documents`` as ``labels.toxic`` marks it."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -54,6 +59,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 Q = {
     "op3_decontaminate": op3_decontaminate,
     "op5_simhash_mih": op5_simhash_mih,
+    "op6_toxicity": op6_toxicity,
     "op8_packing": op8_packing,
     "op9_chunk_recipes": op9_chunk_recipes,
 }
