@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_recipes, decontaminate, packing, simhash_mih, toxicity
+from . import chunk_recipes, decontaminate, kn_lm, packing, simhash_mih, toxicity
 from .common import table
 
 
@@ -56,12 +56,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op10_kn_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney log probabilities of all ``documents``."""
+    return kn_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 Q = {
     "op3_decontaminate": op3_decontaminate,
     "op5_simhash_mih": op5_simhash_mih,
     "op6_toxicity": op6_toxicity,
     "op8_packing": op8_packing,
     "op9_chunk_recipes": op9_chunk_recipes,
+    "op10_kn_lm": op10_kn_lm,
 }
 
 SQL_SPACE = r"[\x20\x09-\x0D]+"
