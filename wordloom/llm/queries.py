@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_recipes, decontaminate, kn_lm, packing, simhash_mih, toxicity
+from . import chunk_recipes, decontaminate, html_blocks, kn_lm, packing, simhash_mih, toxicity
 from .common import table
 
 
@@ -30,6 +30,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all ``pages``."""
+    return html_blocks.extract(spark, table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op5_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all ``documents``: 4-word shingles, 4 bits."""
     docs = table(spark, sf_dir, "documents")
@@ -63,6 +68,7 @@ def op10_kn_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Q = {
     "op3_decontaminate": op3_decontaminate,
+    "op4_html_blocks": op4_html_blocks,
     "op5_simhash_mih": op5_simhash_mih,
     "op6_toxicity": op6_toxicity,
     "op8_packing": op8_packing,
