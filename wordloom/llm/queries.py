@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_recipes, decontaminate, html_blocks, kn_lm, packing, simhash_mih, toxicity
+from . import chunk_recipes, decontaminate, html_blocks, kn_lm, packing, simhash_mih, toxicity, url_cascade
 from .common import table
 
 
@@ -17,6 +17,21 @@ def op9_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.exact_dedup(table(spark, sf_dir, "documents")).drop("row_sha")
 
 
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op1_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of the four rules for every ``pages`` url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    made = url_cascade.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return made.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of the 13-word windows of ``benchmark`` in all ``documents``."""
     made = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -67,6 +82,7 @@ def op10_kn_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q = {
+    "op1_url_cascade": op1_url_cascade,
     "op3_decontaminate": op3_decontaminate,
     "op4_html_blocks": op4_html_blocks,
     "op5_simhash_mih": op5_simhash_mih,
@@ -81,7 +97,17 @@ SQL_SPACE = r"[\x20\x09-\x0D]+"
 SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SQL_WORDS = rf"regexp_extract_all({SQL_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+SQL_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
 SQL = {
+    "op1_url_cascade": f"""
+WITH u AS (SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r(h, p, v) AS (VALUES {SQL_RULES}),
+j AS (SELECT u.*, h || p AS rule, v FROM u LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM j
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1""",
     "op3_decontaminate": f"""
 WITH d AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {SQL_WORDS} AS w FROM benchmark),
