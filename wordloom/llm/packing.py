@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -38,12 +39,15 @@ from .common import text_or_empty
 SEQ_TOKENS = 2048
 MAX_SEGMENTS = 128
 POOL = 512  # waiting items a task chooses from
-CACHE_UNITS = 400_000  # per generation of the word cache
+CACHE_UNITS = 600_000  # per generation of the word cache
 END_ID = 1
 
 # a blank with white space on neither side always starts a new pre-token
 CUT = re.compile(r"(?<=\S) (?=\S)")
 NOT_PLAIN = re.compile(r" \s|\s ")
+LINE_FEED = re.compile(r"(?<=\S)(\n)(?=\S)")
+CLOSING = re.compile(r"(.*[^\W_])([.,;:!?]+)", re.DOTALL)
+SLICE = 64  # documents encoded together
 
 
 class UnitEncoder:
@@ -58,28 +62,49 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _learn(self, units: set[str]) -> None:
+        self.young: dict[object, bytes] = {}
+        self.old: dict[object, bytes] = {}
+
+    def _learn(self, units: set) -> None:
+        """Put the ids of blank-led units (a 1-tuple: of the unit itself) into
+        the young cache; parts never seen are encoded together."""
+        young, old = self.young, self.old
+        parts_of, need = {}, {}
+        for u in units:
+            known = old.get(u)
+            if known is not None:
+                young[u] = known
+            else:
+                parts_of[u] = parts = unit_parts(" " + u if u.__class__ is str else u[0])
+                for p in parts:
+                    need[p] = None
+        encoded = self.tokenizer.encode_batch_fast(list(need), add_special_tokens=False)
+        for p, e in zip(need, encoded, strict=True):
+            need[p] = array("I", e.ids).tobytes()
+        for u, parts in parts_of.items():
+            young[u] = need[parts[0]] if len(parts) == 1 else b"".join([need[p] for p in parts])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers."""
         if len(self.young) > CACHE_UNITS:
             self.young, self.old = {}, self.young
-        need = []
-        for u in units.difference(self.young):
-            known = self.old.get(u)
-            if known is None:
-                need.append(u)
-            else:
-                self.young[u] = known
-        for u, e in zip(need, self.tokenizer.encode_batch_fast(need, add_special_tokens=False), strict=True):
-            self.young[u] = np.array(e.ids, dtype="<u4").tobytes()
+        many = []
+        for text in texts:
+            units: list = CUT.split(text) if NOT_PLAIN.search(text) else text.split(" ")
+            units[0] = (units[0],)  # no blank before it
+            many.append(units)
+        self._learn(set().union(*many).difference(self.young))
+        return [b"".join(map(self.young.__getitem__, units)) for units in many]
+
 
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit numbers."""
-        parts = CUT.split(text) if NOT_PLAIN.search(text) else text.split(" ")
-        units = [parts[0], *[" " + p for p in parts[1:]]]
-        self._learn(set(units))
-        return b"".join(map(self.young.__getitem__, units))
+def unit_parts(unit: str) -> list[str]:
+    """Cuts a unit at places where the pre-tokeniser always starts a new token:
+    round a lone line feed, and before closing punctuation."""
+    out = []
+    for piece in LINE_FEED.split(unit):
+        m = CLOSING.fullmatch(piece)
+        out += m.groups() if m else [piece]
+    return out
 
 
 @dataclass(slots=True)
@@ -262,9 +287,12 @@ def pack_documents(
 
     def documents(batches, encoder):
         for batch in batches:
-            for doc, text, head in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                lossless = len(encoder.encode(text[:head])) // 4 if head else 0
-                yield doc, encoder.encode(text) + end, lossless
+            rows = list(zip(*[c.to_pylist() for c in batch.columns], strict=True))
+            for lo in range(0, len(rows), SLICE):
+                some = rows[lo : lo + SLICE]
+                heads = encoder.encode([text[:head] for _, text, head in some]) if any(h for _, _, h in some) else [b""] * len(some)
+                for (doc, _, _), ids, lossless in zip(some, encoder.encode([t for _, t, _ in some]), heads, strict=True):
+                    yield doc, ids + end, len(lossless) // 4
 
     def run(batches):
         from pyspark import TaskContext
