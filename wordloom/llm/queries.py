@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_recipes, decontaminate, html_blocks, kn_lm, packing, simhash_mih, toxicity, url_cascade
+from . import chunk_recipes, decontaminate, html_blocks, kn_lm, license_scan, packing, shard_table, simhash_mih, toxicity, url_cascade
 from .common import table
 
 
@@ -32,6 +32,13 @@ def op1_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all ``documents``, taken as files source/lang/doc_id."""
+    docs = table(spark, sf_dir, "documents")
+    path = license_scan.document_path(docs["source"], docs["lang"], docs["doc_id"])
+    return license_scan.scan(docs, path)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of the 13-word windows of ``benchmark`` in all ``documents``."""
     made = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -62,6 +69,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+SHARDS = [f"shard-{k:03d}" for k in range(256)]
+
+
+def op7_shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Placement of all ``documents`` on 256 shards by id."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return shard_table.place(docs, "doc_id", SHARDS).select("doc_id", "slot", "shard_no", "shard")
+
+
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -83,10 +99,12 @@ def op10_kn_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Q = {
     "op1_url_cascade": op1_url_cascade,
+    "op2_license_scan": op2_license_scan,
     "op3_decontaminate": op3_decontaminate,
     "op4_html_blocks": op4_html_blocks,
     "op5_simhash_mih": op5_simhash_mih,
     "op6_toxicity": op6_toxicity,
+    "op7_shard_table": op7_shard_table,
     "op8_packing": op8_packing,
     "op9_chunk_recipes": op9_chunk_recipes,
     "op10_kn_lm": op10_kn_lm,
