@@ -117,7 +117,44 @@ SQL_WORDS = rf"regexp_extract_all({SQL_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
 
 SQL_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
+SQL_TEMPLATES = ", ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(license_scan.TEMPLATES))
+SQL_TERMS = "regexp_extract_all(lower(text), '[a-z0-9]+')"
+
 SQL = {
+    "op2_license_scan": f"""
+WITH t(template, licence, text) AS (VALUES {SQL_TEMPLATES}),
+tt AS (SELECT template, licence, term, count(*) AS tf
+       FROM (SELECT template, licence, unnest({SQL_TERMS}) AS term FROM t) GROUP BY ALL),
+d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(source, '-') || '/' || coalesce(lang, '-') AS dir,
+             concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), coalesce(CAST(doc_id AS VARCHAR), '-')) AS path,
+             coalesce(text, '') AS text FROM documents),
+n AS (SELECT count(*) AS n FROM d),
+df AS (SELECT term, count(DISTINCT row) AS df FROM (SELECT row, unnest({SQL_TERMS}) AS term FROM d) GROUP BY term),
+idf AS (SELECT term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf
+        FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), n),
+tw AS (SELECT template, licence, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS tw
+       FROM tt JOIN idf USING (term)),
+u AS (SELECT row, -1 AS line, text FROM d UNION ALL
+      SELECT row, unnest(generate_series(0, len(l) - 1)) AS line, unnest(l) AS text
+      FROM (SELECT row, string_split(text, chr(10)) AS l FROM d)),
+utf AS (SELECT row, line, term, count(*) AS tf FROM (SELECT row, line, unnest({SQL_TERMS}) AS term FROM u) GROUP BY ALL),
+uw AS (SELECT row, line, term, tf * coalesce(idf, ln(n + 1) + 1) AS w FROM utf LEFT JOIN idf USING (term), n),
+norm AS (SELECT row, line, sqrt(sum(w * w)) AS norm FROM uw GROUP BY ALL),
+dot AS (SELECT row, line, template, licence, sum(w * tw) AS dot FROM uw JOIN tw USING (term) GROUP BY ALL),
+best AS (SELECT row, line, licence, round(dot / norm, 6) AS cosine FROM dot JOIN norm USING (row, line)
+         QUALIFY row_number() OVER (PARTITION BY row, line ORDER BY cosine DESC, licence) = 1),
+own AS (SELECT row, licence AS own, cosine AS own_cosine, CASE WHEN line < 0 THEN 'file' ELSE 'header' END AS own_via FROM best
+        WHERE (line < 0 AND cosine >= {license_scan.FILE_COSINE}) OR (line >= 0 AND cosine >= {license_scan.HEADER_COSINE})
+        QUALIFY row_number() OVER (PARTITION BY row ORDER BY line >= 0, cosine DESC, licence) = 1),
+o AS (SELECT * FROM d LEFT JOIN own USING (row)),
+licensed AS (SELECT dir AS from_dir, own AS dl, own_cosine AS dc FROM o WHERE own_via = 'file'
+             QUALIFY row_number() OVER (PARTITION BY dir ORDER BY own_cosine DESC, doc_id) = 1),
+near AS (SELECT dir, from_dir, dl, dc FROM (SELECT DISTINCT dir FROM d) JOIN licensed ON dir = from_dir OR starts_with(dir, from_dir || '/')
+         QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(from_dir) DESC) = 1)
+SELECT doc_id, path, coalesce(own, dl) AS licence, coalesce(own_cosine, dc) AS cosine,
+       coalesce(own_via, CASE WHEN dl IS NOT NULL THEN 'inherited' END) AS via,
+       CASE WHEN own IS NULL THEN from_dir END AS from_dir
+FROM o LEFT JOIN near USING (dir)""",
     "op1_url_cascade": f"""
 WITH u AS (SELECT page_id,
     translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
