@@ -202,4 +202,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     if next(blocks, None) is None:
         return docs.where(~is_contaminated(found_by(first, F.col(f"`{text_col}`"))))
     decided = contamination(docs, benchmark, id_col=id_col, text_col=text_col, block_bytes=block_bytes)
-    return keep_rows(docs, decided.select("doc_id", "row_sha", (~F.col("contaminated")).alias("kept")), id_col, text_col)
+    return keep_rows(docs, decided.select("doc_id", "row_sha", (~F.col("contaminated")).alias("kept")), id_col, text_col, repeats=True)

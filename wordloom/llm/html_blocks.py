@@ -40,6 +40,7 @@ TRAIN_PAGES = 300
 EPOCHS = 16
 PATH_SLOTS, WORD_SLOTS = 512, 512
 PATH_DIM, WORD_DIM, EXTRA, HIDDEN = 16, 8, 4, 16
+DECAY = 0.01  # weight decay, tenfold for words
 CELLS = 100_000  # blocks (padding included) labelled in one go
 
 # ---- leaf sequence ---------------------------------------------------------
@@ -189,7 +190,7 @@ class Labeller:
         chars = np.array([min(len(b[0]), 2000) for b in page_blocks])
         x[:, -4] = np.log1p(chars) / 4
         x[:, -3] = [b[2] for b in page_blocks]
-        x[:, -2] = [len(b[3]) / 20 if len(b[3]) < 20 else 1 for b in page_blocks]
+        x[:, -2] = np.minimum(chars, 120) / 120
         x[:, -1] = [b[0][-1] in ".!?…。" for b in page_blocks]
         return x
 
@@ -283,7 +284,9 @@ class Labeller:
             losses = []
             for lo in range(0, len(order), batch):
                 some = order[lo : lo + batch]
-                dropped = [[(b[0], [s for s in b[1] if rng.random() > 0.05], b[2], b[3]) for b in pages[k]] for k in some]
+                # path tokens are dropped now and then, words of half the blocks, so
+                # that neither is learned by heart
+                dropped = [[(b[0], [s for s in b[1] if rng.random() > 0.05], b[2], b[3] if rng.random() > 0.5 else []) for b in pages[k]] for k in some]
                 loss, grads = self.gradients(dropped, [labels[k] for k in some])
                 losses.append(loss)
                 step += 1
@@ -291,6 +294,7 @@ class Labeller:
                     g = np.clip(g, -1, 1)
                     m[k] = 0.9 * m[k] + 0.1 * g
                     v[k] = 0.99 * v[k] + 0.01 * g * g
+                    self.p[k] *= 1 - rate * DECAY * (10 if k == "word" else 1)
                     self.p[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
             mean = float(np.mean(losses))
         return mean
