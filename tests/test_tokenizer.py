@@ -61,14 +61,12 @@ def test_pretokenise_matches_library(spark):
 def test_merges_and_vocab_match_library_on_corpus(spark):
     corp = ranking.tokenizer_corpus(ranking.split_by_threshold(common.documents(spark, SF001)))
     texts = [r.sample for r in corp.orderBy("doc_id").collect()]
-    ours = T.learn_bpe(T.word_counts(corp), max_merges=48)
+    ours = T.learn_bpe(T.word_counts(corp), max_merges=64)
     lib = hf_train(texts, len(ours.tokens))
     assert hf_merges(lib) == [(ours.tokens[l], ours.tokens[r]) for l, r, _ in ours.merges]
     assert lib.get_vocab() == {t: i for i, t in enumerate(ours.tokens)}
     enc = codec.encode(corp, ours).orderBy("doc_id").collect()
     assert all(lib.encode(t).ids == list(r.ids) for r, t in zip(enc, texts))
-    arrow = codec.encode(corp, ours, method="arrow").orderBy("doc_id").collect()
-    assert [list(r.ids) for r in arrow] == [list(r.ids) for r in enc]
 
 
 def test_tie_order(spark):
@@ -103,13 +101,13 @@ def test_unseen_byte_dropped_and_broken_utf8(spark):
 
 
 def test_markers_single_ids_and_skipped_on_decode(spark):
-    ours = learn(spark, ["<|im_start|>assistant\nsina pona<|im_end|>"] * 3)
-    df = texts_df(spark, ["<|im_start|>assistant\nsina pona<|im_end|>", "s<|im_end|>a"])
+    ours = learn(spark, ["<|im_start|>assistant\nalpha beta<|im_end|>"] * 3)
+    df = texts_df(spark, ["<|im_start|>assistant\nalpha beta<|im_end|>", "s<|im_end|>a"])
     rows = codec.encode(df, ours).orderBy("doc_id").collect()
     assert rows[0].ids[0] == 1 and rows[0].ids[-1] == 2
     assert 2 in rows[1].ids
     dec = codec.encode(df, ours).select("doc_id", codec.decode_column("ids", ours).alias("t")).orderBy("doc_id").collect()
-    assert [r.t for r in dec] == ["assistant\nsina pona", "sa"]
+    assert [r.t for r in dec] == ["assistant\nalpha beta", "sa"]
     audit = codec.roundtrip_audit(df, ours).first()
     assert audit.n_docs == 2 and audit.n_roundtrip_ok == 2 and audit.n_first_id_1 == 1
 
@@ -122,7 +120,7 @@ def test_split_specials(spark):
 
 
 def test_save_load_and_json_import(spark, tmp_path):
-    texts = ["sina pona li pona", "mi moku e kili", "jan li toki pona"] * 4
+    texts = ["alpha beta gamma beta", "delta of the river", "gamma beta alpha"] * 4
     ours = learn(spark, texts)
     save_tokenizer(ours, spark, str(tmp_path / "tok"))
     back = load_tokenizer(spark, str(tmp_path / "tok"))
@@ -142,20 +140,72 @@ def test_initial_vocab_and_pairs(spark):
     assert pairs == {("a", "b"): 2, ("Ġ", "a"): 1, ("b", "a"): 1}
 
 
-def test_arrow_and_column_encoders_agree_on_raw_whitespace(spark):
+def test_encoder_on_raw_whitespace(spark):
     train = ["a\x1cb  c　d e\n\nf", "x\x85y z", "it's 12 ok!!"] * 3
     ours = learn(spark, train)
     texts = ["a\x1cb  c　d e\n\nf", "x\x85y z  ", "\x1f\x1d it's"]
     df = texts_df(spark, texts)
-    jvm = [list(r.ids) for r in codec.encode(df, ours, method="jvm").orderBy("doc_id").collect()]
-    arrow = [list(r.ids) for r in codec.encode(df, ours, method="arrow").orderBy("doc_id").collect()]
-    assert jvm == arrow
+    got = [list(r.ids) for r in codec.encode(df, ours).orderBy("doc_id").collect()]
     lib = hf_train(train, len(ours.tokens))
-    assert [lib.encode(t).ids for t in texts] == jvm
+    assert [lib.encode(t).ids for t in texts] == got
+
+
+def test_encoding_keeps_other_columns_exact(spark):
+    ours = learn(spark, ["aa ab aa"])
+    rows = [((1 << 60) + 1, "aa"), (None, None)]
+    got = codec.encode(spark.createDataFrame(rows, "doc_id bigint, sample string").coalesce(1), ours).collect()
+    assert [r.doc_id for r in got] == [(1 << 60) + 1, None] and got[1].ids == []
+
+
+def test_audit_counts_a_document_without_known_bytes(spark):
+    ours = learn(spark, ["aa ab"])
+    r = codec.roundtrip_audit(texts_df(spark, ["é", "<|im_start|>aa"]), ours).first()
+    assert (r.n_docs, r.n_roundtrip_ok, r.n_first_id_1) == (2, 1, 1)
+
+
+def test_long_pretoken_merges_fast():
+    import random
+    import time
+
+    from wordloom.operators.codec import WordMerger
+
+    letters = [T.SPECIAL_TOKENS[0], *T.SPECIAL_TOKENS[1:], "a", "b", "aa", "ab", "abab", "aaaa"]
+    tok = T.Tokenizer(tokens=letters, merges=[(3, 3, 5), (3, 4, 6), (6, 6, 7), (5, 5, 8)])
+    word = "".join(random.Random(1).choice("ab") for _ in range(16_000))
+    t0 = time.time()
+    ids = WordMerger(tok).ids(word)
+    assert time.time() - t0 < 1 and "".join(letters[i] for i in ids) == word
+
+
+def test_decode_cost_does_not_grow_with_the_vocabulary(spark):
+    import time
+
+    df = spark.range(200).select(F.expr("transform(sequence(1, 1000), x -> cast((x * 7 + id) % 97 as int) + 3)").alias("ids")).cache()
+    df.count()
+
+    def seconds(size):
+        tok = T.Tokenizer(tokens=[*T.SPECIAL_TOKENS, *["ab"] * (size - 3)])
+        best = 9.0
+        for _ in range(3):
+            t0 = time.time()
+            df.select(F.sum(F.length(codec.decode_column("ids", tok)))).collect()
+            best = min(best, time.time() - t0)
+        return best
+
+    assert seconds(32_768) < 2 * seconds(140) + 1
+    df.unpersist()
+
+
+def test_symbol_outside_the_byte_table_is_an_error():
+    from wordloom.functions.byte_symbols import symbols_to_bytes_hex
+
+    assert symbols_to_bytes_hex("Ġa") == "2061"
+    with pytest.raises(ValueError, match="stands for no byte"):
+        symbols_to_bytes_hex("中")
 
 
 def test_json_import_with_string_merges(spark, tmp_path):
-    texts = ["sina pona li pona", "mi moku e kili"] * 4
+    texts = ["alpha beta gamma beta", "delta of the river"] * 4
     ours = learn(spark, texts)
     lib = hf_train(texts, len(ours.tokens))
     j = json.loads(lib.to_str())

@@ -12,21 +12,27 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: byte ranges that map to the character with the same code point
-DIRECT_BYTE_RANGES = [(33, 126), (161, 172), (174, 255)]
+# fixed values: bytes from FIRST_DIRECT on show as the character of their own
+# code point, but for these two runs and one byte, which lie at SHIFTED and up
+FIRST_DIRECT, SHIFTED = 0x21, 0x100
+HIDDEN = (0x7F, 0xA0)
+SOFT_HYPHEN = 0xAD
+
+
+def symbol_code(byte: int) -> int:
+    """Code point that shows a byte: the hidden bytes count up from SHIFTED."""
+    if byte < FIRST_DIRECT:
+        return SHIFTED + byte
+    if HIDDEN[0] <= byte <= HIDDEN[1]:
+        return SHIFTED + FIRST_DIRECT + byte - HIDDEN[0]
+    if byte == SOFT_HYPHEN:
+        return SHIFTED + FIRST_DIRECT + HIDDEN[1] - HIDDEN[0] + 1
+    return byte
 
 
 @lru_cache(maxsize=1)
 def byte_to_symbol() -> dict[int, str]:
-    direct = {b for lo, hi in DIRECT_BYTE_RANGES for b in range(lo, hi + 1)}
-    table, extra = {}, 0
-    for b in range(256):
-        if b in direct:
-            table[b] = chr(b)
-        else:
-            table[b] = chr(256 + extra)
-            extra += 1
-    return table
+    return {b: chr(symbol_code(b)) for b in range(256)}
 
 
 @lru_cache(maxsize=1)
@@ -55,11 +61,13 @@ def byte_symbols(col) -> Column:
 
 
 def symbols_to_bytes_hex(token: str) -> str:
-    """Hex of the bytes a symbol string stands for (driver-side, per vocab entry)."""
-    s2b = symbol_to_byte()
-    return "".join(f"{s2b.get(ch, ord(ch) & 0xFF):02X}" for ch in token)
+    """Hex of the bytes a symbol string stands for (driver-side, per vocab
+    entry); a character that shows no byte is an error."""
+    try:
+        return bytes(map(symbol_to_byte().__getitem__, token)).hex().upper()
+    except KeyError as e:
+        raise ValueError(f"{e.args[0]!r} in token {token!r} stands for no byte") from None
 
 
 def word_to_symbols_py(word: str) -> list[str]:
-    b2s = byte_to_symbol()
-    return [b2s[b] for b in word.encode("utf-8")]
+    return [chr(symbol_code(b)) for b in word.encode("utf-8")]

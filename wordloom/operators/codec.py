@@ -1,25 +1,28 @@
 """Encoding and decoding whole corpora.
 
 Both directions are row-local: no shuffle, no join, no skew.  The learned
-vocabulary is bounded (``vocab_size`` entries), so it is inlined as literal
-maps.  Encoding applies the ranked merges as a chain of native ``replace``
-calls on the space-delimited id string of every pre-token; for long merge
-lists (where that expression would grow too deep) an Arrow-batched
-``mapInPandas`` helper does the same per-word work with a per-task cache.
+vocabulary is bounded (``vocab_size`` entries, checked), so it travels with
+the expression.  Encoding is one Arrow-batched UDF over the text column alone
+(every other column stays in the JVM); decoding is a column expression with one
+array look-up per id.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
+from array import array
+from functools import lru_cache
 
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.byte_symbols import byte_hex_array
 from ..functions.text import IM_START
-from .tokenizer import PRETOKEN_PATTERN, Tokenizer
+from .tokenizer import PRETOKEN_RULE, Tokenizer
 
-JVM_MERGE_LIMIT = 256  # above this, encode in Arrow batches instead
+WORD_CACHE = 200_000  # distinct pre-tokens a task remembers, least recently used go
 
 
 def _c(col) -> Column:
@@ -45,140 +48,85 @@ def split_specials(col, tok: Tokenizer) -> Column:
     return F.filter(parts, lambda s: s != F.lit(""))
 
 
-def _word_ids(word: Column, tok: Tokenizer) -> Column:
-    hex2id = tok.byte_hex_to_id()
-    hmap = F.create_map(*[x for h, i in sorted(hex2id.items()) for x in (F.lit(h), F.lit(str(i)))])
-    state = F.concat(
-        F.lit(" "),
-        F.array_join(F.transform(byte_hex_array(word), lambda h: F.element_at(hmap, h)), "  "),
-        F.lit(" "),
-    )
-    for l, r, n in tok.merges:
-        state = F.replace(state, F.lit(f" {l}  {r} "), F.lit(f" {n} "))
-    # a word made only of unseen bytes leaves no id at all
-    return F.filter(F.split(F.trim(state), "  "), lambda x: x != F.lit("")).cast("array<int>")
-
-
-def encode_column(col, tok: Tokenizer) -> Column:
-    """T9 (JVM path): text -> ``array<int>`` token ids.
-
-    Markers become their single id wherever they occur; other segments are
-    pre-tokenised and each pre-token is merged lowest rank first (applying
-    the merges in rank order is the same thing when no merge re-creates an
-    existing token).  Bytes never seen in training are dropped, as the
-    reference's tokenizer does.
-    """
-    if len(tok.merges) > JVM_MERGE_LIMIT:
-        raise ValueError("merge list too long for the column path; use encode()")
-    if tok.has_reused_ids():
-        raise ValueError("a merge re-creates an existing token; use encode(method='arrow')")
-    specials = tok.specials
-
-    def seg_ids(seg: Column) -> Column:
-        plain = F.flatten(
-            F.transform(F.regexp_extract_all(seg, F.lit(PRETOKEN_PATTERN), 0), lambda w: _word_ids(w, tok))
-        )
-        expr = None
-        for s, i in specials.items():
-            cond = seg == F.lit(s)
-            expr = F.when(cond, F.array(F.lit(i))) if expr is None else expr.when(cond, F.array(F.lit(i)))
-        return expr.otherwise(plain)
-
-    return F.flatten(F.transform(split_specials(col, tok), seg_ids))
-
-
-def encode(df: DataFrame, tok: Tokenizer, text_col: str = "sample", out_col: str = "ids", method: str = "arrow") -> DataFrame:
-    """Add ``out_col`` with the token ids of ``text_col``.
-
-    Both paths are row-local and give the same ids (tested against the public
-    library).  ``arrow`` is the default: the column path's per-word lambdas
-    are interpreted, not code-generated, and measured 3-4x slower (sf0.1,
-    32 merges: 11.7 s against 3.1 s on 8 cores)."""
-    if method == "auto":
-        method = "jvm" if len(tok.merges) <= JVM_MERGE_LIMIT and not tok.has_reused_ids() else "arrow"
-    if method == "jvm":
-        return df.withColumn(out_col, encode_column(text_col, tok))
-    return _encode_arrow(df, tok, text_col, out_col)
-
-
-def _encode_arrow(df: DataFrame, tok: Tokenizer, text_col: str, out_col: str) -> DataFrame:
-    """T9 (large vocabularies): Arrow batches, one small BPE helper per
-    distinct pre-token with a per-task cache.  The merge table is bounded by
-    ``vocab_size`` and travels with the function closure."""
-    from pyspark.sql import types as T
-
-    ranks = {(l, r): (rank, n) for rank, (l, r, n) in enumerate(tok.merges)}
-    hex2id = {int(h, 16): i for h, i in tok.byte_hex_to_id().items()}
+class WordMerger:
+    """Merges the symbols of one pre-token, lowest rank first."""
+
+    def __init__(self, tok: Tokenizer):
+        self.symbol = {int(h, 16): i for h, i in tok.byte_hex_to_id().items()}
+        self.rule = {(l, r): (rank, new) for rank, (l, r, new) in enumerate(tok.merges)}
+
+    def ids(self, word: str) -> list[int]:
+        """Bytes never seen in training are dropped.  Candidate merges wait in a
+        heap by (rank, place) over a doubly linked list of symbols, so a word of
+        n bytes takes O(n log n); an entry whose symbols have changed since it
+        was pushed is skipped."""
+        node = [self.symbol[b] for b in word.encode("utf-8") if b in self.symbol]
+        n = len(node)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        rule, waiting = self.rule, []
+
+        def offer(i: int) -> None:
+            j = after[i]
+            if j < n and (found := rule.get((node[i], node[j]))):
+                heapq.heappush(waiting, (found[0], i, node[i], node[j], found[1]))
+
+        for i in range(n):
+            offer(i)
+        while waiting:
+            _, i, left, right, new = heapq.heappop(waiting)
+            j = after[i]
+            if node[i] != left or j >= n or node[j] != right:
+                continue
+            node[i], node[j] = new, -1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            if before[i] >= 0:
+                offer(before[i])
+            offer(i)
+        return [x for x in node if x >= 0]
+
+
+def encode_ids(col, tok: Tokenizer) -> Column:
+    """Text -> ``array<int>`` token ids.
+
+    A marker becomes its single id wherever it occurs; what stands between
+    markers is pre-tokenised and merged word by word.  A null text has no ids."""
+    merger = WordMerger(tok)
     specials = dict(tok.specials)
-    split_re = "(" + "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")"
-    pat = _python_pretoken_pattern()
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
-
-    def bpe_word(word: str) -> list[int]:
-        ids = [hex2id[b] for b in word.encode("utf-8") if b in hex2id]
-        while len(ids) > 1:
-            best = None
-            for i in range(len(ids) - 1):
-                m = ranks.get((ids[i], ids[i + 1]))
-                if m is not None and (best is None or m[0] < best[0]):
-                    best = (m[0], i, m[1])
-            if best is None:
-                break
-            _, i, n = best
-            ids[i : i + 2] = [n]
-        return ids
-
-    def run(batches):
-        import regex
-
-        word_re = regex.compile(pat)
-        seg_re = regex.compile(split_re)
-        cache: dict[str, list[int]] = {}
-        for pdf in batches:
-            out = []
-            for text in pdf[text_col]:
-                ids: list[int] = []
-                for seg in seg_re.split(text or ""):
-                    if not seg:
-                        continue
-                    if seg in specials:
-                        ids.append(specials[seg])
-                        continue
-                    for w in word_re.findall(seg):
-                        got = cache.get(w)
-                        if got is None:
-                            got = bpe_word(w)
-                            if len(cache) < 200_000:
-                                cache[w] = got
-                        ids.extend(got)
-                out.append(ids)
-            pdf[out_col] = out
-            yield pdf
-
-    return df.mapInPandas(run, schema)
-
-
-# fixed values: the Unicode White_Space set, which Java's (?U)\s matches
-WHITE_SPACE = r"\t\n\x0b\x0c\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-
-
-def _python_pretoken_pattern() -> str:
-    r"""The pre-tokenising rule for Python's ``regex`` with ``\s`` spelled as
-    the White_Space set, so it splits exactly like the Java rule (Python's
-    own ``\s`` also takes U+001C-U+001F)."""
-    ws = WHITE_SPACE
-    return (
-        r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^" + ws + r"\p{L}\p{N}]+"
-        + "|[" + ws + "]+(?![^" + ws + "])|[" + ws + "]+"
-    )
+    marker = "|".join(re.escape(t) for t in sorted(specials, key=len, reverse=True))
+
+    @F.pandas_udf("array<int>")
+    def of(texts: pd.Series) -> pd.Series:
+        markers, words = re.compile(f"({marker})"), regex.compile(PRETOKEN_RULE)
+        known = lru_cache(maxsize=WORD_CACHE)(merger.ids)
+        out = []
+        for text in texts:
+            ids = array("i")
+            for k, part in enumerate(markers.split(text)):  # every second part is a marker
+                if k % 2:
+                    ids.append(specials[part])
+                else:
+                    for w in words.findall(part):
+                        ids.extend(known(w))
+            out.append(ids.tolist())
+        return pd.Series(out, dtype=object)
+
+    return of(F.coalesce(_c(col), F.lit("")))
+
+
+def encode(df: DataFrame, tok: Tokenizer, text_col: str = "sample", out_col: str = "ids") -> DataFrame:
+    """``df`` with ``out_col``, the token ids of ``text_col``."""
+    return df.withColumn(out_col, encode_ids(text_col, tok))
 
 
 def decode_column(col, tok: Tokenizer) -> Column:
     """Ids -> text.  Special and unknown ids are skipped; bytes that do
     not form valid UTF-8 become U+FFFD."""
-    id2hex = tok.id_to_bytes_hex()
-    m = F.create_map(*[x for i, h in sorted(id2hex.items()) for x in (F.lit(i), F.lit(h))])
-    hexes = F.array_join(F.transform(_c(col), lambda i: F.element_at(m, i)), "")
+    of_id = tok.id_to_bytes_hex()
+    # ids are dense: a constant array, indexed by id, in one literal
+    table = F.split(F.lit(",".join(of_id.get(i, "") for i in range(tok.vocab_size))), ",")
+    hexes = F.array_join(F.transform(_c(col), lambda i: F.get(table, i)), "")
     return F.make_valid_utf8(F.unhex(hexes).cast("string"))
 
 
@@ -192,7 +140,7 @@ def roundtrip_audit(df: DataFrame, tok: Tokenizer, text_col: str = "sample") ->
     enc = encode(df.select(text_col), tok, text_col)
     checked = enc.select(
         (decode_column("ids", tok) == strip_specials(text_col, tok)).alias("ok"),
-        (F.element_at("ids", 1) == F.lit(tok.specials[IM_START])).alias("first_is_start"),
+        (F.get("ids", F.lit(0)) == F.lit(tok.specials[IM_START])).alias("first_is_start"),
         F.size("ids").alias("n_tokens"),
     )
     return checked.agg(
@@ -211,13 +159,3 @@ def token_stats(encoded: DataFrame, text_col: str = "sample", ids_col: str = "id
         F.max(F.size(ids_col)).alias("max_tokens"),
         F.round(F.sum(F.length(text_col)) / F.sum(F.size(ids_col)), 6).alias("chars_per_token"),
     )
-
-
-__all__ = [
-    "split_specials",
-    "encode_column",
-    "encode",
-    "decode_column",
-    "roundtrip_audit",
-    "token_stats",
-]

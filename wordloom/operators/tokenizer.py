@@ -30,6 +30,12 @@ PRETOKEN_PATTERN = r"(?U)'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}
 # Same rule without the look-ahead branch, for engines without look-around;
 # equal to the full rule on cleaned text (single spaces only).
 PRETOKEN_PATTERN_NO_LOOKAHEAD = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
+# The full rule for Python's regex module: white space is spelt as the Unicode
+# White_Space set, which Java's (?U)\s matches.
+WHITE_SPACE = r"\t\n\x0b\x0c\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+PRETOKEN_RULE = (
+    rf"'(?:[sdmt]|ll|ve|re)| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE_SPACE}\p{{L}}\p{{N}}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
+)
 # ---------------------------------------------------------------------------
 
 log = logging.getLogger(__name__)
