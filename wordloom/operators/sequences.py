@@ -70,6 +70,19 @@ def truncate_filter(df: DataFrame, max_len: int = TRAIN_MAX_LEN, ids_col: str =
     return drop_short(df.withColumn(ids_col, truncate_ids(ids_col, max_len)), ids_col)
 
 
+def windows(df: DataFrame, max_len: int = TRAIN_MAX_LEN, ids_col: str = "ids", id_col: str = "doc_id") -> DataFrame:
+    """D1 + D2 without loss: consecutive windows of at most ``max_len`` ids that
+    share one id, so every (context, next) pair is in exactly one window.
+    Adds ``win`` (0-based) and ``seq_id`` (id and window)."""
+    if max_len < 2:
+        raise ValueError("a window needs at least two ids")
+    step = max_len - 1
+    last = F.floor((F.size(ids_col) - 2) / step).cast("int")
+    each = drop_short(df, ids_col).withColumn("win", F.explode(F.sequence(F.lit(0), last)))
+    cut = each.withColumn(ids_col, F.slice(F.col(ids_col), F.col("win") * step + 1, max_len))
+    return cut.withColumn("seq_id", F.concat_ws(":", F.col(id_col).cast("string"), F.col("win").cast("string")))
+
+
 def shift_pairs(df: DataFrame, ids_col: str = "ids") -> DataFrame:
     """D3: inputs ``x = ids[:-1]`` and targets ``y = ids[1:]``."""
     n = F.size(ids_col) - 1
@@ -115,17 +128,17 @@ def pad_batch(df: DataFrame, pad_id: int = PAD_ID, keys: tuple[str, ...] = ("spl
     return out.withColumn("x_pad", fill("x")).withColumn("y_pad", fill("y"))
 
 
-def step_plan(batched_train: DataFrame, max_steps: int) -> DataFrame:
+def step_plan(train: DataFrame, max_steps: int, batch_size: int = BATCH_SIZE) -> DataFrame:
     """``(step, epoch, batch_id)`` — epochs repeat over the train batches
-    until the step budget ends, possibly mid-epoch."""
-    batches = batched_train.select("batch_id").distinct()
-    n_batches = batches.count()  # one number; the batches themselves stay distributed
+    until the step budget ends, possibly mid-epoch.  Only the number of
+    sequences matters, so they are counted, not batched."""
+    n_batches = -(-train.count() // batch_size)
     if n_batches == 0:
         raise ValueError("empty training set: the step loop would never end")
-    n_epochs = -(-max_steps // n_batches)
-    plan = batches.select("batch_id", F.explode(F.sequence(F.lit(0), F.lit(n_epochs - 1))).alias("epoch"))
-    plan = plan.withColumn("step", (F.col("epoch") * n_batches + F.col("batch_id")).cast("long"))
-    return plan.filter(F.col("step") < max_steps).select("step", "epoch", "batch_id")
+    step = F.col("id")
+    return train.sparkSession.range(max_steps).select(
+        step.alias("step"), F.floor(step / n_batches).alias("epoch"), (step % n_batches).alias("batch_id")
+    )
 
 
 def dataset_sizes(seqs: DataFrame) -> DataFrame:

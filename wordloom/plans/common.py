@@ -13,7 +13,7 @@ from ..operators import ranking, sequences, tokenizer
 from ..operators.tokenizer import PRETOKEN_PATTERN_NO_LOOKAHEAD
 from ..sources.corpus import read_corpus
 
-BPE_MERGES = 32  # merges learned by the registered tokenizer queries
+BPE_MERGES = 32  # merges of the queries that SQL repeats step by step
 
 _cache: dict = {}
 
@@ -69,11 +69,17 @@ def word_seqs(spark: SparkSession, d: str, max_len: int = sequences.TRAIN_MAX_LE
     return sequences.truncate_filter(word_seq_table(spark, d), max_len)
 
 
+def word_windows(spark: SparkSession, d: str, max_len: int = sequences.TRAIN_MAX_LEN) -> DataFrame:
+    """``(doc_id, win, seq_id, split, ids)``: every document cut into windows
+    of at most ``max_len`` ids, none dropped."""
+    return sequences.windows(word_seq_table(spark, d), max_len)
+
+
 def word_vocab_size(spark: SparkSession, d: str) -> int:
+    """One more than the largest word id of the prepared sequences."""
     key = ("wv", _app(spark), d)
     if key not in _cache:
-        v = sequences.word_vocab(split(spark, d))
-        _cache[key] = int(v.agg(F.max("token")).first()[0]) + 1
+        _cache[key] = int(word_seq_table(spark, d).agg(F.max(F.array_max("ids"))).first()[0]) + 1
     return _cache[key]
 
 
@@ -189,5 +195,54 @@ wvocab AS (SELECT word, CAST(row_number() OVER (ORDER BY md5(word), word) + 2 AS
 seqs_full AS (
   SELECT doc_id, split, list_concat([1], list(token ORDER BY pos), [2]) AS ids
   FROM wpos JOIN wvocab USING (word) GROUP BY doc_id, split),
-seqs AS (SELECT doc_id, split, ids[1:128] AS ids FROM seqs_full WHERE len(ids[1:128]) >= 2)
+seqs AS (SELECT doc_id, split, ids[1:128] AS ids FROM seqs_full WHERE len(ids[1:128]) >= 2),
+wins AS (SELECT doc_id, CAST(w AS INTEGER) AS win, CAST(doc_id AS VARCHAR) || ':' || w AS seq_id, split, ids[w * 127 + 1:w * 127 + 128] AS ids
+         FROM (SELECT *, unnest(generate_series(0, (len(ids) - 2) // 127)) AS w FROM seqs_full WHERE len(ids) >= 2))
 """
+
+
+def bpe_cte(merges: int = BPE_MERGES) -> str:
+    """CTEs that learn ``merges`` merges from ``syms (word, n, s)`` step by
+    step: ``q{k}`` the k-th pair, ``tk`` all tokens, ``mg`` one row with all
+    merges.  Ties go to the smaller ids."""
+    parts = [
+        "alpha AS (SELECT token, CAST(row_number() OVER (ORDER BY token) + 2 AS INTEGER) AS id FROM (SELECT DISTINCT unnest(s) AS token FROM syms))",
+        "top AS (SELECT max(id) AS top FROM alpha)",
+        "sp AS (SELECT word, n, unnest(s) AS sym, unnest(generate_series(1, len(s))) AS pos FROM syms)",
+        "s0 AS MATERIALIZED (SELECT word, any_value(n) AS n, ' ' || string_agg(CAST(id AS VARCHAR), '  ' ORDER BY pos) || ' ' AS st "
+        "FROM sp JOIN alpha ON token = sym GROUP BY word)",
+    ]
+    for k in range(1, merges + 1):
+        parts.append(
+            f"q{k} AS MATERIALIZED (SELECT l, r, top + {k} AS id FROM (SELECT p[i] AS l, p[i + 1] AS r, sum(n) AS c FROM "
+            f"(SELECT n, CAST(string_split(trim(st), '  ') AS INTEGER[]) AS p FROM s{k - 1}) AS w, range(1, len(p)) AS t(i) GROUP BY ALL), top "
+            "ORDER BY c DESC, l, r LIMIT 1)"
+        )
+        parts.append(f"s{k} AS MATERIALIZED (SELECT word, n, replace(st, ' ' || l || '  ' || r || ' ', ' ' || id || ' ') AS st FROM s{k - 1}, q{k})")
+    parts.append("k0 AS (SELECT id, token FROM alpha)")
+    for k in range(1, merges + 1):
+        parts.append(
+            f"k{k} AS MATERIALIZED (SELECT * FROM k{k - 1} UNION ALL SELECT q.id, a.token || b.token FROM q{k} AS q "
+            f"JOIN k{k - 1} AS a ON a.id = q.l JOIN k{k - 1} AS b ON b.id = q.r)"
+        )
+    cols = ", ".join(f"q{k}.l AS l{k}, q{k}.r AS r{k}, q{k}.id AS n{k}" for k in range(1, merges + 1))
+    parts.append(f"mg AS (SELECT {cols} FROM {', '.join(f'q{k}' for k in range(1, merges + 1))})")
+    return ",\n".join(parts)
+
+
+def bpe_encode_cte(merges: int = BPE_MERGES) -> str:
+    """CTE ``enc (doc_id, split, sample, ids)``: token ids of the corpus, whose
+    only markers are those of the wrapping."""
+    state = "st"
+    for k in range(1, merges + 1):
+        state = f"replace({state}, ' ' || l{k} || '  ' || r{k} || ' ', ' ' || n{k} || ' ')"
+    symbol = "chr(CASE WHEN {b} < 33 THEN 256 + {b} WHEN {b} >= 127 AND {b} <= 160 THEN {b} + 162 WHEN {b} = 173 THEN 323 ELSE {b} END)".format(b="CAST('0x' || h AS INTEGER)")
+    return f"""
+body AS (SELECT doc_id, split, sample, substr(sample, 13, length(sample) - 22) AS body FROM corpus),
+bw AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS pos FROM (SELECT doc_id, regexp_extract_all(body, '{SQL_PAT}') AS w FROM body)),
+dw AS (SELECT word, list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda h: {symbol}) AS s FROM (SELECT DISTINCT word FROM bw)),
+dp AS (SELECT word, unnest(s) AS sym, unnest(generate_series(1, len(s))) AS pos FROM dw),
+d0 AS (SELECT word, ' ' || string_agg(CAST(id AS VARCHAR), '  ' ORDER BY pos) || ' ' AS st FROM dp JOIN alpha ON token = sym GROUP BY word),
+de AS MATERIALIZED (SELECT word, CAST(string_split(trim({state}), '  ') AS INTEGER[]) AS ids FROM d0, mg),
+enc AS (SELECT doc_id, split, sample, list_concat([1], flatten(list(de.ids ORDER BY pos)), [2]) AS ids
+        FROM bw JOIN de USING (word) JOIN body USING (doc_id) GROUP BY doc_id, split, sample)"""

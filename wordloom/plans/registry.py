@@ -277,12 +277,24 @@ def vocab_size(spark, d):
     return tokenizer.learned_vocab_stats(tokenizer.initial_vocab(tokenizer.word_counts(C.corpus(spark, d))))
 
 
-@register("bpe_merges_32")
+_BPE = f"WITH {SPLIT_CTE}, {_WORDS_SQL}, {_sym_sql()}, {C.bpe_cte()}"
+_RANKED = " UNION ALL ".join(f"SELECT {k - 1} AS rank, l, r, id FROM q{k}" for k in range(1, C.BPE_MERGES + 1))
+
+
+@register(
+    "bpe_merges_32",
+    f"{_BPE} SELECT CAST(rank AS INTEGER) AS rank, a.token AS \"left\", b.token AS \"right\", a.token || b.token AS token, CAST(m.id AS INTEGER) AS id "
+    f"FROM ({_RANKED}) AS m JOIN k{C.BPE_MERGES} AS a ON a.id = m.l JOIN k{C.BPE_MERGES} AS b ON b.id = m.r",
+)
 def bpe_merges_32(spark, d):
     return C.learned_tokenizer(spark, d).merges_df(spark)
 
 
-@register("tokenizer_store")
+@register(
+    "tokenizer_store",
+    f"{_BPE} SELECT * FROM (VALUES (0, '<pad>', true), (1, '<|im_start|>', true), (2, '<|im_end|>', true)) AS t(id, token, is_special) "
+    f"UNION ALL SELECT CAST(id AS INTEGER), token, false FROM k{C.BPE_MERGES}",
+)
 def tokenizer_store(spark, d):
     """The learned vocabulary and merges written as two tables and read
     back; the reloaded tokenizer must equal the learned one."""
@@ -317,7 +329,10 @@ def split_specials(spark, d):
     return src_df.select("doc_id", F.posexplode(codec.split_specials("sample", tok)).alias("seg_pos", "segment"))
 
 
-@register("encode_tokens")
+_ENC = f"{_BPE}, {C.bpe_encode_cte()}"
+
+
+@register("encode_tokens", f"{_ENC} SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, array_to_string(ids, ' ') AS ids FROM enc")
 def encode_tokens(spark, d):
     tok = C.learned_tokenizer(spark, d)
     enc = codec.encode(C.corpus(spark, d), tok)
@@ -344,7 +359,11 @@ def roundtrip_audit(spark, d):
     return codec.roundtrip_audit(C.corpus(spark, d), C.learned_tokenizer(spark, d))
 
 
-@register("token_stats")
+@register(
+    "token_stats",
+    f"{_ENC} SELECT split, count(*) AS n_docs, sum(len(ids)) AS n_tokens, round(avg(len(ids)), 6) AS avg_tokens, max(len(ids)) AS max_tokens, "
+    "round(sum(length(sample)) / sum(len(ids)), 6) AS chars_per_token FROM enc GROUP BY split",
+)
 def token_stats(spark, d):
     tok = C.learned_tokenizer(spark, d)
     return codec.token_stats(codec.encode(C.corpus(spark, d), tok))
@@ -363,45 +382,45 @@ def truncate_filter(spark, d):
 
 @register(
     "shift_pairs",
-    f"WITH {SPLIT_CTE}, {WORDS_CTE} SELECT doc_id, split, array_to_string(ids[1:len(ids) - 1], ' ') AS x, "
-    "array_to_string(ids[2:len(ids)], ' ') AS y FROM seqs",
+    f"WITH {SPLIT_CTE}, {WORDS_CTE} SELECT doc_id, win, split, array_to_string(ids[1:len(ids) - 1], ' ') AS x, "
+    "array_to_string(ids[2:len(ids)], ' ') AS y FROM wins",
 )
 def shift_pairs(spark, d):
-    s = sequences.shift_pairs(C.word_seqs(spark, d))
-    return s.select("doc_id", "split", sequences.ids_text("x").alias("x"), sequences.ids_text("y").alias("y"))
+    s = sequences.shift_pairs(C.word_windows(spark, d))
+    return s.select("doc_id", "win", "split", sequences.ids_text("x").alias("x"), sequences.ids_text("y").alias("y"))
 
 
 _BATCH_SQL = """
 batched AS (
-  SELECT doc_id, split, ids, CAST(0 AS INTEGER) AS epoch,
+  SELECT seq_id, split, ids, CAST(0 AS INTEGER) AS epoch,
          row_number() OVER (PARTITION BY split ORDER BY
-            md5(CASE WHEN split = 'train' THEN '42:0:' ELSE '42:' END || CAST(doc_id AS VARCHAR)), doc_id) AS o
-  FROM seqs),
-b2 AS (SELECT doc_id, split, ids, epoch, CAST(floor((o - 1) / 32) AS INTEGER) AS batch_id,
+            md5(CASE WHEN split = 'train' THEN '42:0:' ELSE '42:' END || seq_id), seq_id) AS o
+  FROM wins),
+b2 AS (SELECT seq_id, split, ids, epoch, CAST(floor((o - 1) / 32) AS INTEGER) AS batch_id,
               CAST((o - 1) % 32 AS INTEGER) AS row_in_batch FROM batched)
 """
 
 
 def _batched(spark, d):
-    s = C.word_seqs(spark, d)
-    tr = sequences.assign_batches(s.filter(F.col("split") == "train"), shuffle=True, epoch=0)
-    ev = sequences.assign_batches(s.filter(F.col("split") == "eval"), shuffle=False)
+    s = C.word_windows(spark, d)
+    tr = sequences.assign_batches(s.filter(F.col("split") == "train"), shuffle=True, epoch=0, id_col="seq_id")
+    ev = sequences.assign_batches(s.filter(F.col("split") == "eval"), shuffle=False, id_col="seq_id")
     return tr.unionByName(ev)
 
 
 @register(
     "assign_batches",
-    f"WITH {SPLIT_CTE}, {WORDS_CTE}, {_BATCH_SQL} SELECT doc_id, split, epoch, batch_id, row_in_batch FROM b2",
+    f"WITH {SPLIT_CTE}, {WORDS_CTE}, {_BATCH_SQL} SELECT seq_id, split, epoch, batch_id, row_in_batch FROM b2",
 )
 def assign_batches(spark, d):
-    return _batched(spark, d).select("doc_id", "split", "epoch", "batch_id", "row_in_batch")
+    return _batched(spark, d).select("seq_id", "split", "epoch", "batch_id", "row_in_batch")
 
 
 @register(
     "pad_batch",
     f"WITH {SPLIT_CTE}, {WORDS_CTE}, {_BATCH_SQL}, "
     "p AS (SELECT *, max(len(ids) - 1) OVER (PARTITION BY split, epoch, batch_id) AS padded_len FROM b2) "
-    "SELECT doc_id, split, batch_id, CAST(padded_len AS INTEGER) AS padded_len, "
+    "SELECT seq_id, split, batch_id, CAST(padded_len AS INTEGER) AS padded_len, "
     "array_to_string(ids[1:len(ids) - 1], ' ') || repeat(' 0', CAST(padded_len - (len(ids) - 1) AS INTEGER)) AS x_pad, "
     "array_to_string(ids[2:len(ids)], ' ') || repeat(' 0', CAST(padded_len - (len(ids) - 1) AS INTEGER)) AS y_pad, "
     "CAST(len(ids) - 1 AS INTEGER) AS n_real, CAST(padded_len - (len(ids) - 1) AS INTEGER) AS n_pad FROM p",
@@ -409,7 +428,7 @@ def assign_batches(spark, d):
 def pad_batch(spark, d):
     p = sequences.pad_batch(sequences.shift_pairs(_batched(spark, d)))
     return p.select(
-        "doc_id",
+        "seq_id",
         "split",
         "batch_id",
         "padded_len",
@@ -422,11 +441,11 @@ def pad_batch(spark, d):
 
 @register(
     "step_plan",
-    f"WITH {SPLIT_CTE}, {WORDS_CTE}, nb AS (SELECT CAST(ceil(count(*) / 32.0) AS BIGINT) AS n FROM seqs WHERE split = 'train') "
+    f"WITH {SPLIT_CTE}, {WORDS_CTE}, nb AS (SELECT CAST(ceil(count(*) / 32.0) AS BIGINT) AS n FROM wins WHERE split = 'train') "
     "SELECT step, CAST(step // n AS INTEGER) AS epoch, CAST(step % n AS INTEGER) AS batch_id FROM range(10000) AS t(step), nb",
 )
 def step_plan(spark, d):
-    tr = sequences.assign_batches(C.word_seqs(spark, d).filter(F.col("split") == "train"), shuffle=True, epoch=0)
+    tr = C.word_windows(spark, d).filter(F.col("split") == "train")
     return sequences.step_plan(tr, runlog.MAX_STEPS).select(
         "step", F.col("epoch").cast("int").alias("epoch"), F.col("batch_id").cast("int").alias("batch_id")
     )
@@ -434,16 +453,16 @@ def step_plan(spark, d):
 
 @register(
     "dataset_sizes",
-    f"WITH {SPLIT_CTE}, {WORDS_CTE} SELECT split, count(*) AS n_sequences FROM seqs GROUP BY split",
+    f"WITH {SPLIT_CTE}, {WORDS_CTE} SELECT split, count(*) AS n_sequences FROM wins GROUP BY split",
 )
 def dataset_sizes(spark, d):
-    return sequences.dataset_sizes(C.word_seqs(spark, d))
+    return sequences.dataset_sizes(C.word_windows(spark, d))
 
 
 # ---- M: next-token model ---------------------------------------------------------
 
 _NGRAM_SQL = """
-tpos AS (SELECT doc_id, ids, unnest(generate_series(1, len(ids) - 1)) AS i FROM seqs WHERE split = '{split}'),
+tpos AS (SELECT doc_id, ids, unnest(generate_series(1, len(ids) - 1)) AS i FROM seqs_full WHERE split = '{split}'),
 ex AS (
   SELECT 1 AS "order", '' AS ctx, ids[i + 1] AS token FROM tpos
   UNION ALL SELECT 2, array_to_string(ids[i:i], ' '), ids[i + 1] FROM tpos
@@ -459,7 +478,7 @@ _NG_TRAIN = _NGRAM_SQL.format(split="train")
     f"WITH {SPLIT_CTE}, {WORDS_CTE}, {_NG_TRAIN} SELECT CAST(\"order\" AS INTEGER) AS \"order\", ctx, token, n FROM counts",
 )
 def ngram_counts(spark, d):
-    s = C.word_seqs(spark, d).filter(F.col("split") == "train")
+    s = C.word_seq_table(spark, d).filter(F.col("split") == "train")
     return ngram.ngram_counts(s)
 
 
@@ -484,7 +503,7 @@ p3 AS (SELECT c.ctx, c.token, 0.5 * c.n / t.n_ctx + 0.5 * p2.p AS p FROM counts
     "UNION ALL SELECT 3, ctx, token, round(p, 9) FROM p3",
 )
 def ngram_prob(spark, d):
-    s = C.word_seqs(spark, d).filter(F.col("split") == "train")
+    s = C.word_seq_table(spark, d).filter(F.col("split") == "train")
     pr = ngram.ngram_probabilities(ngram.fit(s), C.word_vocab_size(spark, d))
     return pr.select("order", "ctx", "token", F.round("p", 9).alias("p"))
 
@@ -492,7 +511,7 @@ def ngram_prob(spark, d):
 _NLL_SQL = f"""
 vs AS (SELECT CAST({_vsize_sql()} AS DOUBLE) AS v),
 n1 AS (SELECT n_ctx AS n1 FROM totals WHERE "order" = 1),
-epos AS (SELECT doc_id, ids, unnest(generate_series(1, len(ids) - 1)) AS i FROM seqs WHERE split = 'eval'),
+epos AS (SELECT doc_id, ids, unnest(generate_series(1, len(ids) - 1)) AS i FROM seqs_full WHERE split = 'eval'),
 e AS (SELECT doc_id, i - 1 AS p, ids[i + 1] AS token, array_to_string(ids[i:i], ' ') AS h2,
              CASE WHEN i >= 2 THEN array_to_string(ids[i - 1:i], ' ') END AS h3 FROM epos),
 s1 AS (SELECT e.*, 0.5 * coalesce(c1.n, 0) / n1.n1 + 0.5 * (1.0 / vs.v) AS prob
@@ -509,7 +528,7 @@ s3 AS (SELECT s2.doc_id, s2.p, s2.token,
 
 
 def _nll(spark, d):
-    s = C.word_seqs(spark, d)
+    s = C.word_seq_table(spark, d)
     counts = ngram.fit(s.filter(F.col("split") == "train"))
     return ngram.score_positions(s.filter(F.col("split") == "eval"), counts, C.word_vocab_size(spark, d))
 
@@ -527,12 +546,12 @@ def token_nll(spark, d):
     "eval_loss",
     f"WITH {SPLIT_CTE}, {WORDS_CTE}, {_NG_TRAIN}, {_NLL_SQL}, "
     "eb AS (SELECT doc_id, CAST(floor((row_number() OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) - 1) / 32) AS INTEGER) AS batch_id "
-    "       FROM seqs WHERE split = 'eval'), "
+    "       FROM seqs_full WHERE split = 'eval'), "
     "pb AS (SELECT batch_id, avg(-ln(prob)) AS bl FROM s3 JOIN eb USING (doc_id) WHERE batch_id < 50 GROUP BY batch_id) "
     "SELECT round(coalesce(avg(bl), 0.0), 9) AS eval_loss FROM pb",
 )
 def eval_loss(spark, d):
-    s = C.word_seqs(spark, d)
+    s = C.word_seq_table(spark, d)
     ev = sequences.assign_batches(s.filter(F.col("split") == "eval"), shuffle=False).select("doc_id", "batch_id")
     nll = _nll(spark, d).join(ev, "doc_id")
     return ngram.evaluate(nll).select(F.round("eval_loss", 9).alias("eval_loss"))
@@ -548,7 +567,7 @@ sm AS (SELECT ctx, token, e / sum(e) OVER (PARTITION BY ctx) AS prob FROM sx)
 
 
 def _bigram_logits(spark, d):
-    s = C.word_seqs(spark, d).filter(F.col("split") == "train")
+    s = C.word_seq_table(spark, d).filter(F.col("split") == "train")
     c2 = ngram.fit(s).filter(F.col("order") == 2)
     tot = ngram.context_totals(c2)
     return c2.join(tot, ["order", "ctx"]).select(
@@ -591,11 +610,11 @@ def draw_token(spark, d):
 @register(
     "known_tokens",
     f"WITH {SPLIT_CTE}, {WORDS_CTE}, {_NG_TRAIN}, "
-    "ev AS (SELECT DISTINCT unnest(ids) AS token FROM seqs WHERE split = 'eval') "
+    "ev AS (SELECT DISTINCT unnest(ids) AS token FROM seqs_full WHERE split = 'eval') "
     "SELECT CAST(\"order\" AS INTEGER) AS \"order\", ctx, token, n FROM counts WHERE token IN (SELECT token FROM ev)",
 )
 def known_tokens(spark, d):
-    s = C.word_seqs(spark, d)
+    s = C.word_seq_table(spark, d)
     counts = ngram.ngram_counts(s.filter(F.col("split") == "train"))
     vocab = s.filter(F.col("split") == "eval").select(F.explode("ids").alias("token"))
     return ngram.keep_known_tokens(counts, vocab)
@@ -608,7 +627,7 @@ def known_tokens(spark, d):
     "UNION ALL SELECT 0, count(*), sum(n) FROM counts",
 )
 def model_size(spark, d):
-    s = C.word_seqs(spark, d).filter(F.col("split") == "train")
+    s = C.word_seq_table(spark, d).filter(F.col("split") == "train")
     return ngram.size_report(ngram.ngram_counts(s))
 
 
@@ -618,8 +637,7 @@ def bpe_model(spark, d) -> ngram.NgramModel:
     if key not in C._cache:
         tok = C.learned_tokenizer(spark, d)
         tr = C.corpus(spark, d).filter(F.col("split") == "train")
-        seqs = sequences.truncate_filter(codec.encode(tr, tok), sequences.TRAIN_MAX_LEN)
-        C._cache[key] = ngram.build_model(seqs, tok.vocab_size)
+        C._cache[key] = ngram.build_model(codec.encode(tr, tok), tok.vocab_size)
     return C._cache[key]
 
 
@@ -628,7 +646,7 @@ def generate_batch(spark, d):
     tok = C.learned_tokenizer(spark, d)
     prompts = chat.last_message_prompt(C.table(spark, d, "conversations"))
     enc = codec.encode(prompts, tok, "prompt", "ids")
-    gen = ngram.generate(enc.select("prompt_id", "ids"), bpe_model(spark, d), max_new_tokens=32)
+    gen = ngram.generate(enc.select("prompt_id", "ids"), bpe_model(spark, d))
     return gen.select("prompt_id", "n_prompt", F.size("new_ids").alias("n_new"), sequences.ids_text("new_ids").alias("new_ids"))
 
 
@@ -677,22 +695,22 @@ def choices_flatten(spark, d):
 def chat_complete(spark, d):
     tok = C.learned_tokenizer(spark, d)
     prompts = chat.last_message_prompt(C.table(spark, d, "conversations"))
-    res = chat.complete(prompts, tok, bpe_model(spark, d), max_tokens=32)
+    res = chat.complete(prompts, tok, bpe_model(spark, d))
     return chat.explode_choices(res).select("prompt_id", "n_new", "reply")
 
 
-def _first_user_prompts(spark, d):
-    conv = C.table(spark, d, "conversations").filter(F.col("role") == "user")
-    first = conv.groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
-    usable = first.filter(TX.is_usable_prompt("text"))
-    return usable.select(F.col("conv_id").alias("prompt_id"), F.lit("conversation").alias("topic"), TX.assistant_prompt("text").alias("prompt"))
+def _user_prompts(spark, d):
+    """Every usable user turn; the topic names its conversation."""
+    user = C.table(spark, d, "conversations").filter((F.col("role") == "user") & TX.is_usable_prompt("text"))
+    key = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    return user.select(key.alias("prompt_id"), F.concat(F.lit("conversation "), F.col("conv_id").cast("string")).alias("topic"), TX.assistant_prompt("text").alias("prompt"))
 
 
 @register("prompt_suite_report")
 def prompt_suite_report(spark, d):
     tok = C.learned_tokenizer(spark, d)
-    prompts = _first_user_prompts(spark, d)
-    res = chat.complete(prompts, tok, bpe_model(spark, d), max_tokens=32)
+    prompts = _user_prompts(spark, d)
+    res = chat.complete(prompts, tok, bpe_model(spark, d))
     return chat.prompt_suite_report(prompts, res).select("prompt_id", "topic", "prompt", "reply")
 
 
@@ -707,7 +725,7 @@ def answer_stream_q(spark, d):
 
     def prepare(stream):
         users = stream.filter(F.col("role") == "user")
-        return users.select((F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_id"), "text")
+        return users.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("prompt_id"), "text")
 
     q = answer_stream(
         spark,
@@ -717,7 +735,6 @@ def answer_stream_q(spark, d):
         bpe_model(spark, d),
         out,
         out + "-checkpoint",
-        max_tokens=32,
         prepare=prepare,
     )
     q.awaitTermination()
