@@ -69,8 +69,46 @@ def test_summary_and_tokenizer_corpus(spark, docs):
 
 def test_kth_key_refines_buckets(spark, monkeypatch):
     monkeypatch.setattr(R, "FINAL_BUCKET_ROWS", 3)
-    keys = spark.range(0, 5000).withColumnRenamed("id", "doc_id").withColumn("_rk_key", R.shuffle_key(42, "doc_id"))
-    counts = sorted((r[0], r[1]) for r in keys.groupBy(F.substring("_rk_key", 1, 1)).agg(F.count(F.lit(1))).collect())
-    allk = sorted((r._rk_key, r.doc_id) for r in keys.collect())
-    for k in (1, 7, 2500, 5000):
-        assert R._kth_key(keys, k, counts, "doc_id", 1) == allk[k - 1]
+    keys = spark.range(0, 3000).withColumnRenamed("id", "doc_id").withColumn("_rk_key", R.shuffle_key(42, "doc_id"))
+    counts = R.bucket_counts(keys, 1)
+    allk = sorted(r._rk_key for r in keys.collect())
+    for k in (1, 7, 1500, 3000):
+        assert R.kth_key(keys, k, counts, 1) == (allk[k - 1], 1, 1)
+    assert R.kth_key(keys, 3001, counts, 1) is None
+
+
+def rows_with_repeats(spark):
+    rows = [(i % 10, f"text {i % 10}") for i in range(200)]  # each row twenty times
+    rows += [(None, f"no id {k}") for k in range(10)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+
+
+@pytest.mark.parametrize("n_samples", [None, 33, 200, 500])
+@pytest.mark.parametrize("final", [10_000, 2])
+def test_null_and_repeated_ids_lose_no_row_and_both_splits_agree(spark, monkeypatch, n_samples, final):
+    monkeypatch.setattr(R, "FINAL_BUCKET_ROWS", final)
+    df = rows_with_repeats(spark)
+    n = min(210, n_samples or 210)
+    ranked = R.train_eval_split(df, n_samples=n_samples, eval_ratio=0.05)
+    fast = R.split_by_threshold(df, n_samples=n_samples, eval_ratio=0.05)
+    key = lambda r: (str(r.doc_id), r.text, r.split)
+    assert sorted(map(key, ranked.collect())) == sorted(map(key, fast.collect()))
+    assert ranked.count() == n and fast.filter("split = 'eval'").count() == int(n * 0.05)
+
+
+def test_sample_and_shuffle_with_null_and_repeated_ids(spark):
+    df = rows_with_repeats(spark)
+    assert sorted(r["rank"] for r in R.seeded_shuffle(df).collect()) == list(range(1, 211))
+    assert sorted(r["rank"] for r in R.sample_n(df, 45).collect()) == list(range(1, 46))
+
+
+def test_split_of_a_corpus_without_ids_does_not_depend_on_file_splits(spark, tmp_path):
+    (tmp_path / "raw.txt").write_text("\n".join(f"line {k} with some words to fill it" for k in range(4000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = []
+    for size in ("128m", "20k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        sp = R.split_by_threshold(read_corpus(spark, str(tmp_path / "raw.txt"), fmt="text"))
+        got.append({r.text for r in sp.filter("split = 'eval'").collect()})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got[0] == got[1] and len(got[0]) == 200

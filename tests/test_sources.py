@@ -39,16 +39,20 @@ def test_jsonl_ascii(spark, tmp_path):
     assert src.read_jsonl(spark, path).first().text == "é"
 
 
-def test_strict_reader_rejects_blank_and_missing(spark, tmp_path):
-    blank = tmp_path / "blank.jsonl"
-    blank.write_text('{"text": "a"}\n\n{"text": "b"}\n')
-    with pytest.raises(src.StrictJsonlError):
-        src.read_jsonl_strict(spark, str(blank))
-    assert src.read_jsonl(spark, str(blank)).count() == 2
-    missing = tmp_path / "missing.jsonl"
-    missing.write_text('{"text": "a"}\n{"other": 1}\n')
-    with pytest.raises(src.StrictJsonlError):
-        src.read_jsonl_strict(spark, str(missing))
+@pytest.mark.parametrize("bad", ["", "   ", "\t", '{"other": 1}', "{broken", '{"text": null}', "[1]"])
+def test_strict_reader_rejects(spark, tmp_path, bad):
+    lines = tmp_path / "bad.jsonl"
+    lines.write_text('{"text": "a"}\n' + bad + '\n{"text": "b"}\n')
+    with pytest.raises(Exception, match=src.STRICT_ERROR):
+        src.read_jsonl_strict(spark, str(lines)).collect()
+    if not bad.strip():
+        assert src.read_jsonl(spark, str(lines)).count() == 2
+
+
+def test_read_corpus_json_and_null_text(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{"doc_id": 7, "text": "a"}\n{"doc_id": 8, "text": null}\n')
+    rows = {(r.doc_id, r.text) for r in src.read_corpus(spark, str(tmp_path / "c.json"), fmt="json").collect()}
+    assert rows == {(7, "a"), (8, None)}
 
 
 def test_publish_dataset(spark, tmp_path):
@@ -69,5 +73,8 @@ def test_config_normalise(spark):
     assert out[1].d_model == 512 and out[1].n_layers == 4 and out[1].vocab_size == 4096
     assert out[2].d_model == 384 and out[2].dropout == pytest.approx(0.1)
     assert out[3].d_model == 128 and out[3].dropout == pytest.approx(0.2)
+    bad = spark.createDataFrame([(4, '{"d_model": "abc", "n_layers": "5", "dropout": "x"}'), (5, "no json"), (6, None)], "id long, config string")
+    wrong = {r.id: (r.d_model, r.n_layers, r.dropout) for r in cfg.normalise_config(bad, "config", keep=("id",)).collect()}
+    assert wrong == {4: (384, 5, 0.1), 5: (384, 6, 0.1), 6: (384, 6, 0.1)}
     pub = cfg.to_public_keys(cfg.normalise_config(df, "config", keep=("id",)))
     assert "hidden_size" in pub.columns and "max_position_embeddings" in pub.columns

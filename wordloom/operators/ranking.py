@@ -1,8 +1,8 @@
 """Ordering, sampling and splitting.
 
-The reference shuffles a Python list with a seeded generator and slices it.
-Here the order is a pure function of (seed, row id): ``md5(seed:id)``.  The
-exact global rank is computed without a single-partition window: rows are
+The order of rows is a pure function of the seed and the row: ``md5(seed:id)``,
+then (for repeated ids) ``md5(text)``; rows alike in both are interchangeable.
+A null id counts as the empty one, so no row is lost.  The exact global rank is computed without a single-partition window: rows are
 bucketed on the leading hex digits of the (uniform) md5 key, bucket sizes are
 counted (partial aggregation, at most ``16**digits`` rows), turned into
 running offsets on that tiny table, broadcast, and added to a ``row_number``
@@ -22,7 +22,24 @@ BUCKET_DIGITS = 4  # 65,536 buckets: the offset table stays ~1 MB
 
 def shuffle_key(seed: int, id_col: str | Column) -> Column:
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(c.cast("string"), F.lit(""))))
+
+
+def row_key(seed: int, id_col: str, text_col: str | None) -> Column:
+    """The shuffle key made total over different rows: id key, then text key."""
+    if text_col is None:
+        return shuffle_key(seed, id_col)
+    return F.concat(shuffle_key(seed, id_col), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+
+
+def check_fraction(ratio: float) -> None:
+    if not (ratio >= 0 and ratio < 1):
+        raise ValueError(f"the share of evaluation rows lies in [0, 1), not at {ratio}")
+
+
+def check_rows(n: int | None, needed: bool = False) -> None:
+    if (n is None and needed) or (n is not None and n < 1):
+        raise ValueError(f"a sample has at least one row, not {n}")
 
 
 def global_rank(
@@ -61,12 +78,15 @@ def global_rank(
     )
 
 
-def seeded_shuffle(df: DataFrame, seed: int = DEFAULT_SEED, id_col: str = "doc_id", total_col: str | None = None) -> DataFrame:
+def seeded_shuffle(
+    df: DataFrame, seed: int = DEFAULT_SEED, id_col: str = "doc_id", total_col: str | None = None, text_col: str = "text"
+) -> DataFrame:
     """Deterministic shuffle: adds ``rank`` = position in the shuffled order.
 
     Independent of partitioning; the multiset of rows is unchanged.
     """
-    return global_rank(df, shuffle_key(seed, id_col), [id_col], total_col=total_col)
+    key = row_key(seed, id_col, text_col if text_col in df.columns else None)
+    return global_rank(df, key, [id_col], total_col=total_col)
 
 
 def has_text(col: str) -> Column:
@@ -82,63 +102,74 @@ def clean_nonempty(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     return df.filter(has_text(text_col)).select(id_col, clean_text(text_col).alias(text_col))
 
 
-def sample_n(df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "doc_id") -> DataFrame:
-    """Exactly ``min(n, count)`` rows: the first ``n`` of the seeded order."""
-    if n is None or n < 1:
-        raise ValueError("n_samples must be >= 1")
-    return seeded_shuffle(df, seed, id_col).filter(F.col("rank") <= n)
+FINAL_BUCKET_ROWS = 10_000  # at most this many keys are ever ordered at once
 
 
-FINAL_BUCKET_ROWS = 10_000  # at most this many keys are ever ordered in one task
+def bucket_counts(keyed: DataFrame, digits: int) -> list[tuple[str, int]]:
+    """Rows per leading hex digits of ``_rk_key``: at most ``16**digits``."""
+    sizes = keyed.groupBy(F.substring("_rk_key", 1, digits)).agg(F.count(F.lit(1)))
+    return sorted((r[0], r[1]) for r in sizes.collect())
 
 
-def _kth_key(keyed: DataFrame, k: int, counts: list[tuple[str, int]], id_col: str, digits: int):
-    """The k-th smallest ``(_rk_key, id)`` (1-based) of a keyed table.
+def kth_key(keyed: DataFrame, k: int, counts: list[tuple[str, int]], digits: int) -> tuple[str, int, int] | None:
+    """The k-th smallest ``_rk_key`` (1-based), how many rows of that key are
+    among the first k, and how many rows have it.
 
-    ``counts`` are the sizes of the first-level buckets (at most
-    ``16**digits``).  The bucket holding the k-th key is refined by the next
-    ``digits`` hex digits, again and again, until it holds at most
-    ``FINAL_BUCKET_ROWS`` keys; only those are ordered (a distributed top-j),
-    so neither a task nor the driver ever sees more than that."""
-    level = counts
-    prefix_len = digits
+    ``counts`` are the first-level bucket sizes.  The bucket holding the k-th
+    key is refined by further hex digits until it holds at most
+    ``FINAL_BUCKET_ROWS`` rows or one key; what then reaches the driver is
+    distinct keys with counts, at most that many."""
+    length = 64  # of a row key; shorter keys are single buckets before that
+    level, prefix_len = counts, digits
     while True:
-        acc = 0
         chosen = None
         for bucket, n in level:
-            if acc + n >= k:
+            if k <= n:
                 chosen = (bucket, n)
                 break
-            acc += n
+            k -= n
         if chosen is None:
             return None
         bucket, n = chosen
-        k -= acc
-        if n <= FINAL_BUCKET_ROWS or prefix_len >= 32:
-            rows = (
-                keyed.filter(F.substring("_rk_key", 1, prefix_len) == bucket)
-                .orderBy("_rk_key", id_col)
-                .select("_rk_key", id_col)
-                .limit(k)
-                .collect()
-            )
-            return rows[-1][0], rows[-1][1]
-        next_len = min(32, prefix_len + digits)
-        level = sorted(
-            (r[0], r[1])
-            for r in keyed.filter(F.substring("_rk_key", 1, prefix_len) == bucket)
-            .groupBy(F.substring("_rk_key", 1, next_len))
-            .agg(F.count(F.lit(1)))
-            .collect()
-        )
-        prefix_len = next_len
-
-
-def _key_le(threshold, id_col: str) -> Column:
-    if threshold is None:
-        return F.lit(False)
-    key, ident = threshold
-    return (F.col("_rk_key") < F.lit(key)) | ((F.col("_rk_key") == F.lit(key)) & (F.col(id_col) <= F.lit(ident)))
+        inside = keyed.filter(F.substring("_rk_key", 1, prefix_len) == bucket)
+        if n > FINAL_BUCKET_ROWS and prefix_len < length:
+            prefix_len = min(length, prefix_len + digits)
+            level = bucket_counts(inside, prefix_len)
+            continue
+        for row in inside.groupBy("_rk_key").agg(F.count(F.lit(1)).alias("n")).orderBy("_rk_key").collect():
+            if k <= row["n"]:
+                return row["_rk_key"], k, row["n"]
+            k -= row["n"]
+        return None
+
+
+def first_rows(df: DataFrame, bound: tuple[str, int, int] | None) -> DataFrame:
+    """The rows (with ``_rk_key``) up to a bound of ``kth_key``.  Of rows alike
+    in everything the key covers the right number stays: one of them, repeated."""
+    if bound is None:
+        return df.limit(0)
+    key, take, same = bound
+    if take == same:
+        return df.filter(F.col("_rk_key") <= key)
+    return df.filter(F.col("_rk_key") < key).unionByName(repeated(df, key, take))
+
+
+def repeated(df: DataFrame, key: str, times: int) -> DataFrame:
+    one = df.filter(F.col("_rk_key") == key).limit(1)
+    return one.withColumn("_rk_copy", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("_rk_copy")
+
+
+def sample_n(df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "doc_id", text_col: str = "text", digits: int = BUCKET_DIGITS) -> DataFrame:
+    """Exactly ``min(n, count)`` rows: the first ``n`` of the seeded order, with
+    ``rank``.  The n-th key is found on the narrow key column; only the rows
+    up to it are ranked, so the rest of the table is filtered where it lies."""
+    check_rows(n, needed=True)
+    keyed = df.withColumn("_rk_key", row_key(seed, id_col, text_col if text_col in df.columns else None))
+    keys = keyed.select("_rk_key")
+    counts = bucket_counts(keys, digits)
+    if n < sum(c for _, c in counts):
+        keyed = keyed.filter(F.col("_rk_key") <= kth_key(keys, n, counts, digits)[0])
+    return seeded_shuffle(keyed.drop("_rk_key"), seed, id_col, text_col=text_col).filter(F.col("rank") <= n)
 
 
 def split_by_threshold(
@@ -158,27 +189,28 @@ def split_by_threshold(
     a single bucket, so the documents themselves are only filtered and
     labelled row by row: no shuffle of the text.  Returns ``(id, text, split)``.
     """
-    if not 0 <= eval_ratio < 1:
-        raise ValueError("eval_ratio must be >= 0 and < 1")
-    if n_samples is not None and n_samples < 1:
-        raise ValueError("n_samples must be >= 1")
-    items = clean_nonempty(df, text_col, id_col).withColumn("_rk_key", shuffle_key(seed, id_col))
-    # non-empty after cleaning <=> contains a character that is not whitespace
-    keys = df.filter(has_text(text_col)).select(
-        id_col, shuffle_key(seed, id_col).alias("_rk_key")
-    )
-    counts = sorted(
-        (r[0], r[1])
-        for r in keys.groupBy(F.substring("_rk_key", 1, digits)).agg(F.count(F.lit(1))).collect()
-    )
+    check_fraction(eval_ratio)
+    check_rows(n_samples)
+    items = clean_nonempty(df, text_col, id_col).withColumn("_rk_key", row_key(seed, id_col, text_col))
+    keys = items.select("_rk_key")
+    counts = bucket_counts(keys, digits)
     total = sum(n for _, n in counts)
     n = total if n_samples is None else min(total, n_samples)
     n_eval = int(n * float(eval_ratio))
-    thr_eval = _kth_key(keys, n_eval, counts, id_col, digits) if n_eval > 0 else None
-    out = items
-    if n_samples is not None and n < total:
-        out = out.filter(_key_le(_kth_key(keys, n, counts, id_col, digits), id_col))
-    return out.withColumn("split", F.when(_key_le(thr_eval, id_col), "eval").otherwise("train")).drop("_rk_key")
+    whole = items if n == total else first_rows(items, kth_key(keys, n, counts, digits))
+    bound = kth_key(keys, n_eval, counts, digits) if n_eval else None
+    if bound is None:
+        return whole.withColumn("split", F.lit("train")).drop("_rk_key")
+    key, take, same = bound
+    if take < same:  # rows alike in id and text on both sides of the cut
+        same = whole.filter(F.col("_rk_key") == key).count()
+        cut = repeated(whole, key, take).withColumn("split", F.lit("eval"))
+        if same > take:
+            cut = cut.unionByName(repeated(whole, key, same - take).withColumn("split", F.lit("train")))
+        rest = whole.filter(F.col("_rk_key") != key)
+        labelled = rest.withColumn("split", F.when(F.col("_rk_key") < key, "eval").otherwise("train"))
+        return labelled.unionByName(cut).drop("_rk_key")
+    return whole.withColumn("split", F.when(F.col("_rk_key") <= key, "eval").otherwise("train")).drop("_rk_key")
 
 
 def train_eval_split(
@@ -195,12 +227,10 @@ def train_eval_split(
     train the rest.  Duplicates survive, as in the reference.
     Returns ``(id, text, rank, split)``.
     """
-    if not 0 <= eval_ratio < 1:
-        raise ValueError("eval_ratio must be >= 0 and < 1")
-    if n_samples is not None and n_samples < 1:
-        raise ValueError("n_samples must be >= 1")
+    check_fraction(eval_ratio)
+    check_rows(n_samples)
     items = clean_nonempty(df, text_col, id_col)
-    ranked = seeded_shuffle(items, seed, id_col, total_col="_total")
+    ranked = seeded_shuffle(items, seed, id_col, total_col="_total", text_col=text_col)
     n = F.col("_total")
     if n_samples is not None:
         ranked = ranked.filter(F.col("rank") <= n_samples)

@@ -29,7 +29,7 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return read_corpus(spark, f"{d}/documents.parquet")
+    return read_corpus(spark, f"{d}/documents.parquet", min_partitions=spark.sparkContext.defaultParallelism)
 
 
 def split(spark: SparkSession, d: str) -> DataFrame:

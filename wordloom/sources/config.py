@@ -33,7 +33,7 @@ def normalise_config_columns(json_col) -> list[Column]:
     cfg = F.coalesce(F.from_json(top["model"], _MAP), top)
     out = []
     for name, public, own, default, typ in CONFIG_FIELDS:
-        out.append(F.coalesce(cfg[public].cast(typ), cfg[own].cast(typ), F.lit(default).cast(typ)).alias(name))
+        out.append(F.coalesce(cfg[public].try_cast(typ), cfg[own].try_cast(typ), F.lit(default).cast(typ)).alias(name))
     return out
 
 
