@@ -39,7 +39,7 @@ from .common import text_or_empty
 SEQ_TOKENS = 2048
 MAX_SEGMENTS = 128
 POOL = 512  # waiting items a task chooses from
-CACHE_UNITS = 600_000  # per generation of the word cache
+CACHE_UNITS = 300_000  # per generation of the word cache; two are held
 END_ID = 1
 
 # a blank with white space on neither side always starts a new pre-token

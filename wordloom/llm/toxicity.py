@@ -41,7 +41,7 @@ MAX_TRAIN = 40_000
 THRESHOLD = 0.7
 MIN_Z, MIN_DOCS, MIN_SHARE, MIN_LIFT = 5.0, 3, 0.002, 2.0
 PREFIXES = range(3, 8)
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 150_000
 
 # fixed values: what a sign may stand for
 LEET = {
@@ -266,7 +266,7 @@ def document_features(texts: DataFrame, model) -> DataFrame:
                         known[t] = [f for w in token_words(t, chars) for f in features(w)]
                     found.update(known[t])
                 counts[toxic].update(found)
-                if len(known) > CACHE_TOKENS // 2:
+                if len(known) > CACHE_TOKENS // 3:
                     known.clear()
                 if len(counts[0]) > CACHE_TOKENS:
                     yield from flush()
