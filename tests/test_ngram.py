@@ -135,3 +135,10 @@ def test_row_local_sampler_equals_window_operators(spark):
             a = a.join(f, f"h{k_}", "left")
         got = {r.prompt_id: r._next for r in N._sample_next(a, model, 3, 0.7, 9, step).collect()}
         assert got == want
+
+
+def test_evaluation_stops_at_max_batches(spark):
+    rows = [(i, 0, 3, float(i), i) for i in range(6)]
+    nll = spark.createDataFrame(rows, "doc_id long, p int, token int, nll double, batch_id int")
+    assert N.evaluate(nll, max_batches=3).first().eval_loss == pytest.approx(1.0)
+    assert N.first_batches(nll, 2).count() == 2

@@ -39,7 +39,9 @@ def test_word_counts_aggregate_map_side(spark):
 def test_run_log_windows_never_partition_by_run_alone(spark):
     ev = common.table(spark, SF001, "events")
     log = runlog.run_log_from_events(ev)
-    for df in (runlog.rolling_train_loss(log), runlog.best_so_far(log)):
+    rolling = plan(runlog.rolling_train_loss(log.select("run_id", "step", "loss").checkpoint(eager=True)))
+    assert "Window" not in rolling and "partial_avg" in rolling
+    for df in (runlog.best_so_far(log),):
         p = plan(df)
         for funcs, spec in re.findall(r"Window \[(.*?)\], \[([^\]]*)\]", p):
             keys = [k.split("#")[0].strip() for k in spec.split(",") if k.strip()]
@@ -47,3 +49,20 @@ def test_run_log_windows_never_partition_by_run_alone(spark):
                 # allowed only over the small per-run tables: piece sizes
                 # (pieces per run) and block minimums (blocks per run)
                 assert re.search(r"\(_n#|\(_bm#", funcs), funcs
+
+
+def test_sample_shuffles_only_the_sample(spark):
+    p = plan(ranking.sample_n(common.documents(spark, SF001), 20))
+    # rows beyond the n-th key are filtered where they lie, below every exchange of text
+    for scan in re.split(r"Exchange hashpartitioning\(_rk_bucket", p)[1:]:
+        assert re.search(r"<= [0-9a-f]{64}\b", scan), scan
+
+
+def test_scoring_and_quantising_have_no_nested_loop(spark):
+    from wordloom.operators import ngram, vectors
+
+    seqs = spark.createDataFrame([(0, [1, 3, 4, 5, 2]), (1, [1, 3, 3, 2])], "doc_id long, ids array<int>")
+    p = plan(ngram.score_positions(seqs, ngram.fit(seqs), 6))
+    assert "NestedLoop" not in p and "Cartesian" not in p
+    p = plan(vectors.quantise_uint8(common.table(spark, SF001, "embeddings")))
+    assert "NestedLoop" not in p

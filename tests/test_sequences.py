@@ -50,10 +50,16 @@ def test_pad_to_batch_max(spark):
 
 def test_step_plan(spark):
     df = seq_df(spark, [[1, 2]] * 3)
-    b = S.assign_batches(df, batch_size=1)
-    plan = [(r.step, r.epoch, r.batch_id) for r in S.step_plan(b, 7).orderBy("step").collect()]
-    assert [e for _, e, _ in plan] == [0, 0, 0, 1, 1, 1, 2]
-    assert [s for s, _, _ in plan] == list(range(7))
+    plan = [(r.step, r.epoch, r.batch_id) for r in S.step_plan(df, 7, batch_size=1).orderBy("step").collect()]
+    assert plan == [(s, s // 3, s % 3) for s in range(7)]
+
+
+def test_windows_keep_every_pair(spark):
+    seqs = [list(range(100, 100 + n)) for n in (0, 1, 2, 4, 5, 7, 8, 300)]
+    out = S.windows(seq_df(spark, seqs), 4).collect()
+    assert all(2 <= len(r.ids) <= 4 and r.seq_id == f"{r.doc_id}:{r.win}" for r in out)
+    pairs = sorted((r.doc_id, p) for r in out for p in zip(r.ids, r.ids[1:]))
+    assert pairs == sorted((i, p) for i, s in enumerate(seqs) for p in zip(s, s[1:]))
 
 
 def test_step_plan_empty_raises(spark):
@@ -61,4 +67,4 @@ def test_step_plan_empty_raises(spark):
 
     df = seq_df(spark, [[1, 2]]).filter(F.lit(False))
     with pytest.raises(ValueError):
-        S.step_plan(S.assign_batches(df), 10)
+        S.step_plan(df, 10)

@@ -15,10 +15,13 @@ import logging
 import time
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import EOS_ID, PAD_ID
+from ..session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -57,10 +60,12 @@ def ngram_counts(seqs: DataFrame, order: int = DEFAULT_ORDER, ids_col: str = "id
 
 
 def fit(seqs: DataFrame, order: int = DEFAULT_ORDER, ids_col: str = "ids") -> DataFrame:
-    """M1 as a model: the count table, written once (reliable checkpoint).
-    Probabilities and scoring read it several times (totals, each order,
-    the order below), so it is materialised rather than re-aggregated."""
-    return ngram_counts(seqs, order, ids_col).checkpoint(eager=True)
+    """M1 as a model: the count table, written once, partitioned by order, so
+    that whoever reads one order scans that order only."""
+    counts = ngram_counts(seqs, order, ids_col)
+    path = scratch_path(seqs.sparkSession, "ngram_counts")
+    counts.write.partitionBy("order").parquet(path)
+    return seqs.sparkSession.read.schema(counts.schema).parquet(path)
 
 
 def context_totals(counts: DataFrame) -> DataFrame:
@@ -132,12 +137,11 @@ def score_positions(
     pos = pos.drop(ids_col)
     lam_c = F.lit(float(lam))
     c1 = counts.filter(F.col("order") == 1).select("token", F.col("n").alias("c1"))
-    n1 = totals.filter(F.col("order") == 1).select(F.col("n_ctx").alias("n1"))
-    # order 1 has a single context: its total is one row, broadcast on a constant key
-    cur = pos.join(c1, "token", "left").withColumn("_one", F.lit(1))
-    cur = cur.join(F.broadcast(n1.withColumn("_one", F.lit(1))), "_one", "left").drop("_one")
-    prob = lam_c * F.coalesce(F.col("c1"), F.lit(0)) / F.col("n1") + (1 - lam_c) * F.lit(1.0 / vocab_size)
-    cur = cur.withColumn("prob", prob).drop("c1", "n1")
+    # order 1 has a single context, so its total is one value
+    n1 = counts.filter(F.col("order") == 1).agg(F.sum("n")).scalar()
+    cur = pos.join(c1, "token", "left")
+    prob = lam_c * F.coalesce(F.col("c1"), F.lit(0)) / n1 + (1 - lam_c) * F.lit(1.0 / vocab_size)
+    cur = cur.withColumn("prob", prob).drop("c1")
     for k in range(2, order + 1):
         ck = counts.filter(F.col("order") == k).select(F.col("ctx").alias(f"h{k}"), "token", F.col("n").alias("_c"))
         tk = totals.filter(F.col("order") == k).select(F.col("ctx").alias(f"h{k}"), F.col("n_ctx").alias("_t"))
@@ -152,10 +156,18 @@ def score_positions(
     return cur.select(*keys, "p", "token", (-F.log(F.col("prob"))).alias("nll"))
 
 
-def evaluate(nll: DataFrame, batch_keys: tuple[str, ...] = ("batch_id",), max_batches: int = 50) -> DataFrame:
+MAX_EVAL_BATCHES = 50
+
+
+def first_batches(batched: DataFrame, max_batches: int = MAX_EVAL_BATCHES) -> DataFrame:
+    """The rows an evaluation looks at; apply it before scoring."""
+    return batched.filter(F.col("batch_id") < max_batches)
+
+
+def evaluate(nll: DataFrame, batch_keys: tuple[str, ...] = ("batch_id",), max_batches: int = MAX_EVAL_BATCHES) -> DataFrame:
     """M3: mean over the first ``max_batches`` batches of each batch's mean
     token loss (mean of batch means, 0.0 when there is no batch)."""
-    per_batch = nll.filter(F.col("batch_id") < max_batches).groupBy(*batch_keys).agg(F.avg("nll").alias("batch_loss"))
+    per_batch = first_batches(nll, max_batches).groupBy(*batch_keys).agg(F.avg("nll").alias("batch_loss"))
     return per_batch.agg(F.coalesce(F.avg("batch_loss"), F.lit(0.0)).alias("eval_loss"))
 
 
@@ -220,8 +232,8 @@ def size_report(model: DataFrame) -> DataFrame:
 
 @dataclass
 class NgramModel:
-    """Model tables, cut from their lineage (checkpointed) before use in a
-    loop.  ``followers`` holds one row per (order, context) with its next
+    """Model tables, written before use in a loop.  ``followers``, a parquet
+    table partitioned by order, holds one row per (order, context) with its next
     tokens and counts; a context's followers are bounded by the vocabulary."""
 
     followers: DataFrame  # order, ctx, n_ctx, toks array<int>, cnts array<long>
@@ -234,7 +246,7 @@ class NgramModel:
 def build_model(seqs: DataFrame, vocab_size: int, order: int = DEFAULT_ORDER, lam: float = DEFAULT_LAMBDA, max_vocab: int = 1 << 16) -> NgramModel:
     if vocab_size > max_vocab:
         raise ValueError("generation needs a bounded vocabulary")
-    counts = ngram_counts(seqs, order)
+    counts = fit(seqs, order)
     followers = (
         counts.filter(F.col("order") >= 2)
         .groupBy("order", "ctx")
@@ -243,7 +255,10 @@ def build_model(seqs: DataFrame, vocab_size: int, order: int = DEFAULT_ORDER, la
             F.sort_array(F.collect_list(F.struct("token", "n"))).alias("_f"),
         )
         .select("order", "ctx", "n_ctx", F.col("_f.token").alias("toks"), F.col("_f.n").alias("cnts"))
-    ).checkpoint(eager=True)
+    )
+    path = scratch_path(seqs.sparkSession, "followers")
+    followers.write.partitionBy("order").parquet(path)
+    followers = seqs.sparkSession.read.schema(followers.schema).parquet(path)
     uni = {r["token"]: r["n"] for r in counts.filter(F.col("order") == 1).select("token", "n").collect()}
     total = sum(uni.values())
     p1 = {t: lam * uni.get(t, 0) / total + (1 - lam) / vocab_size for t in range(vocab_size)}
@@ -278,16 +293,16 @@ def next_token_logits(active: DataFrame, model: NgramModel, k: int = TOP_K) -> D
         )
         a = a.join(f, f"h{k_}", "left")
     uni_top = _unigram_topk(model.unigram, k)
-    p1map = F.create_map(*[x for t, v in sorted(model.unigram.items()) for x in (F.lit(t), F.lit(v))])
+    p1 = F.split(F.lit(",".join(repr(float(model.unigram[t])) for t in range(model.vocab_size))), ",")
     cand = F.array(*[F.lit(t) for t in uni_top])
     for k_ in range(2, order + 1):
         cand = F.array_union(cand, F.coalesce(F.col(f"toks{k_}"), F.array().cast("array<int>")))
     ex = a.select("*", F.explode(cand).alias("token"))
     lam_c = F.lit(float(lam))
-    prob = F.element_at(p1map, F.col("token"))
+    prob = F.get(p1, F.col("token")).cast("double")
     for k_ in range(2, order + 1):
         fm = F.map_from_arrays(F.col(f"toks{k_}"), F.col(f"cnts{k_}"))
-        c = F.coalesce(F.element_at(fm, F.col("token")), F.lit(0))
+        c = F.coalesce(F.try_element_at(fm, F.col("token")), F.lit(0))
         seen = F.col(f"t{k_}").isNotNull()
         prob = F.when(seen, lam_c * c / F.col(f"t{k_}") + (1 - lam_c) * prob).otherwise(prob)
     return ex.select("prompt_id", "ids", "token", F.log(prob).alias("logit"))
@@ -297,38 +312,56 @@ def _sample_next(a: DataFrame, model: NgramModel, k: int, temperature: float, se
     """Row-local next token (``_next``) for rows holding their context lookups.
 
     Same maths as ``top_k`` -> ``apply_temperature`` -> ``softmax`` ->
-    ``draw`` on the candidate table, but on the bounded candidate array of
-    one prompt, so a generation round needs no window shuffle.  Built as
-    successive named columns so no sub-expression is repeated."""
-    order, lam = model.order, model.lam
-    empty_i, empty_l = F.array().cast("array<int>"), F.array().cast("array<bigint>")
-    p1map = F.create_map(*[x for t, v in sorted(model.unigram.items()) for x in (F.lit(t), F.lit(v))])
-    cand = F.array(*[F.lit(t) for t in _unigram_topk(model.unigram, k)])
-    for k_ in range(2, order + 1):
-        cand = F.array_union(cand, F.coalesce(F.col(f"toks{k_}"), empty_i))
-        a = a.withColumn(f"_fm{k_}", F.map_from_arrays(F.coalesce(F.col(f"toks{k_}"), empty_i), F.coalesce(F.col(f"cnts{k_}"), empty_l)))
-    a = a.withColumn("_cand", F.array_sort(cand))  # token-id order, as the draw walks it
-
-    def prob(w):
-        p = F.element_at(p1map, w)
-        for k_ in range(2, order + 1):
-            c = F.coalesce(F.element_at(F.col(f"_fm{k_}"), w), F.lit(0))
-            p = F.when(F.col(f"t{k_}").isNotNull(), F.lit(lam) * c / F.col(f"t{k_}") + F.lit(1 - lam) * p).otherwise(p)
-        return p
-
-    a = a.withColumn("_sc", F.transform("_cand", lambda w: F.struct(w.alias("token"), (F.log(prob(w)) / F.lit(float(temperature))).alias("logit"))))
-    if k > 0:
-        a = a.withColumn("_desc", F.sort_array(F.transform("_sc", lambda x: x["logit"]), asc=False))
-        a = a.withColumn("_thr", F.element_at("_desc", F.least(F.lit(k), F.size("_desc"))))
-        a = a.withColumn("_sc", F.filter("_sc", lambda x: x["logit"] >= F.col("_thr")))
-    a = a.withColumn("_mx", F.array_max(F.transform("_sc", lambda x: x["logit"])))
-    a = a.withColumn("_ex", F.transform("_sc", lambda x: F.exp(x["logit"] - F.col("_mx"))))
-    a = a.withColumn("_z", F.aggregate("_ex", F.lit(0.0), lambda acc, v: acc + v))
-    a = a.withColumn("_p", F.transform("_ex", lambda v: v / F.col("_z")))
-    a = a.withColumn("_cum", F.transform("_p", lambda _, i: F.aggregate(F.slice(F.col("_p"), 1, i + 1), F.lit(0.0), lambda acc, v: acc + v)))
+    ``draw`` on the candidate table, as vector arithmetic over the (bounded)
+    vocabulary in one Arrow-batched UDF: a prompt's step costs time in
+    proportion to the vocabulary and the followers of its contexts."""
+    lam, size = model.lam, model.vocab_size
+    unigram = np.array([model.unigram[t] for t in range(size)])
+    orders = range(2, model.order + 1)
+
+    def draw_one(u: float, found: list) -> int:
+        p = unigram
+        for total, toks, counts in found:
+            if toks is not None and total == total:
+                p = (1 - lam) * p
+                p[toks] += lam * counts / total
+        logit = np.log(p) / temperature
+        # ties are kept: what differs from the k-th largest only by rounding is tied
+        if 0 < k < size:
+            kept = np.flatnonzero(logit >= np.partition(logit, size - k)[size - k] - 1e-12)
+        else:
+            kept = np.arange(size)
+        e = np.exp(logit[kept] - logit[kept].max())
+        reached = np.searchsorted(np.cumsum(e / e.sum()), u, side="left")
+        return int(kept[min(reached, len(kept) - 1)])
+
+    @F.pandas_udf("int")
+    def next_token(u: pd.Series, found: pd.DataFrame) -> pd.Series:
+        cols = [(found[f"t{o}"], found[f"toks{o}"], found[f"cnts{o}"]) for o in orders]
+        return pd.Series([draw_one(x, [(t.iat[i], w.iat[i], c.iat[i]) for t, w, c in cols]) for i, x in enumerate(u)], dtype="int32")
+
     u = uniform(F.concat_ws(":", F.lit(str(seed)), F.col("prompt_id").cast("string"), F.lit(str(step))))
-    hits = F.filter(F.arrays_zip(F.transform("_sc", lambda x: x["token"]).alias("t"), F.col("_cum").alias("c")), lambda x: x["c"] >= u)
-    return a.withColumn("_next", F.coalesce(F.element_at(hits, 1)["t"], F.element_at("_sc", -1)["token"]))
+    found = F.struct(*[F.col(f"{c}{o}") for o in orders for c in ("t", "toks", "cnts")])
+    if model.order < 2:
+        found = F.struct(F.lit(0).alias("none"))
+    return a.withColumn("_next", next_token(u, found))
+
+
+def _look_up(a: DataFrame, model: NgramModel, max_context: int) -> DataFrame:
+    """Adds ``h, t, toks, cnts`` of each order's context to every row.
+
+    The follower table is first cut to the distinct contexts of the batch: while
+    those are few, they are broadcast (Spark checks their size) and the table is
+    only scanned; the join back is then small."""
+    ctx = F.slice("ids", -max_context, max_context)
+    for o in range(2, model.order + 1):
+        a = a.withColumn(f"h{o}", F.when(F.size("ids") >= o - 1, F.array_join(F.slice(ctx, -(o - 1), o - 1), " ")))
+    for o in range(2, model.order + 1):
+        asked = a.select(F.col(f"h{o}").alias("ctx")).distinct()
+        hit = model.followers.filter(F.col("order") == o).join(asked, "ctx", "left_semi")
+        hit = hit.select(F.col("ctx").alias(f"h{o}"), F.col("n_ctx").alias(f"t{o}"), F.col("toks").alias(f"toks{o}"), F.col("cnts").alias(f"cnts{o}"))
+        a = a.join(hit, f"h{o}", "left")
+    return a
 
 
 def generate(
@@ -351,22 +384,22 @@ def generate(
     """
     if not temperature > 0:
         raise ValueError("temperature must be > 0")
-    state = prompts.select("prompt_id", "ids", F.size("ids").alias("n_prompt"), F.lit(False).alias("done"))
-    state = state.checkpoint(eager=True)
+    spark = prompts.sparkSession
+    folder = scratch_path(spark, "generate")
+
+    def written(df: DataFrame, step: int) -> DataFrame:
+        # a table, not an RDD: the planner knows its size, and the plan stays
+        # one round deep
+        df.write.parquet(f"{folder}/{step}")
+        return spark.read.parquet(f"{folder}/{step}")
+
+    first = prompts.select("prompt_id", "ids", F.size("ids").alias("n_prompt"), F.lit(False).alias("done"))
+    state = written(first, 0)
     n_parts = max(1, state.rdd.getNumPartitions())
-    order = model.order
     for step in range(max_new_tokens):
         t_round = time.time()
         finished = state.filter(F.col("done"))
-        a = state.filter(~F.col("done"))
-        ctx = F.slice("ids", -max_context, max_context)
-        for k_ in range(2, order + 1):
-            a = a.withColumn(f"h{k_}", F.when(F.size("ids") >= k_ - 1, F.array_join(F.slice(ctx, -(k_ - 1), k_ - 1), " ")))
-        for k_ in range(2, order + 1):
-            f = model.followers.filter(F.col("order") == k_).select(
-                F.col("ctx").alias(f"h{k_}"), F.col("n_ctx").alias(f"t{k_}"), F.col("toks").alias(f"toks{k_}"), F.col("cnts").alias(f"cnts{k_}")
-            )
-            a = a.join(f, f"h{k_}", "left")
+        a = _look_up(state.filter(~F.col("done")), model, max_context)
         a = _sample_next(a, model, k, temperature, seed, step)
         stepped = a.select(
             "prompt_id",
@@ -374,13 +407,11 @@ def generate(
             "n_prompt",
             (F.col("_next") == eos_id).alias("done"),
         )
-        # the state (one row per prompt) feeds both branches of the next
-        # round, so it is written every round: the plan stays one round deep
-        # (a union adds up partition counts: coalesce, narrow, to keep the
-        # task count per round constant)
-        state = finished.unionByName(stepped).coalesce(n_parts).checkpoint(eager=True)
+        # a union adds up partition counts: coalesce (narrow) keeps the task
+        # count per round constant
+        state = written(finished.unionByName(stepped).coalesce(n_parts), step + 1)
         log.info("generation round %d: %.2fs", step, time.time() - t_round)
         # an empty active set makes a round nearly free; check every few rounds
-        if (step + 1) % 4 == 0 and state.filter(~F.col("done")).limit(1).count() == 0:
+        if (step + 1) % 4 == 0 and state.filter(~F.col("done")).isEmpty():
             break
     return state.select("prompt_id", "ids", "n_prompt", F.slice("ids", F.col("n_prompt") + 1, F.size("ids")).alias("new_ids"))

@@ -25,9 +25,9 @@ def quant_params(df: DataFrame, col: str = "embedding") -> DataFrame:
 
 def quantise_uint8(df: DataFrame, col: str = "embedding", out: str = "q") -> DataFrame:
     """Q1: ``q = clamp(floor(x / scale + 0.5) + zp, 0, 255)`` for every element.
-    The parameters are one row, broadcast on a constant key."""
-    params = quant_params(df, col).withColumn("_one", F.lit(1))
-    joined = df.withColumn("_one", F.lit(1)).join(F.broadcast(params), "_one").drop("_one")
+    The parameters are one row, taken as a scalar subquery."""
+    params = quant_params(df, col).select(F.struct("scale", "zero_point").alias("p")).scalar()
+    joined = df.withColumn("_qp", params).select("*", "_qp.scale", "_qp.zero_point").drop("_qp")
     q = F.transform(
         col,
         lambda x: F.least(
