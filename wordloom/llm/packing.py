@@ -39,7 +39,7 @@ from .common import text_or_empty
 SEQ_TOKENS = 2048
 MAX_SEGMENTS = 128
 POOL = 512  # waiting items a task chooses from
-CACHE_UNITS = 300_000  # per generation of the word cache; two are held
+CACHE_UNITS = 400_000  # per generation of the word cache; two are held
 END_ID = 1
 
 # a blank with white space on neither side always starts a new pre-token
@@ -47,6 +47,7 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 NOT_PLAIN = re.compile(r" \s|\s ")
 LINE_FEED = re.compile(r"(?<=\S)(\n)(?=\S)")
 CLOSING = re.compile(r"(.*[^\W_])([.,;:!?]+)", re.DOTALL)
+LED = re.compile(r" \S+")
 SLICE = 64  # documents encoded together
 
 
@@ -62,9 +63,32 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a token's signs are its bytes
+        for token, k in vocabulary.items():
+            self.lengths[k] = len(token)
         self.young: dict[object, bytes] = {}
         self.old: dict[object, bytes] = {}
 
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part.  Parts led by a blank are encoded as one string,
+        which is cut where the tokens' byte lengths reach the parts' ends."""
+        led, alone = [], []
+        for p in parts:
+            (led if LED.fullmatch(p) else alone).append(p)
+        found: dict[str, bytes] = {}
+        if led:
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(led)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.cumsum([len(p.encode()) for p in led])
+            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+            raw = ids.tobytes()
+            for p, lo, hi in zip(led, [0, *cuts.tolist()], cuts.tolist()):
+                found[p] = raw[4 * lo : 4 * hi]
+        if alone:
+            for p, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+                found[p] = array("I", e.ids).tobytes()
+        return [found[p] for p in parts]
+
     def _learn(self, units: set) -> None:
         """Put the ids of blank-led units (a 1-tuple: of the unit itself) into
         the young cache; parts never seen are encoded together."""
@@ -78,9 +102,8 @@ class UnitEncoder:
                 parts_of[u] = parts = unit_parts(" " + u if u.__class__ is str else u[0])
                 for p in parts:
                     need[p] = None
-        encoded = self.tokenizer.encode_batch_fast(list(need), add_special_tokens=False)
-        for p, e in zip(need, encoded, strict=True):
-            need[p] = array("I", e.ids).tobytes()
+        for p, ids in zip(need, self._encode_parts(list(need)), strict=True):
+            need[p] = ids
         for u, parts in parts_of.items():
             young[u] = need[parts[0]] if len(parts) == 1 else b"".join([need[p] for p in parts])
 
@@ -88,18 +111,27 @@ class UnitEncoder:
         """The ids of each text as little-endian 32-bit numbers."""
         if len(self.young) > CACHE_UNITS:
             self.young, self.old = {}, self.young
-        many = []
+        many, missing = [], set()
         for text in texts:
             units: list = CUT.split(text) if NOT_PLAIN.search(text) else text.split(" ")
             units[0] = (units[0],)  # no blank before it
-            many.append(units)
-        self._learn(set().union(*many).difference(self.young))
-        return [b"".join(map(self.young.__getitem__, units)) for units in many]
+            ids = list(map(self.young.get, units))
+            gaps = [k for k, x in enumerate(ids) if x is None]
+            missing.update([units[k] for k in gaps])
+            many.append((units, ids, gaps))
+        self._learn(missing)
+        young = self.young
+        for units, ids, gaps in many:
+            for k in gaps:
+                ids[k] = young[units[k]]
+        return [b"".join(ids) for _, ids, _ in many]
 
 
 def unit_parts(unit: str) -> list[str]:
     """Cuts a unit at places where the pre-tokeniser always starts a new token:
     round a lone line feed, and before closing punctuation."""
+    if unit[-1:].isalnum() and "\n" not in unit:
+        return [unit]
     out = []
     for piece in LINE_FEED.split(unit):
         m = CLOSING.fullmatch(piece)
