@@ -142,3 +142,31 @@ def test_evaluation_stops_at_max_batches(spark):
     nll = spark.createDataFrame(rows, "doc_id long, p int, token int, nll double, batch_id int")
     assert N.evaluate(nll, max_batches=3).first().eval_loss == pytest.approx(1.0)
     assert N.first_batches(nll, 2).count() == 2
+
+
+def test_generation_uses_the_contexts_of_short_prompts(spark):
+    import hashlib
+
+    model = N.build_model(seq_df(spark, SEQS), V)
+    prompts = {0: [1, 3], 1: [1, 5], 2: [4], 3: [1, 3, 4]}
+    df = spark.createDataFrame(list(prompts.items()), "prompt_id long, ids array<int>")
+    got = {r.prompt_id: list(r.new_ids) for r in N.generate(df, model, max_new_tokens=5, k=4).collect()}
+    c = brute_counts(SEQS)
+    for pid, ids in prompts.items():
+        line, out = list(ids), []
+        for step in range(5):
+            logit = {w: math.log(brute_p(c, line, w)) / 0.7 for w in range(V)}
+            low = sorted(logit.values())[-4]
+            kept = [w for w in range(V) if logit[w] >= low - 1e-12]
+            e = [math.exp(logit[w] - max(logit.values())) for w in kept]
+            u, acc, pick = int(hashlib.md5(f"42:{pid}:{step}".encode()).hexdigest()[:8], 16) / 2**32, 0.0, kept[-1]
+            for w, x in zip(kept, e):
+                acc += x / sum(e)
+                if acc >= u:
+                    pick = w
+                    break
+            line.append(pick)
+            out.append(pick)
+            if pick == 2:
+                break
+        assert got[pid] == out, pid

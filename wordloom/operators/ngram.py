@@ -353,9 +353,10 @@ def _look_up(a: DataFrame, model: NgramModel, max_context: int) -> DataFrame:
     The follower table is first cut to the distinct contexts of the batch: while
     those are few, they are broadcast (Spark checks their size) and the table is
     only scanned; the join back is then small."""
-    ctx = F.slice("ids", -max_context, max_context)
     for o in range(2, model.order + 1):
-        a = a.withColumn(f"h{o}", F.when(F.size("ids") >= o - 1, F.array_join(F.slice(ctx, -(o - 1), o - 1), " ")))
+        # a context longer than what the model may look back on is never met
+        known = (F.size("ids") >= o - 1) & F.lit(o - 1 <= max_context)
+        a = a.withColumn(f"h{o}", F.when(known, F.array_join(F.slice("ids", -(o - 1), o - 1), " ")))
     for o in range(2, model.order + 1):
         asked = a.select(F.col(f"h{o}").alias("ctx")).distinct()
         hit = model.followers.filter(F.col("order") == o).join(asked, "ctx", "left_semi")

@@ -230,19 +230,66 @@ def bpe_cte(merges: int = BPE_MERGES) -> str:
     return ",\n".join(parts)
 
 
-def bpe_encode_cte(merges: int = BPE_MERGES) -> str:
-    """CTE ``enc (doc_id, split, sample, ids)``: token ids of the corpus, whose
-    only markers are those of the wrapping."""
+def _merge_steps(merges: int) -> str:
     state = "st"
     for k in range(1, merges + 1):
         state = f"replace({state}, ' ' || l{k} || '  ' || r{k} || ' ', ' ' || n{k} || ' ')"
-    symbol = "chr(CASE WHEN {b} < 33 THEN 256 + {b} WHEN {b} >= 127 AND {b} <= 160 THEN {b} + 162 WHEN {b} = 173 THEN 323 ELSE {b} END)".format(b="CAST('0x' || h AS INTEGER)")
+    return state
+
+
+_SYMBOL = "chr(CASE WHEN {b} < 33 THEN 256 + {b} WHEN {b} >= 127 AND {b} <= 160 THEN {b} + 162 WHEN {b} = 173 THEN 323 ELSE {b} END)".format(b="CAST('0x' || h AS INTEGER)")
+
+
+def encode_body_cte(out: str, source: str, key: str, merges: int = BPE_MERGES) -> str:
+    """CTEs ending in ``out (key, ids)``: merged ids of ``source (key, body)``,
+    whose bodies hold no marker.  Bytes outside the alphabet are dropped."""
+    return f"""
+{out}_w AS (SELECT {key}, unnest(w) AS word, unnest(generate_series(1, len(w))) AS pos FROM (SELECT {key}, regexp_extract_all(body, '{SQL_PAT}') AS w FROM {source})),
+{out}_d AS (SELECT word, list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda h: {_SYMBOL}) AS s FROM (SELECT DISTINCT word FROM {out}_w)),
+{out}_p AS (SELECT word, unnest(s) AS sym, unnest(generate_series(1, len(s))) AS pos FROM {out}_d),
+{out}_0 AS (SELECT word, ' ' || string_agg(CAST(id AS VARCHAR), '  ' ORDER BY pos) || ' ' AS st FROM {out}_p JOIN alpha ON token = sym GROUP BY word),
+{out}_e AS MATERIALIZED (SELECT word, CAST(string_split(trim({_merge_steps(merges)}), '  ') AS INTEGER[]) AS ids FROM {out}_0, mg),
+{out} AS MATERIALIZED (SELECT {key}, flatten(list(e.ids ORDER BY pos)) AS ids FROM {out}_w JOIN {out}_e AS e USING (word) GROUP BY {key})"""
+
+
+def bpe_encode_cte(merges: int = BPE_MERGES) -> str:
+    """CTE ``enc (doc_id, split, sample, ids)``: token ids of the corpus, whose
+    only markers are those of the wrapping."""
     return f"""
 body AS (SELECT doc_id, split, sample, substr(sample, 13, length(sample) - 22) AS body FROM corpus),
-bw AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS pos FROM (SELECT doc_id, regexp_extract_all(body, '{SQL_PAT}') AS w FROM body)),
-dw AS (SELECT word, list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda h: {symbol}) AS s FROM (SELECT DISTINCT word FROM bw)),
-dp AS (SELECT word, unnest(s) AS sym, unnest(generate_series(1, len(s))) AS pos FROM dw),
-d0 AS (SELECT word, ' ' || string_agg(CAST(id AS VARCHAR), '  ' ORDER BY pos) || ' ' AS st FROM dp JOIN alpha ON token = sym GROUP BY word),
-de AS MATERIALIZED (SELECT word, CAST(string_split(trim({state}), '  ') AS INTEGER[]) AS ids FROM d0, mg),
-enc AS (SELECT doc_id, split, sample, list_concat([1], flatten(list(de.ids ORDER BY pos)), [2]) AS ids
-        FROM bw JOIN de USING (word) JOIN body USING (doc_id) GROUP BY doc_id, split, sample)"""
+{encode_body_cte("eb", "body", "doc_id", merges)},
+enc AS (SELECT doc_id, split, sample, list_concat([1], eb.ids, [2]) AS ids FROM body JOIN eb USING (doc_id))"""
+
+
+def generate_cte(prompts: str, max_new: int = 64, k: int = 50, temperature: float = 0.7, seed: int = 42) -> str:
+    """CTE ``gen (prompt_id, step, ids, done)``: every step of sampling from the
+    interpolated 3-gram model of the encoded train split, for ``prompts
+    (prompt_id, ids)``."""
+    return f"""
+vsz AS (SELECT max(id) + 1 AS v FROM k{BPE_MERGES}),
+tr AS (SELECT ids, unnest(generate_series(1, len(ids) - 1)) AS i FROM enc WHERE split = 'train'),
+m1 AS (SELECT ids[i + 1] AS t, count(*) AS c FROM tr GROUP BY ALL),
+m2 AS MATERIALIZED (SELECT ids[i] AS a, ids[i + 1] AS t, count(*) AS c FROM tr GROUP BY ALL),
+m3 AS MATERIALIZED (SELECT ids[i - 1] AS a, ids[i] AS b, ids[i + 1] AS t, count(*) AS c FROM tr WHERE i >= 2 GROUP BY ALL),
+c2 AS MATERIALIZED (SELECT a, sum(c) AS n FROM m2 GROUP BY ALL),
+c3 AS MATERIALIZED (SELECT a, b, sum(c) AS n FROM m3 GROUP BY ALL),
+voc AS MATERIALIZED (SELECT CAST(r.t AS INTEGER) AS t, 0.5::DOUBLE * coalesce(m1.c, 0) / (SELECT sum(c) FROM m1) + 0.5::DOUBLE / v AS p1
+        FROM vsz, range(v) AS r(t) LEFT JOIN m1 ON m1.t = r.t),
+gen AS (
+  SELECT prompt_id, 0 AS step, ids, false AS done FROM {prompts}
+  UNION ALL
+  SELECT prompt_id, step + 1, list_append(any_value(ids), coalesce(min(CASE WHEN acc >= u THEN t END), max(t))),
+         coalesce(min(CASE WHEN acc >= u THEN t END), max(t)) = 2
+  FROM (SELECT prompt_id, step, ids, t, sum(e) OVER (PARTITION BY prompt_id ORDER BY t) / sum(e) OVER (PARTITION BY prompt_id) AS acc,
+               CAST(CAST('0x' || substr(md5('{seed}:' || prompt_id || ':' || step), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS u
+        FROM (SELECT prompt_id, step, ids, t, exp(logit - max(logit) OVER (PARTITION BY prompt_id)) AS e
+              FROM (SELECT *, max(CASE WHEN rn = {k} THEN logit END) OVER (PARTITION BY prompt_id) AS thr
+                    FROM (SELECT *, row_number() OVER (PARTITION BY prompt_id ORDER BY logit DESC) AS rn
+                          FROM (SELECT prompt_id, step, ids, t, ln(CASE WHEN n3 IS NULL THEN p2 ELSE 0.5::DOUBLE * coalesce(k3, 0) / n3 + 0.5::DOUBLE * p2 END) / {temperature}::DOUBLE AS logit
+                                FROM (SELECT g.prompt_id, g.step, g.ids, voc.t, c3.n AS n3, m3.c AS k3,
+                                             CASE WHEN c2.n IS NULL THEN p1 ELSE 0.5::DOUBLE * coalesce(m2.c, 0) / c2.n + 0.5::DOUBLE * p1 END AS p2
+                                      FROM (SELECT *, ids[-1] AS z, ids[-2] AS y FROM gen WHERE NOT done AND step < {max_new}) AS g CROSS JOIN voc
+                                      LEFT JOIN c2 ON c2.a = z LEFT JOIN m2 ON m2.a = z AND m2.t = voc.t
+                                      LEFT JOIN c3 ON c3.a = y AND c3.b = z LEFT JOIN m3 ON m3.a = y AND m3.b = z AND m3.t = voc.t))))
+              WHERE thr IS NULL OR logit >= thr - 1e-12))
+  GROUP BY prompt_id, step)"""

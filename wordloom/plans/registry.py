@@ -643,7 +643,19 @@ def bpe_model(spark, d) -> ngram.NgramModel:
     return C._cache[key]
 
 
-@register("generate_batch")
+_LAST = f"""
+lastm AS (SELECT conv_id AS prompt_id, 'assistant' || {NL} || coalesce(arg_max_null(text, turn), '') AS body FROM conversations GROUP BY conv_id),
+{C.encode_body_cte("pe", "lastm", "prompt_id")},
+pids AS (SELECT prompt_id, list_prepend(1, ids) AS ids FROM pe)"""
+_GEN = f"{_ENC}, {_LAST}, {C.generate_cte('pids')}".replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register(
+    "generate_batch",
+    f"{_GEN} SELECT prompt_id, CAST(len(pids.ids) AS INTEGER) AS n_prompt, CAST(step AS INTEGER) AS n_new, "
+    "array_to_string(g.ids[len(pids.ids) + 1:], ' ') AS new_ids FROM "
+    "(SELECT * FROM gen QUALIFY row_number() OVER (PARTITION BY prompt_id ORDER BY step DESC) = 1) AS g JOIN pids USING (prompt_id)",
+)
 def generate_batch(spark, d):
     tok = C.learned_tokenizer(spark, d)
     prompts = chat.last_message_prompt(C.table(spark, d, "conversations"))
