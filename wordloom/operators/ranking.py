@@ -246,6 +246,16 @@ def split_summary(split_df: DataFrame) -> DataFrame:
     )
 
 
+def split_overlap(split_df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Number of texts that occur in both splits and of rows that hold
+    them (partial counts per text's digest; texts are not shuffled)."""
+    per_text = split_df.groupBy(F.sha2(F.col(text_col), 256).alias("sha")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("split").alias("lo"), F.max("split").alias("hi")
+    )
+    both = per_text.filter(F.col("lo") != F.col("hi"))
+    return both.agg(F.count(F.lit(1)).alias("n_texts"), F.sum("n").alias("n_rows"))
+
+
 def tokenizer_corpus(split_df: DataFrame, train_only: bool = False, id_col: str = "doc_id") -> DataFrame:
     """Wrapped samples the vocabulary is learned on: train + eval (the
     reference learns on both), or train only."""

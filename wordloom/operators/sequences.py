@@ -128,6 +128,14 @@ def pad_batch(df: DataFrame, pad_id: int = PAD_ID, keys: tuple[str, ...] = ("spl
     return out.withColumn("x_pad", fill("x")).withColumn("y_pad", fill("y"))
 
 
+def padding_report(pairs: DataFrame, keys: tuple[str, ...] = ("split", "batch_id")) -> DataFrame:
+    """Rows, real positions and padding of every batch.  The padding is
+    what lacks to the longest row, so a grouping with partial sums suffices."""
+    size = F.size("x").cast("bigint")
+    sums = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(size).alias("n_real"), F.max(size).alias("_longest"))
+    return sums.select(*keys, "n_rows", "n_real", (F.col("n_rows") * F.col("_longest") - F.col("n_real")).alias("n_pad"))
+
+
 def step_plan(train: DataFrame, max_steps: int, batch_size: int = BATCH_SIZE) -> DataFrame:
     """``(step, epoch, batch_id)`` — epochs repeat over the train batches
     until the step budget ends, possibly mid-epoch.  Only the number of

@@ -109,6 +109,38 @@ def config_normalise(spark, d):
     return cfg.normalise_config(ev.unionByName(extra), "config", keep=("event_id",))
 
 
+@register("corpus_scan_json", "SELECT doc_id, text FROM documents")
+def corpus_scan_json(spark, d):
+    """S1, JSON format: the documents written as JSON lines and read back."""
+    path = scratch_path(spark, "corpus-json")
+    C.table(spark, d, "documents").select("doc_id", "text").write.json(path)
+    return src.read_corpus(spark, path, fmt="json")
+
+
+@register(
+    "corpus_scan_text",
+    "SELECT line AS text, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY line",
+)
+def corpus_scan_text(spark, d):
+    """S1, text format: lines written as plain text and read back; a line's id
+    comes from its text, so equal lines share it."""
+    path = scratch_path(spark, "corpus-text")
+    C.table(spark, d, "documents").select(F.explode(F.split("text", "\n")).alias("value")).write.text(path)
+    lines = src.read_corpus(spark, path, fmt="text")
+    return lines.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n")).select("text", "n")
+
+
+@register(
+    "config_public_keys",
+    "SELECT " + ", ".join(f"{own} AS {public}" for own, public, _, _, _ in cfg.CONFIG_FIELDS) + f" FROM ({_cfg_sql()}) AS c",
+)
+def config_public_keys(spark, d):
+    """S8 inverted: normalised configs under the public key names."""
+    ev = C.table(spark, d, "events").select("event_id", F.col("props").alias("config"))
+    extra = spark.createDataFrame(C.CONFIG_ROWS, "event_id long, config string")
+    return cfg.to_public_keys(cfg.normalise_config(ev.unionByName(extra), "config", keep=("event_id",)))
+
+
 # ---- P: projections and scalar text functions -----------------------------------
 
 @register("clean_text", f"SELECT doc_id, {sql_clean('text')} AS text FROM {EDGE_SQL}")
@@ -189,6 +221,26 @@ def train_eval_split(spark, d):
     return ranking.train_eval_split(C.documents(spark, d)).select("doc_id", "rank", "split")
 
 
+@register(
+    "split_of_sample",
+    f"WITH {SPLIT_CTE} SELECT doc_id, CASE WHEN rank <= floor(least(total, 300) * CAST(0.05 AS DOUBLE)) THEN 'eval' ELSE 'train' END AS split "
+    "FROM ranked WHERE rank <= 300",
+)
+def split_of_sample(spark, d):
+    """X3 with ``n_samples``: the first 300 of the seeded order, then split."""
+    return ranking.split_by_threshold(C.documents(spark, d), n_samples=300).select("doc_id", "split")
+
+
+@register(
+    "split_overlap",
+    f"WITH {SPLIT_CTE} SELECT count(*) AS n_texts, sum(n_rows) AS n_rows FROM "
+    "(SELECT text, count(*) AS n_rows FROM split GROUP BY text HAVING count(DISTINCT split) > 1)",
+)
+def split_overlap(spark, d):
+    """Texts that occur in both splits, and the rows that hold them."""
+    return ranking.split_overlap(C.split(spark, d))
+
+
 @register(
     "split_summary",
     f"WITH {SPLIT_CTE} SELECT split, count(*) AS n_rows FROM split GROUP BY split "
@@ -439,6 +491,17 @@ def pad_batch(spark, d):
     )
 
 
+@register(
+    "padding_report",
+    f"WITH {SPLIT_CTE}, {WORDS_CTE}, {_BATCH_SQL}, "
+    "p AS (SELECT *, max(len(ids) - 1) OVER (PARTITION BY split, epoch, batch_id) AS padded_len FROM b2) "
+    "SELECT split, batch_id, count(*) AS n_rows, sum(len(ids) - 1) AS n_real, sum(padded_len - (len(ids) - 1)) AS n_pad FROM p GROUP BY split, batch_id",
+)
+def padding_report(spark, d):
+    """Real and padded positions of every batch."""
+    return sequences.padding_report(sequences.shift_pairs(_batched(spark, d)))
+
+
 @register(
     "step_plan",
     f"WITH {SPLIT_CTE}, {WORDS_CTE}, nb AS (SELECT CAST(ceil(count(*) / 32.0) AS BIGINT) AS n FROM wins WHERE split = 'train') "
