@@ -97,3 +97,25 @@ def test_empty_table_and_empty_training(spark):
     only = next(i for i in range(100) if held_out(i))
     r = kn_lm.score_documents(spark.createDataFrame([(only, "a b")], "doc_id bigint, text string")).first()
     assert r["train_tokens"] == 0 and r["n_known"] == 0 and r["score"] == pytest.approx(0.0)
+
+
+def test_registered_model_reads_two_words_of_context(spark):
+    docs = [(1, "a b c a b c d b e d b e")] * 5 + [(2, "a b c"), (3, "d b c")]
+    got = {r["doc_id"]: r["score"] for r in kn_lm.score_documents(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    want = brute(docs, 3)
+    assert all(got[i] == pytest.approx(want[i][5], rel=1e-9) for i in got)
+    assert got[2] != pytest.approx(brute(docs, 2)[2][5], rel=1e-3)
+
+
+def test_counts_beyond_a_byte(spark):
+    docs = [(1, "u v w " * 254), (2, "u v w " * 255), (3, "p q " * 700 + "u v"), (4, "u q w")]
+    got = {r["doc_id"]: r["score"] for r in kn_lm.score_documents(spark.createDataFrame(docs, "doc_id bigint, text string"), shard_bytes=1000).collect()}
+    want = brute(docs, 3)
+    assert all(got[i] == pytest.approx(want[i][5], rel=1e-9) for i in got)
+
+
+def test_order_four_equals_brute_force(spark):
+    docs = spark.createDataFrame(TEXTS, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["score"] for r in kn_lm.score_documents(docs, order=4, shard_bytes=100).collect()}
+    want = brute(TEXTS, 4)
+    assert all(got[i] == pytest.approx(want[i][5], rel=1e-9) for i in got)

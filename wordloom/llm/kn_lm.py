@@ -1,19 +1,23 @@
 """Interpolated modified Kneser-Ney n-gram model, counted in Spark, stored as
-sorted hash arrays and memory-mapped by the workers that score texts.
+sorted arrays and memory-mapped by the workers that score texts.
 
-Counting.  A task hashes its words, counts n-grams per few million tokens and
+Counting.  Words are counted first and get ids, their places in the order of
+their hashes.  Then a task counts n-grams of ids per few million tokens and
 emits them packed by shard, a range of context hashes; shards grow in number
 with the text (``SHARD_BYTES``), so a shard's size does not.  The task that
 merges a shard of order k writes its arrays to the shared model folder and emits,
 for every distinct k-gram, one count for its suffix of order k - 1: continuation
 counts, which are shuffled on in the same way down to order 1.  A context's
-followers meet in one task as distinct words with counts (16 bytes each, at most
-the vocabulary), never as occurrences.  Files are written under a temporary
-name and renamed, with the same bytes by any attempt.
-
-Model, per order: sorted hashes of (context, word) with counts, and sorted
-hashes of contexts with totals and the numbers of followers seen once, twice
-and more often.  Discounts follow from the numbers of n-grams seen 1..4 times,
+followers meet in one task as distinct words with counts (at most the
+vocabulary), never as occurrences; packed rows are compressed steps between
+sorted ids.  Files are written under a temporary name and renamed, with the same
+bytes by any attempt.
+
+Model, per order: the sorted contexts, where each one's followers start, the
+followers' ids in order, and their counts as bytes (the few large ones apart).
+Totals and numbers of followers seen once, twice and more often are kept for
+contexts of more than ``FEW`` followers and summed up for the others.
+Discounts follow from the numbers of n-grams seen 1..4 times,
 summed in Spark.  With a(.) the count (top order) or continuation count,
 
     p(w | h) = max(a(hw) - D(a(hw)), 0) / a(h.) + gamma(h) p(w | h')
@@ -47,18 +51,19 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import LOWER_BLANK, crc32_of_id, text_or_empty
 
-ORDER = 2
+ORDER = 3
 SHARD_BYTES = 24 << 20  # training text per shard
 BLOCK_TOKENS = 2_000_000  # tokens a task counts at a time
 SCORE_TOKENS = 500_000  # tokens a task scores at a time
+FEW = 8  # followers whose counts are summed up when scoring
 
 # neither can be a word
 START, END = xxhash.xxh64_intdigest(b" "), xxhash.xxh64_intdigest(b"\n")
 
-PACKED = "shard int, kind string, ctx binary, followers binary, words binary, counts binary, stats array<bigint>"
+PACKED = "shard int, kind string, vocab binary, planes binary, stats array<bigint>"
 PACKED_SCHEMA = pa.schema(
     [("shard", pa.int32()), ("kind", pa.string())]
-    + [(c, pa.binary()) for c in ("ctx", "followers", "words", "counts")]
+    + [(c, pa.binary()) for c in ("vocab", "planes")]
     + [("stats", pa.list_(pa.int64()))]
 )
 
@@ -80,61 +85,117 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-def context_hash(words: np.ndarray) -> np.ndarray:
-    """Hash of each row of context words, oldest first; one word is its own."""
-    h = words[:, -1].copy()
-    for j in range(words.shape[1] - 2, -1, -1):
-        h = mix(words[:, j], h)
-    return h
+def context_key(cols: list[np.ndarray]) -> np.ndarray:
+    """Key of each context of word ids, oldest first: the ids themselves for
+    one or two, a hash of more."""
+    key = cols[-1].astype(np.uint64)
+    if len(cols) == 2:
+        return cols[0].astype(np.uint64) << np.uint64(32) | key
+    for c in cols[-2::-1]:
+        key = mix(c.astype(np.uint64), key)
+    return key
+
+
+def key_shard(key: np.ndarray, shards: int) -> np.ndarray:
+    return shard_of(mix(key, np.full(1, END, np.uint64)), shards)
 
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
 
 
-def histories(docs: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
+def histories(docs: list[np.ndarray], order: int, start: int = START) -> tuple[np.ndarray, np.ndarray]:
     """All tokens of some documents and, per token, the ``order - 1`` tokens
     before it (start tokens before a document's first)."""
-    pad = np.full(order - 1, START, np.uint64)
+    pad = np.full(order - 1, start, docs[0].dtype)
     line = np.concatenate([x for d in docs for x in (pad, d)])
     lengths = np.array([len(d) for d in docs])
     # a token's place in the line: starts pushed in for its and earlier documents
     at = np.arange(lengths.sum()) + np.repeat(np.arange(1, len(docs) + 1), lengths) * (order - 1)
     before = [line[at - j] for j in range(order - 1, 0, -1)]
-    return line[at], np.column_stack(before) if before else np.zeros((len(at), 0), np.uint64)
+    return line[at], np.column_stack(before) if before else np.zeros((len(at), 0), line.dtype)
 
 
 # ---- counting --------------------------------------------------------------
 
 
-def count_grams(ctx: np.ndarray, words: np.ndarray, counts: np.ndarray | None = None):
-    """Distinct (context, word) rows, sorted by context hash, then word:
-    ``(context hash, index of one row with the context, word, count)``."""
-    h = context_hash(ctx) if ctx.shape[1] else np.zeros(len(words), np.uint64)
-    uh, ih = np.unique(h, return_inverse=True)
-    uw, iw = np.unique(words, return_inverse=True)
-    key = ih.astype(np.uint64) * np.uint64(len(uw) + 1) + iw.astype(np.uint64)
+def distinct_grams(cols: list[np.ndarray], size: int, counts: np.ndarray | None = None):
+    """Distinct rows of the id columns (ids below ``size``), sorted, with counts."""
+    bits = max(1, int(size).bit_length())
+    key, used, ranked = cols[0].astype(np.uint64), bits, {}
+    for j, c in enumerate(cols[1:], 1):
+        if used + bits > 64:  # a row no longer is one number: rank what there is
+            ranked[j], key = np.unique(key, return_inverse=True)
+            key, used = key.astype(np.uint64), max(1, len(ranked[j]).bit_length())
+        key, used = key << np.uint64(bits) | c.astype(np.uint64), used + bits
     if counts is None:
-        distinct, first, n = np.unique(key, return_index=True, return_counts=True)
+        key.sort()
     else:
-        distinct, first, inv = np.unique(key, return_index=True, return_inverse=True)
-        n = np.bincount(inv, weights=counts).astype(np.int64)
-    return h[first], first, words[first], n.astype(np.int64)
-
-
-def packed(kind: str, ctx: np.ndarray, h: np.ndarray, words: np.ndarray, counts: np.ndarray, shards: int, by_word: bool):
-    """Rows of PACKED, one per shard, from rows sorted by (context, word)."""
-    to = shard_of(words if by_word else h, shards)
-    if by_word:
-        order = np.argsort(to, kind="stable")
-        to, ctx, h, words, counts = to[order], ctx[order], h[order], words[order], counts[order]
-    cuts = np.flatnonzero(np.diff(to)) + 1
-    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(to)], strict=True):
-        if lo == hi:
-            continue
-        new = np.flatnonzero(np.concatenate(([True], h[lo + 1 : hi] != h[lo : hi - 1]))) if ctx.shape[1] else np.zeros(1, np.int64)
-        sizes = np.diff(np.append(new, hi - lo)).astype(np.uint32)
-        yield (int(to[lo]), kind, ctx[lo:hi][new].tobytes(), sizes.tobytes(), words[lo:hi].tobytes(), counts[lo:hi].astype(np.uint32).tobytes(), None)
+        order = np.argsort(key)
+        key, counts = key[order], counts[order]
+    start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    n = np.diff(np.append(start, len(key))) if counts is None else np.add.reduceat(counts.astype(np.int64), start)
+    key, mask, out = key[start], np.uint64((1 << bits) - 1), []
+    for j in range(len(cols) - 1, 0, -1):
+        out.append((key & mask).astype(np.uint32))
+        key = key >> np.uint64(bits)
+        if j in ranked:
+            key = ranked[j][key]
+    return [key.astype(np.uint32), *out[::-1]], n.astype(np.int64)
+
+
+def starts(cols: list[np.ndarray]) -> np.ndarray:
+    """Where a row of sorted columns differs from the one before."""
+    new = np.zeros(len(cols[0]), bool)
+    new[:1] = True
+    for c in cols:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def steps(x: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Differences inside groups of sorted numbers, their first ones kept."""
+    d = np.diff(x.astype(np.int64), prepend=0)
+    d[start] = x[start]
+    return d
+
+
+def unsteps(d: np.ndarray, start: np.ndarray) -> np.ndarray:
+    x = np.cumsum(d.astype(np.int64))
+    return x - np.repeat(x[start] - d[start], np.diff(np.append(start, len(x))))
+
+
+def planes(*arrays: np.ndarray) -> bytes:
+    """Numbers below 2^32, byte by byte of their significance, compressed."""
+    raw = b"".join(np.ascontiguousarray(x.astype(np.uint32)).view(np.uint8).reshape(-1, 4).T.tobytes() for x in arrays)
+    return pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def from_planes(packed: bytes, lengths: list[int]) -> list[np.ndarray]:
+    raw, at, out = pa.decompress(packed, 4 * sum(lengths), codec="zstd", asbytes=True), 0, []
+    for n in lengths:
+        out.append(np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T.copy().view(np.uint32).ravel())
+        at += 4 * n
+    return out
+
+
+def packed(cols: list[np.ndarray], counts: np.ndarray, shards: int):
+    """Rows of PACKED, one per shard, from sorted distinct rows of word ids:
+    contexts once, followers after them, all as steps."""
+    first = starts(cols[:-1]) if len(cols) > 1 else np.arange(len(counts))
+    to = key_shard(context_key([c[first] for c in cols[:-1] or cols]), shards)
+    to = np.repeat(to.astype(np.int16 if shards < 1 << 15 else np.int32), np.diff(np.append(first, len(counts))))
+    order = np.argsort(to, kind="stable")
+    cuts = np.searchsorted(to[order], np.arange(shards + 1))
+    for s in range(shards):
+        at = order[cuts[s] : cuts[s + 1]]
+        if len(at):
+            own = [c[at] for c in cols]
+            first = starts(own[:-1]) if len(own) > 1 else np.zeros(1, np.int64)
+            ctx = [c[first] for c in own[:-1]]
+            ids = [steps(c, starts(ctx[:j]) if j else np.zeros(1, np.int64)) for j, c in enumerate(ctx)]
+            data = planes(*ids, np.diff(np.append(first, len(at))), steps(own[-1], first), counts[at])
+            yield (s, "gram", None, data, [len(first), len(at)])
 
 
 def as_table(rows: list[tuple]) -> pa.Table:
@@ -142,38 +203,79 @@ def as_table(rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, PACKED_SCHEMA, strict=True)], schema=PACKED_SCHEMA)
 
 
-def counter(order: int, shards: int):
-    """Map side: texts -> packed counts of words and of n-grams."""
+def blocks(batches):
+    """Texts as word hashes, some ``BLOCK_TOKENS`` at a time."""
+    docs, size = [], 0
+    for batch in batches:
+        for text in batch.column(0):
+            docs.append(token_hashes(text.as_py()))
+            size += len(docs[-1])
+            if size >= BLOCK_TOKENS:
+                yield docs
+                docs, size = [], 0
+    if docs:
+        yield docs
+
 
-    def block(docs):
-        words, ctx = histories(docs, order)
-        u, n = np.unique(words, return_counts=True)
-        none = np.zeros((len(u), 0), np.uint64)
-        yield from packed("word", none, u, u, n, shards, True)
-        h, first, w, n = count_grams(ctx, words)
-        yield from packed("gram", ctx[first], h, w, n, shards, order == 1)
+def word_counter(shards: int):
+    """Map side: texts -> packed counts of words."""
 
     def run(batches):
-        docs, size = [], 0
-        for batch in batches:
-            for text in batch.column(0):
-                docs.append(token_hashes(text.as_py()))
-                size += len(docs[-1])
-                if size >= BLOCK_TOKENS:
-                    yield from as_table(list(block(docs))).to_batches()
-                    docs, size = [], 0
-        if docs:
-            yield from as_table(list(block(docs))).to_batches()
+        for docs in blocks(batches):
+            u, n = np.unique(np.concatenate(docs), return_counts=True)
+            cuts = np.searchsorted(shard_of(u, shards), np.arange(shards + 1))
+            rows = [(s, "word", u[i:j].tobytes(), planes(n[i:j]), None) for s, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if i < j]
+            yield from as_table(rows).to_batches()
+
+    return run
+
+
+def word_merger(folder: str):
+    """Reduce side: the words of a shard, sorted, with their counts."""
+
+    def run(key, table):
+        rows = table.to_pylist()
+        hashes = [np.frombuffer(r["vocab"], np.uint64) for r in rows]
+        counts = [from_planes(r["planes"], [len(h)])[0] for r, h in zip(rows, hashes, strict=True)]
+        u, inv = np.unique(np.concatenate(hashes), return_inverse=True)
+        n = np.bincount(inv, weights=np.concatenate(counts)).astype(np.uint64)
+        put(folder, f"word-{key[0].as_py()}.key", u)
+        put(folder, f"word-{key[0].as_py()}.total", n)
+        return as_table([(key[0].as_py(), "stat0", None, None, [int(n.sum()), len(u)])])
+
+    return run
+
+
+def counter(words: Words, order: int):
+    """Map side: texts -> packed counts of n-grams."""
+
+    def run(batches):
+        for docs in blocks(batches):
+            u, ids = np.unique(np.concatenate(docs), return_inverse=True)
+            # numbers of this block's words first: smaller, in the order of the ids
+            line, ctx = histories(np.split(ids, np.cumsum([len(d) for d in docs])[:-1]), order, len(u))
+            cols, n = distinct_grams([*ctx.T, line], len(u) + 1)
+            known = np.append(words.look_up(u)[0], words.start).astype(np.uint32)
+            yield from as_table(list(packed([known[c] for c in cols], n, words.shards))).to_batches()
 
     return run
 
 
 def unpacked(rows: list[dict], width: int):
-    ctx = np.concatenate([np.frombuffer(r["ctx"], np.uint64).reshape(-1, width) if width else np.zeros((1, 0), np.uint64) for r in rows])
-    sizes = np.concatenate([np.frombuffer(r["followers"], np.uint32) for r in rows])
-    words = np.concatenate([np.frombuffer(r["words"], np.uint64) for r in rows])
-    counts = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in rows])
-    return np.repeat(ctx, sizes, axis=0), words, counts
+    """Id columns and counts of packed rows."""
+    cols: list[list[np.ndarray]] = [[] for _ in range(width + 2)]
+    for r in rows:
+        n_ctx, n = r["stats"]
+        *ids, sizes, followers, counts = from_planes(r["planes"], [n_ctx] * width + [n_ctx, n, n])
+        ctx: list[np.ndarray] = []
+        for d in ids:
+            ctx.append(unsteps(d, starts(ctx) if ctx else np.zeros(1, np.int64)).astype(np.uint32))
+        for j, c in enumerate(ctx):
+            cols[j].append(np.repeat(c, sizes))
+        cols[-2].append(unsteps(followers, np.cumsum(sizes, dtype=np.int64) - sizes).astype(np.uint32))
+        cols[-1].append(counts)
+    *ids, counts = [np.concatenate(c) for c in cols]
+    return ids, counts
 
 
 def put(folder: str, name: str, array: np.ndarray) -> None:
@@ -187,47 +289,59 @@ def put(folder: str, name: str, array: np.ndarray) -> None:
     store.move(tmp, f"{path}/{name}")
 
 
-def merger(k: int, shards: int, folder: str):
+def put_counts(folder: str, name: str, counts: np.ndarray) -> None:
+    """Write counts as bytes; those of 255 or more are 255 there and are
+    written in full, by position, to two more files."""
+    big = np.flatnonzero(counts >= 255)
+    put(folder, f"{name}.n", np.minimum(counts, 255).astype(np.uint8))
+    if len(big):
+        put(folder, f"{name}.at", big.astype(np.uint64))
+        put(folder, f"{name}.big", counts[big].astype(np.uint64))
+
+
+def merger(k: int, words: Words, folder: str):
     """Reduce side of order k: merge a shard, write its arrays, emit the
     continuation counts of order k - 1."""
 
     def run(key, table):
         shard = key[0].as_py()
         rows = table.to_pylist()
-        out = [(r["shard"], r["kind"], None, None, None, None, r["stats"]) for r in rows if r["kind"].startswith("stat")]
-        words = [r for r in rows if r["kind"] == "word"]
-        if words:
-            _, w, n = unpacked(words, 0)
-            u, inv = np.unique(w, return_inverse=True)
-            n = np.bincount(inv, weights=n).astype(np.uint64)
-            put(folder, f"word-{shard}.key", u)
-            put(folder, f"word-{shard}.n", n)
-            out.append((shard, "stat0", None, None, None, None, [int(n.sum()), len(u)]))
+        out = [(r["shard"], r["kind"], None, None, r["stats"]) for r in rows if r["kind"].startswith("stat")]
         grams = [r for r in rows if r["kind"] == "gram"]
+        del rows, table
         if grams:
-            ctx, w, n = unpacked(grams, k - 1)
-            h, first, w, n = count_grams(ctx, w, n)
-            ctx = ctx[first]
-            pair = mix(h, w) if k > 1 else w
-            order = np.argsort(pair)
-            put(folder, f"gram{k}-{shard}.key", pair[order])
-            put(folder, f"gram{k}-{shard}.n", n[order].astype(np.uint32))
+            cols, n = distinct_grams(*of_rows(grams, k - 1, words.start))
             if k > 1:
-                uh, start = np.unique(h, return_index=True)
+                start = starts(cols[:-1])
+                own, sizes = context_key([c[start] for c in cols[:-1]]), np.diff(np.append(start, len(n)))
+                if k > 3:  # keys are hashes then
+                    order = np.argsort(np.repeat(own, sizes), kind="stable")
+                    cols, n, order = [c[order] for c in cols], n[order], np.argsort(own, kind="stable")
+                    own, sizes = own[order], sizes[order]
+                    start = np.cumsum(sizes) - sizes
+                put(folder, f"ctx{k}-{shard}.key", own if k > 2 else own.astype(np.uint32))
+                put(folder, f"ctx{k}-{shard}.start", np.append(start, len(n)).astype(np.uint32))
                 some = [np.add.reduceat((n == c).astype(np.int64) if c < 3 else (n >= 3).astype(np.int64), start) for c in (1, 2, 3)]
-                put(folder, f"ctx{k}-{shard}.key", uh)
-                put(folder, f"ctx{k}-{shard}.n", np.column_stack([np.add.reduceat(n, start), *some]).astype(np.uint64))
+                many = np.flatnonzero(sizes > FEW)
+                put(folder, f"ctx{k}-{shard}.many", many.astype(np.uint64))
+                put(folder, f"ctx{k}-{shard}.stats", np.column_stack([np.add.reduceat(n, start), *some])[many].astype(np.uint64))
+            put(folder, f"gram{k}-{shard}.key", cols[-1])
+            put_counts(folder, f"gram{k}-{shard}", n)
             seen = [int((n == c).sum()) for c in (1, 2, 3, 4)]
-            out.append((shard, f"stat{k}", None, None, None, None, [int(n.sum()), *seen, int((n >= 3).sum())]))
+            out.append((shard, f"stat{k}", None, None, [int(n.sum()), *seen, int((n >= 3).sum())]))
             if k > 1:
-                short = ctx[:, 1:]
-                h, first, w, n = count_grams(short, w, np.ones(len(w), np.int64))
-                out.extend(packed("gram", short[first], h, w, n, shards, k == 2))
+                out.extend(packed(*distinct_grams(cols[1:], words.start + 1), words.shards))
         return as_table(out)
 
     return run
 
 
+def of_rows(grams: list[dict], width: int, start: int):
+    """Arguments of ``distinct_grams`` for packed rows."""
+    ids, counts = unpacked(grams, width)
+    return ids, start + 1, counts
+
+
 def discounts(seen: list[int]) -> list[float]:
     """D(0..3+) from the numbers of n-grams seen 1, 2, 3 and 4 times; where a
     number is 0 the discount falls back to an in-range one."""
@@ -239,11 +353,69 @@ def discounts(seen: list[int]) -> list[float]:
     return [0.0, *[min(max(x, 0.05), c) for x, c in zip(d, (1.0, 2.0, 3.0), strict=True)]]
 
 
-class Model:
+class Arrays:
+    """Memory maps of a folder's files."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def array(self, name: str, dtype, width: int = 1) -> np.ndarray:
+        at = f"{self.folder}/{name}"
+        if at not in _maps:
+            path = self.folder.removeprefix("file://") if self.folder.startswith(("file:", "/")) else SparkFiles.get(self.folder.rsplit("/", 1)[1])
+            try:
+                m = np.memmap(f"{path.removeprefix('file:')}/{name}", dtype=dtype, mode="r")
+            except (FileNotFoundError, ValueError):  # a shard without entries has no file or an empty one
+                m = np.zeros(0, dtype)
+            _maps[at] = m.reshape(-1, width) if width > 1 else m
+        return _maps[at]
+
+    def place(self, name: str, dtype, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(found, position)`` of numbers in a sorted file."""
+        keys = self.array(name, dtype)
+        if not len(keys):
+            return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
+        wanted = wanted.astype(dtype)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return keys[at] == wanted, at
+
+    def counts(self, name: str, at: np.ndarray) -> np.ndarray:
+        n = self.array(f"{name}.n", np.uint8)[at].astype(np.int64)
+        full = np.flatnonzero(n == 255)
+        if len(full):
+            n[full] = self.array(f"{name}.big", np.uint64)[self.place(f"{name}.at", np.uint64, at[full])[1]]
+        return n
+
+
+class Words(Arrays):
+    """Ids of words: places among all words sorted by hash.  The number of
+    words is the id of the start, one more that of unknown words."""
+
+    def __init__(self, folder: str, sizes: list[int]):
+        super().__init__(folder)
+        self.shards, self.start = len(sizes), sum(sizes)
+        self.offsets = np.cumsum([0, *sizes[:-1]])
+        if self.start >= (1 << 32) - 2:
+            raise ValueError("more than 2^32 distinct words are not supported")
+
+    def look_up(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of sorted hashes."""
+        ids, counts = np.full(len(u), self.start + 1, np.int64), np.zeros(len(u), np.int64)
+        cuts = np.searchsorted(shard_of(u, self.shards), np.arange(self.shards + 1))
+        for s in np.flatnonzero(np.diff(cuts)):
+            hit, at = self.place(f"word-{s}.key", np.uint64, u[cuts[s] : cuts[s + 1]])
+            rows = np.arange(cuts[s], cuts[s + 1])[hit]
+            ids[rows] = self.offsets[s] + at[hit]
+            counts[rows] = self.array(f"word-{s}.total", np.uint64)[at[hit]]
+        return ids, counts
+
+
+class Model(Arrays):
     """Where the arrays are and the few numbers that go with them."""
 
-    def __init__(self, folder: str, order: int, shards: int, stats: dict[str, list[int]]):
-        self.folder, self.order, self.shards = folder, order, shards
+    def __init__(self, folder: str, order: int, words: Words, stats: dict[str, list[int]]):
+        super().__init__(folder)
+        self.words, self.order, self.shards = words, order, words.shards
         self.tokens, self.vocabulary = (stats.get("stat0") or [0, 0])[:2]
         none = [0, 0, 0, 0, 0, 0]
         self.totals = {k: (stats.get(f"stat{k}") or none) for k in range(1, order + 1)}
@@ -255,61 +427,85 @@ class Model:
 
     # -- on workers --
 
-    def array(self, name: str, dtype, width: int = 1) -> np.ndarray:
-        at = f"{self.folder}/{name}"
-        if at not in _maps:
-            path = self.folder.removeprefix("file://") if self.folder.startswith(("file:", "/")) else SparkFiles.get(self.folder.rsplit("/", 1)[1])
-            try:
-                m = np.memmap(f"{path.removeprefix('file:')}/{name}", dtype=dtype, mode="r")
-            except FileNotFoundError:  # a shard without entries has no file
-                m = np.zeros(0, dtype)
-            _maps[at] = m.reshape(-1, width) if width > 1 else m
-        return _maps[at]
-
-    def find(self, kind: str, hashes: np.ndarray, shard: np.ndarray, dtype, width: int = 1) -> np.ndarray:
-        """Values filed under ``hashes`` (0 where there is none)."""
-        out = np.zeros((len(hashes), width) if width > 1 else len(hashes), np.int64)
-        order = np.argsort(shard, kind="stable")
+    def by_shard(self, shard: np.ndarray):
+        """``(shard, rows)`` of the shards that occur."""
+        order = np.argsort(shard.astype(np.int16 if self.shards < 1 << 15 else np.int32), kind="stable")
         cuts = np.searchsorted(shard[order], np.arange(self.shards + 1))
-        for s in range(self.shards):
-            rows = order[cuts[s] : cuts[s + 1]]
-            if len(rows):
-                keys = self.array(f"{kind}-{s}.key", np.uint64)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, hashes[rows]), len(keys) - 1)
-                    hit = keys[at] == hashes[rows]
-                    out[rows[hit]] = self.array(f"{kind}-{s}.n", dtype, width)[at[hit]]
+        return [(s, order[cuts[s] : cuts[s + 1]]) for s in np.flatnonzero(np.diff(cuts))]
+
+    def contexts(self, k: int, s: int, keys: np.ndarray):
+        """``(first, last, stats)`` of contexts of a shard: where their followers
+        lie; total, followers seen once, twice and more (0 for a context never seen)."""
+        stats = np.zeros((len(keys), 4), np.int64)
+        hit, at = self.place(f"ctx{k}-{s}.key", np.uint64 if k > 2 else np.uint32, keys)
+        if not hit.any():
+            return at, at, stats
+        start = self.array(f"ctx{k}-{s}.start", np.uint32)
+        first, last = start[at].astype(np.int64), start[at + 1].astype(np.int64)
+        size = np.where(hit, last - first, 0)
+        for j in range(FEW):
+            rows = np.flatnonzero((size > j) & (size <= FEW))
+            if not len(rows):
+                break
+            n = self.counts(f"gram{k}-{s}", first[rows] + j)
+            stats[rows, 0] += n
+            stats[rows, np.minimum(n, 3)] += 1
+        rows = np.flatnonzero(size > FEW)
+        if len(rows):
+            stats[rows] = self.array(f"ctx{k}-{s}.stats", np.uint64, 4)[self.place(f"ctx{k}-{s}.many", np.uint64, at[rows])[1]]
+        return first, first + size, stats
+
+    def followers(self, k: int, s: int, first: np.ndarray, last: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Counts of words among the followers between two places."""
+        keys, ids = self.array(f"gram{k}-{s}.key", np.uint32), ids.astype(np.uint32)
+        lo, end = first.copy(), last
+        active, hi = np.flatnonzero(lo < end), last.copy()
+        while len(active):  # lo: the first follower that is not smaller
+            mid = (lo[active] + hi[active]) >> 1
+            less = keys[mid] < ids[active]
+            lo[active[less]] = mid[less] + 1
+            hi[active[~less]] = mid[~less]
+            active = active[lo[active] < hi[active]]
+        out = np.zeros(len(ids), np.int64)
+        rows = np.flatnonzero(lo < end)
+        rows = rows[keys[lo[rows]] == ids[rows]]
+        out[rows] = self.counts(f"gram{k}-{s}", lo[rows])
         return out
 
     def score(self, docs: list[np.ndarray]) -> list[tuple[int, int, float, float]]:
         """``(tokens, known, base, log10 probability)`` of documents."""
-        words, ctx = histories(docs, self.order)
-        u, inv = np.unique(words, return_inverse=True)
-        by_word = shard_of(u, self.shards)
-        c = self.find("word", u, by_word, np.uint64)
+        ends = np.cumsum([len(x) for x in docs])
+        begins = ends - [len(x) for x in docs]
+        u, inv = np.unique(np.concatenate(docs), return_inverse=True)
+        ids, c = self.words.look_up(u)
         base = np.log10((c + 0.1) / (self.tokens + 0.1 * (self.vocabulary + 1)))
-        a = self.find("gram1", u, by_word, np.uint32)
+        a = np.zeros(len(u), np.int64)
+        for s, rows in self.by_shard(key_shard(ids.astype(np.uint64), self.shards)):
+            hit, at = self.place(f"gram1-{s}.key", np.uint32, ids[rows])
+            a[rows[hit]] = self.counts(f"gram1-{s}", at[hit])
         p = np.full(len(u), 1 / (self.vocabulary + 1))
         total = self.totals[1][0]
         if total:
             p = np.maximum(a - np.array(self.discount[1])[np.minimum(a, 3)], 0) / total + self.gamma1 * p
         p = p[inv]
+        words, ctx = histories(np.split(ids[inv], ends[:-1]), self.order, self.words.start)
         for k in range(2, self.order + 1):
-            h = context_hash(ctx[:, ctx.shape[1] - k + 1 :])
-            uh, ih = np.unique(h, return_inverse=True)
-            d = np.array(self.discount[k])
-            st = self.find(f"ctx{k}", uh, shard_of(uh, self.shards), np.uint64, 4)
-            seen = (st[:, 0] > 0)[ih]
+            uk, ik = np.unique(context_key([*ctx[:, ctx.shape[1] - k + 1 :].T]), return_inverse=True)
+            d, shard = np.array(self.discount[k]), key_shard(uk, self.shards)
+            first, last, st = np.zeros(len(uk), np.int64), np.zeros(len(uk), np.int64), np.zeros((len(uk), 4), np.int64)
+            for s, rows in self.by_shard(shard):
+                first[rows], last[rows], st[rows] = self.contexts(k, s, uk[rows])
             a = np.zeros(len(words), np.int64)
-            a[seen] = self.find(f"gram{k}", mix(h[seen], words[seen]), shard_of(h[seen], self.shards), np.uint32)
+            seen = np.flatnonzero((st[:, 0] > 0)[ik])
+            for s, rows in self.by_shard(shard[ik[seen]]):
+                rows = seen[rows]
+                a[rows] = self.followers(k, s, first[ik[rows]], last[ik[rows]], words[rows])
             tot = np.maximum(st[:, 0], 1)
             gamma = np.where(st[:, 0] > 0, (st[:, 1:] @ d[1:]) / tot, 1.0)
-            p = np.maximum(a - d[np.minimum(a, 3)], 0) / tot[ih] + gamma[ih] * p
-        ends = np.cumsum([len(x) for x in docs])
-        starts = ends - [len(x) for x in docs]
+            p = np.maximum(a - d[np.minimum(a, 3)], 0) / tot[ik] + gamma[ik] * p
         known, base, logp = (c > 0).astype(np.int64)[inv], base[inv], np.log10(p)
-        sums = [np.add.reduceat(x, starts) for x in (known, base, logp)]
-        return [(int(e - s), int(q), float(b), float(v)) for s, e, q, b, v in zip(starts, ends, *sums, strict=True)]
+        sums = [np.add.reduceat(x, begins) for x in (known, base, logp)]
+        return [(int(e - s), int(q), float(b), float(v)) for s, e, q, b, v in zip(begins, ends, *sums, strict=True)]
 
 
 _maps: dict[str, np.ndarray] = {}
@@ -320,23 +516,36 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, shard_byt
     if order < 1:
         raise ValueError("order must be at least 1")
     spark = docs.sparkSession
-    folder = scratch_path(spark, "kn")
+    from pyarrow import fs
+
+    def new_folder(name):
+        folder = scratch_path(spark, name)
+        store, path = fs.FileSystem.from_uri(folder)
+        store.create_dir(path, recursive=True)
+        return folder
+
+    def share(folder):
+        if not folder.startswith(("file:", "/")):
+            spark.sparkContext.addFile(folder, recursive=True)
+
     texts = docs.select(text_or_empty(F.col(f"`{text_col}`")).cast("binary").alias("text"))
     size = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     shards = max(1, math.ceil(size / shard_bytes))
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(folder)
-    store.create_dir(path, recursive=True)
-    made = texts.mapInArrow(counter(order, shards), PACKED)
+    folder = new_folder("kn_words")
+    made = texts.mapInArrow(word_counter(shards), PACKED).groupBy("shard").applyInArrow(word_merger(folder), PACKED)
+    of_shard = {r["shard"]: r["stats"] for r in made.select("shard", "stats").collect()}
+    share(folder)
+    words = Words(folder, [of_shard.get(s, [0, 0])[1] for s in range(shards)])
+    folder = new_folder("kn_grams")
+    made = texts.mapInArrow(counter(words, order), PACKED)
     for k in range(order, 0, -1):
-        made = made.groupBy("shard").applyInArrow(merger(k, shards, folder), PACKED)
+        made = made.groupBy("shard").applyInArrow(merger(k, words, folder), PACKED)
     at = range(6)
     sums = made.where(F.col("kind").startswith("stat")).groupBy("kind")
     stats = {r["kind"]: [r[f"s{i}"] or 0 for i in at] for r in sums.agg(*[F.sum(F.get("stats", F.lit(i))).alias(f"s{i}") for i in at]).collect()}
-    if not folder.startswith(("file:", "/")):
-        spark.sparkContext.addFile(folder, recursive=True)
-    return Model(folder, order, shards, stats)
+    stats["stat0"] = [sum(x[0] for x in of_shard.values()), words.start]
+    share(folder)
+    return Model(folder, order, words, stats)
 
 
 def perplexity_columns(text: Column, shared) -> Column:
