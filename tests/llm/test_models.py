@@ -58,6 +58,17 @@ def test_obfuscated_words_are_restored_and_scored(fitted):
     assert scores[0] < 0.5 < min(scores[1], scores[2]) and scores[3] < 0.7
 
 
+def test_signs_doubled_letters_and_fragments_are_decoded(fitted):
+    chars = fitted[2].chars
+    m = toxicity.ToxicityModel(chars, {"rotten": 5.0, "swine": 4.0, "idiot": 3.0, "clown": 2.0, "ass": 1.0})
+    for shown, weight in [("@$$", 1), ("4$$", 1), ("@$$!", 1), ("!diot", 3), ("(lown", 2), ("!d1ot!!", 3), ("iidiot", 3), ("swiine", 4), ("rrotten", 5), ("rroten", 0)]:
+        assert m.token_weight(shown) == weight, shown
+    for shown, weight in [("sw in e", 4), ("i, d, i, o, t", 3), ("to id io t, me", 3), ("rot ten", 5), ("5w in e", 4), ("he is to me", 0)]:
+        assert m.document(shown)[0] == weight, shown
+    for number in ["$100", "1,000", "50%", "(1994)", "12:30", "+", "$$", "3.5+"]:
+        assert toxicity.token_readings(number, chars) == [[]], number
+
+
 def test_plain_tokens_are_read_as_they_are(fitted):
     _, _, model = fitted
     assert toxicity.token_words("(Hello,".lower(), model.chars) == ["hello"]

@@ -6,8 +6,11 @@
    letters set apart by blanks or signs becomes a lattice: each observed sign
    lists what it may stand for with a channel probability (itself, a letter, a
    word boundary, nothing).  Viterbi finds the reading of highest channel times
-   character-model probability.  A token without such signs has one reading,
-   itself, and is not searched.
+   character-model probability.  A token without such signs is
+   itself.  Where that is open, a token has further readings (signs at an edge
+   as letters, doubled letters as one) and counts by the heaviest.  Runs of
+   fragments of up to three letters are searched for whole weighted words.  A
+   token of digits, or a price, is a number.
 3. Restored words are scored.  On a bounded sample of labelled rows
    (``max_train``), words and word beginnings that are far more frequent in
    toxic documents get log-odds weights; a logistic regression on a document's
@@ -106,21 +109,27 @@ def symbol_of(c: str) -> int:
     return ord(c) - 97 if "a" <= c <= "z" else OTHER
 
 
-def readings(token: str) -> list[list[tuple[str, float]]]:
+FREE, EXACT = 1, 2  # bold readings: a doubled unit is one letter or two; it is as many as there are
+
+
+def readings(token: str, bold: int = 0) -> list[list[tuple[str, float]]]:
     """The lattice: for each observed unit its readings and their channel log
-    probabilities.  '' reads nothing, ' ' a word boundary."""
+    probabilities.  '' reads nothing, ' ' a word boundary.  When ``bold``, signs
+    are letters, never boundaries."""
     out = []
     for m in re.finditer(r"(.)\1*", token, re.DOTALL):
         c, k = m.group(1), len(m.group(0))
         last = m.end() == len(token)
         if c in LEET and not (c == "!" and last):
             letters = LEET[c]
-            options = [(x, np.log(0.7 / len(letters))) for x in letters] + [(" ", np.log(0.3))]
-            if k > 1:  # the letter doubled: a$$
+            options = [(x, np.log(0.7 / len(letters))) for x in letters] + [(" ", np.log(0.3))] * (not bold)
+            if bold == EXACT:
+                options = [(x * k, y) for x, y in options]
+            elif k > 1:  # the letter doubled: a$$
                 options += [(x + x, np.log(0.7 / len(letters))) for x in letters]
             out.append(options)
         elif c.isalpha():
-            out.append([(c * k, 0.0)] if k < 3 else [(c, np.log(0.6)), (c + c, np.log(0.4))])
+            out.append([(c * k, 0.0)] if k < 3 - (bold == FREE and k == 2) else [(c, np.log(0.6)), (c + c, np.log(0.4))])
         elif c.isspace() or last or m.start() == 0:
             out.append([(" ", np.log(0.5)), ("", np.log(0.5))] if c.isspace() else [(" ", 0.0)])
         else:
@@ -128,10 +137,10 @@ def readings(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(token: str, model: list) -> list[str]:
+def restore(token: str, model: list, bold: int = 0) -> list[str]:
     """The words of the best reading of a token."""
     states = {(BOUND, BOUND): (0.0, None)}  # last two symbols -> score, path
-    for options in [*readings(token), [(" ", 0.0)]]:
+    for options in [*readings(token, bold), [(" ", 0.0)]]:
         after: dict = {}
         for (a, b), (score, path) in states.items():
             for text, channel in options:
@@ -154,36 +163,97 @@ def restore(token: str, model: list) -> list[str]:
 
 
 THRICE = re.compile(r"([^\W\d_])\1\1")
+TWICE = re.compile("([^\\W\\d_]|[" + re.escape("".join(LEET)) + "])\\1+")
+DOUBLES = 3  # up to so many doubled units, every way to read them is taken
+PLAIN_EDGE = "".join(c for c in EDGE if c not in LEET)
+NUMBER = re.compile(r"[+$€£]?\d[\d.,:/%-]*[+%$€£]?")
 
 
 def token_words(token: str, model: list) -> list[str]:
-    """Restored words of one lower-cased token."""
+    """Words of the first reading of a lower-cased token."""
     core = token.strip(EDGE)
     if core.isalpha():
         if not THRICE.search(core):
             return [core]
     elif not any(c.isalpha() for c in token):
-        return []
+        # signs alone are a word unless they are a number, a price or one sign
+        wide = token.lstrip(PLAIN_EDGE).rstrip(PLAIN_EDGE + "!")
+        if len(wide) < 2 or NUMBER.fullmatch(core) or NUMBER.fullmatch(wide) or not all(c in LEET for c in wide):
+            return []
+        return restore(wide, model, FREE) if not wide.isdigit() and len(set(wide)) > 1 else []
     return restore(token, model)
 
 
+def undoubled(token: str) -> list[str]:
+    """The token with each repeated letter or sign as two or as one."""
+    out, at = [""], 0
+    for m in TWICE.finditer(token):
+        out = [x + token[at : m.start()] + y for x in out for y in (m.group(1) * 2, m.group(1))]
+        at = m.end()
+    return [x + token[at:] for x in out]
+
+
+def token_readings(token: str, model: list) -> list[list[str]]:
+    """Readings of a token, each a list of words: the first one, then those
+    with signs at its edges as letters and with doubled letters as one."""
+    first, core = token_words(token, model), token.strip(EDGE)
+    wide = token.lstrip(PLAIN_EDGE).rstrip(PLAIN_EDGE + "!")
+    if wide.isalpha():
+        if not TWICE.search(wide):
+            return [first]
+    elif not first and not any(c.isalpha() for c in core):
+        return [first]
+    if len(TWICE.findall(wide)) > DOUBLES:
+        out = [first, restore(wide, model, FREE)]
+    else:
+        out = [first, *([w] if w.isalpha() else restore(w, model, EXACT) for w in undoubled(wide))]
+    return [x for k, x in enumerate(out) if x not in out[:k]]
+
+
 SINGLES = 3  # so many single signs in a row are read as one spaced word
+FRAGMENT = 3  # letters of a fragment of a spaced word
+
+
+def bare(token: str) -> str:
+    """A token without the punctuation around it, unless that is all of it."""
+    return token if len(token) == 1 else token.strip(PLAIN_EDGE)
 
 
 def spaced_runs(tokens: list[str]) -> list[str]:
-    """Runs of single-character tokens, joined by blanks, for the lattice."""
-    at = [i for i, t in enumerate(tokens) if len(t) == 1]
+    """Runs of single-character tokens, punctuated or not, joined by blanks, for
+    the lattice."""
+    at = [i for i, t in enumerate(tokens) if len(t) == 1 or len(t) < 5 and len(bare(t)) == 1]
     runs, i = [], 0
     while i < len(at):
         j = i
         while j + 1 < len(at) and at[j + 1] == at[j] + 1:
             j += 1
         if j - i + 1 >= SINGLES:
-            runs.append(" ".join(tokens[at[i] : at[j] + 1]))
+            runs.append(" ".join(map(bare, tokens[at[i] : at[j] + 1])))
         i = j + 1
     return runs
 
 
+def fragment_runs(tokens: list[str]) -> list[tuple[str, ...]]:
+    """Runs of two or more short tokens without their punctuation."""
+    runs, run = [], []
+    for t in tokens:
+        if len(t) <= FRAGMENT + 2 and 0 < len(b := bare(t)) <= FRAGMENT:
+            run.append(b)
+        elif run:
+            if len(run) > 1:
+                runs.append(tuple(run))
+            run = []
+    if len(run) > 1:
+        runs.append(tuple(run))
+    return runs
+
+
+def spaced_or_token(unit: str, model: list) -> list[list[str]]:
+    """Readings of a token, or the one of a spaced run."""
+    return [restore(unit, model)] if " " in unit else token_readings(unit, model)
+
+
 def features(word: str) -> list[str]:
     return [word, *[word[:k] + "-" for k in PREFIXES if k < len(word)]]
 
@@ -203,10 +273,43 @@ class ToxicityModel:
 
     def __post_init__(self):
         self.cache: dict[str, float] = {}
+        self.starts = {w[:k] for f in self.weights if not f.endswith("-") for w in [TWICE.sub(r"\1", f)] for k in range(1, len(w) + 1)}
+        self.longest = max((len(w) for w in self.weights if not w.endswith("-")), default=0)
 
     def token_weight(self, token: str) -> float:
         weights = self.weights
-        return sum(max((weights.get(f, 0.0) for f in features(w)), default=0.0) for w in token_words(token, self.chars))
+        core = token.strip(EDGE)
+        if core.isalpha() and "(" not in token and "!" not in token and not TWICE.search(core):  # has one reading
+            best = weights.get(core, 0.0)
+            for k in PREFIXES:
+                if k >= len(core):
+                    break
+                w = weights.get(core[:k] + "-", 0.0)
+                if w > best:
+                    best = w
+            return best
+        words = spaced_or_token(token, self.chars)
+        return max(sum(max((weights.get(f, 0.0) for f in features(w)), default=0.0) for w in reading) for reading in words)
+
+    def fragments_weight(self, run: tuple[str, ...]) -> float:
+        """Weights of whole words that lie broken in a run of fragments."""
+        best = [0.0] * (len(run) + 1)  # of the fragments before a place
+        for i in range(len(run)):
+            best[i + 1] = max(best[i + 1], best[i])
+            word = run[i]
+            for j in range(i + 1, len(run)):
+                word += run[j]
+                if len(word) > 2 * self.longest or word.isalpha() and TWICE.sub(r"\1", word) not in self.starts:
+                    break
+                if all(len(x) == 1 for x in run[i : j + 1]):
+                    continue  # single signs are spaced runs
+                if word.isalpha() and not TWICE.search(word):
+                    w = self.weights.get(word, 0.0)
+                else:
+                    w = max(self.weights.get(r[0], 0.0) if len(r) == 1 else 0.0 for r in token_readings(word, self.chars))
+                if len(word) > FRAGMENT:
+                    best[j + 1] = max(best[j + 1], best[i] + w)
+        return best[-1]
 
     def document(self, text: str) -> tuple[float, float, int]:
         """Weight sum, number of weighted tokens, number of tokens."""
@@ -215,7 +318,7 @@ class ToxicityModel:
         units = tokens + spaced_runs(tokens)
         for t in set(units).difference(cache):
             cache[t] = self.token_weight(t)
-        values = list(map(cache.__getitem__, units))
+        values = [*map(cache.__getitem__, units), *map(self.fragments_weight, fragment_runs(tokens))]
         if len(cache) > CACHE_TOKENS:
             cache.clear()
         return sum(values), len(values) - values.count(0.0), len(tokens)
@@ -263,7 +366,7 @@ def document_features(texts: DataFrame, model) -> DataFrame:
                 found: set[str] = set()
                 for t in set(tokens + spaced_runs(tokens)):
                     if t not in known:
-                        known[t] = [f for w in token_words(t, chars) for f in features(w)]
+                        known[t] = [f for r in spaced_or_token(t, chars) for w in r for f in features(w)]
                     found.update(known[t])
                 counts[toxic].update(found)
                 if len(known) > CACHE_TOKENS // 3:
@@ -330,7 +433,7 @@ def fit(docs: DataFrame, labels: DataFrame, chars: np.ndarray, id_col: str, text
     model.prior = n1 / max(1, n1 + n0)
     if not (n1 and n0):
         return model
-    model.weights = select_weights(document_features(train, sc.broadcast(model.chars)), n1, n0)
+    model = ToxicityModel(model.chars, select_weights(document_features(train, sc.broadcast(model.chars)), n1, n0), prior=model.prior)
     sums = train.select(weight_sums(F.col("text"), sc.broadcast(model)).alias("s"), "toxic").collect()
     x, y = np.array([r["s"] for r in sums]), np.array([r["toxic"] for r in sums], dtype=float)
     clean = x[y == 0]
