@@ -131,6 +131,20 @@ def test_leaf_blocks_of_broken_markup():
     assert [b[0] for b in html_blocks.leaf_blocks("1 < 2 <p title=\"a>b\">x")] == ["1 < 2", "x"]
 
 
+def test_skipped_elements_end_where_they_end():
+    def texts(html):
+        return [b[0] for b in html_blocks.leaf_blocks(html)]
+
+    for name in ("svg-icon", "template-x", "title-bar", "select-box", "object-view", "script-note", "iframe-x"):
+        assert texts(f"<p>a</p><{name} name='x'></{name}><p>the rest</p>") == ["a", "the rest"], name
+    for tag in ('<svg width="1"/>', "<svg/>", "<SVG a='>' />", "<noscript>", "<template>", "<object data='x'>", "<select>", "<svg>"):
+        assert texts(f"<p>a</p>{tag}<p>the rest</p>") == ["a", "the rest"], tag
+    for name in html_blocks.SKIPPED:
+        assert texts(f"<p>a</p><{name} x='1'><b>no</b></{name.upper()} ><p>the rest</p><{name}><p>too") == ["a", "the rest", "too"], name
+    assert texts("<p>a<script>no</script ><p>b<style>no") == ["a", "b"]
+    assert texts("<select>" * 50_000 + "x") == ["x"]
+
+
 def test_gradients_equal_finite_differences():
     net = html_blocks.Labeller()
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}

@@ -17,7 +17,8 @@ costs the same at any corpus size; the weights are broadcast (about 50 kB).
 
 Defined results: null and empty html give an empty text; a page without text
 blocks or without a block labelled main gives an empty text; unclosed and
-misnested tags, comments and quotes are read on to the end, never dropped;
+misnested tags and quotes are read on to the end, never dropped (text after an
+unclosed comment, script, style, title, textarea or iframe belongs to that);
 repeated rows are extracted each; very long pages are labelled whole.
 """
 
@@ -54,12 +55,14 @@ INLINE = set(
 )
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|noscript|template|textarea|svg|iframe|object|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|title|textarea|iframe)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
     r"|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
+# elements that are left out with their content when they are closed
+SKIPPED = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.IGNORECASE) for t in ("noscript", "template", "svg", "object", "select")}
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
 
@@ -102,7 +105,8 @@ def leaf_blocks(html: str) -> list[tuple[str, list[int], float]]:
             linked += len(piece)
 
     at = 0
-    for m in TAG.finditer(html):
+    unclosed: set[str] = set()
+    while m := TAG.search(html, at):
         if m.start() > at:
             text(html[at : m.start()])
         at = m.end()
@@ -110,6 +114,14 @@ def leaf_blocks(html: str) -> list[tuple[str, list[int], float]]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in SKIPPED and not (m.group(2) or m.group(5)):
+            if tag in unclosed or tag == "svg" and (m.group(4) or m.group(7) or m.group(0)[:-1]).endswith("/"):
+                continue
+            if end := SKIPPED[tag].search(html, at):
+                at = end.end()
+            else:  # nor has a later one an end
+                unclosed.add(tag)
+            continue
         inline = tag in INLINE
         if m.group(2) or m.group(5):  # a closing tag
             if not inline:
