@@ -88,6 +88,14 @@ def test_licences_and_nearest_ancestor(spark):
     assert license_scan.scan(docs.limit(0), F.col("p")).count() == 0
 
 
+def test_anchors_beside_underscores_are_found(spark):
+    rows = [(1, "a/1", "Released_under_the_MIT_License"), (2, "b/2", "first line\n__Licensed_under_CC_BY_NC_4_0__\n" + "w " * 50), (3, "c/3", "submitted relicensed")]
+    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id int, p string, text string"), F.col("p")).collect()}
+    assert (got[1]["licence"], got[1]["cosine"]) == ("MIT", 1.0)
+    assert (got[2]["licence"], got[2]["via"], got[2]["cosine"]) == ("CC-BY-NC-4.0", "header", 1.0)
+    assert got[3]["licence"] is None
+
+
 def test_licence_edge_rows(edge_docs):
     got = license_scan.scan(edge_docs, F.col("path"))
     assert got.count() == len(EDGE) and got.where("licence IS NOT NULL").count() == 0

@@ -113,13 +113,14 @@ def scan(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str =
     weights = [(r["template"], r["licence"], r["term"], r["tf"] * idf[r["term"]] / math.sqrt(norms[r["template"]])) for r in tmpl]
     weight_df = spark.createDataFrame(weights, "template int, licence string, term string, tw double")
     idf_df = spark.createDataFrame(list(idf.items()), "term string, idf double")
-    pattern = r"(?i)\b(" + "|".join(anchors([(k, t, w) for k, _, t, w in weights], min(header, file))) + r")\b"
+    # bounded as words() splits, where "_" is no part of a word
+    pattern = r"(?<![a-z0-9])(" + "|".join(anchors([(k, t, w) for k, _, t, w in weights], min(header, file))) + r")(?![a-z0-9])"
 
     # units that hold an anchor; a row's number names it across the joins
     rows = src.withColumn("row", F.monotonically_increasing_id())
-    some = rows.where(F.col("text").rlike(pattern))
+    some = rows.where(F.lower("text").rlike(pattern))
     whole = some.select(F.struct("row", F.lit(-1).alias("line")).alias("unit"), "text")
-    lines = some.select("row", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(F.col("text").rlike(pattern))
+    lines = some.select("row", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(F.lower("text").rlike(pattern))
     units = materialise(whole.unionByName(lines.select(F.struct("row", "line").alias("unit"), "text")), "licence_units")
     match = materialise(best_match(units, weight_df, idf_df, top), "licence_matches")
     is_file = (F.col("unit.line") < 0) & (F.col("cosine") >= file)
