@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_recipes, decontaminate, html_blocks, kn_lm, license_scan, packing, shard_table, simhash_mih, toxicity, url_cascade
+from . import best_fit, chunk_recipes, decontaminate, html_blocks, kn_lm, license_scan, packing, shard_table, simhash_mih, toxicity, url_cascade
 from .common import table
 
 
@@ -97,6 +97,11 @@ def op10_kn_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kn_lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` packed whole into sequences of at most 4096 tokens."""
+    return best_fit.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), with_ids=False)
+
+
 Q = {
     "op1_url_cascade": op1_url_cascade,
     "op2_license_scan": op2_license_scan,
@@ -108,6 +113,7 @@ Q = {
     "op8_packing": op8_packing,
     "op9_chunk_recipes": op9_chunk_recipes,
     "op10_kn_lm": op10_kn_lm,
+    "op11_best_fit": op11_best_fit,
 }
 
 SQL_SPACE = r"[\x20\x09-\x0D]+"
