@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit, chunk_recipes, decontaminate, html_blocks, kn_lm, license_scan, packing, shard_table, simhash_mih, toxicity, url_cascade
-from .common import table
+from . import best_fit, chunk_recipes, decontaminate, frames, html_blocks, kn_lm, license_scan, packing, shard_table, simhash_mih, toxicity, url_cascade
+from .common import materialise, table
 
 
 def op9_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +102,12 @@ def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), with_ids=False)
 
 
+def op13_fim_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle digests of all ``documents``, from their stored frames."""
+    stored = materialise(frames.store(table(spark, sf_dir, "documents")), "frames")
+    return frames.digests(frames.fill_in_middle(stored))
+
+
 Q = {
     "op1_url_cascade": op1_url_cascade,
     "op2_license_scan": op2_license_scan,
@@ -114,6 +120,7 @@ Q = {
     "op9_chunk_recipes": op9_chunk_recipes,
     "op10_kn_lm": op10_kn_lm,
     "op11_best_fit": op11_best_fit,
+    "op13_fim_frames": op13_fim_frames,
 }
 
 SQL_SPACE = r"[\x20\x09-\x0D]+"
@@ -126,7 +133,25 @@ SQL_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 SQL_TEMPLATES = ", ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(license_scan.TEMPLATES))
 SQL_TERMS = "regexp_extract_all(lower(text), '[a-z0-9]+')"
 
+SQL_CUT = "array_to_string(u[{}:{}], '')"
+
 SQL = {
+    "op13_fim_frames": rf"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x,
+                  regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+d AS (SELECT doc_id, text, u, len(u) AS n, [CAST('0x' || substr(x, k, 8) AS BIGINT) for k in [1, 9, 17, 25]] AS h FROM h),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+                  WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT doc_id, text, n, form, {SQL_CUT.format(1, 'a')} AS pre, {SQL_CUT.format('a + 1', 'b')} AS mid, {SQL_CUT.format('b + 1', 'n')} AS suf FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                          ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END AS output FROM p)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars, sha256(output) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN output
+              WHEN 'psm' THEN regexp_extract(output, '(?s)^<P>(.*)<S>(.*)<M>(.*)$', 1) || regexp_extract(output, '(?s)^<P>(.*)<S>(.*)<M>(.*)$', 3) || regexp_extract(output, '(?s)^<P>(.*)<S>(.*)<M>(.*)$', 2)
+              ELSE regexp_extract(output, '(?s)^<S>(.*)<P>(.*)<M>(.*)$', 2) || regexp_extract(output, '(?s)^<S>(.*)<P>(.*)<M>(.*)$', 3) || regexp_extract(output, '(?s)^<S>(.*)<P>(.*)<M>(.*)$', 1) END) AS restored_sha256
+FROM o""",
     "op2_license_scan": f"""
 WITH t(template, licence, text) AS (VALUES {SQL_TEMPLATES}),
 tt AS (SELECT template, licence, term, count(*) AS tf
