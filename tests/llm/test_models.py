@@ -211,17 +211,35 @@ def tokenizer_path():
     return pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
 
 
-def test_unit_encoder_equals_the_tokenizer():
+def test_text_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
 
     with open(tokenizer_path(), encoding="utf-8") as f:
         text = f.read()
-    whole, units = Tokenizer.from_str(text), packing.UnitEncoder(text)
+    whole, fast = Tokenizer.from_str(text), packing.TextEncoder(text)
+    assert fast.fast is not None
     rng = random.Random(1)
-    signs = list("ab 's.,!\n\t  é1²_'") + ["don't", " we'll", " ", "　", " ", "\x1c", "😀", "ǅ", "́", "\r\n", "<|endoftext|>", "..."]
-    for _ in range(3000):
-        t = "".join(rng.choice(signs) for _ in range(rng.randint(0, 14)))
-        assert np.frombuffer(units.encode([t])[0], "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
+    signs = list("ab 's.,!\n\t  é1²_'") + ["don't", " we'll", "\x85", "　", "\u2028", "\x1c", "😀", "ǅ", "́", "\r\n", "<|endoftext|>", "...", "the", " rotation", "x" * 40]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    texts += [f"a{chr(c)}b {chr(c)}1{chr(c)} '{chr(c)}  {chr(c)}\n" for c in range(1, 0x30000, 13) if not 0xD800 <= c < 0xE000]
+    for t, want in zip(texts, whole.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(fast.ids(t), "<u4").tolist() == want.ids, repr(t)
+
+
+def test_other_tokenizers_are_read_by_their_library():
+    import json
+
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        said = json.load(f)
+    assert packing.byte_level_ranks(said) is not None
+    assert packing.byte_level_ranks({**said, "normalizer": {"type": "Lowercase"}}) is None
+    merges = said["model"]["merges"]
+    assert packing.byte_level_ranks({**said, "model": {**said["model"], "merges": [merges[1], merges[0], *merges[2:]]}}) is None
+    other = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    with open(other, encoding="utf-8") as f:
+        coder = packing.TextEncoder(f.read())
+    assert coder.fast is None
+    assert np.frombuffer(coder.ids("Some words, here"), "<u4").tolist() == coder.tokenizer.encode("Some words, here", add_special_tokens=False).ids
 
 
 def check_bins(docs, rows, tokens, segments, loss):

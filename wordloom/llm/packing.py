@@ -22,10 +22,9 @@ are packed each; an empty table gives no piece; null ids are kept.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -34,109 +33,74 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.byte_symbols import symbol_to_byte
 from .common import text_or_empty
 
 SEQ_TOKENS = 2048
 MAX_SEGMENTS = 128
 POOL = 512  # waiting items a task chooses from
-CACHE_UNITS = 400_000  # per generation of the word cache; two are held
 END_ID = 1
-
-# a blank with white space on neither side always starts a new pre-token
-CUT = re.compile(r"(?<=\S) (?=\S)")
-NOT_PLAIN = re.compile(r" \s|\s ")
-LINE_FEED = re.compile(r"(?<=\S)(\n)(?=\S)")
-CLOSING = re.compile(r"(.*[^\W_])([.,;:!?]+)", re.DOTALL)
-LED = re.compile(r" \S+")
 SLICE = 64  # documents encoded together
 
+# fixed value: the pre-token rule of a tokenizer file's "ByteLevel" with "use_regex"
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 
-class UnitEncoder:
-    """Token ids of whole texts through a cache of blank-delimited units.
+class TextEncoder:
+    """Token ids of whole texts as little-endian unsigned 32-bit numbers.
 
-    The byte-level pre-tokeniser never joins what stands before a single blank
-    to what follows, so a text's ids are those of its units in order; each unit
-    is encoded once per worker and cache generation."""
+    A plain byte-level BPE whose ids follow its merge order is read from the
+    tokenizer's file into tiktoken, which merges the same pairs several times
+    faster; any other tokenizer, and every text that holds one of its special
+    tokens, goes through the tokenizers library."""
 
     def __init__(self, tokenizer_json: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        vocabulary = self.tokenizer.get_vocab()
-        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a token's signs are its bytes
-        for token, k in vocabulary.items():
-            self.lengths[k] = len(token)
-        self.young: dict[object, bytes] = {}
-        self.old: dict[object, bytes] = {}
-
-    def _encode_parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of each part.  Parts led by a blank are encoded as one string,
-        which is cut where the tokens' byte lengths reach the parts' ends."""
-        led, alone = [], []
-        for p in parts:
-            (led if LED.fullmatch(p) else alone).append(p)
-        found: dict[str, bytes] = {}
-        if led:
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(led)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.cumsum([len(p.encode()) for p in led])
-            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-            raw = ids.tobytes()
-            for p, lo, hi in zip(led, [0, *cuts.tolist()], cuts.tolist()):
-                found[p] = raw[4 * lo : 4 * hi]
-        if alone:
-            for p, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-                found[p] = array("I", e.ids).tobytes()
-        return [found[p] for p in parts]
-
-    def _learn(self, units: set) -> None:
-        """Put the ids of blank-led units (a 1-tuple: of the unit itself) into
-        the young cache; parts never seen are encoded together."""
-        young, old = self.young, self.old
-        parts_of, need = {}, {}
-        for u in units:
-            known = old.get(u)
-            if known is not None:
-                young[u] = known
-            else:
-                parts_of[u] = parts = unit_parts(" " + u if u.__class__ is str else u[0])
-                for p in parts:
-                    need[p] = None
-        for p, ids in zip(need, self._encode_parts(list(need)), strict=True):
-            need[p] = ids
-        for u, parts in parts_of.items():
-            young[u] = need[parts[0]] if len(parts) == 1 else b"".join([need[p] for p in parts])
+        said = json.loads(tokenizer_json)
+        self.special = [t["content"] for t in said.get("added_tokens") or []]
+        self.fast = byte_level_ranks(said)
+        if self.fast is not None:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=self.fast, special_tokens={})
+
+    def ids(self, text: str) -> bytes:
+        if self.fast is None or any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        if len(self.young) > CACHE_UNITS:
-            self.young, self.old = {}, self.young
-        many, missing = [], set()
-        for text in texts:
-            units: list = CUT.split(text) if NOT_PLAIN.search(text) else text.split(" ")
-            units[0] = (units[0],)  # no blank before it
-            ids = list(map(self.young.get, units))
-            gaps = [k for k, x in enumerate(ids) if x is None]
-            missing.update([units[k] for k in gaps])
-            many.append((units, ids, gaps))
-        self._learn(missing)
-        young = self.young
-        for units, ids, gaps in many:
-            for k in gaps:
-                ids[k] = young[units[k]]
-        return [b"".join(ids) for _, ids, _ in many]
-
-
-def unit_parts(unit: str) -> list[str]:
-    """Cuts a unit at places where the pre-tokeniser always starts a new token:
-    round a lone line feed, and before closing punctuation."""
-    if unit[-1:].isalnum() and "\n" not in unit:
-        return [unit]
-    out = []
-    for piece in LINE_FEED.split(unit):
-        m = CLOSING.fullmatch(piece)
-        out += m.groups() if m else [piece]
-    return out
+        return list(map(self.ids, texts))
+
+
+def byte_level_ranks(said: dict) -> dict[bytes, int] | None:
+    """``token bytes -> id`` of a tokenizer file that is byte-level BPE and
+    nothing else, with ids in merge order (None for any other file)."""
+    model, pre = said["model"], said.get("pre_tokenizer") or {}
+    plain = (
+        model.get("type") == "BPE"
+        and pre.get("type") == "ByteLevel"
+        and pre.get("use_regex", True)
+        and not pre.get("add_prefix_space")
+        and not any(said.get(k) for k in ("normalizer", "truncation", "padding"))
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    )
+    if not plain:
+        return None
+    vocab, special = model["vocab"], {t["content"] for t in said.get("added_tokens") or []}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    learned = [vocab[left + right] for left, right in merges]
+    if learned != sorted(learned) or len({*learned}) != len(learned):
+        return None
+    byte_of = symbol_to_byte()
+    ranks = {bytes(map(byte_of.__getitem__, t)): k for t, k in vocab.items() if t not in special}
+    singles = [ranks.get(bytes([b])) for b in range(256)]
+    if None in singles or len(ranks) != 256 + len(learned) or (learned and max(singles) > learned[0]):
+        return None
+    return ranks
 
 
 @dataclass(slots=True)
@@ -278,14 +242,14 @@ PIECES = pa.schema(
     ]
 )
 
-_encoders: dict[int, UnitEncoder] = {}
+_encoders: dict[int, TextEncoder] = {}
 
 
-def encoder_of(json_text) -> UnitEncoder:
-    """One encoder per worker process and tokenizer: its cache outlives tasks."""
+def encoder_of(json_text) -> TextEncoder:
+    """One encoder per worker process and tokenizer."""
     key = zlib.crc32(json_text.value.encode())
     if key not in _encoders:
-        _encoders[key] = UnitEncoder(json_text.value)
+        _encoders[key] = TextEncoder(json_text.value)
     return _encoders[key]
 
 
