@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit, chunk_recipes, decontaminate, frames, html_blocks, kn_lm, license_scan, packing, shard_table, simhash_mih, toxicity, url_cascade
+from . import best_fit, chunk_recipes, decontaminate, frames, hilbert_blocks, html_blocks, kn_lm, license_scan, packing, shard_table, simhash_mih, toxicity, url_cascade
 from .common import materialise, table
 
 
@@ -102,6 +102,13 @@ def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), with_ids=False)
 
 
+def op12_hilbert_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the ``embeddings`` whose id is a multiple of 100; one
+    row in seven has its label moved on first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hilbert_blocks.mine(table(spark, sf_dir, "embeddings"), label=label)
+
+
 def op13_fim_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fill-in-middle digests of all ``documents``, from their stored frames."""
     stored = materialise(frames.store(table(spark, sf_dir, "documents")), "frames")
@@ -120,6 +127,7 @@ Q = {
     "op9_chunk_recipes": op9_chunk_recipes,
     "op10_kn_lm": op10_kn_lm,
     "op11_best_fit": op11_best_fit,
+    "op12_hilbert_blocks": op12_hilbert_blocks,
     "op13_fim_frames": op13_fim_frames,
 }
 
@@ -136,6 +144,21 @@ SQL_TERMS = "regexp_extract_all(lower(text), '[a-z0-9]+')"
 SQL_CUT = "array_to_string(u[{}:{}], '')"
 
 SQL = {
+    "op12_hilbert_blocks": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+             CAST(list_dot_product(CAST(a.x AS DOUBLE[]), CAST(b.x AS DOUBLE[])) AS BIGINT) AS score
+      FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER w <= 5
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)""",
     "op13_fim_frames": rf"""
 WITH h AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x,
                   regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
