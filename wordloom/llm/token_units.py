@@ -16,6 +16,8 @@ import numpy as np
 CACHE_UNITS = 400_000  # per generation; two are held
 CACHE_CHARS = 64  # longer units are encoded each time they come
 JOIN_CHARS = 4096  # characters encoded in one string, unless one unit is longer
+CLOSING = ".,;:!?"  # after a letter, these begin a token of their own
+LATIN_END = "\u0100"  # letters below stay one letter when normalised or lower-cased
 
 # white space to Python but not to the tokenizers' rule \s
 INFORMATION_SEPARATOR = re.compile("[\x1c-\x1f]")
@@ -31,6 +33,8 @@ class BlankUnitCodes:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         if self._ids("a  b\n") != self._ids("a b"):
             raise ValueError("the tokenizer does not drop white space, so units depend on what stands before them")
+        if any(self._ids("ab" + c) != self._ids("ab") + self._ids(c) for c in [*CLOSING, CLOSING]):
+            raise ValueError("the tokenizer joins a word and the punctuation after it")
         self.marks = [(d, ids[0]) for d in "0123456789" if len(ids := self._ids(d)) == 1]
         self.cache_units = cache_units
         self.young: dict[str, bytes] = {}
@@ -75,11 +79,24 @@ class BlankUnitCodes:
 
     def _learn(self, missing: set[str]) -> dict[str, bytes]:
         """Put units into the young cache; the long ones are returned instead."""
-        known = {u: ids for u in missing if (ids := self.old.get(u)) is not None}
-        self.young.update(known)
-        found = self.encode_units([u for u in missing if u not in known])
+        old, young = self.old, self.young
+        new, closed = {}, []
+        for u in missing:
+            if (ids := old.get(u)) is not None:
+                young[u] = ids
+            elif (stem := u.rstrip(CLOSING)) != u and stem[-1:].isalpha() and stem[-1] < LATIN_END:
+                closed.append((u, stem, u[len(stem) :]))
+                for part in closed[-1][1:]:
+                    if part not in young:
+                        new[part] = None
+            else:
+                new[u] = None
+        found = self.encode_units(list(new))
         long = {u: found.pop(u) for u in [u for u in found if len(u) > CACHE_CHARS]}
-        self.young.update(found)
+        young.update(found)
+        for u, stem, tail in closed:
+            both = b"".join([young[x] if x in young else long[x] for x in (stem, tail)])
+            (young if len(u) <= CACHE_CHARS else long)[u] = both
         return long
 
     def encode(self, texts: list[str]) -> list[bytes]:
