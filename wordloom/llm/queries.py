@@ -157,8 +157,8 @@ p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WH
 SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s USING (anchor_id)
 WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
-QUALIFY row_number() OVER w <= 5
-WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)""",
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5""",
     "op13_fim_frames": rf"""
 WITH h AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x,
                   regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
