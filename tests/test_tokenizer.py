@@ -69,6 +69,56 @@ def test_merges_and_vocab_match_library_on_corpus(spark):
     assert all(lib.encode(t).ids == list(r.ids) for r, t in zip(enc, texts))
 
 
+def test_full_depth_equals_the_library(spark):
+    """The full stop rule: 4,096 tokens, and every text encoded alike."""
+    corp = ranking.tokenizer_corpus(ranking.split_by_threshold(common.documents(spark, SF001))).checkpoint()
+    texts = [r.sample for r in corp.orderBy("doc_id").collect()]
+    ours = T.learn_bpe(T.word_counts(corp))
+    assert ours.vocab_size == T.DEFAULT_VOCAB_SIZE and len(ours.merges) > 3_000
+    lib = hf_train(texts, T.DEFAULT_VOCAB_SIZE)
+    assert hf_merges(lib) == [(ours.tokens[l], ours.tokens[r]) for l, r, _ in ours.merges]
+    assert lib.get_vocab() == {t: i for i, t in enumerate(ours.tokens)}
+    enc = codec.encode(corp, ours).orderBy("doc_id").collect()
+    assert all(lib.encode(t).ids == list(r.ids) for r, t in zip(enc, texts))
+
+
+def test_wrong_guesses_change_no_merge(spark):
+    corp = ranking.tokenizer_corpus(ranking.split_by_threshold(common.documents(spark, SF001))).limit(60).checkpoint()
+    wc = T.word_counts(corp).checkpoint()
+    want = T.learn_bpe(wc, max_merges=60)
+    for words in (1, 40):
+        assert T.learn_bpe(wc, max_merges=60, guess_words=words).merges == want.merges
+
+
+def test_pair_index_follows_every_merge():
+    import random
+
+    rng = random.Random(2)
+    words = [[rng.randrange(3) for _ in range(rng.randint(1, 9))] for _ in range(300)]
+    counts = [rng.randint(1, 5) for _ in words]
+
+    def counted(ws):
+        out = {}
+        for ids, n in zip(ws, counts):
+            for p in zip(ids, ids[1:]):
+                out[p] = out.get(p, 0) + n
+        return out
+
+    pairs = T.WordPairs([list(w) for w in words], counts)
+    now, logs = T.PairCounts(counted(words)), []
+    for new in range(3, 12):
+        p, c = now.best()
+        assert c == max(counted(pairs.words).values())
+        delta, done = pairs.merge(*p, new)
+        logs.append(done)
+        now.add(delta)
+        assert {k: v for k, v in now.counts.items()} == counted(pairs.words)
+    for done in reversed(logs):
+        pairs.undo(done)
+    assert pairs.words == words
+    assert pairs.merge(*T.PairCounts(counted(words)).best()[0], 3)[0] != {}
+
+
 def test_tie_order(spark):
     ours = learn(spark, ["zy zy ab ab ba ba"])
     got = [ours.tokens[l] + " " + ours.tokens[r] for l, r, _ in ours.merges]

@@ -2,7 +2,9 @@
 
 The order of rows is a pure function of the seed and the row: ``md5(seed:id)``,
 then (for repeated ids) ``md5(text)``; rows alike in both are interchangeable.
-A null id counts as the empty one, so no row is lost.  The exact global rank is computed without a single-partition window: rows are
+A null id counts as the empty one, so no row is lost.  Thresholds are found on
+the id key alone; texts are hashed only where a threshold cuts through a
+repeated id.  The exact global rank is computed without a single-partition window: rows are
 bucketed on the leading hex digits of the (uniform) md5 key, bucket sizes are
 counted (partial aggregation, at most ``16**digits`` rows), turned into
 running offsets on that tiny table, broadcast, and added to a ``row_number``
@@ -11,6 +13,8 @@ inside each bucket.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,11 +29,9 @@ def shuffle_key(seed: int, id_col: str | Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(c.cast("string"), F.lit(""))))
 
 
-def row_key(seed: int, id_col: str, text_col: str | None) -> Column:
-    """The shuffle key made total over different rows: id key, then text key."""
-    if text_col is None:
-        return shuffle_key(seed, id_col)
-    return F.concat(shuffle_key(seed, id_col), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+def text_key(text_col: str | None) -> Column:
+    """Orders rows of one id key; only needed where an id repeats."""
+    return F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) if text_col else F.lit("")
 
 
 def check_fraction(ratio: float) -> None:
@@ -85,8 +87,8 @@ def seeded_shuffle(
 
     Independent of partitioning; the multiset of rows is unchanged.
     """
-    key = row_key(seed, id_col, text_col if text_col in df.columns else None)
-    return global_rank(df, key, [id_col], total_col=total_col)
+    tied = df.withColumn("_rk_tie", text_key(text_col if text_col in df.columns else None))
+    return global_rank(tied, shuffle_key(seed, id_col), ["_rk_tie", id_col], total_col=total_col).drop("_rk_tie")
 
 
 def has_text(col: str) -> Column:
@@ -103,6 +105,7 @@ def clean_nonempty(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 
 
 FINAL_BUCKET_ROWS = 10_000  # at most this many keys are ever ordered at once
+KEY_LENGTH = 32  # hex digits of a key
 
 
 def bucket_counts(keyed: DataFrame, digits: int) -> list[tuple[str, int]]:
@@ -119,7 +122,6 @@ def kth_key(keyed: DataFrame, k: int, counts: list[tuple[str, int]], digits: int
     key is refined by further hex digits until it holds at most
     ``FINAL_BUCKET_ROWS`` rows or one key; what then reaches the driver is
     distinct keys with counts, at most that many."""
-    length = 64  # of a row key; shorter keys are single buckets before that
     level, prefix_len = counts, digits
     while True:
         chosen = None
@@ -132,8 +134,8 @@ def kth_key(keyed: DataFrame, k: int, counts: list[tuple[str, int]], digits: int
             return None
         bucket, n = chosen
         inside = keyed.filter(F.substring("_rk_key", 1, prefix_len) == bucket)
-        if n > FINAL_BUCKET_ROWS and prefix_len < length:
-            prefix_len = min(length, prefix_len + digits)
+        if n > FINAL_BUCKET_ROWS and prefix_len < KEY_LENGTH:
+            prefix_len = min(KEY_LENGTH, prefix_len + digits)
             level = bucket_counts(inside, prefix_len)
             continue
         for row in inside.groupBy("_rk_key").agg(F.count(F.lit(1)).alias("n")).orderBy("_rk_key").collect():
@@ -143,28 +145,70 @@ def kth_key(keyed: DataFrame, k: int, counts: list[tuple[str, int]], digits: int
         return None
 
 
-def first_rows(df: DataFrame, bound: tuple[str, int, int] | None) -> DataFrame:
-    """The rows (with ``_rk_key``) up to a bound of ``kth_key``.  Of rows alike
-    in everything the key covers the right number stays: one of them, repeated."""
-    if bound is None:
-        return df.limit(0)
-    key, take, same = bound
+@dataclass(frozen=True)
+class Bound:
+    """Where the first k rows of the seeded order end: at an id key and, when
+    that key's rows lie on both sides, at one of their text keys.  ``take`` of
+    the ``same`` rows alike in both are among the first k."""
+
+    key: str
+    text: str | None
+    take: int
+    same: int
+
+    def inside(self, tie: Column, alike: bool) -> Column:
+        """Rows before the bound; with ``alike`` also those at it."""
+        key = F.col("_rk_key")
+        if self.text is None:
+            return key <= self.key
+        at = (tie <= self.text) if alike else (tie < self.text)
+        return F.when(key == self.key, at).otherwise(key < self.key)  # texts of one id are hashed
+
+    def at(self, tie: Column) -> Column:
+        return F.when(F.col("_rk_key") == self.key, tie == self.text).otherwise(F.lit(False))
+
+
+def bound_of(keyed: DataFrame, k: int, counts: list[tuple[str, int]], digits: int, text_col: str | None) -> Bound | None:
+    """The bound after ``k`` rows.  The id keys decide; only where the k-th one
+    repeats, and is cut through, are the texts of its rows looked at."""
+    found = kth_key(keyed.select("_rk_key"), k, counts, digits)
+    if found is None:
+        return None
+    key, take, same = found
     if take == same:
-        return df.filter(F.col("_rk_key") <= key)
-    return df.filter(F.col("_rk_key") < key).unionByName(repeated(df, key, take))
+        return Bound(key, None, take, same)
+    ties = keyed.filter(F.col("_rk_key") == key).select(text_key(text_col).alias("_rk_key"))
+    text, take, same = kth_key(ties, take, bucket_counts(ties, digits), digits)
+    return Bound(key, text, take, same)
 
 
-def repeated(df: DataFrame, key: str, times: int) -> DataFrame:
-    one = df.filter(F.col("_rk_key") == key).limit(1)
-    return one.withColumn("_rk_copy", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("_rk_copy")
+def cut_rows(df: DataFrame, bound: Bound, tie: Column) -> tuple[DataFrame, DataFrame | None]:
+    """The first rows of the order, and the one row, if any, that is repeated on
+    both sides of the bound (rows alike in id and text are interchangeable)."""
+    if bound.take == bound.same:
+        return df.filter(bound.inside(tie, True)), None
+    return df.filter(bound.inside(tie, False)), df.filter(bound.at(tie)).limit(1)
+
+
+def times(one: DataFrame, n: int) -> DataFrame:
+    """A row, repeated."""
+    return one.withColumn("_rk_copy", F.explode(F.sequence(F.lit(1), F.lit(n)))).drop("_rk_copy")
+
+
+def first_rows(df: DataFrame, bound: Bound | None, tie: Column) -> DataFrame:
+    """The rows (with ``_rk_key``) up to a bound."""
+    if bound is None:
+        return df.limit(0)
+    before, one = cut_rows(df, bound, tie)
+    return before if one is None else before.unionByName(times(one, bound.take))
 
 
 def sample_n(df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "doc_id", text_col: str = "text", digits: int = BUCKET_DIGITS) -> DataFrame:
     """Exactly ``min(n, count)`` rows: the first ``n`` of the seeded order, with
-    ``rank``.  The n-th key is found on the narrow key column; only the rows
-    up to it are ranked, so the rest of the table is filtered where it lies."""
+    ``rank``.  The n-th key is found on the narrow id key; only the rows up to
+    it are ranked, so the rest of the table is filtered where it lies."""
     check_rows(n, needed=True)
-    keyed = df.withColumn("_rk_key", row_key(seed, id_col, text_col if text_col in df.columns else None))
+    keyed = df.withColumn("_rk_key", shuffle_key(seed, id_col))
     keys = keyed.select("_rk_key")
     counts = bucket_counts(keys, digits)
     if n < sum(c for _, c in counts):
@@ -185,32 +229,36 @@ def split_by_threshold(
 
     Eval is "the first floor(n * ratio) keys of the seeded order", i.e. every
     key up to the k-th smallest one.  That threshold comes from bucket counts
-    of the narrow key column (at most ``16**digits`` rows) and one top-j inside
-    a single bucket, so the documents themselves are only filtered and
-    labelled row by row: no shuffle of the text.  Returns ``(id, text, split)``.
+    of the id key (at most ``16**digits`` rows) and one top-j inside a single
+    bucket, so the documents themselves are only filtered and labelled row by
+    row: no shuffle of the text, and no text hashed unless the boundary id
+    repeats.  Returns ``(id, text, split)``.
     """
     check_fraction(eval_ratio)
     check_rows(n_samples)
-    items = clean_nonempty(df, text_col, id_col).withColumn("_rk_key", row_key(seed, id_col, text_col))
-    keys = items.select("_rk_key")
-    counts = bucket_counts(keys, digits)
+    items = df.filter(has_text(text_col)).select(
+        id_col, clean_text(text_col).alias(text_col), shuffle_key(seed, id_col).alias("_rk_key"), F.col(text_col).alias("_rk_raw")
+    )
+    tie = text_key("_rk_raw")
+    counts = bucket_counts(items.select("_rk_key"), digits)
     total = sum(n for _, n in counts)
     n = total if n_samples is None else min(total, n_samples)
     n_eval = int(n * float(eval_ratio))
-    whole = items if n == total else first_rows(items, kth_key(keys, n, counts, digits))
-    bound = kth_key(keys, n_eval, counts, digits) if n_eval else None
+    whole = items if n == total else first_rows(items, bound_of(items, n, counts, digits, "_rk_raw"), tie)
+    bound = bound_of(items, n_eval, counts, digits, "_rk_raw") if n_eval else None
     if bound is None:
-        return whole.withColumn("split", F.lit("train")).drop("_rk_key")
-    key, take, same = bound
-    if take < same:  # rows alike in id and text on both sides of the cut
-        same = whole.filter(F.col("_rk_key") == key).count()
-        cut = repeated(whole, key, take).withColumn("split", F.lit("eval"))
-        if same > take:
-            cut = cut.unionByName(repeated(whole, key, same - take).withColumn("split", F.lit("train")))
-        rest = whole.filter(F.col("_rk_key") != key)
-        labelled = rest.withColumn("split", F.when(F.col("_rk_key") < key, "eval").otherwise("train"))
-        return labelled.unionByName(cut).drop("_rk_key")
-    return whole.withColumn("split", F.when(F.col("_rk_key") <= key, "eval").otherwise("train")).drop("_rk_key")
+        return whole.withColumn("split", F.lit("train")).drop("_rk_key", "_rk_raw")
+    if bound.take == bound.same:
+        return whole.withColumn("split", F.when(bound.inside(tie, True), "eval").otherwise("train")).drop("_rk_key", "_rk_raw")
+    # rows alike in id and text on both sides of the cut
+    one = items.filter(bound.at(tie)).limit(1)
+    alike = whole.filter(bound.at(tie)).count()
+    cut = times(one, bound.take).withColumn("split", F.lit("eval"))
+    if alike > bound.take:
+        cut = cut.unionByName(times(one, alike - bound.take).withColumn("split", F.lit("train")))
+    rest = whole.filter(~bound.at(tie))
+    labelled = rest.withColumn("split", F.when(bound.inside(tie, False), "eval").otherwise("train"))
+    return labelled.unionByName(cut).drop("_rk_key", "_rk_raw")
 
 
 def train_eval_split(
@@ -229,8 +277,11 @@ def train_eval_split(
     """
     check_fraction(eval_ratio)
     check_rows(n_samples)
-    items = clean_nonempty(df, text_col, id_col)
-    ranked = seeded_shuffle(items, seed, id_col, total_col="_total", text_col=text_col)
+    # rows of one id are told apart by the text as it stands: cleaning every
+    # text only to break ties would cost more than all the rest
+    tie = text_key(text_col).alias("_rk_tie")
+    items = df.filter(has_text(text_col)).select(id_col, clean_text(text_col).alias(text_col), tie)
+    ranked = global_rank(items, shuffle_key(seed, id_col), ["_rk_tie", id_col], total_col="_total").drop("_rk_tie")
     n = F.col("_total")
     if n_samples is not None:
         ranked = ranked.filter(F.col("rank") <= n_samples)

@@ -1,28 +1,28 @@
 """Byte-level BPE vocabulary learning.
 
 Only one pass touches the corpus: pre-tokenising and counting words (T1, T3).
-Every merge round after that works on the distinct-word table, held as a
-string of token ids each wrapped in single spaces (``" 12  45  7 "``) so a
-merge is one native ``replace``.  Each round computes pair counts with a
-partial aggregate, brings the top few hundred pairs to the driver (bounded),
-accepts as many merges as are provably what a one-at-a-time trainer would
-pick, and rewrites the word table.  Lineage is cut with reliable checkpoints
-in the shared checkpoint folder.
+Every merge round after that works on the distinct-word table, a written table
+of id arrays.  Pair counts are taken once and kept up to date by deltas: a
+round makes many merges, guessed ahead and verified one by one against the
+exact counts, so the result is that of a one-at-a-time trainer (``learn_bpe``).
+Each round's table lies in the shared checkpoint folder, which cuts lineage.
 """
 
 from __future__ import annotations
 
+import heapq
 import logging
 import time
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.byte_symbols import byte_symbols, byte_to_symbol, symbols_to_bytes_hex
 from ..functions.text import SPECIAL_TOKENS
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
 # --- fixed values: the byte-level pre-tokenizer split rule -----------------
 # Java flavour with look-ahead; (?U) makes \s, \p{..} Unicode-aware.
@@ -147,45 +147,138 @@ class Tokenizer:
         return len(produced) != len(set(produced)) or any(n < len(self.tokens) - len(self.merges) for n in produced)
 
 
-def _ids_of(state: str = "state") -> Column:
-    return F.split(F.trim(F.col(state)), "  ").cast("array<int>")
+Pair = tuple[int, int]
+
+
+class WordPairs:
+    """Words as lists of ids, with an index from each pair to the words that
+    hold it, so that a merge touches those words only."""
+
+    def __init__(self, words: list[list[int]], counts: list[int]):
+        self.words, self.counts = words, counts
+        self.where: dict[Pair, list[int]] = {}
+        for w, ids in enumerate(words):
+            for p in zip(ids, ids[1:]):
+                self.where.setdefault(p, []).append(w)
+
+    def merge(self, left: int, right: int, new: int) -> tuple[dict[Pair, int], tuple]:
+        """Replace the pair everywhere, leftmost first.  Returns how the counts
+        of all pairs change, and what ``undo`` needs."""
+        words, delta, log = self.words, {}, []
+        held = self.where.pop((left, right), [])
+        for w in held:
+            old, n = words[w], self.counts[w]
+            ids, i, last = [], 0, len(old) - 1
+            while i <= last:
+                if old[i] == left and i < last and old[i + 1] == right:
+                    ids.append(new)
+                    i += 2
+                else:
+                    ids.append(old[i])
+                    i += 1
+            if len(ids) == len(old):
+                continue  # the word has changed since it was indexed
+            log.append((w, old))
+            words[w] = ids
+            for p in zip(old, old[1:]):
+                delta[p] = delta.get(p, 0) - n
+            for p in zip(ids, ids[1:]):
+                delta[p] = delta.get(p, 0) + n
+                if new in p:
+                    self.where.setdefault(p, []).append(w)
+        return {p: d for p, d in delta.items() if d}, ((left, right), held, log)
+
+    def undo(self, done: tuple) -> None:
+        pair, held, log = done
+        for w, old in log:
+            self.words[w] = old
+        self.where[pair] = held
+
+
+class PairCounts:
+    """Counts of all pairs with the next pick at hand: the highest count, ties
+    to the smaller ids.  At most ``vocab_size`` squared entries."""
+
+    def __init__(self, counts: dict[Pair, float]):
+        self.counts = dict(counts)
+        self.heap = [(-c, p) for p, c in counts.items()]
+        heapq.heapify(self.heap)
+
+    def add(self, delta: dict[Pair, float]) -> None:
+        for p, d in delta.items():
+            c = self.counts.get(p, 0) + d
+            if c > 0:
+                self.counts[p] = c
+                heapq.heappush(self.heap, (-c, p))
+            else:
+                self.counts.pop(p, None)
 
+    def best(self) -> tuple[Pair | None, float]:
+        while self.heap:
+            c, p = self.heap[0]
+            if self.counts.get(p) == -c:
+                return p, -c
+            heapq.heappop(self.heap)  # outdated
+        return None, 0
 
-def _batch_merges(top, tokens, tok2id, capacity, min_frequency, complete):
-    """Choose the merges of one round.
 
-    ``top`` is sorted by (count desc, left id, right id).  Accept the first
-    pair, then further pairs while they share no symbol with accepted ones;
-    the first pair that touches an accepted symbol (or repeats a symbol, or
-    would re-create an existing token) is the stopper, and only pairs counted
-    strictly higher than it are kept.  Merging a pair can only lower the
-    counts of pairs that touch it, and new pairs are bounded by those, so
-    the kept pairs are exactly the next picks of a one-at-a-time trainer.
-    """
-    accepted, touched = [], set()
-    stop = None
-    for i, (l, r, c) in enumerate(top):
-        if c < min_frequency:
-            stop = c
-            break
-        reuse = (tokens[l] + tokens[r]) in tok2id
-        if i == 0:
-            accepted.append((l, r, c, reuse))
-            touched |= {l, r}
-            if l == r or reuse:
-                return accepted[:1]
-            continue
-        if l in touched or r in touched or l == r or reuse:
-            stop = c
+def _merge_deltas(steps: list[tuple[int, int, int]]):
+    """Task side: how each of the merges, one after the other, changes the pair
+    counts of the task's words."""
+
+    def run(batches):
+        total: dict[tuple[int, int, int], int] = {}
+        for batch in batches:
+            pairs = WordPairs(batch.column(1).to_pylist(), batch.column(0).to_pylist())
+            for step, (left, right, new) in enumerate(steps):
+                for (x, y), d in pairs.merge(left, right, new)[0].items():
+                    total[step, x, y] = total.get((step, x, y), 0) + d
+        keys = np.array(list(total), dtype=np.int32).reshape(-1, 3)
+        columns = [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(keys[:, 2]), pa.array(list(total.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["step", "l", "r", "d"])
+
+    return run
+
+
+def _merged(steps: list[tuple[int, int, int]]):
+    """Task side: the words after the merges; those of one id are done."""
+
+    def run(batches):
+        for batch in batches:
+            pairs = WordPairs(batch.column(1).to_pylist(), batch.column(0).to_pylist())
+            for step in steps:
+                pairs.merge(*step)
+            left = [(n, w) for n, w in zip(pairs.counts, pairs.words, strict=True) if len(w) > 1]
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in left], pa.int64()), pa.array([w for _, w in left], pa.list_(pa.int32()))], ["n", "ids"])
+
+    return run
+
+
+GUESS_WORDS = 400_000  # most frequent words that the next merges are guessed from
+FIRST_GUESSES, MOST_GUESSES = 64, 768
+
+
+def guess_merges(sample: WordPairs, counts: dict[Pair, int], name, wanted: int, min_frequency: int) -> list[tuple[int, int, int]]:
+    """The merges that would come next if the rest of the corpus were like the
+    sample: exact counts at the start, changed by what the sample shows, scaled
+    by the share of the merged pair that lies in the sample."""
+    guess, steps, done = PairCounts(counts), [], []
+    for step in range(wanted):
+        p, c = guess.best()
+        if p is None or c < min_frequency:
             break
-        accepted.append((l, r, c, reuse))
-        touched |= {l, r}
-    else:
-        if not complete and top:
-            stop = top[-1][2]
-    if stop is not None:
-        accepted = accepted[:1] + [a for a in accepted[1:] if a[2] > stop]
-    return accepted[:max(1, capacity)]
+        new = name(p, step)
+        delta, log = sample.merge(*p, new)
+        done.append(log)
+        steps.append((*p, new))
+        own = -delta.get(p, 0)
+        scale = c / own if own else 1
+        guess.add(delta if scale == 1 else {q: d * scale for q, d in delta.items()})
+        if not own:  # the sample knows nothing of it
+            guess.counts.pop(p, None)
+    for log in reversed(done):
+        sample.undo(log)
+    return steps
 
 
 def learn_bpe(
@@ -193,86 +286,90 @@ def learn_bpe(
     vocab_size: int = DEFAULT_VOCAB_SIZE,
     min_frequency: int = 2,
     max_merges: int | None = None,
-    fetch: int = 256,
-    checkpoint_every: int = 8,
+    guess_words: int = GUESS_WORDS,
 ) -> Tokenizer:
     """Learn merges from a word-count table ``(word, n)``.
 
     Stops when the vocabulary reaches ``vocab_size``, the best pair count is
     below ``min_frequency``, or ``max_merges`` merges were made.
-    """
+
+    The pair counts are exact and kept up to date by deltas.  A round guesses
+    the next merges from a bounded sample of frequent words, lets the tasks
+    make them one after the other on all words and sums, per merge, how the
+    counts change.  The driver then goes through the merges: while each is the
+    true best pair of the exact counts, it is accepted and its deltas are
+    added; from the first wrong guess on all are dropped.  The first guess is
+    always right, so the sample only decides how many merges a round makes,
+    never which.  Words that have become one id leave the table."""
     if vocab_size > MAX_VOCAB_SIZE:
         raise ValueError(f"vocab_size above {MAX_VOCAB_SIZE} is not supported")
     spark = wc.sparkSession
     ensure_checkpoint_dir(spark)
+    folder = scratch_path(spark, "bpe")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     # one pass over the corpus: the words' symbol arrays are written once and
     # both the alphabet and the initial state are read from that table
-    syms = wc.select(F.col("n").cast("long").alias("n"), byte_symbols("word").alias("s")).checkpoint(eager=True)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    syms = written(wc.select(F.col("n").cast("long").alias("n"), byte_symbols("word").alias("s")).repartition(n_parts), "symbols")
     alphabet = sorted(r["token"] for r in syms.select(F.explode("s").alias("token")).distinct().collect())
     tokens = list(SPECIAL_TOKENS) + alphabet
     tok2id = {t: i for i, t in enumerate(tokens)}
-    sym2id = F.create_map(*[x for t in alphabet for x in (F.lit(t), F.lit(str(tok2id[t])))])
-    state = syms.filter(F.size("s") >= 2).select(
-        "n",
-        F.concat(
-            F.lit(" "),
-            F.array_join(F.transform("s", lambda s: F.element_at(sym2id, s)), "  "),
-            F.lit(" "),
-        ).alias("state"),
-    )
-    # spread the distinct words over the cluster so every round's explode and
-    # partial pair count run in parallel (AQE may have coalesced the input)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    state = state.repartition(n_parts).checkpoint(eager=True)
-
+    sym2id = F.create_map(*[x for t in alphabet for x in (F.lit(t), F.lit(tok2id[t]))]) if alphabet else None
+    if sym2id is None:
+        return Tokenizer(tokens=tokens, merges=[])
+    state = written(syms.filter(F.size("s") >= 2).select("n", F.transform("s", lambda s: F.element_at(sym2id, s)).alias("ids")), "0")
+    k = F.size("ids") - 1
+    pairs = state.select("n", F.explode(F.arrays_zip(F.slice("ids", 1, k).alias("l"), F.slice("ids", 2, k).alias("r"))).alias("p"))
+    # at most the alphabet squared
+    first = pairs.groupBy("p.l", "p.r").agg(F.sum("n").alias("c")).collect()
+    exact = PairCounts({(r["l"], r["r"]): r["c"] for r in first})
     merges: list[tuple[int, int, int]] = []
-    rounds = 0
-    stale: list[DataFrame] = []
-    while len(tokens) < vocab_size and (max_merges is None or len(merges) < max_merges):
+
+    def name_of(p: Pair, known: list[str], ids: dict[str, int]) -> int:
+        token = known[p[0]] + known[p[1]]
+        if token not in ids:
+            ids[token] = len(known)
+            known.append(token)
+        return ids[token]
+
+    def sampled() -> WordPairs:
+        frequent = state.orderBy(F.desc("n"), F.xxhash64("ids")).limit(guess_words).toArrow()
+        return WordPairs(frequent.column("ids").to_pylist(), frequent.column("n").to_pylist())
+
+    sample, wanted, rounds = sampled(), FIRST_GUESSES, 0
+    while True:
         t_round = time.time()
-        ids = _ids_of()
-        k = F.size(ids)
-        pairs = state.select(
-            "n", F.explode(F.arrays_zip(F.slice(ids, 1, k - 1).alias("l"), F.slice(ids, 2, k - 1).alias("r"))).alias("p")
-        )
-        counts = pairs.groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(F.sum("n").alias("c"))
-        top = [(r["l"], r["r"], r["c"]) for r in counts.orderBy(F.desc("c"), "l", "r").limit(fetch).collect()]
-        # the current state is materialised now; earlier cached states can go
-        for old in stale:
-            if old.is_cached:
-                old.unpersist()
-        stale = []
-        if not top:
-            break
-        capacity = vocab_size - len(tokens)
+        room = vocab_size - len(tokens)
         if max_merges is not None:
-            capacity = min(capacity, max_merges - len(merges))
-        chosen = _batch_merges(top, tokens, tok2id, capacity, min_frequency, complete=len(top) < fetch)
-        if not chosen:
+            room = min(room, max_merges - len(merges))
+        known, ids = list(tokens), dict(tok2id)
+        steps = guess_merges(sample, exact.counts, lambda p, _: name_of(p, known, ids), min(room, wanted), min_frequency)
+        if not steps:
             break
-        expr = F.col("state")
-        for l, r, _, reuse in chosen:
-            new_tok = tokens[l] + tokens[r]
-            if reuse:
-                new_id = tok2id[new_tok]
-            else:
-                new_id = len(tokens)
-                tokens.append(new_tok)
-                tok2id[new_tok] = new_id
-            merges.append((l, r, new_id))
-            expr = F.replace(expr, F.lit(f" {l}  {r} "), F.lit(f" {new_id} "))
-        previous = state
-        # kept for the next round's pair count (computed once, there); a
-        # reliable checkpoint every few rounds bounds lineage and recovery
-        state = state.select("n", expr.alias("state")).filter(F.instr(F.trim("state"), "  ") > 0)
-        state = state.persist(StorageLevel.MEMORY_AND_DISK)
+        found = state.mapInArrow(_merge_deltas(steps), "step int, l int, r int, d bigint")
+        # bounded by the merges of a round times the pairs that one can touch
+        table = found.groupBy("step", "l", "r").agg(F.sum("d").alias("d")).where("d <> 0").toArrow()
+        deltas: list[dict[Pair, int]] = [{} for _ in steps]
+        for step, x, y, d in zip(*[table.column(c).to_pylist() for c in ("step", "l", "r", "d")], strict=True):
+            deltas[step][x, y] = d
+        accepted = 0
+        for (left, right, new), delta in zip(steps, deltas, strict=True):
+            if exact.best()[0] != (left, right):
+                break
+            exact.add(delta)
+            exact.counts.pop((left, right), None)  # what overlaps in a run of one id is no pair any more
+            assert name_of((left, right), tokens, tok2id) == new
+            merges.append((left, right, new))
+            sample.merge(left, right, new)
+            accepted += 1
         rounds += 1
-        if rounds % checkpoint_every == 0:
-            state = state.checkpoint(eager=True)
-        stale.append(previous)
-        log.info("bpe round %d: %d merges accepted, %d total, %.2fs", rounds, len(chosen), len(merges), time.time() - t_round)
-    if state.is_cached:
-        state.unpersist()
+        state = written(state.mapInArrow(_merged(steps[:accepted]), "n bigint, ids array<int>"), str(rounds))
+        log.info("bpe round %d: %d of %d guesses right, %d merges, %.2fs", rounds, accepted, len(steps), len(merges), time.time() - t_round)
+        wanted = min(MOST_GUESSES, 2 * wanted) if accepted == len(steps) else max(16, min(MOST_GUESSES, 2 * accepted))
     return Tokenizer(tokens=tokens, merges=merges)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.text import WS_CLASS
 from ..operators import ranking, sequences, tokenizer
 from ..operators.tokenizer import PRETOKEN_PATTERN_NO_LOOKAHEAD
+from ..session import scratch_path
 from ..sources.corpus import read_corpus
 
 BPE_MERGES = 32  # merges of the queries that SQL repeats step by step
@@ -34,17 +35,25 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
 
 def split(spark: SparkSession, d: str) -> DataFrame:
     """``(doc_id, text, split)``; membership from the key threshold, so no
-    shuffle of the documents (queries that report ranks rank explicitly)."""
-    return ranking.split_by_threshold(documents(spark, d))
+    shuffle of the documents (queries that report ranks rank explicitly).
+    Written once per session and folder, as the prepared dataset is."""
+    key = ("split", _app(spark), d)
+    if key not in _cache:
+        made = ranking.split_by_threshold(documents(spark, d))
+        path = scratch_path(spark, "split")
+        made.write.parquet(path)
+        _cache[key] = spark.read.schema(made.schema).parquet(path)
+    return _cache[key]
 
 
 def corpus(spark: SparkSession, d: str) -> DataFrame:
     return ranking.tokenizer_corpus(split(spark, d))
 
 
-def learned_tokenizer(spark: SparkSession, d: str, merges: int = BPE_MERGES) -> tokenizer.Tokenizer:
-    """The tokenizer learned on the prepared corpus (driver-side, bounded);
-    memoised per session and folder because learning is iterative."""
+def learned_tokenizer(spark: SparkSession, d: str, merges: int | None = None) -> tokenizer.Tokenizer:
+    """The tokenizer learned on the prepared corpus (driver-side, bounded):
+    4,096 tokens, or the first ``merges`` merges.  Memoised per session and
+    folder because learning is iterative."""
     key = ("tok", _app(spark), d, merges)
     if key not in _cache:
         wc = tokenizer.word_counts(corpus(spark, d))

@@ -339,20 +339,35 @@ _RANKED = " UNION ALL ".join(f"SELECT {k - 1} AS rank, l, r, id FROM q{k}" for k
     f"FROM ({_RANKED}) AS m JOIN k{C.BPE_MERGES} AS a ON a.id = m.l JOIN k{C.BPE_MERGES} AS b ON b.id = m.r",
 )
 def bpe_merges_32(spark, d):
+    """The first 32 merges, which SQL repeats step by step."""
+    return C.learned_tokenizer(spark, d, C.BPE_MERGES).merges_df(spark)
+
+
+@register("bpe_merges")
+def bpe_merges(spark, d):
+    """T6 to the full stop rule: 4,096 tokens or no pair seen twice."""
     return C.learned_tokenizer(spark, d).merges_df(spark)
 
 
 @register(
-    "tokenizer_store",
+    "tokenizer_store_32",
     f"{_BPE} SELECT * FROM (VALUES (0, '<pad>', true), (1, '<|im_start|>', true), (2, '<|im_end|>', true)) AS t(id, token, is_special) "
     f"UNION ALL SELECT CAST(id AS INTEGER), token, false FROM k{C.BPE_MERGES}",
 )
+def tokenizer_store_32(spark, d):
+    return _stored(spark, C.learned_tokenizer(spark, d, C.BPE_MERGES))
+
+
+@register("tokenizer_store")
 def tokenizer_store(spark, d):
+    return _stored(spark, C.learned_tokenizer(spark, d))
+
+
+def _stored(spark, tok):
     """The learned vocabulary and merges written as two tables and read
     back; the reloaded tokenizer must equal the learned one."""
     from ..sources.tokenizer_store import load_tokenizer, save_tokenizer
 
-    tok = C.learned_tokenizer(spark, d)
     path = scratch_path(spark, "tokenizer")
     save_tokenizer(tok, spark, path)
     back = load_tokenizer(spark, path)
@@ -384,10 +399,19 @@ def split_specials(spark, d):
 _ENC = f"{_BPE}, {C.bpe_encode_cte()}"
 
 
-@register("encode_tokens", f"{_ENC} SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, array_to_string(ids, ' ') AS ids FROM enc")
+@register("encode_tokens_32", f"{_ENC} SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens, array_to_string(ids, ' ') AS ids FROM enc")
+def encode_tokens_32(spark, d):
+    return _encoded(spark, d, C.BPE_MERGES)
+
+
+@register("encode_tokens")
 def encode_tokens(spark, d):
-    tok = C.learned_tokenizer(spark, d)
-    enc = codec.encode(C.corpus(spark, d), tok)
+    """T9 with the full vocabulary."""
+    return _encoded(spark, d, None)
+
+
+def _encoded(spark, d, merges):
+    enc = codec.encode(C.corpus(spark, d), C.learned_tokenizer(spark, d, merges))
     return enc.select("doc_id", F.size("ids").alias("n_tokens"), sequences.ids_text("ids").alias("ids"))
 
 
@@ -412,11 +436,18 @@ def roundtrip_audit(spark, d):
 
 
 @register(
-    "token_stats",
+    "token_stats_32",
     f"{_ENC} SELECT split, count(*) AS n_docs, sum(len(ids)) AS n_tokens, round(avg(len(ids)), 6) AS avg_tokens, max(len(ids)) AS max_tokens, "
     "round(sum(length(sample)) / sum(len(ids)), 6) AS chars_per_token FROM enc GROUP BY split",
 )
+def token_stats_32(spark, d):
+    tok = C.learned_tokenizer(spark, d, C.BPE_MERGES)
+    return codec.token_stats(codec.encode(C.corpus(spark, d), tok))
+
+
+@register("token_stats")
 def token_stats(spark, d):
+    """T12 with the full vocabulary."""
     tok = C.learned_tokenizer(spark, d)
     return codec.token_stats(codec.encode(C.corpus(spark, d), tok))
 
@@ -696,11 +727,11 @@ def model_size(spark, d):
     return ngram.size_report(ngram.ngram_counts(s))
 
 
-def bpe_model(spark, d) -> ngram.NgramModel:
+def bpe_model(spark, d, merges: int | None = None) -> ngram.NgramModel:
     """n-gram model over the BPE ids of the train split (bounded vocabulary)."""
-    key = ("bpe_model", C._app(spark), d)
+    key = ("bpe_model", C._app(spark), d, merges)
     if key not in C._cache:
-        tok = C.learned_tokenizer(spark, d)
+        tok = C.learned_tokenizer(spark, d, merges)
         tr = C.corpus(spark, d).filter(F.col("split") == "train")
         C._cache[key] = ngram.build_model(codec.encode(tr, tok), tok.vocab_size)
     return C._cache[key]
@@ -714,16 +745,26 @@ _GEN = f"{_ENC}, {_LAST}, {C.generate_cte('pids')}".replace("WITH ", "WITH RECUR
 
 
 @register(
-    "generate_batch",
+    "generate_batch_32",
     f"{_GEN} SELECT prompt_id, CAST(len(pids.ids) AS INTEGER) AS n_prompt, CAST(step AS INTEGER) AS n_new, "
     "array_to_string(g.ids[len(pids.ids) + 1:], ' ') AS new_ids FROM "
     "(SELECT * FROM gen QUALIFY row_number() OVER (PARTITION BY prompt_id ORDER BY step DESC) = 1) AS g JOIN pids USING (prompt_id)",
 )
+def generate_batch_32(spark, d):
+    return _generated(spark, d, C.BPE_MERGES)
+
+
+@register("generate_batch")
 def generate_batch(spark, d):
-    tok = C.learned_tokenizer(spark, d)
+    """M8 with the full vocabulary."""
+    return _generated(spark, d, None)
+
+
+def _generated(spark, d, merges):
+    tok = C.learned_tokenizer(spark, d, merges)
     prompts = chat.last_message_prompt(C.table(spark, d, "conversations"))
     enc = codec.encode(prompts, tok, "prompt", "ids")
-    gen = ngram.generate(enc.select("prompt_id", "ids"), bpe_model(spark, d))
+    gen = ngram.generate(enc.select("prompt_id", "ids"), bpe_model(spark, d, merges))
     return gen.select("prompt_id", "n_prompt", F.size("new_ids").alias("n_new"), sequences.ids_text("new_ids").alias("new_ids"))
 
 
