@@ -87,10 +87,53 @@ def test_softmax_and_draw(spark):
         N.apply_temperature(df, 0.0)
 
 
+def unigram_topk(p1: dict[int, float], k: int) -> list[int]:
+    if k <= 0 or k >= len(p1):
+        return sorted(p1)
+    vals = sorted(p1.values(), reverse=True)
+    thr = vals[k - 1]
+    return sorted(t for t, v in p1.items() if v >= thr)
+
+
+def next_token_logits(active, model, k) :
+    """Candidate logits for the next token of every active row
+    ``(prompt_id, ids)``.
+
+    For an interpolated model the top-k of P_N(.|h) lies inside
+    followers(h_N) ∪ ... ∪ followers(h_2) ∪ top-k(P_1) (ties included), since a
+    token that does not follow a context is ranked by the order below only.
+    So only those candidates are scored — never prompts × vocabulary.
+    """
+    order, lam = model.order, model.lam
+    a = active.select("prompt_id", "ids")
+    for k_ in range(2, order + 1):
+        last = F.slice("ids", -(k_ - 1), k_ - 1)
+        a = a.withColumn(f"h{k_}", F.when(F.size("ids") >= k_ - 1, F.array_join(last, " ")))
+    for k_ in range(2, order + 1):
+        f = model.followers.filter(F.col("order") == k_).select(
+            F.col("ctx").alias(f"h{k_}"), F.col("n_ctx").alias(f"t{k_}"), F.col("toks").alias(f"toks{k_}"), F.col("cnts").alias(f"cnts{k_}")
+        )
+        a = a.join(f, f"h{k_}", "left")
+    uni_top = unigram_topk(model.unigram, k)
+    p1 = F.split(F.lit(",".join(repr(float(model.unigram[t])) for t in range(model.vocab_size))), ",")
+    cand = F.array(*[F.lit(t) for t in uni_top])
+    for k_ in range(2, order + 1):
+        cand = F.array_union(cand, F.coalesce(F.col(f"toks{k_}"), F.array().cast("array<int>")))
+    ex = a.select("*", F.explode(cand).alias("token"))
+    lam_c = F.lit(float(lam))
+    prob = F.get(p1, F.col("token")).cast("double")
+    for k_ in range(2, order + 1):
+        fm = F.map_from_arrays(F.col(f"toks{k_}"), F.col(f"cnts{k_}"))
+        c = F.coalesce(F.try_element_at(fm, F.col("token")), F.lit(0))
+        seen = F.col(f"t{k_}").isNotNull()
+        prob = F.when(seen, lam_c * c / F.col(f"t{k_}") + (1 - lam_c) * prob).otherwise(prob)
+    return ex.select("prompt_id", "ids", "token", F.log(prob).alias("logit"))
+
+
 def test_candidate_topk_equals_full_vocabulary(spark):
     model = N.build_model(seq_df(spark, SEQS), V)
     prompts = spark.createDataFrame([(0, [1, 3, 4]), (1, [7, 7]), (2, [5])], "prompt_id long, ids array<int>")
-    got = N.top_k(N.next_token_logits(prompts, model, k=3), 3).collect()
+    got = N.top_k(next_token_logits(prompts, model, 3), 3).collect()
     c = brute_counts(SEQS)
     for pid, ids in [(0, [1, 3, 4]), (1, [7, 7]), (2, [5])]:
         full = sorted(((math.log(brute_p(c, ids, w)), w) for w in range(V)), reverse=True)
@@ -124,16 +167,10 @@ def test_row_local_sampler_equals_window_operators(spark):
     model = N.build_model(seq_df(spark, SEQS), V)
     prompts = spark.createDataFrame([(i, ids) for i, ids in enumerate([[1, 3], [1, 5], [4], [1, 3, 4], [6, 6]])], "prompt_id long, ids array<int>")
     for step in range(4):
-        logits = N.next_token_logits(prompts, model, k=3)
+        logits = next_token_logits(prompts, model, 3)
         want = {r.prompt_id: r.token for r in N.draw(N.softmax(N.apply_temperature(N.top_k(logits, 3), 0.7)), seed=9, step=step).collect()}
-        a = prompts
-        for k_ in (2, 3):
-            a = a.withColumn(f"h{k_}", F.when(F.size("ids") >= k_ - 1, F.array_join(F.slice("ids", -(k_ - 1), k_ - 1), " ")))
-            f = model.followers.filter(F.col("order") == k_).select(
-                F.col("ctx").alias(f"h{k_}"), F.col("n_ctx").alias(f"t{k_}"), F.col("toks").alias(f"toks{k_}"), F.col("cnts").alias(f"cnts{k_}")
-            )
-            a = a.join(f, f"h{k_}", "left")
-        got = {r.prompt_id: r._next for r in N._sample_next(a, model, 3, 0.7, 9, step).collect()}
+        sampler = N.Sampler(model, 3, 0.7, 9, N.MAX_CONTEXT)
+        got = {r.prompt_id: sampler.next_token(list(r.ids), str(r.prompt_id), step) for r in prompts.collect()}
         assert got == want
 
 
@@ -170,3 +207,33 @@ def test_generation_uses_the_contexts_of_short_prompts(spark):
             if pick == 2:
                 break
         assert got[pid] == out, pid
+
+
+def test_follower_files_hold_every_context(spark, monkeypatch, tmp_path):
+    from wordloom.operators import follower_arrays as A
+
+    monkeypatch.setattr(A, "FILE_CONTEXTS", 3)
+    model = N.build_model(seq_df(spark, SEQS), V)
+    assert len(model.arrays.parts) > 2
+    rows = model.followers.collect()
+    for r in rows:
+        total, toks, counts = model.arrays.find([int(x) for x in r.ctx.split(" ")])
+        assert (total, toks.tolist(), counts.tolist()) == (r.n_ctx, r.toks, r.cnts)
+    known = {r.ctx for r in rows}
+    for a in range(V):
+        assert (model.arrays.find([a]) is not None) == (str(a) in known)
+        for b in range(V):
+            assert (model.arrays.find([a, b]) is not None) == (f"{a} {b}" in known)
+    assert model.arrays.find([V]) is None and model.arrays.find([-1, 2]) is None
+    gone = A.FollowerArrays(str(tmp_path), V, 3, model.arrays.parts)
+    with pytest.raises(FileNotFoundError):
+        gone.find([1])
+
+
+def test_generation_is_one_pass_without_a_join(spark):
+    model = N.build_model(seq_df(spark, SEQS), V)
+    prompts = spark.createDataFrame([(0, [1, 3]), (1, []), (2, [V + 5])], "prompt_id long, ids array<int>")
+    made = N.generate(prompts, model, max_new_tokens=4)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("ArrowEvalPython") == 1
+    assert all(1 <= len(r.new_ids) <= 4 and r.ids[r.n_prompt :] == r.new_ids for r in made.collect())

@@ -11,8 +11,7 @@ ties, softmax, inverse-CDF draw) is window work per prompt.
 
 from __future__ import annotations
 
-import logging
-import time
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,8 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import EOS_ID, PAD_ID
 from ..session import scratch_path
-
-log = logging.getLogger(__name__)
+from . import follower_arrays
 
 DEFAULT_ORDER = 3
 DEFAULT_LAMBDA = 0.5
@@ -232,11 +230,13 @@ def size_report(model: DataFrame) -> DataFrame:
 
 @dataclass
 class NgramModel:
-    """Model tables, written before use in a loop.  ``followers``, a parquet
-    table partitioned by order, holds one row per (order, context) with its next
-    tokens and counts; a context's followers are bounded by the vocabulary."""
+    """``followers``, a parquet table partitioned by order, holds one row per
+    (order, context) with its next tokens and counts; a context's followers are
+    bounded by the vocabulary.  ``arrays`` is the same table as sorted files that
+    tasks look contexts up in."""
 
     followers: DataFrame  # order, ctx, n_ctx, toks array<int>, cnts array<long>
+    arrays: follower_arrays.FollowerArrays
     unigram: dict[int, float]  # token -> P1 over the whole vocabulary (bounded)
     vocab_size: int
     order: int = DEFAULT_ORDER
@@ -261,108 +261,51 @@ def build_model(seqs: DataFrame, vocab_size: int, order: int = DEFAULT_ORDER, la
     followers = seqs.sparkSession.read.schema(followers.schema).parquet(path)
     uni = {r["token"]: r["n"] for r in counts.filter(F.col("order") == 1).select("token", "n").collect()}
     total = sum(uni.values())
-    p1 = {t: lam * uni.get(t, 0) / total + (1 - lam) / vocab_size for t in range(vocab_size)}
-    return NgramModel(followers=followers, unigram=p1, vocab_size=vocab_size, order=order, lam=lam)
-
-
-def _unigram_topk(p1: dict[int, float], k: int) -> list[int]:
-    if k <= 0 or k >= len(p1):
-        return sorted(p1)
-    vals = sorted(p1.values(), reverse=True)
-    thr = vals[k - 1]
-    return sorted(t for t, v in p1.items() if v >= thr)
-
-
-def next_token_logits(active: DataFrame, model: NgramModel, k: int = TOP_K) -> DataFrame:
-    """Candidate logits for the next token of every active row
-    ``(prompt_id, ids)``.
-
-    For an interpolated model the top-k of P_N(.|h) lies inside
-    followers(h_N) ∪ ... ∪ followers(h_2) ∪ top-k(P_1) (ties included), since a
-    token that does not follow a context is ranked by the order below only.
-    So only those candidates are scored — never prompts × vocabulary.
-    """
-    order, lam = model.order, model.lam
-    a = active.select("prompt_id", "ids")
-    for k_ in range(2, order + 1):
-        last = F.slice("ids", -(k_ - 1), k_ - 1)
-        a = a.withColumn(f"h{k_}", F.when(F.size("ids") >= k_ - 1, F.array_join(last, " ")))
-    for k_ in range(2, order + 1):
-        f = model.followers.filter(F.col("order") == k_).select(
-            F.col("ctx").alias(f"h{k_}"), F.col("n_ctx").alias(f"t{k_}"), F.col("toks").alias(f"toks{k_}"), F.col("cnts").alias(f"cnts{k_}")
-        )
-        a = a.join(f, f"h{k_}", "left")
-    uni_top = _unigram_topk(model.unigram, k)
-    p1 = F.split(F.lit(",".join(repr(float(model.unigram[t])) for t in range(model.vocab_size))), ",")
-    cand = F.array(*[F.lit(t) for t in uni_top])
-    for k_ in range(2, order + 1):
-        cand = F.array_union(cand, F.coalesce(F.col(f"toks{k_}"), F.array().cast("array<int>")))
-    ex = a.select("*", F.explode(cand).alias("token"))
-    lam_c = F.lit(float(lam))
-    prob = F.get(p1, F.col("token")).cast("double")
-    for k_ in range(2, order + 1):
-        fm = F.map_from_arrays(F.col(f"toks{k_}"), F.col(f"cnts{k_}"))
-        c = F.coalesce(F.try_element_at(fm, F.col("token")), F.lit(0))
-        seen = F.col(f"t{k_}").isNotNull()
-        prob = F.when(seen, lam_c * c / F.col(f"t{k_}") + (1 - lam_c) * prob).otherwise(prob)
-    return ex.select("prompt_id", "ids", "token", F.log(prob).alias("logit"))
-
-
-def _sample_next(a: DataFrame, model: NgramModel, k: int, temperature: float, seed: int, step: int) -> DataFrame:
-    """Row-local next token (``_next``) for rows holding their context lookups.
-
-    Same maths as ``top_k`` -> ``apply_temperature`` -> ``softmax`` ->
-    ``draw`` on the candidate table, as vector arithmetic over the (bounded)
-    vocabulary in one Arrow-batched UDF: a prompt's step costs time in
-    proportion to the vocabulary and the followers of its contexts."""
-    lam, size = model.lam, model.vocab_size
-    unigram = np.array([model.unigram[t] for t in range(size)])
-    orders = range(2, model.order + 1)
-
-    def draw_one(u: float, found: list) -> int:
-        p = unigram
-        for total, toks, counts in found:
-            if toks is not None and total == total:
-                p = (1 - lam) * p
-                p[toks] += lam * counts / total
-        logit = np.log(p) / temperature
+    p1 = {t: (lam * uni.get(t, 0) / total if total else 0.0) + (1 - lam if total else 1.0) / vocab_size for t in range(vocab_size)}
+    arrays = follower_arrays.write(followers, vocab_size, order, scratch_path(seqs.sparkSession, "follower_arrays"))
+    return NgramModel(followers=followers, arrays=arrays, unigram=p1, vocab_size=vocab_size, order=order, lam=lam)
+
+
+class Sampler:
+    """Draws tokens for one prompt after the other on a worker.
+
+    Same maths as ``top_k`` -> ``apply_temperature`` -> ``softmax`` -> ``draw``
+    over all candidates, as vector arithmetic over the (bounded) vocabulary: a
+    step costs time in proportion to the vocabulary and the followers of its
+    contexts."""
+
+    def __init__(self, model: NgramModel, k: int, temperature: float, seed: int, max_context: int):
+        self.arrays, self.order, self.lam, self.size = model.arrays, model.order, model.lam, model.vocab_size
+        self.unigram = np.array([model.unigram[t] for t in range(model.vocab_size)])
+        self.k, self.temperature, self.seed, self.max_context = k, temperature, seed, max_context
+
+    def next_token(self, line: list[int], prompt_id: str, step: int) -> int:
+        p = self.unigram
+        for o in range(2, min(self.order, self.max_context + 1) + 1):
+            # a context longer than what the model may look back on is never met
+            found = self.arrays.find(line[1 - o :]) if len(line) >= o - 1 else None
+            if found:
+                total, toks, counts = found
+                p = (1 - self.lam) * p
+                p[toks] += self.lam * counts / total
+        logit = np.log(p) / self.temperature
         # ties are kept: what differs from the k-th largest only by rounding is tied
-        if 0 < k < size:
-            kept = np.flatnonzero(logit >= np.partition(logit, size - k)[size - k] - 1e-12)
+        if 0 < self.k < self.size:
+            kept = np.flatnonzero(logit >= np.partition(logit, self.size - self.k)[self.size - self.k] - 1e-12)
         else:
-            kept = np.arange(size)
+            kept = np.arange(self.size)
         e = np.exp(logit[kept] - logit[kept].max())
+        u = int(hashlib.md5(f"{self.seed}:{prompt_id}:{step}".encode()).hexdigest()[:8], 16) / 4294967296.0
         reached = np.searchsorted(np.cumsum(e / e.sum()), u, side="left")
         return int(kept[min(reached, len(kept) - 1)])
 
-    @F.pandas_udf("int")
-    def next_token(u: pd.Series, found: pd.DataFrame) -> pd.Series:
-        cols = [(found[f"t{o}"], found[f"toks{o}"], found[f"cnts{o}"]) for o in orders]
-        return pd.Series([draw_one(x, [(t.iat[i], w.iat[i], c.iat[i]) for t, w, c in cols]) for i, x in enumerate(u)], dtype="int32")
-
-    u = uniform(F.concat_ws(":", F.lit(str(seed)), F.col("prompt_id").cast("string"), F.lit(str(step))))
-    found = F.struct(*[F.col(f"{c}{o}") for o in orders for c in ("t", "toks", "cnts")])
-    if model.order < 2:
-        found = F.struct(F.lit(0).alias("none"))
-    return a.withColumn("_next", next_token(u, found))
-
-
-def _look_up(a: DataFrame, model: NgramModel, max_context: int) -> DataFrame:
-    """Adds ``h, t, toks, cnts`` of each order's context to every row.
-
-    The follower table is first cut to the distinct contexts of the batch: while
-    those are few, they are broadcast (Spark checks their size) and the table is
-    only scanned; the join back is then small."""
-    for o in range(2, model.order + 1):
-        # a context longer than what the model may look back on is never met
-        known = (F.size("ids") >= o - 1) & F.lit(o - 1 <= max_context)
-        a = a.withColumn(f"h{o}", F.when(known, F.array_join(F.slice("ids", -(o - 1), o - 1), " ")))
-    for o in range(2, model.order + 1):
-        asked = a.select(F.col(f"h{o}").alias("ctx")).distinct()
-        hit = model.followers.filter(F.col("order") == o).join(asked, "ctx", "left_semi")
-        hit = hit.select(F.col("ctx").alias(f"h{o}"), F.col("n_ctx").alias(f"t{o}"), F.col("toks").alias(f"toks{o}"), F.col("cnts").alias(f"cnts{o}"))
-        a = a.join(hit, f"h{o}", "left")
-    return a
+    def reply(self, ids: list[int], prompt_id: str, max_new_tokens: int, eos_id: int) -> list[int]:
+        line = list(ids)
+        for step in range(max_new_tokens):
+            line.append(self.next_token(line, prompt_id, step))
+            if line[-1] == eos_id:
+                break
+        return line[len(ids) :]
 
 
 def generate(
@@ -377,42 +320,23 @@ def generate(
 ) -> DataFrame:
     """M8: sample up to ``max_new_tokens`` for every prompt ``(prompt_id, ids)``.
 
-    One Spark round per token for the whole batch: two lookups of the
-    prompts' contexts in the follower table, then row-local sampling.
-    Finished rows (end id drawn, included in the output, or limit reached)
-    leave the active set but stay in the result.  Returns
-    ``(prompt_id, ids, n_prompt, new_ids)``.
+    One pass: a task draws all tokens of its prompts, looking their contexts up
+    in the model's memory-mapped arrays, so there is no join and no round per
+    token.  A prompt ends with the end id (included in the output) or at the
+    limit.  Returns ``(prompt_id, ids, n_prompt, new_ids)``, lazily.
     """
     if not temperature > 0:
         raise ValueError("temperature must be > 0")
     spark = prompts.sparkSession
-    folder = scratch_path(spark, "generate")
-
-    def written(df: DataFrame, step: int) -> DataFrame:
-        # a table, not an RDD: the planner knows its size, and the plan stays
-        # one round deep
-        df.write.parquet(f"{folder}/{step}")
-        return spark.read.parquet(f"{folder}/{step}")
-
-    first = prompts.select("prompt_id", "ids", F.size("ids").alias("n_prompt"), F.lit(False).alias("done"))
-    state = written(first, 0)
-    n_parts = max(1, state.rdd.getNumPartitions())
-    for step in range(max_new_tokens):
-        t_round = time.time()
-        finished = state.filter(F.col("done"))
-        a = _look_up(state.filter(~F.col("done")), model, max_context)
-        a = _sample_next(a, model, k, temperature, seed, step)
-        stepped = a.select(
-            "prompt_id",
-            F.concat("ids", F.array("_next")).alias("ids"),
-            "n_prompt",
-            (F.col("_next") == eos_id).alias("done"),
-        )
-        # a union adds up partition counts: coalesce (narrow) keeps the task
-        # count per round constant
-        state = written(finished.unionByName(stepped).coalesce(n_parts), step + 1)
-        log.info("generation round %d: %.2fs", step, time.time() - t_round)
-        # an empty active set makes a round nearly free; check every few rounds
-        if (step + 1) % 4 == 0 and state.filter(~F.col("done")).isEmpty():
-            break
-    return state.select("prompt_id", "ids", "n_prompt", F.slice("ids", F.col("n_prompt") + 1, F.size("ids")).alias("new_ids"))
+    shared = spark.sparkContext.broadcast(Sampler(model, k, temperature, seed, max_context))  # the vocabulary's size
+
+    @F.pandas_udf("array<int>")
+    def reply(prompt_id: pd.Series, ids: pd.Series) -> pd.Series:
+        sampler = shared.value
+        return pd.Series([sampler.reply(list(map(int, x)), p, max_new_tokens, eos_id) for p, x in zip(prompt_id, ids)], dtype=object)
+
+    # a prompt is many steps of work for a few bytes: spread them
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = prompts.select("prompt_id", "ids").repartition(parts, "prompt_id")
+    made = spread.withColumn("new_ids", reply(F.coalesce(F.col("prompt_id").cast("string"), F.lit("")), F.coalesce("ids", F.array().cast("array<int>"))))
+    return made.select("prompt_id", F.concat("ids", "new_ids").alias("ids"), F.size("ids").alias("n_prompt"), "new_ids")
