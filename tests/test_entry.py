@@ -12,4 +12,4 @@ def test_entry_runs(spark):
 def test_oracles_are_subset_of_queries():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert len(qs) >= 57
+    assert len(qs) >= 73

@@ -78,3 +78,18 @@ def test_config_normalise(spark):
     assert wrong == {4: (384, 5, 0.1), 5: (384, 6, 0.1), 6: (384, 6, 0.1)}
     pub = cfg.to_public_keys(cfg.normalise_config(df, "config", keep=("id",)))
     assert "hidden_size" in pub.columns and "max_position_embeddings" in pub.columns
+
+
+def test_lines_keep_their_file_order(spark, tmp_path):
+    from wordloom.sources.corpus import read_jsonl_in_order
+
+    for k in range(3):
+        body = "".join(f'{{"text": "f{k} line {i} {"x" * (i % 40)}"}}\n' for i in range(500))
+        (tmp_path / f"part-{k}.json").write_text(body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("128m", "4k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = sorted((r.line_no, r.text) for r in read_jsonl_in_order(spark, str(tmp_path)).collect())
+        assert [t.rsplit(" ", 1)[0] for _, t in rows] == [f"f{k} line {i}" for k in range(3) for i in range(500)]
+        assert [n for n, _ in rows] == list(range(1500))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -116,6 +116,13 @@ def assign_batches(
     ).drop("_order")
 
 
+def batches_in_order(df: DataFrame, position: str, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """D4, unshuffled: batches that follow a dense 0-based position (as
+    ``line_no`` of ``read_jsonl_in_order``): plain arithmetic, no exchange."""
+    p = F.col(position)
+    return df.select("*", F.floor(p / batch_size).cast("int").alias("batch_id"), (p % batch_size).cast("int").alias("row_in_batch"))
+
+
 def pad_batch(df: DataFrame, pad_id: int = PAD_ID, keys: tuple[str, ...] = ("split", "epoch", "batch_id")) -> DataFrame:
     """Right-pad ``x`` and ``y`` to the longest ``x`` of their batch.
 

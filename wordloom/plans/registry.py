@@ -376,6 +376,27 @@ def _stored(spark, tok):
     return spark.read.parquet(f"{path}/vocab").select("id", "token", "is_special")
 
 
+@register(
+    "tokenizer_import",
+    f"{_BPE} SELECT * FROM (VALUES (0, '<pad>', true), (1, '<|im_start|>', true), (2, '<|im_end|>', true)) AS t(id, token, is_special) "
+    f"UNION ALL SELECT CAST(id AS INTEGER), token, false FROM k{C.BPE_MERGES}",
+)
+def tokenizer_import(spark, d):
+    """The tokenizer written as a JSON artefact and imported again, with
+    either spelling of the merges."""
+    from ..sources.tokenizer_store import export_tokenizer_json, import_tokenizer_json
+
+    tok = C.learned_tokenizer(spark, d, C.BPE_MERGES)
+    found = []
+    for pairs in (True, False):
+        path = scratch_path(spark, "tokenizer-json")
+        export_tokenizer_json(tok, spark, path, pairs)
+        found.append(import_tokenizer_json(spark, path))
+    if any(x.merges != tok.merges or x.tokens != tok.tokens for x in found):
+        raise AssertionError("tokenizer changed on its way through JSON")
+    return found[0].vocab_df(spark)
+
+
 _SEP = "chr(57344) || chr(57345)"
 _MARKED = f"replace(replace(sample, '<|im_start|>', {_SEP} || '<|im_start|>' || {_SEP}), '<|im_end|>', {_SEP} || '<|im_end|>' || {_SEP})"
 _SEG_SRC = (
@@ -499,6 +520,22 @@ def assign_batches(spark, d):
     return _batched(spark, d).select("seq_id", "split", "epoch", "batch_id", "row_in_batch")
 
 
+@register(
+    "file_order_batches",
+    f"WITH {SPLIT_CTE} SELECT md5(sample) AS sample_md5, CAST(floor((rank - 1) / 32) AS INTEGER) AS batch_id, CAST((rank - 1) % 32 AS INTEGER) AS row_in_batch "
+    "FROM corpus JOIN split USING (doc_id) WHERE split.split = 'eval'",
+)
+def file_order_batches(spark, d):
+    """D4 for the evaluation set: its JSONL file is written in split order, and
+    batches follow the lines as they stand in the files."""
+    ranked = ranking.train_eval_split(C.documents(spark, d)).filter(F.col("split") == "eval")
+    ordered = ranked.select("rank", TX.wrap_sample("text").alias("sample")).repartitionByRange(4, "rank").sortWithinPartitions("rank")
+    path = scratch_path(spark, "eval-jsonl")
+    src.write_jsonl(ordered, path, "sample")
+    lines = src.read_jsonl_in_order(spark, path)
+    return sequences.batches_in_order(lines, "line_no").select(F.md5("text").alias("sample_md5"), "batch_id", "row_in_batch")
+
+
 @register(
     "pad_batch",
     f"WITH {SPLIT_CTE}, {WORDS_CTE}, {_BATCH_SQL}, "
@@ -809,6 +846,23 @@ def choices_flatten(spark, d):
     return chat.explode_choices(res).select("conv_id", "turn", "reply")
 
 
+@register(
+    "reply_quality",
+    f"WITH {SPLIT_CTE}, known AS (SELECT DISTINCT unnest(regexp_extract_all(text, '{SQL_PAT}')) AS word FROM split WHERE split = 'train'), "
+    f"r AS (SELECT {_P4} AS reply, contains(text, '<|im_end|>') AS ended FROM {_REPLY_SRC}), "
+    f"rw AS (SELECT unnest(regexp_extract_all({sql_clean('reply')}, '{SQL_PAT}')) AS word FROM r), "
+    "a AS (SELECT count(*) AS n_replies, count(*) FILTER (reply <> '') AS n_nonempty, count(*) FILTER (ended) AS n_ended FROM r), "
+    "b AS (SELECT count(*) AS n_words, count(known.word) AS n_known FROM rw LEFT JOIN known USING (word)) "
+    "SELECT *, round(n_known / n_words, 9) AS known_share, round(n_nonempty / n_replies, 9) AS nonempty_share, round(n_ended / n_replies, 9) AS ended_share FROM a, b",
+)
+def reply_quality(spark, d):
+    """M11 on all assistant turns against the words of the train split."""
+    conv = C.table(spark, d, "conversations").filter(F.col("role") == "assistant").select("conv_id", "turn", "text")
+    extra = spark.createDataFrame(C.MARKER_REPLIES, "conv_id long, turn long, text string")
+    made = chat.reply_quality(conv.unionByName(extra), C.split(spark, d).filter(F.col("split") == "train"))
+    return made.select(*[F.round(c, 9).alias(c) if c.endswith("_share") else c for c in made.columns])
+
+
 @register("chat_complete")
 def chat_complete(spark, d):
     tok = C.learned_tokenizer(spark, d)
@@ -938,6 +992,24 @@ def checkpoint_rows(spark, d):
     return runlog.checkpoint_rows(_log(spark, d, "event_type"))
 
 
+@register(
+    "run_log_line",
+    f"WITH {_LONG_LOG_SQL}, ev AS (SELECT run_id, step, loss FROM lg WHERE step > 0 AND step % 200 = 0), "
+    "l AS (SELECT run_id, step, CASE WHEN step < 200 THEN 0.0003 * CAST(step AS DOUBLE) / 200.0 "
+    "ELSE 3e-05 + (0.0003 - 3e-05) * (0.5 * (1.0 + cos(pi() * ((CAST(step AS DOUBLE) - 200.0) / 9800.0)))) END AS lr, "
+    "avg(loss) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS train_loss, "
+    "epoch(ts) - min(epoch(ts)) OVER (PARTITION BY run_id) AS elapsed FROM lg) "
+    "SELECT l.run_id, l.step, round(lr, 12) AS lr, round(train_loss, 6) AS train_loss, round(ev.loss, 6) AS eval_loss, round(elapsed, 6) AS elapsed_sec "
+    "FROM (SELECT * FROM l WHERE step % 100 = 0) AS l ASOF LEFT JOIN ev ON l.run_id = ev.run_id AND l.step >= ev.step",
+)
+def run_log_line(spark, d):
+    """One line per logged step of each event type's run."""
+    r = runlog.run_log_lines(_log(spark, d, "event_type"))
+    return r.select(
+        "run_id", "step", F.round("lr", 12).alias("lr"), F.round("train_loss", 6).alias("train_loss"), F.round("eval_loss", 6).alias("eval_loss"), F.round("elapsed_sec", 6).alias("elapsed_sec")
+    )
+
+
 @register(
     "run_summary",
     f"WITH {_LOG_SQL}, s AS (SELECT run_id, count(*) AS n_steps, arg_max(loss, step) AS last_loss, "

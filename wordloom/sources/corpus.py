@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -47,6 +47,30 @@ def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("text string").option("mode", "FAILFAST").json(path)
 
 
+def line_order(spark: SparkSession, path: str) -> DataFrame:
+    """``(value, line_no)``: the lines of text files with their 0-based places
+    in file order (files by path).
+
+    A split of a file is read in order by one task; lines are numbered inside
+    their split and shifted by the sizes of the splits before it, a table of one
+    row per split.  Blank lines count."""
+    at = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    lines = spark.read.text(path).select("value", at[0].alias("_f"), at[1].alias("_b"), F.monotonically_increasing_id().alias("_m"))
+    local = lines.withColumn("_n", F.row_number().over(Window.partitionBy("_f", "_b").orderBy("_m")))
+    sizes = spark.read.text(path).select(at[0].alias("_f"), at[1].alias("_b")).groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    offsets = sizes.select("_f", "_b", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_off"))
+    return local.join(offsets, ["_f", "_b"]).select("value", (F.col("_off") + F.col("_n") - 1).alias("line_no"))
+
+
+def read_jsonl_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """``(text, line_no)`` of the non-blank lines of JSONL files, in file order;
+    malformed lines raise."""
+    lines = line_order(spark, path).filter(F.trim("value") != "")
+    parsed = F.from_json("value", "text string", {"mode": "FAILFAST"})
+    return lines.select(parsed["text"].alias("text"), "line_no")
+
+
 def write_jsonl(df: DataFrame, path: str, text_col: str = "text") -> None:
     """One ``{"text": ...}`` object per line, UTF-8 kept as is."""
     df.select(F.col(text_col).alias("text")).write.mode("overwrite").json(path)

@@ -4,9 +4,10 @@ added tokens overlay the vocabulary, later entries win)."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.tokenizer import MAX_VOCAB_SIZE, Tokenizer
 
@@ -30,23 +31,32 @@ def load_tokenizer(spark: SparkSession, path: str) -> Tokenizer:
     return Tokenizer(tokens=tokens, merges=merges, specials=specials)
 
 
+def export_tokenizer_json(tok: Tokenizer, spark: SparkSession, path: str, pairs: bool = True) -> None:
+    """Write a JSON tokenizer file as ``import_tokenizer_json`` reads it; merges
+    as ``["a", "b"]`` or, without ``pairs``, as ``"a b"``."""
+    merges = [[tok.tokens[l], tok.tokens[r]] for l, r, _ in tok.merges]
+    specials = {i: t for t, i in tok.specials.items()}
+    said = {
+        "added_tokens": [{"id": i, "content": t, "special": True} for i, t in sorted(specials.items())],
+        "model": {"type": "BPE", "vocab": {t: i for i, t in enumerate(tok.tokens) if i not in specials}, "merges": merges if pairs else [" ".join(m) for m in merges]},
+    }
+    spark.createDataFrame([(json.dumps(said, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def import_tokenizer_json(spark: SparkSession, path: str) -> Tokenizer:
     """Read a JSON tokenizer file (``model.vocab``, ``model.merges``,
-    ``added_tokens``) with Spark's JSON reader; the artefact is bounded by
-    its vocabulary size."""
-    raw = spark.read.option("multiLine", "true").json(path)
-    model_t = raw.schema["model"].dataType
-    vocab = raw.select(F.explode(F.map_entries(F.from_json(F.to_json("model.vocab"), T.MapType(T.StringType(), T.IntegerType())))).alias("e")).select(
-        F.col("e.key").alias("token"), F.col("e.value").alias("id")
-    )
-    merges_t = model_t["merges"].dataType.elementType
-    m = F.posexplode("model.merges").alias("rank", "m")
-    merges = raw.select(m)
-    if isinstance(merges_t, T.ArrayType):
-        merges = merges.select("rank", F.col("m")[0].alias("left"), F.col("m")[1].alias("right"))
-    else:
-        merges = merges.select("rank", F.split("m", " ", 2)[0].alias("left"), F.split("m", " ", 2)[1].alias("right"))
-    added = raw.select(F.explode("added_tokens").alias("a")).select(F.col("a.content").alias("token"), F.col("a.id").alias("id"))
+    ``added_tokens``) with Spark's JSON functions; the artefact is bounded by
+    its vocabulary size.  The vocabulary is a map, so tokens that differ in case
+    only are no clash of columns."""
+    raw = spark.read.text(path, wholetext=True)
+    said = "model struct<vocab: map<string, int>, merges: array<{}>>, added_tokens array<struct<content: string, id: int>>"
+    pairs, strings = F.from_json("value", said.format("array<string>")), F.from_json("value", said.format("string"))
+    art = raw.select(strings.alias("s"), pairs["model"]["merges"].alias("pairs"))
+    vocab = art.select(F.explode(F.map_entries("s.model.vocab")).alias("e")).select(F.col("e.key").alias("token"), F.col("e.value").alias("id"))
+    in_pairs = F.col("pairs").isNotNull() & F.exists(F.coalesce("pairs", F.array()), lambda p: p.isNotNull())
+    listed = F.when(in_pairs, F.col("pairs")).otherwise(F.transform("s.model.merges", lambda m: F.split(m, " ", 2)))
+    merges = art.select(F.posexplode(listed).alias("rank", "m")).select("rank", F.col("m")[0].alias("left"), F.col("m")[1].alias("right"))
+    added = art.select(F.explode("s.added_tokens").alias("a")).select(F.col("a.content").alias("token"), F.col("a.id").alias("id"))
     vrows = vocab.collect()
     arows = added.collect()
     if len(vrows) + len(arows) > MAX_VOCAB_SIZE:
