@@ -204,6 +204,17 @@ def test_extract_edge_rows(spark):
     assert html_blocks.extract(spark, pages.limit(0)).count() == 0
 
 
+def test_the_letter_shortcut_changes_no_weight():
+    rng = random.Random(6)
+    model = toxicity.ToxicityModel(np.log(np.full((28, 28, 28), 1 / 28)).tolist(), {"idiot": 2.0, "idi-": 1.0, "stupid": 3.0, "ärger": 1.5, "x9": 1.0})
+    signs = "idotsupähx0159!|$@. "
+    tokens = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 8))).strip() or "a" for _ in range(3000)]
+    fast = [model.token_weight(t) for t in tokens]
+    skipped = sum(not model.may_weigh(t) for t in tokens)
+    model.may_weigh = lambda token: True
+    assert fast == [model.token_weight(t) for t in tokens] and 100 < skipped < 2900
+
+
 # ---- packing ---------------------------------------------------------------
 
 

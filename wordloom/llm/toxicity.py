@@ -31,6 +31,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -219,34 +220,37 @@ def bare(token: str) -> str:
     return token if len(token) == 1 else token.strip(PLAIN_EDGE)
 
 
-def spaced_runs(tokens: list[str]) -> list[str]:
+@lru_cache(maxsize=100_000)
+def fragment(token: str) -> str:
+    """A short token without its punctuation if it may be part of a spaced
+    word, else nothing."""
+    return b if 0 < len(b := bare(token)) <= FRAGMENT else ""
+
+
+def fragments(tokens: list[str]) -> list[str]:
+    return [fragment(t) if len(t) <= FRAGMENT + 2 else "" for t in tokens]
+
+
+def runs_of(at: list[int], least: int) -> list[tuple[int, int]]:
+    """Runs of at least so many neighbouring places: first and one past the last."""
+    if not at:
+        return []
+    ends = [k + 1 for k, (i, j) in enumerate(zip(at, at[1:])) if j != i + 1]
+    return [(at[lo], at[hi - 1] + 1) for lo, hi in zip([0, *ends], [*ends, len(at)]) if hi - lo >= least]
+
+
+def spaced_runs(tokens: list[str], parts: list[str] | None = None) -> list[str]:
     """Runs of single-character tokens, punctuated or not, joined by blanks, for
     the lattice."""
-    at = [i for i, t in enumerate(tokens) if len(t) == 1 or len(t) < 5 and len(bare(t)) == 1]
-    runs, i = [], 0
-    while i < len(at):
-        j = i
-        while j + 1 < len(at) and at[j + 1] == at[j] + 1:
-            j += 1
-        if j - i + 1 >= SINGLES:
-            runs.append(" ".join(map(bare, tokens[at[i] : at[j] + 1])))
-        i = j + 1
-    return runs
-
-
-def fragment_runs(tokens: list[str]) -> list[tuple[str, ...]]:
+    parts = fragments(tokens) if parts is None else parts
+    at = [i for i, b in enumerate(parts) if len(b) == 1 and len(tokens[i]) < 5]
+    return [" ".join(parts[lo:hi]) for lo, hi in runs_of(at, SINGLES)]
+
+
+def fragment_runs(tokens: list[str], parts: list[str] | None = None) -> list[tuple[str, ...]]:
     """Runs of two or more short tokens without their punctuation."""
-    runs, run = [], []
-    for t in tokens:
-        if len(t) <= FRAGMENT + 2 and 0 < len(b := bare(t)) <= FRAGMENT:
-            run.append(b)
-        elif run:
-            if len(run) > 1:
-                runs.append(tuple(run))
-            run = []
-    if len(run) > 1:
-        runs.append(tuple(run))
-    return runs
+    parts = fragments(tokens) if parts is None else parts
+    return [tuple(parts[lo:hi]) for lo, hi in runs_of([i for i, b in enumerate(parts) if b], 2)]
 
 
 def spaced_or_token(unit: str, model: list) -> list[list[str]]:
@@ -261,6 +265,30 @@ def features(word: str) -> list[str]:
 # ---- scoring ---------------------------------------------------------------
 
 
+class _LetterBits(dict):
+    """Which letters a sign may stand for, as bits; one bit for all letters
+    beyond a-z."""
+
+    def __missing__(self, c: str) -> int:
+        bits = 0
+        for x in (c, *LEET.get(c, "")):
+            if x.isalpha():
+                bits |= 1 << symbol_of(x)
+        self[c] = bits
+        return bits
+
+
+_BITS = _LetterBits()
+
+
+def letters_of(word: str, signs: bool) -> int:
+    """The letters of a word; with ``signs`` also those its signs stand for."""
+    bits = 0
+    for c in set(word):
+        bits |= _BITS[c] if signs or c not in LEET else 0
+    return bits
+
+
 @dataclass
 class ToxicityModel:
     """Everything a worker needs; bounded by the alphabet and the selection."""
@@ -272,14 +300,27 @@ class ToxicityModel:
     prior: float = 0.0
 
     def __post_init__(self):
-        self.cache: dict[str, float] = {}
+        self.cache: dict[str, float] = {}  # of tokens; two generations are held
+        self.old: dict[str, float] = {}
+        self.runs: dict[tuple[str, ...], float] = {}  # weights of runs of fragments
+        masks = {letters_of(f.removesuffix("-"), False) for f in self.weights}
+        self.masks = [m for m in masks if not any(x != m and x & ~m == 0 for x in masks)]  # the least ones decide
+        self.heads = {f.removesuffix("-")[: PREFIXES[0]] for f in self.weights}
         self.starts = {w[:k] for f in self.weights if not f.endswith("-") for w in [TWICE.sub(r"\1", f)] for k in range(1, len(w) + 1)}
         self.longest = max((len(w) for w in self.weights if not w.endswith("-")), default=0)
 
+    def may_weigh(self, token: str) -> bool:
+        """False only if no reading of a token can hold a weighted feature: every
+        one of them has a letter that none of the token's signs stands for."""
+        lacking = ~letters_of(token, True)
+        return not all(map(lacking.__and__, self.masks))
+
     def token_weight(self, token: str) -> float:
         weights = self.weights
         core = token.strip(EDGE)
         if core.isalpha() and "(" not in token and "!" not in token and not TWICE.search(core):  # has one reading
+            if core[: PREFIXES[0]] not in self.heads:
+                return 0.0
             best = weights.get(core, 0.0)
             for k in PREFIXES:
                 if k >= len(core):
@@ -288,6 +329,8 @@ class ToxicityModel:
                 if w > best:
                     best = w
             return best
+        if not self.may_weigh(token):
+            return 0.0
         words = spaced_or_token(token, self.chars)
         return max(sum(max((weights.get(f, 0.0) for f in features(w)), default=0.0) for w in reading) for reading in words)
 
@@ -305,6 +348,8 @@ class ToxicityModel:
                     continue  # single signs are spaced runs
                 if word.isalpha() and not TWICE.search(word):
                     w = self.weights.get(word, 0.0)
+                elif not self.may_weigh(word):
+                    w = 0.0
                 else:
                     w = max(self.weights.get(r[0], 0.0) if len(r) == 1 else 0.0 for r in token_readings(word, self.chars))
                 if len(word) > FRAGMENT:
@@ -315,12 +360,19 @@ class ToxicityModel:
         """Weight sum, number of weighted tokens, number of tokens."""
         tokens = text.lower().split()
         cache = self.cache
-        units = tokens + spaced_runs(tokens)
+        parts = fragments(tokens)
+        units = tokens + spaced_runs(tokens, parts)
         for t in set(units).difference(cache):
-            cache[t] = self.token_weight(t)
-        values = [*map(cache.__getitem__, units), *map(self.fragments_weight, fragment_runs(tokens))]
+            known = self.old.get(t)
+            cache[t] = self.token_weight(t) if known is None else known
+        runs = fragment_runs(tokens, parts)
+        for r in set(runs).difference(self.runs):
+            self.runs[r] = self.fragments_weight(r)
+        values = [*map(cache.__getitem__, units), *map(self.runs.__getitem__, runs)]
+        if len(self.runs) > CACHE_TOKENS // 3:
+            self.runs = {}
         if len(cache) > CACHE_TOKENS:
-            cache.clear()
+            self.cache, self.old = {}, cache
         return sum(values), len(values) - values.count(0.0), len(tokens)
 
     def inputs(self, sums: np.ndarray) -> np.ndarray:
