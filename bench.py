@@ -38,7 +38,8 @@ def main() -> None:
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM start-up, not any operator
 
     once = [
-        ("bpe_learn_32", lambda: common.learned_tokenizer(spark, sf_dir)),
+        ("bpe_learn_32", lambda: common.learned_tokenizer(spark, sf_dir, common.BPE_MERGES)),
+        ("bpe_learn_4096", lambda: common.learned_tokenizer(spark, sf_dir)),
         ("word_seqs_build", lambda: common.word_seq_table(spark, sf_dir)),
         ("word_vocab_size", lambda: common.word_vocab_size(spark, sf_dir)),
     ]
