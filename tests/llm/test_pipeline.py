@@ -72,7 +72,7 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {n.split("_")[0] for n in queries.Q} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.Q} == {f"op{k}" for k in range(1, 14)}
     assert set(queries.Q) | {"pipeline"} <= set(names)
     assert set(queries.SQL) <= set(queries.Q)
     assert [n for n, _ in cp.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "packing"]
