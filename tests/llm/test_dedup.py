@@ -134,3 +134,22 @@ def test_components_of_chains_and_hubs(spark):
         roots.setdefault(r["root"], set()).add(r["node"])
     assert sorted(map(len, roots.values())) == [1, 61, 200]
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_kept_rows_with_clashing_names_and_a_defined_survivor(spark):
+    schema = "doc_id bigint, text string, kept_id int, `kept_sha` string, __id string, __sha string, row int, m map<string,int>"
+    rows = [(1, "a b", 5, "z", "p", "q", 3, {"k": 1}), (1, "a b", 4, "y", "p", "q", 3, {"k": 2}), (2, "a  b", 1, "x", "p", "q", 3, None), (3, "c", None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    for cols in (docs.columns, docs.columns[:-1]):
+        some = docs.select(cols)
+        for n in (1, 4):
+            got = chunk_recipes.drop_copies(some.repartition(n))
+            assert got.columns == cols
+            assert sorted((r.doc_id, r.kept_id) for r in got.collect()) == [(1, 4), (3, None)]
+            near = simhash_mih.drop_near_copies(some.repartition(n), shingle=4, max_bits=4)
+            assert sorted(r.doc_id for r in near.collect()) == [1, 3] and near.columns == cols
+
+
+def test_id_columns_with_dots(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, "c")], "`a.b` bigint, text string")
+    assert sorted(r[0] for r in chunk_recipes.drop_copies(docs, id_col="a.b").collect()) == [1, 3]

@@ -119,3 +119,18 @@ def test_order_four_equals_brute_force(spark):
     got = {r["doc_id"]: r["score"] for r in kn_lm.score_documents(docs, order=4, shard_bytes=100).collect()}
     want = brute(TEXTS, 4)
     assert all(got[i] == pytest.approx(want[i][5], rel=1e-9) for i in got)
+
+
+def test_a_missing_folder_or_file_is_an_error(tmp_path):
+    import numpy as np
+
+    folder = f"file://{tmp_path}"
+    with pytest.raises(FileNotFoundError):
+        kn_lm.Arrays(folder).array("k1", np.uint64)
+    kn_lm.put(folder, kn_lm.LISTED, np.frombuffer(b"k1\nk2", np.uint8))
+    kn_lm.put(folder, "k1", np.arange(3, dtype=np.uint64))
+    arrays = kn_lm.Arrays(folder)
+    assert arrays.array("k1", np.uint64).tolist() == [0, 1, 2]
+    assert not len(arrays.array("k3", np.uint64))
+    with pytest.raises(FileNotFoundError):
+        arrays.array("k2", np.uint64)

@@ -145,6 +145,78 @@ def test_skipped_elements_end_where_they_end():
     assert texts("<select>" * 50_000 + "x") == ["x"]
 
 
+HOSTILE = {
+    "names without an end": "<script" * 150_000,
+    "one long name": "<" + "a" * 1_000_000,
+    "nested blocks": "<div>x" * 40_000,
+    "nested inline, then blocks": "<b>" * 20_000 + "<div></div>" * 20_000,
+    "quotes around every end": "<a '>'" * 150_000,
+    "end tags without an end": "<script></script " + "</script " * 100_000,
+    "end tags of nothing": "<div>" * 20_000 + "</p>" * 20_000,
+}
+
+
+@pytest.mark.parametrize("case", HOSTILE)
+def test_reading_time_is_linear(case):
+    from time import process_time
+
+    t = process_time()
+    html_blocks.leaf_blocks(HOSTILE[case])
+    assert process_time() - t < 5  # under a second on an idle core; hours when quadratic or worse
+
+
+def test_a_comment_or_script_without_an_end_swallows_the_rest():
+    for tail in ("<!-- b", "<!-->b", "<script>b</script", "<!-- b > c"):
+        assert [t for t, _, _ in html_blocks.leaf_blocks("<p>a</p>" + tail)] == ["a"]
+    assert [t for t, _, _ in html_blocks.leaf_blocks("<p>a</p>b < c <d")] == ["a", "b < c <d"]
+
+
+def test_long_paths_as_counts_give_the_same_vectors(monkeypatch):
+    html = "".join(f"<div class='c{k % 7}x d'>t{k}" for k in range(120))
+    labeller = html_blocks.Labeller()
+    plain = labeller.scores([html_blocks.with_words(html_blocks.leaf_blocks(html))])[0]
+    monkeypatch.setattr(html_blocks, "LONG_PATH", 20)
+    monkeypatch.setattr(html_blocks, "ENTRIES", 50)
+    counted = html_blocks.with_words(html_blocks.leaf_blocks(html))
+    assert any(isinstance(b[1], html_blocks.LongPath) for b in counted)
+    assert np.allclose(labeller.scores([counted])[0], plain, atol=1e-4)
+
+
+def test_scores_equal_a_forward_pass_cell_by_cell():
+    """One page without padding, gates and sums written out one by one."""
+    from math import exp, log1p, tanh
+
+    html = "<div class=menu><a href=x>Go on</a></div><article><h1>Title</h1><p>Some text of it. More &amp; more.</p></article><p>End"
+    lab = html_blocks.Labeller(seed=3)
+    page = html_blocks.with_words(html_blocks.leaf_blocks(html))
+    other = html_blocks.with_words(html_blocks.leaf_blocks("<p>a<p>b<p>c<p>d<p>e<p>f"))
+    p = {k: v.astype(float) for k, v in lab.p.items()}
+
+    def sig(v):
+        return 1 / (1 + exp(-v))
+
+    xs = []
+    for text, path, share, words in page:
+        x = []
+        for name, slots, dim in (("path", path, html_blocks.PATH_DIM), ("word", words, html_blocks.WORD_DIM)):
+            f = min(len(slots) ** -0.5, 4 / len(slots)) if slots else 0
+            x += [f * sum(p[name][s][j] for s in slots) for j in range(dim)]
+        x += [log1p(len(text)) / 4, share, min(len(text), 120) / 120, float(text[-1] in ".!?…。")]
+        xs.append(x)
+    h_dim = html_blocks.HIDDEN
+    states = {}
+    for side in "fb":
+        h, c = [0.0] * h_dim, [0.0] * h_dim
+        w, u, b = p["w" + side], p["u" + side], p["b" + side]
+        for k in range(len(xs)) if side == "f" else reversed(range(len(xs))):
+            z = [b[j] + sum(xs[k][i] * w[i][j] for i in range(len(xs[k]))) + sum(h[i] * u[i][j] for i in range(h_dim)) for j in range(4 * h_dim)]
+            c = [sig(z[h_dim + j]) * c[j] + sig(z[j]) * tanh(z[3 * h_dim + j]) for j in range(h_dim)]
+            h = [sig(z[2 * h_dim + j]) * tanh(c[j]) for j in range(h_dim)]
+            states[side, k] = h
+    want = [sum(a * o for a, o in zip(states["f", k] + states["b", k], p["out"], strict=True)) + p["bias"][0] for k in range(len(xs))]
+    assert np.allclose(lab.scores([page, other])[0], want, atol=1e-4)
+
+
 def test_gradients_equal_finite_differences():
     net = html_blocks.Labeller()
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
@@ -204,6 +276,15 @@ def test_extract_edge_rows(spark):
     assert html_blocks.extract(spark, pages.limit(0)).count() == 0
 
 
+def test_extract_with_clashing_names_and_any_file_layout(spark):
+    rows = [(k, f"<nav><a>Menu {k}</a></nav><article><p>Words of page {k} that are its text, quite a few of them.</p></article>", "old", 9) for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id bigint, text string, `n.b` string, n_chars int")
+    a = html_blocks.extract(spark, pages.repartition(1), html_col="text")
+    assert a.columns == ["page_id", "n.b", "text", "n_chars"]
+    b = html_blocks.extract(spark, pages.repartition(5), html_col="text")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
 def test_the_letter_shortcut_changes_no_weight():
     rng = random.Random(6)
     model = toxicity.ToxicityModel(np.log(np.full((28, 28, 28), 1 / 28)).tolist(), {"idiot": 2.0, "idi-": 1.0, "stupid": 3.0, "ärger": 1.5, "x9": 1.0})

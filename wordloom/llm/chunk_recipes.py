@@ -92,7 +92,7 @@ def recipe(text: Column, rank_of: dict[str, int], hash_fn: Callable[[Column], Co
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_fn: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """``(doc_id, row, row_sha, recipe, text_sha256)`` per row, written once."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     bad = chunk_collisions(src, "text", hash_fn)
     norm = src.select("doc_id", row_sha(F.col("text")).alias("row_sha"), normalise(F.col("text")).alias("norm"))
     made = norm.select(

@@ -50,16 +50,28 @@ def row_sha(text: Column) -> Column:
     return F.sha2(text_or_empty(text).cast("binary"), 256)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name`` with underscores added until no column of ``taken`` has it."""
+    used = {t.lower() for t in taken}
+    while name in used:
+        name += "_"
+    return name
+
+
 def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text", repeats: bool = False) -> DataFrame:
     """Rows of ``docs``, all columns kept, that ``decided`` (``doc_id, row_sha,
     kept``: one row per document row) keeps.  Texts are shuffled once, to meet
-    the decisions.  Of rows alike in id and text one stays, or with ``repeats`` all."""
+    the decisions.  Of rows alike in id and text the first by all columns stays,
+    or with ``repeats`` all."""
     sha = row_sha(F.col(f"`{text_col}`"))
+    id_name, sha_name = free_name(docs.columns, "kept_id"), free_name(docs.columns, "kept_sha")
     per_key = decided.groupBy("doc_id", "row_sha").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    per_key = materialise(per_key.where("kept").select(F.col("doc_id").alias("__id"), F.col("row_sha").alias("__sha"), "n"), "keep")
-    cond = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (sha == F.col("__sha"))
-    kept = docs.join(per_key.select("__id", "__sha"), cond, "left_semi")
+    per_key = materialise(per_key.where("kept").select(F.col("doc_id").alias(id_name), F.col("row_sha").alias(sha_name), "n"), "keep")
+    cond = F.col(f"`{id_col}`").eqNullSafe(F.col(id_name)) & (sha == F.col(sha_name))
+    kept = docs.join(per_key.select(id_name, sha_name), cond, "left_semi")
     if repeats or per_key.where("n > 1").isEmpty():
         return kept
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return kept.groupBy(F.col(f"`{id_col}`").alias("__id"), sha.alias("__sha")).agg(F.first(row).alias("row")).select("row.*")
+    order = F.to_json(row) if "map<" in docs.schema.simpleString() else row  # maps have no order
+    first = F.min_by(row, order).alias("row")
+    return kept.groupBy(F.col(f"`{id_col}`").alias(id_name), sha.alias(sha_name)).agg(first).select("row.*")

@@ -19,7 +19,9 @@ Defined results: null and empty html give an empty text; a page without text
 blocks or without a block labelled main gives an empty text; unclosed and
 misnested tags and quotes are read on to the end, never dropped (text after an
 unclosed comment, script, style, title, textarea or iframe belongs to that);
-repeated rows are extracted each; very long pages are labelled whole.
+repeated rows are extracted each; very long pages are labelled whole.  Reading
+is linear in the page's length, however its tags are nested or broken: paths of
+more than ``LONG_PATH`` tokens are kept as counts per slot (same sum).
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ PATH_SLOTS, WORD_SLOTS = 512, 512
 PATH_DIM, WORD_DIM, EXTRA, HIDDEN = 16, 8, 4, 16
 DECAY = 0.01  # weight decay, tenfold for words
 CELLS = 100_000  # blocks (padding included) labelled in one go
+ENTRIES = 1_000_000  # path or word slots summed in one go
 
 # ---- leaf sequence ---------------------------------------------------------
 
@@ -53,16 +56,21 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var".split()
 )
+# a tag ends at the first ">" outside quotes, or, where its quotes do not
+# match, at the first ">"; no part gives back what it has read
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|textarea|iframe)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
-    r"|<[!?][^>]*>",
-    re.DOTALL | re.IGNORECASE,
+    r"<!--.*?(?:(-->)|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"
+    r"|<[!?][^>]*+>",
+    re.DOTALL,
 )
+# elements whose content is no markup; without an end tag they go on to the end
+RAW = {"script", "style", "title", "textarea", "iframe"}
 # elements that are left out with their content when they are closed
-SKIPPED = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.IGNORECASE) for t in ("noscript", "template", "svg", "object", "select")}
+SKIPPED = {"noscript", "template", "svg", "object", "select"}
+END = {t: re.compile(rf"</{t}(?=[\s/>])", re.IGNORECASE) for t in RAW | SKIPPED}
+LONG_PATH = 256  # from so many tokens on, a path is kept as counts
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
 
@@ -81,10 +89,66 @@ def path_tokens(tag: str, attributes: str) -> tuple[int, ...]:
     return tuple(slot(t, PATH_SLOTS) for t in dict.fromkeys(found))
 
 
-def leaf_blocks(html: str) -> list[tuple[str, list[int], float]]:
+class LongPath:
+    """A long path as distinct slots and their counts."""
+
+    def __init__(self, counts: dict[int, int]):
+        self.slots = np.fromiter(counts.keys(), np.int32, len(counts))
+        self.counts = np.fromiter(counts.values(), np.int32, len(counts))
+
+    def __len__(self) -> int:
+        return int(self.counts.sum())
+
+
+class OpenTags:
+    """Open elements of a page.  Every step costs what it adds or takes away,
+    however deep the page is nested."""
+
+    def __init__(self):
+        self.items: list[tuple[str, bool, tuple[int, ...]]] = []  # tag, inline, slots
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # places of elements that are not inline
+        self.counts: dict[int, int] = {}
+        self.tokens = 0
+
+    def push(self, tag: str, inline: bool, slots: tuple[int, ...]) -> None:
+        self.places.setdefault(tag, []).append(len(self.items))
+        if not inline:
+            self.blocks.append(len(self.items))
+        self.items.append((tag, inline, slots))
+        self.tokens += len(slots)
+        for s in slots:
+            self.counts[s] = self.counts.get(s, 0) + 1
+
+    def cut(self, k: int) -> None:
+        """Close the elements from place ``k`` on."""
+        while len(self.items) > k:
+            tag, inline, slots = self.items.pop()
+            self.places[tag].pop()
+            if not inline:
+                self.blocks.pop()
+            self.tokens -= len(slots)
+            for s in slots:
+                self.counts[s] -= 1
+                if not self.counts[s]:
+                    del self.counts[s]
+
+    def close(self, tag: str, inline: bool) -> None:
+        """Close the last such element; an inline one not across a block."""
+        at = self.places.get(tag)
+        if at and not (inline and self.blocks and self.blocks[-1] > at[-1]):
+            self.cut(at[-1])
+
+    def path(self) -> list[int] | LongPath:
+        if self.tokens <= LONG_PATH:
+            return [s for _, _, slots in self.items for s in slots]
+        return LongPath(self.counts)
+
+
+def leaf_blocks(html: str) -> list[tuple[str, list[int] | LongPath, float]]:
     """``(text, path slots, share of link text)`` of each leaf block."""
-    out: list[tuple[str, list[int], float]] = []
-    stack: list[tuple[str, bool, tuple[int, ...]]] = []  # tag, inline, slots
+    out: list[tuple[str, list[int] | LongPath, float]] = []
+    tags = OpenTags()
     parts: list[str] = []
     linked = 0
 
@@ -93,45 +157,53 @@ def leaf_blocks(html: str) -> list[tuple[str, list[int], float]]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                path = [s for _, _, slots in stack for s in slots]
-                out.append((text, path, min(1.0, linked / len(text))))
+                out.append((text, tags.path(), min(1.0, linked / len(text))))
             parts.clear()
             linked = 0
 
     def text(piece: str):
         nonlocal linked
         parts.append(piece)
-        if any(tag == "a" for tag, inline, _ in stack if inline):
+        if tags.places.get("a"):
             linked += len(piece)
 
+    def after_end(tag: str, at: int) -> int:
+        """Place after the end tag of ``tag``, or -1."""
+        end = END[tag].search(html, at)
+        return html.find(">", end.end()) + 1 or -1 if end else -1
+
     at = 0
+    last = html.rfind(">") + 1  # no tag ends beyond, so none is looked for there
     unclosed: set[str] = set()
-    while m := TAG.search(html, at):
+    while m := TAG.search(html, at, last):
         if m.start() > at:
             text(html[at : m.start()])
         at = m.end()
         tag = m.group(3) or m.group(6)
         if tag is None:
+            if m.group().startswith("<!--") and not m.group(1):
+                at = len(html)
             continue
         tag = tag.lower()
-        if tag in SKIPPED and not (m.group(2) or m.group(5)):
-            if tag in unclosed or tag == "svg" and (m.group(4) or m.group(7) or m.group(0)[:-1]).endswith("/"):
+        closing, attributes = m.group(2) or m.group(5), m.group(4) or m.group(7) or ""
+        if tag in RAW and not closing:
+            end = after_end(tag, at)
+            at = end if end > 0 else len(html)
+            continue
+        if tag in SKIPPED and not closing:
+            if tag in unclosed or tag == "svg" and attributes.endswith("/"):
                 continue
-            if end := SKIPPED[tag].search(html, at):
-                at = end.end()
+            end = after_end(tag, at)
+            if end > 0:
+                at = end
             else:  # nor has a later one an end
                 unclosed.add(tag)
             continue
         inline = tag in INLINE
-        if m.group(2) or m.group(5):  # a closing tag
+        if closing:
             if not inline:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if inline and not stack[k][1]:
-                    break
+            tags.close(tag, inline)
         elif tag == "br":
             parts.append("\n")
         elif tag in VOID:
@@ -140,14 +212,15 @@ def leaf_blocks(html: str) -> list[tuple[str, list[int], float]]:
         else:
             if not inline:
                 flush()
-                k = len(stack)
-                while k and stack[k - 1][1]:
-                    k -= 1
-                if k and (stack[k - 1][0] == "p" or stack[k - 1][0] == tag in ("li", "dt", "dd", "td", "th", "tr", "option")):
-                    del stack[k - 1 :]  # its end tag may be left out
-            stack.append((tag, inline, path_tokens(tag, m.group(4) or m.group(7) or "")))
-    if at < len(html):
-        text(html[at:])
+                if tags.blocks:
+                    above = tags.items[tags.blocks[-1]][0]
+                    if above == "p" or above == tag in ("li", "dt", "dd", "td", "th", "tr", "option"):
+                        tags.cut(tags.blocks[-1])  # its end tag may be left out
+            tags.push(tag, inline, path_tokens(tag, attributes))
+    comment = html.find("<!--", max(at, last))
+    rest = html[at:comment] if comment >= 0 else html[at:]
+    if rest:
+        text(rest)
     flush()
     return out
 
@@ -194,11 +267,20 @@ class Labeller:
         x = np.zeros((n, PATH_DIM + WORD_DIM + EXTRA), np.float32)
         for name, slots, lo, dim in (("path", [b[1] for b in page_blocks], 0, PATH_DIM), ("word", [b[3] for b in page_blocks], PATH_DIM, WORD_DIM)):
             sizes = np.array([len(s) for s in slots])
+            entries = np.array([len(s.slots) if isinstance(s, LongPath) else len(s) for s in slots])
             some = np.flatnonzero(sizes)
-            if len(some):
-                flat = np.concatenate([np.asarray(slots[i], np.int32) for i in some])
-                starts = np.cumsum(sizes[some]) - sizes[some]
-                x[some, lo : lo + dim] = np.add.reduceat(self.p[name][flat], starts, axis=0) * scale(sizes[some])
+            ends = np.cumsum(entries[some])
+            while len(some):  # so many entries at a time that memory stays bounded
+                k = max(1, int(np.searchsorted(ends, ends[0] - entries[some[0]] + ENTRIES, "right")))
+                part = some[:k]
+                many = [slots[i] for i in part]
+                vectors = self.p[name][np.concatenate([s.slots if isinstance(s, LongPath) else np.asarray(s, np.int32) for s in many])]
+                if any(isinstance(s, LongPath) for s in many):
+                    counts = np.concatenate([s.counts if isinstance(s, LongPath) else np.ones(len(s), np.int32) for s in many])
+                    vectors = vectors * counts[:, None].astype(np.float32)
+                starts = np.cumsum(entries[part]) - entries[part]
+                x[part, lo : lo + dim] = np.add.reduceat(vectors, starts, axis=0) * scale(sizes[part])
+                some, ends = some[k:], ends[k:]
         chars = np.array([min(len(b[0]), 2000) for b in page_blocks])
         x[:, -4] = np.log1p(chars) / 4
         x[:, -3] = [b[2] for b in page_blocks]
@@ -417,7 +499,9 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", tra
     key = F.xxhash64(F.col(f"`{id_col}`"))
     sample = pages.select(key.alias("k"), F.col(f"`{id_col}`").cast("string").alias("id")).orderBy("k", "id").limit(train_pages)
     ids = [r["id"] for r in sample.collect()]
-    rows = pages.where(F.col(f"`{id_col}`").cast("string").isin(ids)).select(text_or_empty(F.col(f"`{html_col}`")).alias("h")).limit(2 * train_pages)
+    rows = pages.select(key.alias("k"), F.col(f"`{id_col}`").cast("string").alias("id"), text_or_empty(F.col(f"`{html_col}`")).alias("h"))
+    # in a fixed order, so that weights do not depend on the files' layout
+    rows = rows.where(F.col("id").isin(ids)).orderBy("k", "id", "h").limit(2 * train_pages)
     texts = [t for r in rows.collect() for t, _, _ in leaf_blocks(r["h"])]
     labeller = Labeller()
     blocks, labels = training_set(texts, 3 * train_pages)
@@ -457,8 +541,9 @@ def main_text(html: Column, shared) -> Column:
 
 
 def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """All rows of ``pages`` with a column ``text`` (main text) and
-    ``n_chars`` instead of the html."""
+    """All rows of ``pages`` with the columns ``text`` (main text) and
+    ``n_chars`` instead of the html; columns of these names are replaced."""
     shared = spark.sparkContext.broadcast(train(pages, id_col, html_col))
-    made = pages.withColumn("text", main_text(F.col(f"`{html_col}`"), shared)).drop(html_col)
+    others = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in (html_col.lower(), "text", "n_chars")]
+    made = pages.select(*others, main_text(F.col(f"`{html_col}`"), shared).alias("text"))
     return made.withColumn("n_chars", F.char_length("text").cast("bigint"))

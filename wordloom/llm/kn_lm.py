@@ -278,6 +278,9 @@ def unpacked(rows: list[dict], width: int):
     return ids, counts
 
 
+LISTED = "_files"  # names of a complete folder's arrays
+
+
 def put(folder: str, name: str, array: np.ndarray) -> None:
     """Write an array under its final name only when complete."""
     from pyarrow import fs
@@ -359,14 +362,20 @@ class Arrays:
     def __init__(self, folder: str):
         self.folder = folder
 
+    def path(self) -> str:
+        if self.folder.startswith(("file:", "/")):
+            return self.folder.removeprefix("file://").removeprefix("file:")
+        return SparkFiles.get(self.folder.rsplit("/", 1)[1])
+
     def array(self, name: str, dtype, width: int = 1) -> np.ndarray:
+        """The named array; empty if the folder's list of files lacks it.  A
+        missing list (a folder that is not mounted here) or file is an error."""
         at = f"{self.folder}/{name}"
         if at not in _maps:
-            path = self.folder.removeprefix("file://") if self.folder.startswith(("file:", "/")) else SparkFiles.get(self.folder.rsplit("/", 1)[1])
-            try:
-                m = np.memmap(f"{path.removeprefix('file:')}/{name}", dtype=dtype, mode="r")
-            except (FileNotFoundError, ValueError):  # a shard without entries has no file or an empty one
-                m = np.zeros(0, dtype)
+            if self.folder not in _listed:
+                with open(f"{self.path()}/{LISTED}", encoding="utf-8") as f:
+                    _listed[self.folder] = set(f.read().split())
+            m = np.memmap(f"{self.path()}/{name}", dtype=dtype, mode="r") if name in _listed[self.folder] else np.zeros(0, dtype)
             _maps[at] = m.reshape(-1, width) if width > 1 else m
         return _maps[at]
 
@@ -509,6 +518,7 @@ class Model(Arrays):
 
 
 _maps: dict[str, np.ndarray] = {}
+_listed: dict[str, set[str]] = {}
 
 
 def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, shard_bytes: int = SHARD_BYTES) -> Model:
@@ -525,6 +535,10 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, shard_byt
         return folder
 
     def share(folder):
+        """Write the list of the folder's arrays; a shard without entries has none."""
+        store, path = fs.FileSystem.from_uri(folder)
+        files = [f.base_name for f in store.get_file_info(fs.FileSelector(path)) if f.size and not f.base_name.startswith(".")]
+        put(folder, LISTED, np.frombuffer("\n".join(sorted(files)).encode(), np.uint8))
         if not folder.startswith(("file:", "/")):
             spark.sparkContext.addFile(folder, recursive=True)
 
