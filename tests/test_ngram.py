@@ -70,6 +70,37 @@ def test_score_and_eval_loss(spark):
     assert N.evaluate(empty).first().eval_loss == 0.0
 
 
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_other_orders_equal_brute_force(spark, order):
+    ev = [[1, 3, 4, 7, 2], [1, 6, 6, 2], [5], [], [1, 3, 4, 3, 4, 6, 2], [1, 3, 4, 7, 2, 0, 0]]
+    train = seq_df(spark, [*SEQS, [], [4]])
+    c = brute_counts(SEQS, order)
+    assert {(r.order, r.ctx, r.token): r.n for r in N.ngram_counts(train, order).collect()} == dict(c)
+    want = {(i, p): -math.log(brute_p(c, s[: p + 1], s[p + 1], order)) for i, s in enumerate(ev) for p in range(len(s) - 1) if s[p + 1]}
+    rows = N.score_positions(seq_df(spark, ev), N.fit(train, order), V, order).collect()
+    assert {(r.doc_id, r.p): r.nll for r in rows} == pytest.approx(want)
+    batched = seq_df(spark, ev).withColumn("batch_id", (F.col("doc_id") % 2).cast("int"))
+    got = {r.batch_id: (r.n_targets, r.batch_loss) for r in N.score_batches(batched, N.fit(train, order), V, order).collect()}
+    for b in (0, 1):
+        losses = [v for (i, _), v in want.items() if i % 2 == b]
+        assert got[b] == (len(losses), pytest.approx(sum(losses) / len(losses)))
+
+
+def test_an_empty_model_scores_uniformly(spark):
+    none = N.ngram_counts(seq_df(spark, SEQS).limit(0))
+    assert [r.nll for r in N.score_positions(seq_df(spark, [[1, 3, 2]]), none, V).collect()] == pytest.approx([math.log(V)] * 2)
+    empty = N.score_batches(seq_df(spark, SEQS).limit(0).withColumn("batch_id", F.lit(0)), N.ngram_counts(seq_df(spark, SEQS)), V)
+    assert N.mean_of_batches(empty).first().eval_loss == 0.0
+
+
+def test_a_long_sequence_is_read_by_place(spark):
+    """Rows carry their few ids; copying the sequence per target would take hours."""
+    long = spark.range(1).select(F.lit(0).cast("long").alias("doc_id"), F.transform(F.sequence(F.lit(0), F.lit(199_999)), lambda i: (i % 7 + 1).cast("int")).alias("ids"))
+    counts = N.fit(long)
+    assert counts.agg(F.sum("n")).first()[0] == 199_999 + 199_999 + 199_998
+    assert N.score_positions(long, counts, 8).count() == 199_999
+
+
 def test_top_k_keeps_ties(spark):
     df = spark.createDataFrame([("a", t, float(v)) for t, v in enumerate([5, 4, 4, 4, 1])], "prompt_id string, token int, logit double")
     assert N.top_k(df, 2).count() == 4

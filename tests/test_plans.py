@@ -75,5 +75,8 @@ def test_scoring_and_quantising_have_no_nested_loop(spark):
     seqs = spark.createDataFrame([(0, [1, 3, 4, 5, 2]), (1, [1, 3, 3, 2])], "doc_id long, ids array<int>")
     p = plan(ngram.score_positions(seqs, ngram.fit(seqs), 6))
     assert "NestedLoop" not in p and "Cartesian" not in p
+    assert p.count("Exchange hash") <= 2 and p.count("FileScan") <= 2
+    p = plan(ngram.ngram_probabilities(ngram.fit(seqs), 6))
+    assert "NestedLoop" not in p and p.count("Exchange hash") <= 2
     p = plan(vectors.quantise_uint8(common.table(spark, SF001, "embeddings")))
     assert "NestedLoop" not in p

@@ -31,27 +31,45 @@ MAX_NEW_TOKENS = 64
 MAX_CONTEXT = 128
 
 
-def _ctx_expr(ids: str, p: Column, k: int) -> Column:
-    """Context of order k for the target at 0-based position p+1 of ids."""
-    if k == 1:
-        return F.lit("")
-    return F.array_join(F.slice(F.col(ids), p - F.lit(k - 3), k - 1), " ")
+TOTAL = -1  # stands for all tokens: a context's total in the look-up table
+
+
+def _written(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` written once under the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def positions(seqs: DataFrame, order: int = DEFAULT_ORDER, ids_col: str = "ids", keys: tuple[str, ...] = ()) -> DataFrame:
+    """``(*keys, p, token, hist)`` of every target: the token at place p + 1 and
+    the up to ``order - 1`` ids before it, space-joined.
+
+    Ids are read by place, so that a row carries its few ids and never the
+    sequence; pad ids and place 0 are no targets."""
+    ids = F.col(ids_col)
+
+    def target(p: Column) -> Column:
+        before = [F.get(ids, p - j).cast("string") for j in range(order - 2, -1, -1)]  # null before the start
+        return F.struct(p.alias("p"), F.get(ids, p + 1).alias("token"), F.concat_ws(" ", *before).alias("hist"))
+
+    targets = F.when(F.size(ids) >= 2, F.transform(F.sequence(F.lit(0), F.size(ids) - 2), target))
+    return seqs.select(*keys, F.explode(targets).alias("t")).select(*keys, "t.*").filter(F.col("token") != PAD_ID)
+
+
+def _contexts(order: int) -> list[tuple[int, Column, Column]]:
+    """``(k, context of order k, whether there is one)`` for a column hist."""
+    hist = F.col("hist")
+    held = F.when(hist == "", 0).otherwise(F.size(F.split(hist, " ")))
+    return [(k, F.substring_index(hist, " ", -(k - 1)) if k > 1 else F.lit(""), held >= k - 1) for k in range(1, order + 1)]
 
 
 def ngram_counts(seqs: DataFrame, order: int = DEFAULT_ORDER, ids_col: str = "ids") -> DataFrame:
     """M1: ``(order, ctx, token, n)`` over the (context -> next) examples of
     the shifted pairs; contexts are space-joined ids, '' for order 1."""
-    n = F.size(ids_col) - 1
-    pos = seqs.select(ids_col, F.posexplode(F.slice(ids_col, 2, n)).alias("p", "token")).filter(
-        F.col("token") != PAD_ID
-    )
-    per_order = F.array(
-        *[
-            F.when(F.col("p") >= k - 2, F.struct(F.lit(k).alias("order"), _ctx_expr(ids_col, F.col("p"), k).alias("ctx")))
-            for k in range(1, order + 1)
-        ]
-    )
-    ex = pos.select("token", F.explode(F.filter(per_order, lambda s: s.isNotNull())).alias("o"))
+    per_order = [F.when(there, F.struct(F.lit(k).alias("order"), ctx.alias("ctx"))) for k, ctx, there in _contexts(order)]
+    rows = F.filter(F.array(*per_order), lambda s: s.isNotNull())
+    ex = positions(seqs, order, ids_col).select("token", F.explode(rows).alias("o"))
     return ex.groupBy(F.col("o.order").alias("order"), F.col("o.ctx").alias("ctx"), "token").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -60,10 +78,7 @@ def ngram_counts(seqs: DataFrame, order: int = DEFAULT_ORDER, ids_col: str = "id
 def fit(seqs: DataFrame, order: int = DEFAULT_ORDER, ids_col: str = "ids") -> DataFrame:
     """M1 as a model: the count table, written once, partitioned by order, so
     that whoever reads one order scans that order only."""
-    counts = ngram_counts(seqs, order, ids_col)
-    path = scratch_path(seqs.sparkSession, "ngram_counts")
-    counts.write.partitionBy("order").parquet(path)
-    return seqs.sparkSession.read.schema(counts.schema).parquet(path)
+    return _written(ngram_counts(seqs, order, ids_col), "ngram_counts", "order")
 
 
 def context_totals(counts: DataFrame) -> DataFrame:
@@ -79,37 +94,69 @@ def _drop_first(ctx: Column, k: int) -> Column:
 def ngram_probabilities(counts: DataFrame, vocab_size: int, order: int = DEFAULT_ORDER, lam: float = DEFAULT_LAMBDA) -> DataFrame:
     """M1: interpolated ``p`` for every observed ``(order, ctx, token)``.
 
-    Order 1's context total is one row (broadcast, bounded); higher orders
-    join their context totals and the order below on shuffled keys.
+    Bottom up: counts meet their contexts' totals in one join for all orders,
+    written once; each order then meets the order below, which is written once
+    too, so no level is worked out again for the next one or for the union.
+    Order 1 has a single context, whose total is one value.
     """
-    totals = context_totals(counts)
     lam_c = F.lit(float(lam))
-    prev = None
-    out = []
-    for k in range(1, order + 1):
-        ck = counts.filter(F.col("order") == k)
-        tk = totals.filter(F.col("order") == k).select("ctx", "n_ctx")
-        joined = ck.join(F.broadcast(tk) if k == 1 else tk, "ctx")
-        if k == 1:
-            lower = F.lit(1.0 / vocab_size)
-            pk = joined.withColumn("p", lam_c * F.col("n") / F.col("n_ctx") + (1 - lam_c) * lower)
-        else:
-            lowr = prev.select(F.col("ctx").alias("_lctx"), F.col("token"), F.col("p").alias("_lp"))
-            pk = (
-                joined.withColumn("_lctx", _drop_first(F.col("ctx"), k))
-                .join(lowr, ["_lctx", "token"])
-                .withColumn("p", lam_c * F.col("n") / F.col("n_ctx") + (1 - lam_c) * F.col("_lp"))
-                .drop("_lctx", "_lp")
-            )
-        pk = pk.select("order", "ctx", "token", "n", "n_ctx", "p")
-        out.append(pk)
-        prev = pk
+    higher = counts.filter(F.col("order") > 1)
+    cols = ["order", "ctx", "token", "n", "n_ctx"]
+    with_totals = _written(higher.join(context_totals(higher), ["order", "ctx"]).select(cols), "ngram_totals", "order")
+    first = counts.filter(F.col("order") == 1)
+    p1 = first.withColumn("n_ctx", first.agg(F.sum("n")).scalar())
+    p1 = p1.withColumn("p", lam_c * F.col("n") / F.col("n_ctx") + (1 - lam_c) * F.lit(1.0 / vocab_size)).select(*cols, "p")
+    out = [p1]
+    for k in range(2, order + 1):
+        below = out[-1].select(F.col("ctx").alias("_lctx"), "token", F.col("p").alias("_lp"))
+        own = with_totals.filter(F.col("order") == k).withColumn("_lctx", _drop_first(F.col("ctx"), k))
+        keys = ["token"] if k == 2 else ["_lctx", "token"]  # order 1 has one context
+        p = lam_c * F.col("n") / F.col("n_ctx") + (1 - lam_c) * F.col("_lp")
+        pk = own.drop("_lctx").join(below.drop("_lctx"), keys) if k == 2 else own.join(below, keys)
+        pk = pk.withColumn("p", p).select(*cols, "p")
+        out.append(_written(pk, f"ngram_p{k}") if k < order else pk)
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)
     return res
 
 
+def lookup_table(counts: DataFrame) -> DataFrame:
+    """Counts and context totals as one table ``(order, ctx, token, n)``,
+    written once; a total is kept under the token TOTAL."""
+    kind = counts.schema["token"].dataType
+    totals = context_totals(counts).select("order", "ctx", F.lit(TOTAL).cast(kind).alias("token"), F.col("n_ctx").alias("n"))
+    return _written(counts.select("order", "ctx", "token", "n").unionByName(totals), "ngram_lookup")
+
+
+def score_grams(grams: DataFrame, counts: DataFrame, vocab_size: int, order: int = DEFAULT_ORDER, lam: float = DEFAULT_LAMBDA) -> DataFrame:
+    """M2 for distinct ``grams (hist, token)``: ``(hist, token, nll)``, written once.
+
+    A gram asks for its count and its context's total at every order; all
+    questions meet the look-up table in one join on the whole key and come
+    back in one grouping.  A context that a third of all grams share is one
+    unique row of the look-up table, so AQE may split its questions."""
+    lookup = lookup_table(counts)
+    n1 = lookup.filter((F.col("order") == 1) & (F.col("token") == TOTAL)).select("n").scalar()
+    token = F.col("token")
+    asked = [F.struct(F.lit("c1").alias("slot"), F.lit(1).alias("order"), F.lit("").alias("ctx"), token.alias("asked"))]
+    for k, ctx, there in _contexts(order)[1:]:
+        for slot, what in ((f"c{k}", token), (f"t{k}", F.lit(TOTAL).cast(counts.schema["token"].dataType))):
+            asked.append(F.when(there, F.struct(F.lit(slot).alias("slot"), F.lit(k).alias("order"), ctx.alias("ctx"), what.alias("asked"))))
+    questions = grams.select("hist", "token", F.explode(F.filter(F.array(*asked), lambda s: s.isNotNull())).alias("q")).select("hist", "token", "q.*")
+    table = lookup.select("order", "ctx", F.col("token").alias("asked"), "n")
+    answers = questions.join(table, ["order", "ctx", "asked"], "left").groupBy("hist", "token")
+    slots = ["c1"] + [f"{s}{k}" for k in range(2, order + 1) for s in "ct"]
+    found = answers.agg(*[F.max(F.when(F.col("slot") == s, F.col("n"))).alias(s) for s in slots])
+    lam_c = F.lit(float(lam))
+    prob = lam_c * F.coalesce("c1", F.lit(0)) / n1 + (1 - lam_c) * F.lit(1.0 / vocab_size)
+    found = found.withColumn("prob", F.coalesce(prob, F.lit(1.0 / vocab_size)))  # an empty model knows the uniform only
+    for k in range(2, order + 1):
+        step = lam_c * F.coalesce(f"c{k}", F.lit(0)) / F.col(f"t{k}") + (1 - lam_c) * F.col("prob")
+        found = found.withColumn("prob", F.when(F.col(f"t{k}") > 0, step).otherwise(F.col("prob")))
+    return _written(found.select("hist", "token", (-F.log("prob")).alias("nll")), "ngram_nll")
+
+
 def score_positions(
     seqs: DataFrame,
     counts: DataFrame,
@@ -121,37 +168,30 @@ def score_positions(
 ) -> DataFrame:
     """M2: negative log-likelihood (nats) of every target position.
 
-    Targets equal to the pad id are ignored; position 0 is never a target.
-    Each order is a left join (counts on (ctx, token), totals on ctx), so a
-    context never seen falls back to the order below.
-    """
-    totals = context_totals(counts)
-    n = F.size(ids_col) - 1
-    pos = seqs.select(*keys, ids_col, F.posexplode(F.slice(ids_col, 2, n)).alias("p", "token")).filter(
-        F.col("token") != PAD_ID
-    )
-    for k in range(2, order + 1):
-        pos = pos.withColumn(f"h{k}", F.when(F.col("p") >= k - 2, _ctx_expr(ids_col, F.col("p"), k)))
-    pos = pos.drop(ids_col)
-    lam_c = F.lit(float(lam))
-    c1 = counts.filter(F.col("order") == 1).select("token", F.col("n").alias("c1"))
-    # order 1 has a single context, so its total is one value
-    n1 = counts.filter(F.col("order") == 1).agg(F.sum("n")).scalar()
-    cur = pos.join(c1, "token", "left")
-    prob = lam_c * F.coalesce(F.col("c1"), F.lit(0)) / n1 + (1 - lam_c) * F.lit(1.0 / vocab_size)
-    cur = cur.withColumn("prob", prob).drop("c1")
-    for k in range(2, order + 1):
-        ck = counts.filter(F.col("order") == k).select(F.col("ctx").alias(f"h{k}"), "token", F.col("n").alias("_c"))
-        tk = totals.filter(F.col("order") == k).select(F.col("ctx").alias(f"h{k}"), F.col("n_ctx").alias("_t"))
-        cur = cur.join(ck, [f"h{k}", "token"], "left").join(tk, f"h{k}", "left")
-        seen = F.col("_t").isNotNull() & (F.col("_t") > 0)
-        cur = cur.withColumn(
-            "prob",
-            F.when(seen, lam_c * F.coalesce(F.col("_c"), F.lit(0)) / F.col("_t") + (1 - lam_c) * F.col("prob")).otherwise(
-                F.col("prob")
-            ),
-        ).drop("_c", "_t")
-    return cur.select(*keys, "p", "token", (-F.log(F.col("prob"))).alias("nll"))
+    Targets equal to the pad id are ignored; position 0 is never a target; a
+    context never seen falls back to the order below.  Distinct grams are
+    scored, and positions meet their gram's score in one join."""
+    pos = positions(seqs, order, ids_col, keys)
+    scores = score_grams(pos.select("hist", "token").distinct(), counts, vocab_size, order, lam)
+    return pos.join(scores, ["hist", "token"]).select(*keys, "p", "token", "nll")
+
+
+def score_batches(
+    batched: DataFrame,
+    counts: DataFrame,
+    vocab_size: int,
+    order: int = DEFAULT_ORDER,
+    lam: float = DEFAULT_LAMBDA,
+    ids_col: str = "ids",
+    batch_key: str = "batch_id",
+) -> DataFrame:
+    """M3: ``(batch, n_targets, batch_loss)``, the mean token loss of every batch
+    from counted grams: equal grams of a batch are joined and added up once."""
+    grams = positions(batched, order, ids_col, (batch_key,)).groupBy(batch_key, "hist", "token").agg(F.count(F.lit(1)).alias("n"))
+    grams = _written(grams, "ngram_eval")
+    scores = score_grams(grams.select("hist", "token").distinct(), counts, vocab_size, order, lam)
+    n, loss = F.sum("n"), F.sum(F.col("n") * F.col("nll"))
+    return grams.join(scores, ["hist", "token"]).groupBy(batch_key).agg(n.alias("n_targets"), (loss / n).alias("batch_loss"))
 
 
 MAX_EVAL_BATCHES = 50
@@ -165,7 +205,11 @@ def first_batches(batched: DataFrame, max_batches: int = MAX_EVAL_BATCHES) -> Da
 def evaluate(nll: DataFrame, batch_keys: tuple[str, ...] = ("batch_id",), max_batches: int = MAX_EVAL_BATCHES) -> DataFrame:
     """M3: mean over the first ``max_batches`` batches of each batch's mean
     token loss (mean of batch means, 0.0 when there is no batch)."""
-    per_batch = first_batches(nll, max_batches).groupBy(*batch_keys).agg(F.avg("nll").alias("batch_loss"))
+    return mean_of_batches(first_batches(nll, max_batches).groupBy(*batch_keys).agg(F.avg("nll").alias("batch_loss")))
+
+
+def mean_of_batches(per_batch: DataFrame) -> DataFrame:
+    """M3: mean of ``batch_loss``, 0.0 when there is no batch."""
     return per_batch.agg(F.coalesce(F.avg("batch_loss"), F.lit(0.0)).alias("eval_loss"))
 
 

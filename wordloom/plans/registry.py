@@ -684,10 +684,9 @@ def token_nll(spark, d):
 def eval_loss(spark, d):
     s = C.word_seq_table(spark, d)
     ev = sequences.assign_batches(s.filter(F.col("split") == "eval"), shuffle=False)
-    ev = ngram.first_batches(ev).select("doc_id", "ids", "batch_id")  # only what is averaged is scored
+    ev = ngram.first_batches(ev).select("ids", "batch_id")  # only what is averaged is scored
     counts = ngram.fit(s.filter(F.col("split") == "train"))
-    nll = ngram.score_positions(ev, counts, C.word_vocab_size(spark, d), keys=("doc_id", "batch_id"))
-    return ngram.evaluate(nll).select(F.round("eval_loss", 9).alias("eval_loss"))
+    return ngram.mean_of_batches(ngram.score_batches(ev, counts, C.word_vocab_size(spark, d))).select(F.round("eval_loss", 9).alias("eval_loss"))
 
 
 # logits of the bigram (order-2, maximum likelihood) next-token table per context
