@@ -32,7 +32,7 @@ from .common import keep_rows, materialise, row_sha, text_or_empty
 
 WINDOW = 13
 MIN_SHARE = 20  # contaminated: at least one word in twenty is hit
-BLOCK_BYTES = 32 << 20  # benchmark text per broadcast table
+BLOCK_BYTES = 1 << 20  # benchmark text per broadcast table; tables take about 150 times their text
 
 # words are runs of 0-9, a-z and all bytes beyond ASCII
 TO_WORDS = bytes(
