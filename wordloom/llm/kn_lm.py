@@ -4,10 +4,11 @@ sorted arrays and memory-mapped by the workers that score texts.
 Counting.  Words are counted first and get ids, their places in the order of
 their hashes.  Then a task counts n-grams of ids per few million tokens and
 emits them packed by shard, a range of context hashes; shards grow in number
-with the text (``SHARD_BYTES``), so a shard's size does not.  The task that
+with the text (``SHARD_BYTES``), each merged by a task of its own.  The task that
 merges a shard of order k writes its arrays to the shared model folder and emits,
 for every distinct k-gram, one count for its suffix of order k - 1: continuation
-counts, which are shuffled on in the same way down to order 1.  A context's
+counts, which are written and shuffled on in the same way down to order 1; the
+shuffle files of an order are released before the next one is merged.  A context's
 followers meet in one task as distinct words with counts (at most the
 vocabulary), never as occurrences; packed rows are compressed steps between
 sorted ids.  Files are written under a temporary name and renamed, with the same
@@ -49,7 +50,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import LOWER_BLANK, crc32_of_id, text_or_empty
+from .common import LOWER_BLANK, crc32_of_id, materialise, shuffles_released, text_or_empty
 
 ORDER = 3
 SHARD_BYTES = 24 << 20  # training text per shard
@@ -521,6 +522,11 @@ _maps: dict[str, np.ndarray] = {}
 _listed: dict[str, set[str]] = {}
 
 
+def merged(rows: DataFrame, shards: int, merge) -> DataFrame:
+    """PACKED rows merged shard by shard, a task for each."""
+    return rows.repartitionById(shards, "shard").groupBy("shard").applyInArrow(merge, PACKED)
+
+
 def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, shard_bytes: int = SHARD_BYTES) -> Model:
     """Count all rows of ``docs`` and write the model to the shared folder."""
     if order < 1:
@@ -546,14 +552,16 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, shard_byt
     size = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     shards = max(1, math.ceil(size / shard_bytes))
     folder = new_folder("kn_words")
-    made = texts.mapInArrow(word_counter(shards), PACKED).groupBy("shard").applyInArrow(word_merger(folder), PACKED)
+    with shuffles_released(spark):
+        made = materialise(merged(texts.mapInArrow(word_counter(shards), PACKED), shards, word_merger(folder)), "kn_words_made")
     of_shard = {r["shard"]: r["stats"] for r in made.select("shard", "stats").collect()}
     share(folder)
     words = Words(folder, [of_shard.get(s, [0, 0])[1] for s in range(shards)])
     folder = new_folder("kn_grams")
     made = texts.mapInArrow(counter(words, order), PACKED)
     for k in range(order, 0, -1):
-        made = made.groupBy("shard").applyInArrow(merger(k, words, folder), PACKED)
+        with shuffles_released(spark):
+            made = materialise(merged(made, shards, merger(k, words, folder)), f"kn_grams{k}")
     at = range(6)
     sums = made.where(F.col("kind").startswith("stat")).groupBy("kind")
     stats = {r["kind"]: [r[f"s{i}"] or 0 for i in at] for r in sums.agg(*[F.sum(F.get("stats", F.lit(i))).alias(f"s{i}") for i in at]).collect()}
