@@ -285,15 +285,23 @@ def test_extract_with_clashing_names_and_any_file_layout(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
-def test_the_letter_shortcut_changes_no_weight():
+def test_the_shortcuts_change_no_weight(monkeypatch):
     rng = random.Random(6)
     model = toxicity.ToxicityModel(np.log(np.full((28, 28, 28), 1 / 28)).tolist(), {"idiot": 2.0, "idi-": 1.0, "stupid": 3.0, "ärger": 1.5, "x9": 1.0})
     signs = "idotsupähx0159!|$@. "
     tokens = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 8))).strip() or "a" for _ in range(3000)]
     fast = [model.token_weight(t) for t in tokens]
-    skipped = sum(not model.may_weigh(t) for t in tokens)
-    model.may_weigh = lambda token: True
-    assert fast == [model.token_weight(t) for t in tokens] and 100 < skipped < 2900
+    skipped = sum(not toxicity.may_hold(t, model.shapes) for t in tokens)
+    heaviest = lambda words: sum(max(model.weights.get(f, 0.0) for f in toxicity.features(w)) for w in words)
+    assert fast == [max(map(heaviest, toxicity.spaced_or_token(t, model.chars))) for t in tokens] and 100 < skipped < 3000
+    runs = [tuple("".join(rng.choice(signs[:-1]) for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(2, 5))) for _ in range(2000)]
+    for word in ["idiot", "stupid", "1di0t", "$tupi|d", "iddiiot", "stu.pid"] * 50:
+        cuts = sorted(rng.sample(range(1, len(word)), 2))
+        runs.append((rng.choice(signs[:-1]), word[: cuts[0]], word[cuts[0] : cuts[1]], word[cuts[1] :]))
+    fast = [model.fragments_weight(r) for r in runs]
+    monkeypatch.setattr(toxicity, "may_hold", lambda token, table: True)
+    monkeypatch.setattr(toxicity, "holds_shape", lambda z, table, places: True)
+    assert fast == [model.fragments_weight(r) for r in runs] and any(fast)
 
 
 # ---- packing ---------------------------------------------------------------

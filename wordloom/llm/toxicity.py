@@ -265,28 +265,59 @@ def features(word: str) -> list[str]:
 # ---- scoring ---------------------------------------------------------------
 
 
-class _LetterBits(dict):
-    """Which letters a sign may stand for, as bits; one bit for all letters
-    beyond a-z."""
+class _Shape(dict):
+    """For ``str.translate``: letters as they are, leet signs as a letter they
+    may stand for, any other character nothing.  ``i`` and ``l`` are one, as
+    some signs stand for both."""
 
-    def __missing__(self, c: str) -> int:
-        bits = 0
-        for x in (c, *LEET.get(c, "")):
-            if x.isalpha():
-                bits |= 1 << symbol_of(x)
-        self[c] = bits
-        return bits
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        x = LEET[c][0] if c in LEET else c if c.isalpha() else ""
+        self[code] = "i" if x == "l" else x
+        return self[code]
 
 
-_BITS = _LetterBits()
+_SHAPE = _Shape()
+REPEATED = re.compile(r"(.)\1+", re.DOTALL)
+SHAPE_LETTERS = 8  # letters of a feature's shape that are looked for
 
 
-def letters_of(word: str, signs: bool) -> int:
-    """The letters of a word; with ``signs`` also those its signs stand for."""
-    bits = 0
-    for c in set(word):
-        bits |= _BITS[c] if signs or c not in LEET else 0
-    return bits
+def shape(token: str) -> str:
+    """Letters a token's signs may stand for, repeated ones once.  The shape of
+    every word of every reading of a token is a part of the token's shape: signs
+    without a letter are read as nothing or a boundary."""
+    return REPEATED.sub(r"\1", token.translate(_SHAPE))
+
+
+def shape_table(features: list[str]) -> list[tuple[int, set[str]]]:
+    """Beginnings of the shapes of features, by length."""
+    heads = {shape(f)[:SHAPE_LETTERS] for f in features}
+    return [(k, own) for k in range(SHAPE_LETTERS + 1) if (own := {h for h in heads if len(h) == k})]
+
+
+def holds_shape(z: str, table: list[tuple[int, set[str]]], places) -> bool:
+    """Whether one of the table's shapes begins at one of the places of ``z``."""
+    for k, own in table:
+        for i in places:
+            if z[i : i + k] in own:
+                return True
+    return False
+
+
+def may_hold(token: str, table: list[tuple[int, set[str]]]) -> bool:
+    """False only if no reading of a token holds one of the table's features.
+    Words begin where the token does or behind a sign."""
+    z, places, last, fresh = [], [], "", True
+    for c in token:
+        x = _SHAPE[ord(c)]
+        if x and x != last:
+            z.append(x)
+            last = x
+        if fresh and x:
+            places.append(len(z) - 1)
+            fresh = False
+        fresh = fresh or not c.isalpha()
+    return holds_shape("".join(z), table, places)
 
 
 @dataclass
@@ -303,39 +334,46 @@ class ToxicityModel:
         self.cache: dict[str, float] = {}  # of tokens; two generations are held
         self.old: dict[str, float] = {}
         self.runs: dict[tuple[str, ...], float] = {}  # weights of runs of fragments
-        masks = {letters_of(f.removesuffix("-"), False) for f in self.weights}
-        self.masks = [m for m in masks if not any(x != m and x & ~m == 0 for x in masks)]  # the least ones decide
+        self.shapes = shape_table([f.removesuffix("-") for f in self.weights])
+        self.word_shapes = shape_table([f for f in self.weights if not f.endswith("-")])
         self.heads = {f.removesuffix("-")[: PREFIXES[0]] for f in self.weights}
         self.starts = {w[:k] for f in self.weights if not f.endswith("-") for w in [TWICE.sub(r"\1", f)] for k in range(1, len(w) + 1)}
         self.longest = max((len(w) for w in self.weights if not w.endswith("-")), default=0)
 
-    def may_weigh(self, token: str) -> bool:
-        """False only if no reading of a token can hold a weighted feature: every
-        one of them has a letter that none of the token's signs stands for."""
-        lacking = ~letters_of(token, True)
-        return not all(map(lacking.__and__, self.masks))
+    def word_weight(self, word: str) -> float:
+        """The heaviest feature of a word."""
+        if word[: PREFIXES[0]] not in self.heads:
+            return 0.0
+        weights = self.weights
+        best = weights.get(word, 0.0)
+        for k in PREFIXES:
+            if k >= len(word):
+                break
+            w = weights.get(word[:k] + "-", 0.0)
+            if w > best:
+                best = w
+        return best
 
     def token_weight(self, token: str) -> float:
-        weights = self.weights
         core = token.strip(EDGE)
-        if core.isalpha() and "(" not in token and "!" not in token and not TWICE.search(core):  # has one reading
-            if core[: PREFIXES[0]] not in self.heads:
+        if core.isalpha() and "(" not in token and "!" not in token:
+            doubled = TWICE.findall(core)
+            if not doubled:  # has one reading
+                return self.word_weight(core)
+            if not holds_shape(shape(core), self.shapes, (0,)):
                 return 0.0
-            best = weights.get(core, 0.0)
-            for k in PREFIXES:
-                if k >= len(core):
-                    break
-                w = weights.get(core[:k] + "-", 0.0)
-                if w > best:
-                    best = w
-            return best
-        if not self.may_weigh(token):
+            if len(doubled) <= DOUBLES:  # every reading is among these, a word each
+                return max(map(self.word_weight, undoubled(core)))
+        elif not may_hold(token, self.shapes):
             return 0.0
-        words = spaced_or_token(token, self.chars)
-        return max(sum(max((weights.get(f, 0.0) for f in features(w)), default=0.0) for w in reading) for reading in words)
+        readings = spaced_or_token(token, self.chars)
+        return max(sum(map(self.word_weight, reading)) for reading in readings)
 
     def fragments_weight(self, run: tuple[str, ...]) -> float:
         """Weights of whole words that lie broken in a run of fragments."""
+        z = shape("".join(run))
+        if not holds_shape(z, self.word_shapes, range(len(z))):
+            return 0.0
         best = [0.0] * (len(run) + 1)  # of the fragments before a place
         for i in range(len(run)):
             best[i + 1] = max(best[i + 1], best[i])
@@ -344,15 +382,15 @@ class ToxicityModel:
                 word += run[j]
                 if len(word) > 2 * self.longest or word.isalpha() and TWICE.sub(r"\1", word) not in self.starts:
                     break
-                if all(len(x) == 1 for x in run[i : j + 1]):
+                if len(word) <= FRAGMENT or len(word) == j + 1 - i:
                     continue  # single signs are spaced runs
                 if word.isalpha() and not TWICE.search(word):
                     w = self.weights.get(word, 0.0)
-                elif not self.may_weigh(word):
+                elif not may_hold(word, self.word_shapes):
                     w = 0.0
                 else:
                     w = max(self.weights.get(r[0], 0.0) if len(r) == 1 else 0.0 for r in token_readings(word, self.chars))
-                if len(word) > FRAGMENT:
+                if w:
                     best[j + 1] = max(best[j + 1], best[i] + w)
         return best[-1]
 
