@@ -1,9 +1,11 @@
 """N-gram fit, interpolated scoring, sampling, generation —
 checked against brute force over the full vocabulary."""
 
+import hashlib
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +109,35 @@ def test_top_k_keeps_ties(spark):
     assert N.top_k(df, 0).count() == 5
 
 
+def test_softmax_and_draw_of_a_group_of_many_blocks(spark):
+    rng = np.random.default_rng(3)
+    rows = [(g, int(t), float(x)) for g, n in (("hot", 3000), ("b", 40), ("one", 1), (None, 30)) for t, x in zip(rng.permutation(n), rng.normal(size=n))]
+    df = spark.createDataFrame(rows, "prompt_id string, token int, logit double")
+    sm = N.softmax(df)
+    got = {(r.prompt_id, r.token): r.prob for r in sm.collect()}
+    assert len(got) == len(rows)
+    for g in ("hot", "b", "one", None):
+        own = sorted((t, x) for h, t, x in rows if h == g)
+        e = np.exp([x - max(x for _, x in own) for _, x in own])
+        p = e / e.sum()
+        assert np.allclose([got[(g, t)] for t, _ in own], p, atol=1e-12)
+    for step in range(4):
+        drawn = {r.prompt_id: r.token for r in N.draw(sm, seed=5, step=step, block=16).collect()}
+        assert set(drawn) == {"hot", "b", "one", None}
+        for g, token in drawn.items():
+            u = int(hashlib.md5(":".join(["5", *([g] if g else []), str(step)]).encode()).hexdigest()[:8], 16) / 2**32
+            acc = np.cumsum([got[(g, t)] for t in range(len([1 for h, *_ in rows if h == g]))])
+            assert token == min(int(np.searchsorted(acc, u)), len(acc) - 1)
+    short = spark.createDataFrame([("a", t, 1e-9) for t in range(50)], "prompt_id string, token int, prob double")
+    assert N.draw(short, block=16).collect() == [("a", 49)]
+    assert N.draw(short.limit(0)).count() == 0
+
+
+def test_softmax_and_draw_windows_hold_blocks_only(spark):
+    df = spark.createDataFrame([("a", 1, 0.5)], "prompt_id string, token int, logit double")
+    assert "Window" not in N.softmax(df)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_softmax_and_draw(spark):
     df = spark.createDataFrame([("a", t, float(v)) for t, v in enumerate([2.0, 1.0, 0.5])], "prompt_id string, token int, logit double")
     sm = N.softmax(N.apply_temperature(df, 0.7))

@@ -6,7 +6,8 @@ interpolated n-gram model (Jelinek–Mercer):
 
 "Logit" is ln P.  Counting is a partial aggregate over exploded positions;
 probabilities are bottom-up equi-joins; sampling (temperature, top-k with
-ties, softmax, inverse-CDF draw) is window work per prompt.
+ties, softmax, inverse-CDF draw) is work per prompt that a hot prompt cannot pile up in
+one task.
 """
 
 from __future__ import annotations
@@ -232,10 +233,20 @@ def top_k(logits: DataFrame, k: int = TOP_K, group: str = "prompt_id", col: str
 
 
 def softmax(logits: DataFrame, group: str = "prompt_id", col: str = "logit", out: str = "prob") -> DataFrame:
-    """M6: max-shifted softmax per group."""
-    w = Window.partitionBy(group)
-    e = F.exp(F.col(col) - F.max(col).over(w))
-    return logits.withColumn("_e", e).withColumn(out, F.col("_e") / F.sum("_e").over(w)).drop("_e")
+    """M6: max-shifted softmax per group.  A group's maximum and sum come from
+    groupings with partial results and meet its rows in a join, so the rows of a
+    group need not meet in one task.  The logits are written once, as each step reads them."""
+    logits = _written(logits, "logits")
+    e = F.exp(F.col(col) - F.col("_top"))
+    shifted = _with_group(logits, logits.groupBy(group).agg(F.max(col).alias("_top")), group).withColumn("_e", e).drop("_top")
+    summed = _with_group(shifted, shifted.groupBy(group).agg(F.sum("_e").alias("_sum")), group)
+    return summed.withColumn(out, F.col("_e") / F.col("_sum")).drop("_e", "_sum")
+
+
+def _with_group(rows: DataFrame, facts: DataFrame, group: str) -> DataFrame:
+    """Rows with the facts of their group, null being a group as any other."""
+    facts = facts.withColumnRenamed(group, "_group")
+    return rows.join(facts, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
 
 
 def uniform(key: Column) -> Column:
@@ -243,14 +254,30 @@ def uniform(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def draw(probs: DataFrame, seed: int = 42, step: Column | int = 0, group: str = "prompt_id", prob: str = "prob") -> DataFrame:
+DRAW_BLOCK = 4096  # token ids whose probabilities are added up together
+
+
+def draw(probs: DataFrame, seed: int = 42, step: Column | int = 0, group: str = "prompt_id", prob: str = "prob", block: int = DRAW_BLOCK) -> DataFrame:
     """M7: inverse-CDF draw per group in token-id order; the first token with
     cumulative probability >= u, or the last candidate if rounding leaves
-    none.  u depends only on (seed, group, step)."""
+    none.  u depends only on (seed, group, step).
+
+    Prefix sums are taken over the sums of blocks of ids, then inside the one
+    block per group that u falls into: no window holds more than ``block`` rows,
+    or a group's blocks.  The candidates are written once, as they are read twice."""
     step_c = step if isinstance(step, Column) else F.lit(step)
-    w = Window.partitionBy(group).orderBy("token").rowsBetween(Window.unboundedPreceding, 0)
     u = uniform(F.concat_ws(":", F.lit(str(seed)), F.col(group).cast("string"), step_c.cast("string")))
-    acc = probs.withColumn("_acc", F.sum(prob).over(w)).withColumn("_u", u)
+    rows = _written(probs.select(F.col(group), F.col("token"), F.col(prob).alias("_p"), u.alias("_u"), F.floor(F.col("token") / block).alias("_block")), "draw")
+    before = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    sums = rows.groupBy(group, "_block").agg(F.sum("_p").alias("_s"), F.min("_u").alias("_at"))
+    ends = sums.withColumn("_end", F.sum("_s").over(before))
+    # blocks that reach u come first, then, if none does, the last one
+    order = F.when(F.col("_end") >= F.col("_at"), F.struct(F.lit(0).alias("k"), F.col("_block").alias("b"))).otherwise(F.struct(F.lit(1).alias("k"), (-F.col("_block")).alias("b")))
+    hit = ends.groupBy(group).agg(F.min_by(F.struct(F.col("_block").alias("b"), (F.col("_end") - F.col("_s")).alias("off")), order).alias("_hit"))
+    hit = hit.select(F.col(group).alias("_group"), F.col("_hit.b").alias("_b"), F.col("_hit.off").alias("_off"))
+    own = rows.join(hit, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_block") == F.col("_b")))
+    inside = Window.partitionBy(group).orderBy("token").rowsBetween(Window.unboundedPreceding, 0)
+    acc = own.withColumn("_acc", F.col("_off") + F.sum("_p").over(inside))
     return acc.groupBy(group).agg(
         F.coalesce(F.min(F.when(F.col("_acc") >= F.col("_u"), F.col("token"))), F.max("token")).alias("token")
     )
