@@ -439,7 +439,7 @@ def document_features(texts: DataFrame, model) -> DataFrame:
     counted inside tasks first."""
 
     def count(batches):
-        chars, known = model.value, {}
+        chars, known, old = model.value, {}, {}  # two generations of tokens
         counts: tuple[Counter, Counter] = (Counter(), Counter())
 
         def flush():
@@ -455,12 +455,14 @@ def document_features(texts: DataFrame, model) -> DataFrame:
                 tokens = text.lower().split()
                 found: set[str] = set()
                 for t in set(tokens + spaced_runs(tokens)):
-                    if t not in known:
-                        known[t] = [f for r in spaced_or_token(t, chars) for w in r for f in features(w)]
-                    found.update(known[t])
+                    held = known.get(t)
+                    if held is None:
+                        held = old.get(t)
+                        known[t] = held = [f for r in spaced_or_token(t, chars) for w in r for f in features(w)] if held is None else held
+                    found.update(held)
                 counts[toxic].update(found)
                 if len(known) > CACHE_TOKENS // 3:
-                    known.clear()
+                    known, old = {}, known
                 if len(counts[0]) > CACHE_TOKENS:
                     yield from flush()
         yield from flush()
