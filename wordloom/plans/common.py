@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import WS_CLASS
-from ..operators import ranking, sequences, tokenizer
+from ..operators import codec, ranking, sequences, tokenizer
 from ..operators.tokenizer import PRETOKEN_PATTERN_NO_LOOKAHEAD
 from ..session import scratch_path
 from ..sources.corpus import read_corpus
@@ -73,15 +73,36 @@ def word_seq_table(spark: SparkSession, d: str) -> DataFrame:
     return _cache[key]
 
 
+def bpe_seq_table(spark: SparkSession, d: str, merges: int | None = None) -> DataFrame:
+    """``(doc_id, split, ids)`` of the learned vocabulary's ids, row-local from
+    the corpus and written once per session and folder."""
+    key = ("bseq", _app(spark), d, merges)
+    if key not in _cache:
+        made = codec.encode(corpus(spark, d), learned_tokenizer(spark, d, merges)).select("doc_id", "split", "ids")
+        path = scratch_path(spark, "bpe_seqs")
+        made.write.parquet(path)
+        _cache[key] = spark.read.schema(made.schema).parquet(path)
+    return _cache[key]
+
+
+def seq_table(spark: SparkSession, d: str, merges: int | None = None) -> DataFrame:
+    """Sequences of word ids, or of token ids after ``merges`` merges."""
+    return word_seq_table(spark, d) if merges is None else bpe_seq_table(spark, d, merges)
+
+
+def seq_vocab_size(spark: SparkSession, d: str, merges: int | None = None) -> int:
+    return word_vocab_size(spark, d) if merges is None else learned_tokenizer(spark, d, merges).vocab_size
+
+
 def word_seqs(spark: SparkSession, d: str, max_len: int = sequences.TRAIN_MAX_LEN) -> DataFrame:
     """Word-id sequences after truncate + drop-short, both splits."""
     return sequences.truncate_filter(word_seq_table(spark, d), max_len)
 
 
-def word_windows(spark: SparkSession, d: str, max_len: int = sequences.TRAIN_MAX_LEN) -> DataFrame:
+def seq_windows(spark: SparkSession, d: str, merges: int | None = None, max_len: int = sequences.TRAIN_MAX_LEN) -> DataFrame:
     """``(doc_id, win, seq_id, split, ids)``: every document cut into windows
     of at most ``max_len`` ids, none dropped."""
-    return sequences.windows(word_seq_table(spark, d), max_len)
+    return sequences.windows(seq_table(spark, d, merges), max_len)
 
 
 def word_vocab_size(spark: SparkSession, d: str) -> int:
@@ -195,6 +216,12 @@ split AS (
 corpus AS (SELECT doc_id, split, {sql_wrap('text')} AS sample FROM split)
 """
 
+# training sequences and windows of seqs_full (doc_id, split, ids)
+SHAPES_CTE = """seqs AS (SELECT doc_id, split, ids[1:128] AS ids FROM seqs_full WHERE len(ids[1:128]) >= 2),
+wins AS (SELECT doc_id, CAST(w AS INTEGER) AS win, CAST(doc_id AS VARCHAR) || ':' || w AS seq_id, split, ids[w * 127 + 1:w * 127 + 128] AS ids
+         FROM (SELECT *, unnest(generate_series(0, (len(ids) - 2) // 127)) AS w FROM seqs_full WHERE len(ids) >= 2))
+"""
+
 # word ids: distinct pre-tokens of the cleaned text ranked by md5(word), from 3
 WORDS_CTE = f"""
 wl AS (SELECT doc_id, split, regexp_extract_all(text, '{SQL_PAT}') AS w FROM split),
@@ -204,10 +231,7 @@ wvocab AS (SELECT word, CAST(row_number() OVER (ORDER BY md5(word), word) + 2 AS
 seqs_full AS (
   SELECT doc_id, split, list_concat([1], list(token ORDER BY pos), [2]) AS ids
   FROM wpos JOIN wvocab USING (word) GROUP BY doc_id, split),
-seqs AS (SELECT doc_id, split, ids[1:128] AS ids FROM seqs_full WHERE len(ids[1:128]) >= 2),
-wins AS (SELECT doc_id, CAST(w AS INTEGER) AS win, CAST(doc_id AS VARCHAR) || ':' || w AS seq_id, split, ids[w * 127 + 1:w * 127 + 128] AS ids
-         FROM (SELECT *, unnest(generate_series(0, (len(ids) - 2) // 127)) AS w FROM seqs_full WHERE len(ids) >= 2))
-"""
+{SHAPES_CTE}"""
 
 
 def bpe_cte(merges: int = BPE_MERGES) -> str:

@@ -8,6 +8,7 @@ engines hash the same values.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial, update_wrapper
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ..sources import config as cfg
 from ..sources import corpus as src
 from ..session import scratch_path
 from . import common as C
-from .common import NL, SPLIT_CTE, SQL_PAT, WORDS_CTE, sql_clean, sql_strip, sql_values
+from .common import NL, SHAPES_CTE, SPLIT_CTE, SQL_PAT, WORDS_CTE, sql_clean, sql_strip, sql_values
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -489,8 +490,8 @@ def truncate_filter(spark, d):
     f"WITH {SPLIT_CTE}, {WORDS_CTE} SELECT doc_id, win, split, array_to_string(ids[1:len(ids) - 1], ' ') AS x, "
     "array_to_string(ids[2:len(ids)], ' ') AS y FROM wins",
 )
-def shift_pairs(spark, d):
-    s = sequences.shift_pairs(C.word_windows(spark, d))
+def shift_pairs(spark, d, merges=None):
+    s = sequences.shift_pairs(C.seq_windows(spark, d, merges))
     return s.select("doc_id", "win", "split", sequences.ids_text("x").alias("x"), sequences.ids_text("y").alias("y"))
 
 
@@ -505,8 +506,8 @@ b2 AS (SELECT seq_id, split, ids, epoch, CAST(floor((o - 1) / 32) AS INTEGER) AS
 """
 
 
-def _batched(spark, d):
-    s = C.word_windows(spark, d)
+def _batched(spark, d, merges=None):
+    s = C.seq_windows(spark, d, merges)
     tr = sequences.assign_batches(s.filter(F.col("split") == "train"), shuffle=True, epoch=0, id_col="seq_id")
     ev = sequences.assign_batches(s.filter(F.col("split") == "eval"), shuffle=False, id_col="seq_id")
     return tr.unionByName(ev)
@@ -516,8 +517,8 @@ def _batched(spark, d):
     "assign_batches",
     f"WITH {SPLIT_CTE}, {WORDS_CTE}, {_BATCH_SQL} SELECT seq_id, split, epoch, batch_id, row_in_batch FROM b2",
 )
-def assign_batches(spark, d):
-    return _batched(spark, d).select("seq_id", "split", "epoch", "batch_id", "row_in_batch")
+def assign_batches(spark, d, merges=None):
+    return _batched(spark, d, merges).select("seq_id", "split", "epoch", "batch_id", "row_in_batch")
 
 
 @register(
@@ -545,8 +546,8 @@ def file_order_batches(spark, d):
     "array_to_string(ids[2:len(ids)], ' ') || repeat(' 0', CAST(padded_len - (len(ids) - 1) AS INTEGER)) AS y_pad, "
     "CAST(len(ids) - 1 AS INTEGER) AS n_real, CAST(padded_len - (len(ids) - 1) AS INTEGER) AS n_pad FROM p",
 )
-def pad_batch(spark, d):
-    p = sequences.pad_batch(sequences.shift_pairs(_batched(spark, d)))
+def pad_batch(spark, d, merges=None):
+    p = sequences.pad_batch(sequences.shift_pairs(_batched(spark, d, merges)))
     return p.select(
         "seq_id",
         "split",
@@ -565,9 +566,9 @@ def pad_batch(spark, d):
     "p AS (SELECT *, max(len(ids) - 1) OVER (PARTITION BY split, epoch, batch_id) AS padded_len FROM b2) "
     "SELECT split, batch_id, count(*) AS n_rows, sum(len(ids) - 1) AS n_real, sum(padded_len - (len(ids) - 1)) AS n_pad FROM p GROUP BY split, batch_id",
 )
-def padding_report(spark, d):
+def padding_report(spark, d, merges=None):
     """Real and padded positions of every batch."""
-    return sequences.padding_report(sequences.shift_pairs(_batched(spark, d)))
+    return sequences.padding_report(sequences.shift_pairs(_batched(spark, d, merges)))
 
 
 @register(
@@ -575,8 +576,8 @@ def padding_report(spark, d):
     f"WITH {SPLIT_CTE}, {WORDS_CTE}, nb AS (SELECT CAST(ceil(count(*) / 32.0) AS BIGINT) AS n FROM wins WHERE split = 'train') "
     "SELECT step, CAST(step // n AS INTEGER) AS epoch, CAST(step % n AS INTEGER) AS batch_id FROM range(10000) AS t(step), nb",
 )
-def step_plan(spark, d):
-    tr = C.word_windows(spark, d).filter(F.col("split") == "train")
+def step_plan(spark, d, merges=None):
+    tr = C.seq_windows(spark, d, merges).filter(F.col("split") == "train")
     return sequences.step_plan(tr, runlog.MAX_STEPS).select(
         "step", F.col("epoch").cast("int").alias("epoch"), F.col("batch_id").cast("int").alias("batch_id")
     )
@@ -586,8 +587,8 @@ def step_plan(spark, d):
     "dataset_sizes",
     f"WITH {SPLIT_CTE}, {WORDS_CTE} SELECT split, count(*) AS n_sequences FROM wins GROUP BY split",
 )
-def dataset_sizes(spark, d):
-    return sequences.dataset_sizes(C.word_windows(spark, d))
+def dataset_sizes(spark, d, merges=None):
+    return sequences.dataset_sizes(C.seq_windows(spark, d, merges))
 
 
 # ---- M: next-token model ---------------------------------------------------------
@@ -608,8 +609,8 @@ _NG_TRAIN = _NGRAM_SQL.format(split="train")
     "ngram_counts",
     f"WITH {SPLIT_CTE}, {WORDS_CTE}, {_NG_TRAIN} SELECT CAST(\"order\" AS INTEGER) AS \"order\", ctx, token, n FROM counts",
 )
-def ngram_counts(spark, d):
-    s = C.word_seq_table(spark, d).filter(F.col("split") == "train")
+def ngram_counts(spark, d, merges=None):
+    s = C.seq_table(spark, d, merges).filter(F.col("split") == "train")
     return ngram.ngram_counts(s)
 
 
@@ -658,10 +659,10 @@ s3 AS (SELECT s2.doc_id, s2.p, s2.token,
 """
 
 
-def _nll(spark, d):
-    s = C.word_seq_table(spark, d)
+def _nll(spark, d, merges=None):
+    s = C.seq_table(spark, d, merges)
     counts = ngram.fit(s.filter(F.col("split") == "train"))
-    return ngram.score_positions(s.filter(F.col("split") == "eval"), counts, C.word_vocab_size(spark, d))
+    return ngram.score_positions(s.filter(F.col("split") == "eval"), counts, C.seq_vocab_size(spark, d, merges))
 
 
 @register(
@@ -669,8 +670,8 @@ def _nll(spark, d):
     f"WITH {SPLIT_CTE}, {WORDS_CTE}, {_NG_TRAIN}, {_NLL_SQL} "
     "SELECT doc_id, CAST(p AS INTEGER) AS p, token, round(-ln(prob), 9) AS nll FROM s3",
 )
-def token_nll(spark, d):
-    return _nll(spark, d).select("doc_id", "p", "token", F.round("nll", 9).alias("nll"))
+def token_nll(spark, d, merges=None):
+    return _nll(spark, d, merges).select("doc_id", "p", "token", F.round("nll", 9).alias("nll"))
 
 
 @register(
@@ -681,12 +682,19 @@ def token_nll(spark, d):
     "pb AS (SELECT batch_id, avg(-ln(prob)) AS bl FROM s3 JOIN eb USING (doc_id) WHERE batch_id < 50 GROUP BY batch_id) "
     "SELECT round(coalesce(avg(bl), 0.0), 9) AS eval_loss FROM pb",
 )
-def eval_loss(spark, d):
-    s = C.word_seq_table(spark, d)
+def eval_loss(spark, d, merges=None):
+    s = C.seq_table(spark, d, merges)
     ev = sequences.assign_batches(s.filter(F.col("split") == "eval"), shuffle=False)
     ev = ngram.first_batches(ev).select("ids", "batch_id")  # only what is averaged is scored
     counts = ngram.fit(s.filter(F.col("split") == "train"))
-    return ngram.mean_of_batches(ngram.score_batches(ev, counts, C.word_vocab_size(spark, d))).select(F.round("eval_loss", 9).alias("eval_loss"))
+    return ngram.mean_of_batches(ngram.score_batches(ev, counts, C.seq_vocab_size(spark, d, merges))).select(F.round("eval_loss", 9).alias("eval_loss"))
+
+
+# the same operators on token ids, as training reads them; SQL learns the same merges
+_BPE_SEQ = f"{_ENC}, wvocab AS (SELECT max(id) AS token FROM k{C.BPE_MERGES}), seqs_full AS (SELECT doc_id, split, ids FROM enc), {SHAPES_CTE}"
+for _fn in (shift_pairs, pad_batch, ngram_counts):
+    _name = _fn.__name__
+    register(f"{_name}_bpe_32", SQL[_name].replace(f"WITH {SPLIT_CTE}, {WORDS_CTE}", _BPE_SEQ, 1))(update_wrapper(partial(_fn, merges=C.BPE_MERGES), _fn))
 
 
 # logits of the bigram (order-2, maximum likelihood) next-token table per context
