@@ -389,6 +389,7 @@ def test_new_units_are_merged_together_and_kept_long_ones_alone(spark):
     assert met == [" " + long] and long not in coder
     rng, parts = random.Random(4), ["a", "b", "'", "s", "ll", " ", " ", "  ", "\n", "\t", "\x1c", "\x85", "　", "1", "!", "é"]
     coder = codec.UnitCodes(ours, most=40)
+    coder.learn(set())
     for _ in range(200):
         texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(9)]
         coder.turn()
