@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import string
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, shuffles_released  # noqa: F401  the operators take both from here
 
 ASCII_SPACE = r"[\x20\x09-\x0D]"
 
@@ -40,20 +39,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def shuffles_released(spark: SparkSession):
-    """Shuffle files of the queries run inside are removed as each one ends,
-    not when the driver collects garbage.  Lost ones are made again as usual
-    while a query runs; its result must be written or collected inside."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def crc32_of_id(doc_id: Column) -> Column:
     """crc32 of the id's decimal text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
